@@ -1,0 +1 @@
+"""Incremental landing (see README): no streaming query exists in the studied pipeline."""
