@@ -25,6 +25,11 @@ from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, number_units, unit_
 from wreckline.schemas import SLOT_COUNT, vehicle_slot_columns
 
 UNIT_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID"]
+# Everything the slot logic reads; the ranking sorts only these columns.
+SLOT_INPUT = UNIT_KEYS + ["RD_NO", "MAKE", "MODEL", "UNIT_TYPE"]
+# Units tied on CRASH_UNIT_ID are ordered by these. Ties that agree on all of them hold
+# identical slot values, so which of them comes first cannot change any result.
+SLOT_TIE_BREAKERS = ["VEHICLE_ID", "CRASH_DATE", "RD_NO", "UNIT_TYPE", "MAKE", "MODEL"]
 
 
 def slot_candidates(vehicles: DataFrame, n: int = SLOT_COUNT, tie_breakers: list[str] | None = None) -> DataFrame:
@@ -35,8 +40,10 @@ def slot_candidates(vehicles: DataFrame, n: int = SLOT_COUNT, tie_breakers: list
     whole crash.
     """
     by_unit = Window.partitionBy(CRASH_KEY).orderBy(F.col("CRASH_UNIT_ID").asc_nulls_first())
+    ties = SLOT_TIE_BREAKERS if tie_breakers is None else tie_breakers
+    vehicles = vehicles.select(*dict.fromkeys(SLOT_INPUT + [c for c in ties if c in vehicles.columns]))
     cand = vehicles.withColumn("_unit_rank", F.rank().over(by_unit)).filter(F.col("_unit_rank") <= n)
-    seq = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, tie_breakers))
+    seq = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))
     return cand.withColumn(SEQ_COL, F.row_number().over(seq)).drop("_unit_rank")
 
 
@@ -115,10 +122,14 @@ def vehicle_slots(vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "top
 
     ``topk``: one left join of the units with ``slot_table`` on the four keys. Rows of a
     big crash spread over tasks because CRASH_UNIT_ID is part of the join key.
+    ``window``: number all units, then compare each row with the k-th unit of its crash
+    in a window over the crash: one shuffle, but a huge crash is one task.
     ``join``: the literal n self-joins against the numbered units (reference form).
     """
     if strategy == "join":
         return _vehicle_slots_by_joins(vehicles, n)
+    if strategy == "window":
+        return _vehicle_slots_by_window(vehicles, n)
     st = slot_table(vehicles, n)
     st = st.select(*[F.col(k).alias(f"_s_{k}") for k in UNIT_KEYS], *vehicle_slot_columns(n))
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in UNIT_KEYS])
@@ -140,3 +151,10 @@ def _vehicle_slots_by_joins(vehicles: DataFrame, n: int) -> DataFrame:
     for k in range(1, n + 1):
         cols += [F.col(f"_b{k}_CRASH_UNIT_ID").alias(f"VEHICLE{k}_ID"), f"VEHICLE{k}_MAKE", f"VEHICLE{k}_MODEL"]
     return out.select(*[F.col(f"a.{c}") for c in vehicles.columns], *cols)
+
+
+def _vehicle_slots_by_window(vehicles: DataFrame, n: int) -> DataFrame:
+    ties = [c for c in SLOT_TIE_BREAKERS if c in vehicles.columns]
+    numbered = vehicles.withColumn(SEQ_COL, F.row_number().over(
+        Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))))
+    return matched_slots(numbered, n).drop(SEQ_COL)

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from wreckline.functions.text import na_text
 from wreckline.operators.basic import filter_drivers
-from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, number_units
+from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, number_units, unit_order
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
 from wreckline.operators.slots import (
+    SLOT_TIE_BREAKERS,
     any_slot,
     matched_slots,
     null_slots,
@@ -47,9 +49,10 @@ def _flag(c: Column) -> Column:
 def vehicle_summary(
     vehicles: DataFrame,
     compat: bool = True,
-    strategy: str = "topk",
+    strategy: str = "auto",
     n: int = SLOT_COUNT,
     slot_null_vehicle: bool = False,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Units per crash: entity and motor-vehicle counts plus n slot triples.
 
@@ -58,11 +61,29 @@ def vehicle_summary(
     and one for the others ("overflow" units beyond n, or units whose keys hold NULL),
     unless both rows have the same counts, in which case they merge.
     corrected: one row per crash with true totals and the first n units in the slots.
+
+    strategy: ``window`` (one shuffle by crash, then everything local), ``topk`` (no
+    step holds a whole crash: partial top-k + partial counts), ``join`` (the literal
+    self-joins), ``auto`` (crashes with >= ``hot_rows`` units go ``topk``, the rest
+    ``window``).
     """
+    if strategy == "auto":
+        return route_hot(
+            vehicles, CRASH_KEY,
+            lambda df: _vehicle_summary(df, compat, "window", n, slot_null_vehicle),
+            lambda df: _vehicle_summary(df, compat, "topk", n, slot_null_vehicle),
+            hot_rows,
+        )
+    return _vehicle_summary(vehicles, compat, strategy, n, slot_null_vehicle)
+
+
+def _vehicle_summary(vehicles: DataFrame, compat: bool, strategy: str, n: int, slot_null_vehicle: bool) -> DataFrame:
     if not compat:
-        return _vehicle_summary_fixed(vehicles, n, slot_null_vehicle)
-    if strategy == "join":
-        per_row = vehicle_slots(vehicles, n, strategy="join")
+        if strategy == "topk":
+            return _vehicle_summary_fixed(vehicles, n, slot_null_vehicle)
+        return _vehicle_summary_fixed_window(vehicles, n, slot_null_vehicle)
+    if strategy in ("join", "window"):
+        per_row = vehicle_slots(vehicles, n, strategy=strategy)
         inner = per_row.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *vehicle_slot_columns(n)).agg(
             F.count("CRASH_UNIT_ID").alias("Cnt_Entities_Accid"),
             F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
@@ -70,37 +91,58 @@ def vehicle_summary(
     else:
         inner = _vehicle_slot_groups(vehicles, n)
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid"]
-    return inner.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
+    out = inner.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
+    return out.select(*VEHICLE_SUMMARY_COLUMNS)
+
+
+def _vehicle_summary_fixed_window(vehicles: DataFrame, n: int, slot_null_vehicle: bool) -> DataFrame:
+    ties = [c for c in SLOT_TIE_BREAKERS if c in vehicles.columns]
+    w = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))
+    held = own_slots(vehicles.withColumn(SEQ_COL, F.row_number().over(w)), n, slot_null_vehicle)
+    out = held.groupBy("CRASH_RECORD_ID").agg(
+        F.max("RD_NO").alias("RD_NO"),
+        F.max("CRASH_DATE").alias("CRASH_DATE"),
+        F.count("CRASH_UNIT_ID").alias("Cnt_Entities_Accid"),
+        F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
+        *[F.max(c).alias(c) for c in vehicle_slot_columns(n)],
+    )
+    return out.select(*VEHICLE_SUMMARY_COLUMNS)
 
 
 def _vehicle_slot_groups(vehicles: DataFrame, n: int) -> DataFrame:
     """The inner GROUP BY of the compat summary: (crash, RD_NO, date, slots) -> counts.
 
-    All rows are first counted into the no-slot group; rows that do hold slots are
-    moved out of it (a -1 row) and into their own group (a +1 row).
+    * Slot-holding rows are all among the candidates, which are already clustered by
+      crash, so their groups are counted without another shuffle.
+    * The no-slot group of each (crash, RD_NO, date) holds every other row: its counts
+      are the whole table's (partially aggregated before the shuffle, so a third of all
+      rows in one crash is one row per map task) minus the slot holders'.
     """
-    base = vehicles.select(
-        "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *null_slots(n),
-        _one().alias("_rows"), _flag(F.col("CRASH_UNIT_ID")).alias("_u"), _flag(F.col("VEHICLE_ID")).alias("_v"),
-    )
+    keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
     slot_cols = vehicle_slot_columns(n)
     matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
-
-    def moved(sign: int, with_slots: bool) -> Column:
-        fields = [F.col(c) for c in ("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE")]
-        fields += [F.col(c) for c in slot_cols] if with_slots else null_slots(n)
-        s = F.lit(sign).cast("bigint")
-        fields += [s.alias("_rows"), (s * _flag(F.col("CRASH_UNIT_ID"))).alias("_u"),
-                   (s * _flag(F.col("VEHICLE_ID"))).alias("_v")]
-        return F.struct(*fields)
-
-    moves = matched.select(F.inline(F.array(moved(-1, False), moved(1, True))))
-    counted = base.unionByName(moves).groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *slot_cols).agg(
+    held = matched.groupBy(*keys, *slot_cols).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("CRASH_UNIT_ID").alias("Cnt_Entities_Accid"),
+        F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
+    )
+    held_totals = held.groupBy(*keys).agg(
+        (-F.sum("_rows")).alias("_rows"),
+        (-F.sum("Cnt_Entities_Accid")).alias("_u"),
+        (-F.sum("Cnt_MotorVehicles_Accid")).alias("_v"),
+    )
+    totals = vehicles.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("CRASH_UNIT_ID").alias("_u"),
+        F.count("VEHICLE_ID").alias("_v"),
+    )
+    rest = totals.unionByName(held_totals).groupBy(*keys).agg(
         F.sum("_rows").alias("_rows"),
         F.sum("_u").alias("Cnt_Entities_Accid"),
         F.sum("_v").alias("Cnt_MotorVehicles_Accid"),
-    )
-    return counted.filter(F.col("_rows") > 0).drop("_rows")
+    ).filter(F.col("_rows") > 0)
+    no_slot = rest.select(*keys, *null_slots(n), "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid")
+    return held.drop("_rows").unionByName(no_slot)
 
 
 def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool) -> DataFrame:
@@ -125,17 +167,30 @@ def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool)
     return out.select(*VEHICLE_SUMMARY_COLUMNS)
 
 
-def vehicle_pivot(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
-    """One row per (crash, RD_NO, date) with the slot triples (no counts).
+def vehicle_pivot(
+    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS
+) -> DataFrame:
+    """One row per (crash, RD_NO, date) with the slot triples (no counts)."""
+    if strategy == "auto":
+        return route_hot(
+            vehicles, CRASH_KEY,
+            lambda df: _vehicle_pivot(df, n, "window"),
+            lambda df: _vehicle_pivot(df, n, "topk"),
+            hot_rows,
+        )
+    return _vehicle_pivot(vehicles, n, strategy)
 
-    Every unit row names its group; slot-holding rows add their values; ``max`` keeps them.
-    """
-    base = vehicles.select("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *null_slots(n))
-    matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
-    holders = matched.select("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *vehicle_slot_columns(n))
-    out = base.unionByName(holders).groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE").agg(
-        *[F.max(c).alias(c) for c in vehicle_slot_columns(n)]
-    )
+
+def _vehicle_pivot(vehicles: DataFrame, n: int, strategy: str) -> DataFrame:
+    keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
+    if strategy in ("window", "join"):
+        rows = vehicle_slots(vehicles, n, strategy=strategy).select(*keys, *vehicle_slot_columns(n))
+    else:
+        # Every unit row names its group; slot-holding rows add their values.
+        base = vehicles.select(*keys, *null_slots(n))
+        matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
+        rows = base.unionByName(matched.select(*keys, *vehicle_slot_columns(n)))
+    out = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
     return out.select(*VEHICLE_PIVOT_COLUMNS)
 
 
@@ -146,7 +201,9 @@ def multi_vehicle_crashes(vehicles: DataFrame, minimum: int = 2) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- people
-def person_slots(people: DataFrame, n: int = SLOT_COUNT, driver_type: str = "Driver") -> DataFrame:
+def person_slots(
+    people: DataFrame, n: int = SLOT_COUNT, driver_type: str = "Driver", keep_injury: bool = False
+) -> DataFrame:
     """Drivers with the compat person-slot columns.
 
     The studied job left-joins the drivers to themselves on (crash, date, PERSON_ID)
@@ -170,7 +227,9 @@ def person_slots(people: DataFrame, n: int = SLOT_COUNT, driver_type: str = "Dri
             na_text(F.when(keyed, F.col("AGE"))).alias(f"PERSON{k}_AGE"),
             injury.alias(f"PERSON{k}_INJURY_CLASSIFICATION"),
         ]
-    return drivers.select("PERSON_ID", "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *cols)
+    out = drivers.select("PERSON_ID", "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *cols,
+                         F.col("INJURY_CLASSIFICATION").alias("_inj_src"))
+    return out if keep_injury else out.drop("_inj_src")
 
 
 def people_summary(
@@ -186,19 +245,32 @@ def people_summary(
     """
     if not compat:
         return _people_summary_fixed(people, n, driver_type)
-    slots = person_slots(people, n, driver_type)
-    slot_cols = person_slot_columns(n)
-    inner = slots.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *slot_cols).agg(
-        F.count("PERSON_ID").alias("_c")
+    # All n slots hold the driver's own values; only slot 1's injury column differs.
+    # Group and take maxima on the distinct values, then spread them over the n slots.
+    one = person_slots(people, 1, driver_type, keep_injury=True).withColumnRenamed(
+        "PERSON1_INJURY_CLASSIFICATION", "_inj_first"
     )
+    if n > 1:
+        keyed = F.col("PERSON1_ID").isNotNull()
+        one = one.withColumn("_inj_rest", na_text(F.when(keyed, F.col("_inj_src"))))
+    one = one.drop("_inj_src")
+    distinct_cols = [c for c in one.columns if c.startswith("PERSON1_") or c.startswith("_inj")]
+    inner = one.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *distinct_cols).agg(F.count("PERSON_ID").alias("_c"))
     c = F.col("_c")
     inner = inner.withColumn(
         "Cnt_Drivers_Accid", F.when(F.col("PERSON1_ID").isNotNull(), c * c * c * c * c).otherwise(c)
     )
     out = inner.groupBy("CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid").agg(
-        *[F.max(x).alias(x) for x in slot_cols]
+        *[F.max(x).alias(x) for x in distinct_cols]
+    )
+    spread = []
+    for k in range(1, n + 1):
+        for field in ("ID", "SEX", "AGE"):
+            spread.append(F.col(f"PERSON1_{field}").alias(f"PERSON{k}_{field}"))
+        spread.append(F.col("_inj_first" if k == 1 else "_inj_rest").alias(f"PERSON{k}_INJURY_CLASSIFICATION"))
+    return out.select("CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid", *spread).select(
+        *PEOPLE_SUMMARY_COLUMNS
     )
-    return out.select(*PEOPLE_SUMMARY_COLUMNS)
 
 
 # Ties between equal PERSON_IDs are broken by these, so slots are deterministic.

@@ -59,9 +59,15 @@ QUERIES: dict[str, Query] = {
     # unit summaries and slots
     "vehicle_summary": _q(lambda c, v, p: vehicle_summary(v, compat=True)),
     "vehicle_summary_join": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="join")),
+    "vehicle_summary_window": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="window")),
+    "vehicle_summary_topk": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="topk")),
+    # crashes with 6+ units take the skew-proof plan, the others the window plan
+    "vehicle_summary_mixed": _q(lambda c, v, p: vehicle_summary(v, compat=True, hot_rows=6)),
     "vehicle_summary_fixed": _q(lambda c, v, p: vehicle_summary(v, compat=False)),
+    "vehicle_summary_fixed_topk": _q(lambda c, v, p: vehicle_summary(v, compat=False, strategy="topk")),
     "vehicle_slots": _q(lambda c, v, p: vehicle_slots(v)),
     "vehicle_pivot": _q(lambda c, v, p: vehicle_pivot(v)),
+    "vehicle_pivot_topk": _q(lambda c, v, p: vehicle_pivot(v, strategy="topk")),
     # driver summaries and slots
     "people_summary": _q(lambda c, v, p: people_summary(p, compat=True)),
     "people_summary_fixed": _q(lambda c, v, p: people_summary(p, compat=False)),
