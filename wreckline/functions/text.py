@@ -36,8 +36,10 @@ def clean_category(value: Column, compat: bool = True) -> Column:
 
 
 def street_label(number: Column, direction: Column, name: Column, compat: bool = True) -> Column:
-    """'<no> <dir> <name>'. compat: NULL if any part is NULL; corrected: skip NULL parts."""
+    """'<no> <dir> <name>'. compat: NULL if any part is NULL; corrected: skip NULL parts
+    (NULL only when every part is NULL)."""
     parts = [number.cast("string"), direction, name]
     if compat:
         return F.concat(parts[0], F.lit(" "), parts[1], F.lit(" "), parts[2])
-    return F.concat_ws(" ", *parts)
+    joined = F.concat_ws(" ", *parts)
+    return F.when(joined != "", joined)
