@@ -1,0 +1,40 @@
+"""spark-submit entry point for the whole run (ingest -> transform -> publish).
+
+  spark-submit jobs/pipeline.py --crash <csv> --vehicles <csv> --people <csv> --root <shared dir> \
+      [--job crash_summary|vehicle_person_detail] [--table final_summary] [--partition_by CRASH_YEAR]
+"""
+
+from __future__ import annotations
+
+import argparse
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from wreckline.plans.publish import JOBS, run_pipeline  # noqa: E402
+from wreckline.session import build_session  # noqa: E402
+
+
+def main(argv: list[str] | None = None):
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--crash", required=True)
+    ap.add_argument("--vehicles", required=True)
+    ap.add_argument("--people", required=True)
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--job", default="crash_summary", choices=sorted(JOBS))
+    ap.add_argument("--corrected", action="store_true")
+    ap.add_argument("--external_table", default="final_summ_external_table")
+    ap.add_argument("--table", default="final_summary")
+    ap.add_argument("--partition_by", action="append", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session("wreckline-pipeline")
+    return run_pipeline(
+        spark, {"crash": args.crash, "vehicles": args.vehicles, "people": args.people}, args.root,
+        job=args.job, compat=not args.corrected, external_table=args.external_table, table=args.table,
+        partition_by=args.partition_by,
+    )
+
+
+if __name__ == "__main__":
+    main()

@@ -131,3 +131,29 @@ def test_assert_unique_key(spark):
     with pytest.raises(ValueError, match="not unique"):
         assert_unique_key(df, ["k"])
     assert_unique_key(df.distinct(), ["k", "v"])  # unique: no error
+
+
+def test_run_pipeline_end_to_end(spark, tmp_path):
+    """CSV drops in the open-data date layout -> raw -> job A -> clean -> published table,
+    equal to the job run directly on the source tables."""
+    from conftest import SF_SMOKE
+    from wreckline.plans import crash_summary, run_pipeline
+    from wreckline.sources import crash_tables
+
+    c, v, p = crash_tables(spark, SF_SMOKE)
+    csvs = {}
+    for name, df in (("crash", c), ("vehicles", v), ("people", p)):
+        path = str(tmp_path / f"{name}.csv")
+        # keep ' ' values as they are (the writer trims them by default)
+        (df.write.option("header", True).option("timestampNTZFormat", "MM/dd/yyyy hh:mm:ss a")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+        csvs[name] = path
+    res = run_pipeline(spark, csvs, str(tmp_path / "zones"), table="final_summary_e2e",
+                       external_table="final_summ_ext_e2e", partition_by=None)
+    for name in csvs:
+        assert spark.read.parquet(f"{tmp_path}/zones/raw/_quarantine/{name}").count() == 0
+    got = spark.table("final_summary_e2e")
+    want = crash_summary(c, v, p)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert res.clean.endswith("clean/crash_summary")

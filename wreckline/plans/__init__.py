@@ -8,8 +8,9 @@ from wreckline.plans.pipelines import (
     street_labels,
     vehicle_person_detail,
 )
+from wreckline.plans.publish import run_pipeline, transform
 
 __all__ = [
     "clean_make_model", "crash_calendar", "crash_summary", "crash_vehicle_summary",
-    "street_labels", "vehicle_person_detail",
+    "street_labels", "vehicle_person_detail", "run_pipeline", "transform",
 ]
