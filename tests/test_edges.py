@@ -120,7 +120,10 @@ CASES = {
     "vehicle_pivot": lambda c, v, p: vehicle_pivot(v, strategy="window"),
     "vehicle_pivot_topk": lambda c, v, p: vehicle_pivot(v, strategy="topk"),
     "people_summary": lambda c, v, p: people_summary(p),
-    "people_summary_fixed": lambda c, v, p: people_summary(p, compat=False),
+    "people_summary_fixed": lambda c, v, p: people_summary(p, compat=False, strategy="cluster"),
+    "people_summary_fixed_topk": lambda c, v, p: people_summary(p, compat=False, strategy="partial"),
+    "people_summary_partial": lambda c, v, p: people_summary(p, strategy="partial"),
+    "people_summary_mixed": lambda c, v, p: people_summary(p, hot_rows=2),
     "crash_summary": lambda c, v, p: crash_summary(c, v, p),
     "crash_summary_fixed": lambda c, v, p: crash_summary(c, v, p, compat=False),
     "crash_vehicle_summary": lambda c, v, p: crash_vehicle_summary(c, v),
@@ -132,7 +135,7 @@ CASES = {
 @pytest.mark.parametrize("name", sorted(CASES))
 def test_edge_rows_match_self_join_sql(edge, name):
     c, v, p, con = edge
-    sql_name = {"vehicle_summary_mixed": "vehicle_summary"}.get(name, name)
+    sql_name = {"vehicle_summary_mixed": "vehicle_summary", "people_summary_mixed": "people_summary"}.get(name, name)
     s_cols, s_rows = rows_of_spark(CASES[name](c, v, p))
     o_cols, o_rows = rows_of_duckdb(con, SQL[sql_name])
     assert s_cols == o_cols

@@ -19,13 +19,24 @@ DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000
 
 
+# Expected sampled rows of a group right at the threshold; sets the sampling fraction.
+SAMPLED_ROWS_AT_THRESHOLD = 1_000
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list | None:
-    """Values of ``key`` with at least ``min_rows`` rows, or None if more than ``max_keys``.
+    """Values of ``key`` with (about) ``min_rows`` rows or more, or None if more than ``max_keys``.
 
-    The count is aggregated map-side before its shuffle (one small row per key per
-    task) and only a bounded top-k reaches the driver.
+    Counted on a Bernoulli sample of the key column (fraction chosen so a group at the
+    threshold has ~1000 sampled rows; exact when the threshold is small), aggregated
+    map-side, and only a bounded top-k reaches the driver. A key near the threshold may
+    land on either side: both plans are exact, so that only moves work.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
+    fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
+    keys = df.select(key)
+    if fraction < 1.0:
+        keys = keys.sample(fraction=fraction, seed=17)
+    threshold = max(1, int(min_rows * fraction))
+    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= threshold)
     top = counts.orderBy(F.col("_rows").desc()).limit(max_keys + 1).collect()
     if len(top) > max_keys:
         return None

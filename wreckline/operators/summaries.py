@@ -37,6 +37,10 @@ from wreckline.schemas import (
     vehicle_slot_columns,
 )
 
+# The keys the crash summary joins on, in join order (co-partitioning is order-sensitive).
+JOIN_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
+
+
 def _one() -> Column:
     return F.lit(1).cast("bigint")
 
@@ -91,6 +95,10 @@ def _vehicle_summary(vehicles: DataFrame, compat: bool, strategy: str, n: int, s
     else:
         inner = _vehicle_slot_groups(vehicles, n)
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid"]
+    # A crash has at most n + 1 inner groups per (RD_NO, date), so clustering them by
+    # the crash join keys is skew-free; the outer GROUP BY and the later join to the
+    # crashes then need no further shuffle.
+    inner = inner.repartition(*JOIN_KEYS)
     out = inner.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
     return out.select(*VEHICLE_SUMMARY_COLUMNS)
 
@@ -233,7 +241,12 @@ def person_slots(
 
 
 def people_summary(
-    people: DataFrame, compat: bool = True, n: int = SLOT_COUNT, driver_type: str = "Driver"
+    people: DataFrame,
+    compat: bool = True,
+    n: int = SLOT_COUNT,
+    driver_type: str = "Driver",
+    strategy: str = "auto",
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Drivers per crash: a driver count plus n person slots.
 
@@ -242,9 +255,36 @@ def people_summary(
     so '9' > '10' and 'NA' > any digit). A driver whose (crash, date, PERSON_ID) occurs
     c times identically is counted c**5 times, as the four self-joins multiply.
     corrected: one row per crash, drivers ordered by PERSON_ID, slot k = k-th driver.
+
+    strategy (compat): ``cluster`` shuffles the drivers once by the crash join keys and
+    runs both GROUP BYs and the later join without another shuffle; ``partial`` lets
+    both GROUP BYs pre-aggregate before their shuffles (no task holds a whole crash);
+    ``auto`` uses ``partial`` for crashes with >= ``hot_rows`` drivers only.
     """
     if not compat:
+        if strategy == "auto":
+            drivers = filter_drivers(people, driver_type)
+            return route_hot(
+                drivers, CRASH_KEY,
+                lambda df: _people_summary_fixed_window(df, n, driver_type),
+                lambda df: _people_summary_fixed(df, n, driver_type),
+                hot_rows,
+            )
+        if strategy == "cluster":
+            return _people_summary_fixed_window(people, n, driver_type)
         return _people_summary_fixed(people, n, driver_type)
+    if strategy == "auto":
+        drivers = filter_drivers(people, driver_type)
+        return route_hot(
+            drivers, CRASH_KEY,
+            lambda df: _people_summary_compat(df, n, driver_type, "cluster"),
+            lambda df: _people_summary_compat(df, n, driver_type, "partial"),
+            hot_rows,
+        )
+    return _people_summary_compat(people, n, driver_type, strategy)
+
+
+def _people_summary_compat(people: DataFrame, n: int, driver_type: str, strategy: str) -> DataFrame:
     # All n slots hold the driver's own values; only slot 1's injury column differs.
     # Group and take maxima on the distinct values, then spread them over the n slots.
     one = person_slots(people, 1, driver_type, keep_injury=True).withColumnRenamed(
@@ -254,6 +294,8 @@ def people_summary(
         keyed = F.col("PERSON1_ID").isNotNull()
         one = one.withColumn("_inj_rest", na_text(F.when(keyed, F.col("_inj_src"))))
     one = one.drop("_inj_src")
+    if strategy == "cluster":
+        one = one.repartition(*JOIN_KEYS)
     distinct_cols = [c for c in one.columns if c.startswith("PERSON1_") or c.startswith("_inj")]
     inner = one.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *distinct_cols).agg(F.count("PERSON_ID").alias("_c"))
     c = F.col("_c")
@@ -277,6 +319,36 @@ def people_summary(
 PERSON_TIE_BREAKERS = ["CRASH_DATE", "RD_NO", "SEX", "AGE", "INJURY_CLASSIFICATION"]
 
 
+def _driver_slot_values(n: int, seq: Column) -> list[Column]:
+    cols = []
+    for k in range(1, n + 1):
+        for field, value in (("ID", F.col("PERSON_ID")), ("SEX", na_text(F.col("SEX"))),
+                             ("AGE", na_text(F.col("AGE"))),
+                             ("INJURY_CLASSIFICATION", na_text(F.col("INJURY_CLASSIFICATION")))):
+            cols.append(F.when(seq == k, value).alias(f"PERSON{k}_{field}"))
+    return cols
+
+
+def _driver_order(drivers: DataFrame) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in ["PERSON_ID"] + PERSON_TIE_BREAKERS if c in drivers.columns]
+
+
+def _people_summary_fixed_window(people: DataFrame, n: int, driver_type: str) -> DataFrame:
+    """Corrected summary with one shuffle: number drivers per crash, group locally."""
+    drivers = filter_drivers(people, driver_type)
+    w = Window.partitionBy(CRASH_KEY).orderBy(*_driver_order(drivers))
+    numbered = drivers.withColumn("_seq", F.row_number().over(w))
+    out = numbered.select(
+        "CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "PERSON_ID", *_driver_slot_values(n, F.col("_seq"))
+    ).groupBy("CRASH_RECORD_ID").agg(
+        F.max("CRASH_DATE").alias("CRASH_DATE"),
+        F.max("RD_NO").alias("RD_NO"),
+        F.count("PERSON_ID").alias("Cnt_Drivers_Accid"),
+        *[F.max(c).alias(c) for c in person_slot_columns(n)],
+    )
+    return out.select(*PEOPLE_SUMMARY_COLUMNS)
+
+
 def _people_summary_fixed(people: DataFrame, n: int, driver_type: str) -> DataFrame:
     drivers = filter_drivers(people, driver_type)
     order = [F.col(c).asc_nulls_first() for c in ["PERSON_ID"] + PERSON_TIE_BREAKERS if c in drivers.columns]

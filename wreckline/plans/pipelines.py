@@ -56,15 +56,11 @@ def _left_join(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
 
 
 def _crash_side(crashes: DataFrame) -> DataFrame:
-    # The studied job de-duplicates the joined 48 columns. Both summaries are grouped
-    # (their rows differ in the grouped columns), and every crash column is in the
-    # output, so de-duplicating the 12 crash columns before the joins gives the same
-    # rows with a much narrower shuffle.
-    return dedup_rows(crashes.select(*CRASH_COLUMNS))
+    return crashes.select(*CRASH_COLUMNS)
 
 
 def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, compat: bool = True,
-                          strategy: str = "topk") -> DataFrame:
+                          strategy: str = "auto") -> DataFrame:
     """A': crashes left-joined with the unit summary, calendar attributes, 31 columns."""
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
     vs = vehicle_summary(vehicles, compat=compat, strategy=strategy)
@@ -75,11 +71,13 @@ def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, compat: bool
     j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
         "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID"
     )
-    return j.select(*CRASH_VEHICLE_SUMMARY_COLUMNS)
+    # GROUP BY every column, as the studied job does. The joins leave the rows
+    # partitioned by the join keys, a subset of the columns, so this adds no shuffle.
+    return dedup_rows(j.select(*CRASH_VEHICLE_SUMMARY_COLUMNS))
 
 
 def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool = True,
-                  strategy: str = "topk") -> DataFrame:
+                  strategy: str = "auto") -> DataFrame:
     """A: crashes left-joined with the unit summary and the driver summary, 48 columns.
 
     compat joins on (CRASH_RECORD_ID, CRASH_DATE, RD_NO) with NULL never matching, as the
@@ -87,7 +85,7 @@ def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, co
     """
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
     vs = vehicle_summary(vehicles, compat=compat, strategy=strategy)
-    ps = people_summary(people, compat=compat)
+    ps = people_summary(people, compat=compat, strategy="auto" if strategy in ("auto", "window") else "partial")
     if not compat:
         vs = vs.drop("RD_NO", "CRASH_DATE")
         ps = ps.drop("RD_NO", "CRASH_DATE")
@@ -97,7 +95,7 @@ def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, co
     j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
         "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID"
     )
-    return j.select(*CRASH_SUMMARY_COLUMNS)
+    return dedup_rows(j.select(*CRASH_SUMMARY_COLUMNS))
 
 
 def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame,

@@ -71,6 +71,8 @@ QUERIES: dict[str, Query] = {
     # driver summaries and slots
     "people_summary": _q(lambda c, v, p: people_summary(p, compat=True)),
     "people_summary_fixed": _q(lambda c, v, p: people_summary(p, compat=False)),
+    "people_summary_partial": _q(lambda c, v, p: people_summary(p, compat=True, strategy="partial")),
+    "people_summary_fixed_topk": _q(lambda c, v, p: people_summary(p, compat=False, strategy="partial")),
     "person_slots": _q(lambda c, v, p: person_slots(p)),
     # numbering, look-ups, grouping
     "number_units": _q(lambda c, v, p: number_units(v)),
