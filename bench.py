@@ -2,7 +2,8 @@
 
 Two kinds of timings:
 * ``q_<name>``: the registered query (tables derived from orders / lineitem / part on the
-  fly) executed in full into the no-op sink;
+  fly) executed in full into the no-op sink; run twice, the faster run is reported (the
+  first pays one-off JVM warm-up and code generation; both are in ``cold`` / ``queries``);
 * ``job_*``: the batch jobs as deployed — land the three tables as Parquet once
   (``job_land``), then read them back, transform and write the Parquet result.
 """
@@ -24,14 +25,18 @@ HEADLINE = [
     "crash_summary",
     "crash_summary_fixed",
     "crash_vehicle_summary",
+    "vehicle_person_detail",
     "vehicle_summary",
+    "vehicle_summary_window",
+    "vehicle_summary_topk",
     "vehicle_summary_join",
-    "vehicle_person_detail",
     "people_summary",
+    "people_summary_partial",
     "vehicle_pivot",
     "number_units",
     "number_units_ranged",
 ]
+REPEATS = 2
 
 
 def _run(df) -> None:
@@ -57,10 +62,15 @@ def main() -> None:
     _run(QUERIES["multi_vehicle_crashes"](spark, sf_dir))  # warm-up: JVM, codegen, file listing
 
     timings: dict[str, float] = {}
+    cold: dict[str, float] = {}
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        _run(QUERIES[name](spark, sf_dir))
-        timings[f"q_{name}"] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(REPEATS):
+            t0 = time.perf_counter()
+            _run(QUERIES[name](spark, sf_dir))
+            runs.append(round(time.perf_counter() - t0, 3))
+        timings[f"q_{name}"] = min(runs)
+        cold[f"q_{name}"] = runs[0]
 
     raw = os.path.join(scratch, "raw")
     t0 = time.perf_counter()
@@ -85,12 +95,13 @@ def main() -> None:
     total = round(sum(timings.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
-        "metric": "total_wall_clock_all_queries_and_jobs",
+        "metric": "sum_sec_queries_best_of_2_plus_jobs",
         "value": total,
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
+        "cold": cold,
     }))
     spark.stop()
 

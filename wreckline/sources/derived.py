@@ -13,6 +13,7 @@ Fixed values: the modulus rules and category literals below are the agreed mappi
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,3 +139,43 @@ def crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         vehicles_from_lines(lineitem, orders, part),
         people_from_lines(lineitem, orders),
     )
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def _still_there(root: str) -> bool:
+    """Local zones can be cleaned up under a long-lived session; shared ones are kept."""
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if local.startswith("/"):
+        return os.path.exists(os.path.join(local, "people", "_SUCCESS"))
+    return True
+_LOCK = threading.Lock()
+
+
+def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The derived tables, landed once per session as a raw Parquet zone and read back.
+
+    This is the studied pipeline's own shape (raw zone first, transforms read it): the
+    derivation joins run once, and every query then scans Parquet with pushdown and
+    pruning. The zone lives in the shared checkpoint folder (``shared_dir``).
+    """
+    from wreckline.session import shared_dir
+    from wreckline.sources.readers import load_crashes, load_people, load_vehicles
+    from wreckline.sources.sinks import write_parquet
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        root = _LANDED.get(key)
+        if root is not None and not _still_there(root):
+            root = None
+        if root is None:
+            root = shared_dir(spark, "raw")
+            crashes, vehicles, people = crash_tables(spark, sf_dir)
+            write_parquet(crashes, f"{root}/crash")
+            write_parquet(vehicles, f"{root}/vehicles")
+            write_parquet(people, f"{root}/people")
+            _LANDED[key] = root
+    return load_crashes(spark, f"{root}/crash"), load_vehicles(spark, f"{root}/vehicles"), load_people(
+        spark, f"{root}/people"
+    )
