@@ -157,3 +157,12 @@ def test_run_pipeline_end_to_end(spark, tmp_path):
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert res.clean.endswith("clean/crash_summary")
+
+
+def test_strict_ingest_parses_export_dates_and_rejects_junk(spark, tmp_path):
+    out = csv_to_parquet(spark, _write(tmp_path / "ok.csv", GOOD), schema=SCHEMA)
+    dates = sorted(r.CRASH_DATE for r in spark.read.parquet(out).collect())
+    assert dates == [dt.datetime(2022, 4, 22, 22, 30), dt.datetime(2022, 4, 23, 8, 0)]
+    junk = _write(tmp_path / "junk.csv", GOOD + "a3,yesterday,1\n")
+    with pytest.raises(Exception, match="unparsable CRASH_DATE"):
+        csv_to_parquet(spark, junk, schema=SCHEMA)

@@ -35,7 +35,10 @@ from wreckline.plans import (
     vehicle_person_detail,
 )
 from wreckline.schemas import PEOPLE_COLUMNS_WITH_VEHICLE
-from wreckline.sources.derived import landed_crash_tables
+from wreckline.schemas import SCHEMAS
+from wreckline.session import shared_dir
+from wreckline.sources.derived import exported_csv, landed_crash_tables
+from wreckline.sources.ingest import csv_quarantine, csv_to_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +52,26 @@ def _q(fn: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _ingest(name: str, quarantine: bool) -> Query:
+    """Land one CSV drop of the derived tables through the ingest path and read it back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = exported_csv(spark, sf_dir)[name]
+        target = shared_dir(spark, f"landed-{name}")
+        if quarantine:
+            target = csv_quarantine(spark, src, SCHEMAS[name], dst=target).target
+        else:
+            target = csv_to_parquet(spark, src, target, schema=SCHEMAS[name])
+        return spark.read.parquet(target)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
+    # sources: CSV drops landed strictly (FAILFAST) or with a quarantine
+    "ingest_crashes_csv": _ingest("crash", quarantine=False),
+    "ingest_vehicles_csv": _ingest("vehicles", quarantine=True),
+    "ingest_people_csv": _ingest("people", quarantine=True),
     # pipelines
     "vehicle_person_detail": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=True)),
     "vehicle_person_detail_fixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=False)),

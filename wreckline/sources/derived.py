@@ -150,7 +150,7 @@ def _still_there(root: str) -> bool:
     if local.startswith("/"):
         return os.path.exists(os.path.join(local, "people", "_SUCCESS"))
     return True
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -179,3 +179,38 @@ def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     return load_crashes(spark, f"{root}/crash"), load_vehicles(spark, f"{root}/vehicles"), load_people(
         spark, f"{root}/people"
     )
+
+
+_CSV: dict[tuple[str, str], dict[str, str]] = {}
+# Fixed value: the date layout of the open-data CSV exports.
+EXPORT_DATE_LAYOUT = "MM/dd/yyyy hh:mm:ss a"
+
+
+def exported_csv(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The derived tables written once per session as CSV drops in the export layout
+    (header row, US date-time with AM/PM, values kept as they are), for the ingest path."""
+    from wreckline.session import shared_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        paths = _CSV.get(key)
+        if paths is not None and not all(_still_csv(p) for p in paths.values()):
+            paths = None
+        if paths is None:
+            root = shared_dir(spark, "drops")
+            crashes, vehicles, people = landed_crash_tables(spark, sf_dir)
+            paths = {}
+            for name, df in (("crash", crashes), ("vehicles", vehicles), ("people", people)):
+                path = f"{root}/{name}.csv"
+                (df.write.mode("overwrite").option("header", True)
+                 .option("timestampNTZFormat", EXPORT_DATE_LAYOUT)
+                 .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                 .csv(path))
+                paths[name] = path
+            _CSV[key] = paths
+    return paths
+
+
+def _still_csv(path: str) -> bool:
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return os.path.exists(os.path.join(local, "_SUCCESS")) if local.startswith("/") else True
