@@ -129,13 +129,15 @@ CASES = {
     "crash_vehicle_summary": lambda c, v, p: crash_vehicle_summary(c, v),
     "vehicle_person_detail": lambda c, v, p: vehicle_person_detail(c, v, p),
     "vehicle_person_detail_fixed": lambda c, v, p: vehicle_person_detail(c, v, p, compat=False),
+    "vehicle_person_detail_mixed": lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=3),
 }
 
 
 @pytest.mark.parametrize("name", sorted(CASES))
 def test_edge_rows_match_self_join_sql(edge, name):
     c, v, p, con = edge
-    sql_name = {"vehicle_summary_mixed": "vehicle_summary", "people_summary_mixed": "people_summary"}.get(name, name)
+    sql_name = {"vehicle_summary_mixed": "vehicle_summary", "people_summary_mixed": "people_summary",
+                "vehicle_person_detail_mixed": "vehicle_person_detail"}.get(name, name)
     s_cols, s_rows = rows_of_spark(CASES[name](c, v, p))
     o_cols, o_rows = rows_of_duckdb(con, SQL[sql_name])
     assert s_cols == o_cols

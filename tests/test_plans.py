@@ -107,3 +107,14 @@ def test_hot_key_detection_is_bounded(spark):
     df = spark.createDataFrame(rows, "CRASH_RECORD_ID string, CRASH_UNIT_ID bigint")
     assert hot_keys(df, "CRASH_RECORD_ID", min_rows=100) == ["hot"]
     assert hot_keys(df, "CRASH_RECORD_ID", min_rows=1, max_keys=10) is None
+
+
+def test_detail_of_hot_crashes_stays_spread(landed):
+    c, v, p = landed
+    ex = _exchanges(vehicle_person_detail(c, v, p, strategy="spread"))
+    text = formatted(vehicle_person_detail(c, v, p, strategy="spread"))
+    # units and people shuffled by (crash, unit, date) only; crash attributes broadcast;
+    # the final de-duplication reuses that partitioning
+    assert len(ex) == 2, ex
+    assert all("CRASH_UNIT_ID" in e or "_p_unit" in e for e in ex), ex
+    assert "BroadcastHashJoin" in text

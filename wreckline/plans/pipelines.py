@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wreckline.functions.calendar import with_calendar
 from wreckline.functions.text import clean_category, street_label
 from wreckline.operators.basic import dedup_rows
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys
 from wreckline.operators.summaries import people_summary, vehicle_summary
 from wreckline.schemas import (
     CRASH_COLUMNS,
@@ -22,6 +23,8 @@ from wreckline.schemas import (
 
 _JOIN_KEYS_COMPAT = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
 _JOIN_KEYS_FIXED = ["CRASH_RECORD_ID"]
+# Most crash rows that may be broadcast to the tasks of hot crashes (checked by count).
+MAX_BROADCAST_ROWS = 100_000
 
 
 def crash_calendar(crashes: DataFrame, compat: bool = True) -> DataFrame:
@@ -99,9 +102,37 @@ def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, co
 
 
 def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame,
-                          compat: bool = True) -> DataFrame:
+                          compat: bool = True, strategy: str = "auto",
+                          hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """B: every unit with its people (left join on crash, date and unit = person's
-    VEHICLE_ID), enriched with crash conditions and a street label; 19 distinct columns."""
+    VEHICLE_ID), enriched with crash conditions and a street label; 19 distinct columns.
+
+    strategy: ``shuffle`` joins the crash attributes on (crash, date), so all rows of a
+    crash meet in one task for that join and the final de-duplication; ``auto`` sends
+    crashes with >= ``hot_rows`` units through ``spread``, which keeps their rows spread
+    by unit and attaches the crash attributes from a broadcast of just those crashes
+    (its size is checked first; too large falls back to ``shuffle``).
+    """
+    if strategy == "auto":
+        hot = hot_keys(vehicles, "CRASH_RECORD_ID", hot_rows)
+        if not hot:
+            return _vehicle_person_detail(crashes, vehicles, people, compat, None)
+        is_hot = F.col("CRASH_RECORD_ID").isin(hot)
+        cold = _vehicle_person_detail(
+            crashes.filter(~is_hot), vehicles.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot),
+            people.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot), compat, None,
+        )
+        hot_crashes = crashes.filter(is_hot)
+        small = hot_crashes.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+        hot_part = _vehicle_person_detail(
+            hot_crashes, vehicles.filter(is_hot), people.filter(is_hot), compat, "spread" if small else None,
+        )
+        return cold.unionByName(hot_part)
+    return _vehicle_person_detail(crashes, vehicles, people, compat, "spread" if strategy == "spread" else None)
+
+
+def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool,
+                           mode: str | None) -> DataFrame:
     v = vehicles.select("CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID", "MAKE", "MODEL", "UNIT_TYPE")
     p = people.select(
         F.col("CRASH_RECORD_ID").alias("_p_crash"), F.col("CRASH_DATE").alias("_p_date"),
@@ -115,6 +146,8 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
         street_label(F.col("STREET_NO"), F.col("STREET_DIRECTION"), F.col("STREET_NAME"), compat).alias("street"),
         "INJURIES_TOTAL", "INJURIES_FATAL",
     )
+    if mode == "spread":
+        c = F.broadcast(c)  # only the hot crashes' rows, counted by the caller
     vp = v.join(
         p,
         (v.CRASH_RECORD_ID == p._p_crash) & (v.CRASH_UNIT_ID == p._p_unit) & (v.CRASH_DATE == p._p_date),

@@ -75,6 +75,8 @@ QUERIES: dict[str, Query] = {
     # pipelines
     "vehicle_person_detail": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=True)),
     "vehicle_person_detail_fixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=False)),
+    # crashes with 6+ units keep their rows spread (broadcast crash attributes)
+    "vehicle_person_detail_mixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=6)),
     "crash_summary": _q(lambda c, v, p: crash_summary(c, v, p, compat=True)),
     "crash_summary_fixed": _q(lambda c, v, p: crash_summary(c, v, p, compat=False)),
     "crash_vehicle_summary": _q(lambda c, v, p: crash_vehicle_summary(c, v, compat=True)),
