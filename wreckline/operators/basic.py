@@ -17,11 +17,12 @@ def filter_drivers(people: DataFrame, driver_type: str = "Driver") -> DataFrame:
 def vehicles_of_crash(vehicles: DataFrame, crash_id: str) -> DataFrame:
     """All units of one crash with their sequence number.
 
-    The filter is on the window's partition key, so Catalyst applies it below the
-    window and into the Parquet scan; only that crash's rows are numbered.
+    Numbering is per crash, so filtering first gives the same numbers; the filter goes
+    into the Parquet scan and only that crash's rows are read (and numbered across
+    range blocks if that one crash is huge).
     """
-    numbered = number_units(vehicles)
-    return numbered.filter(F.col("CRASH_RECORD_ID") == F.lit(crash_id)).select(*NUMBERED_VEHICLE_COLUMNS)
+    one = vehicles.filter(F.col("CRASH_RECORD_ID") == F.lit(crash_id))
+    return number_units(one).select(*NUMBERED_VEHICLE_COLUMNS)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:

@@ -27,16 +27,27 @@ def number_units(
     vehicles: DataFrame,
     out: str = SEQ_COL,
     tie_breakers: list[str] | None = None,
-    skew_safe: bool = False,
+    skew_safe: bool | str = "auto",
     blocks: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1, 2, ... per crash in unit order.
 
     ``skew_safe=False`` is one hash exchange on the crash key plus a sort: the plan the
     studied job has, and the cheapest when no crash is huge. ``skew_safe=True`` numbers
     a crash that spans many range blocks in parallel (see ``number_within_ranges``).
+    ``"auto"`` does the latter only for crashes with >= ``hot_rows`` units.
     """
     order = unit_order(vehicles, tie_breakers)
+    if skew_safe == "auto":
+        from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+
+        return route_hot(
+            vehicles, CRASH_KEY,
+            lambda df: number_units(df, out, tie_breakers, skew_safe=False),
+            lambda df: number_units(df, out, tie_breakers, skew_safe=True, blocks=blocks),
+            hot_rows or DEFAULT_HOT_ROWS,
+        )
     if skew_safe:
         return number_within_ranges(vehicles, [CRASH_KEY], order, out, blocks)
     w = Window.partitionBy(CRASH_KEY).orderBy(*order)

@@ -117,7 +117,9 @@ def slot_table(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
     return slots.groupBy(*UNIT_KEYS).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
 
 
-def vehicle_slots(vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "topk") -> DataFrame:
+def vehicle_slots(
+    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int | None = None
+) -> DataFrame:
     """Every unit row with its 3 x n slot columns (the studied job's inner SELECT).
 
     ``topk``: one left join of the units with ``slot_table`` on the four keys. Rows of a
@@ -125,7 +127,17 @@ def vehicle_slots(vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "top
     ``window``: number all units, then compare each row with the k-th unit of its crash
     in a window over the crash: one shuffle, but a huge crash is one task.
     ``join``: the literal n self-joins against the numbered units (reference form).
+    ``auto``: ``topk`` for crashes with >= ``hot_rows`` units, ``window`` for the rest.
     """
+    if strategy == "auto":
+        from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+
+        return route_hot(
+            vehicles, CRASH_KEY,
+            lambda df: vehicle_slots(df, n, "window"),
+            lambda df: vehicle_slots(df, n, "topk"),
+            hot_rows or DEFAULT_HOT_ROWS,
+        )
     if strategy == "join":
         return _vehicle_slots_by_joins(vehicles, n)
     if strategy == "window":
@@ -137,7 +149,7 @@ def vehicle_slots(vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "top
 
 
 def _vehicle_slots_by_joins(vehicles: DataFrame, n: int) -> DataFrame:
-    numbered = number_units(vehicles)
+    numbered = number_units(vehicles, skew_safe=False)
     out = numbered.alias("a")
     for k in range(1, n + 1):
         b = numbered.filter(F.col(SEQ_COL) == k).select(
@@ -157,4 +169,4 @@ def _vehicle_slots_by_window(vehicles: DataFrame, n: int) -> DataFrame:
     ties = [c for c in SLOT_TIE_BREAKERS if c in vehicles.columns]
     numbered = vehicles.withColumn(SEQ_COL, F.row_number().over(
         Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))))
-    return matched_slots(numbered, n).drop(SEQ_COL)
+    return matched_slots(numbered, n).drop(SEQ_COL).select(*vehicles.columns, *vehicle_slot_columns(n))

@@ -91,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "vehicle_summary_fixed": _q(lambda c, v, p: vehicle_summary(v, compat=False)),
     "vehicle_summary_fixed_topk": _q(lambda c, v, p: vehicle_summary(v, compat=False, strategy="topk")),
     "vehicle_slots": _q(lambda c, v, p: vehicle_slots(v)),
+    "vehicle_slots_topk": _q(lambda c, v, p: vehicle_slots(v, strategy="topk")),
     "vehicle_pivot": _q(lambda c, v, p: vehicle_pivot(v)),
     "vehicle_pivot_topk": _q(lambda c, v, p: vehicle_pivot(v, strategy="topk")),
     # driver summaries and slots
@@ -101,6 +102,8 @@ QUERIES: dict[str, Query] = {
     "person_slots": _q(lambda c, v, p: person_slots(p)),
     # numbering, look-ups, grouping
     "number_units": _q(lambda c, v, p: number_units(v)),
+    # crashes with 6+ units numbered across range blocks, the others by one window
+    "number_units_mixed": _q(lambda c, v, p: number_units(v, hot_rows=6)),
     "number_units_ranged": _q(lambda c, v, p: number_units(v, skew_safe=True)),
     "vehicles_of_crash": _q(lambda c, v, p: vehicles_of_crash(v, LOOKUP_CRASH_ID)),
     "multi_vehicle_crashes": _q(lambda c, v, p: multi_vehicle_crashes(v)),
