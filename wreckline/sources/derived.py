@@ -28,10 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def crashes_from_orders(orders: DataFrame) -> DataFrame:
+def crashes_from_orders(orders: DataFrame, keep_key: bool = False) -> DataFrame:
     """One crash per order; narrow projection, no shuffle."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     return orders.select(
+        *([key] if keep_key else []),
         key.cast("string").alias("CRASH_RECORD_ID"),
         F.when(key % 13 != 0, F.concat(F.lit("RD"), key.cast("string"))).alias("RD_NO"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"))).alias("CRASH_DATE"),
@@ -60,10 +61,11 @@ def _unit_id() -> Column:
 
 
 def _lines_with_crash(lineitem: DataFrame, orders: DataFrame, extra: list[str]) -> DataFrame:
-    crash = crashes_from_orders(orders).select("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE")
+    # The crash id is the order key as text (an injective cast), so the join uses the
+    # numeric key: cheaper to hash and compare. Every line has its order.
+    crash = crashes_from_orders(orders, keep_key=True).select("o_orderkey", "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE")
     lines = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *extra)
-    # Equi-join on the text key the crash table exposes; every line has its order.
-    return lines.join(crash, F.col("l_orderkey").cast("string") == crash.CRASH_RECORD_ID, "inner")
+    return lines.join(crash, lines.l_orderkey == crash.o_orderkey, "inner").drop("o_orderkey")
 
 
 def vehicles_from_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
