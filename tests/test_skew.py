@@ -4,7 +4,6 @@ exactly what the plain plans and the self-join SQL give."""
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 import duckdb
 import pytest

@@ -1,13 +1,14 @@
-"""Crash-level summaries of units and drivers.
+"""Crash-level summaries of units and drivers, without the studied job's self-joins.
 
-Both summaries are built from two cheap inputs instead of self-joins:
+Two exact plans per summary, chosen per crash by ``route_hot``:
 
-* the whole table, reduced by partial (map-side) aggregation to per-group counts, and
-* the few slot-holding rows per crash (``slot_candidates`` / a top-k of drivers).
-
-They are combined with a ``union`` + ``groupBy``: count columns are sums, slot columns
-are ``max`` (NULL where a row holds no slot). No step ever gathers all rows of one crash
-in one task, and no step emits pairs of rows.
+* window / cluster: one shuffle of the rows by crash, then numbering, slot values and
+  both GROUP BYs in place — cheapest while no crash is huge;
+* top-k / partial (skew-proof): the few slot-holding rows per crash come from a
+  ``rank()``/``row_number() <= n`` filter that Catalyst runs partially before the shuffle,
+  every other row is only counted with map-side partial aggregation, and the two are
+  combined with ``union`` + ``groupBy`` (counts are sums, slot columns ``max``). No step
+  gathers all rows of one crash in one task; no step emits pairs of rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wreckline.functions.text import na_text
 from wreckline.operators.basic import filter_drivers
-from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, number_units, unit_order
+from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, unit_order
 from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
 from wreckline.operators.slots import (
     SLOT_TIE_BREAKERS,
@@ -37,14 +38,11 @@ from wreckline.schemas import (
     vehicle_slot_columns,
 )
 
+
 # The keys the crash summary joins on, in join order (co-partitioning is order-sensitive).
 JOIN_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
 
 
-def _one() -> Column:
-    return F.lit(1).cast("bigint")
-
-
 def _flag(c: Column) -> Column:
     return c.isNotNull().cast("bigint")
 
@@ -385,7 +383,4 @@ def _people_summary_fixed(people: DataFrame, n: int, driver_type: str) -> DataFr
     return out.select(*PEOPLE_SUMMARY_COLUMNS)
 
 
-__all__ = [
-    "vehicle_summary", "vehicle_pivot", "multi_vehicle_crashes", "person_slots", "people_summary",
-    "number_units",
-]
+__all__ = ["vehicle_summary", "vehicle_pivot", "multi_vehicle_crashes", "person_slots", "people_summary"]
