@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job wants regardless of cluster size. Shuffle partition count is left
@@ -24,6 +25,17 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Extra settings for cluster runs (no master given: spark-submit decides). Shuffles start
+# wide and AQE merges partitions up to the advisory size, so partitions stay small
+# enough for executor memory at any input size; scans split files at 256 MB.
+_CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4096",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(
     app_name: str = "wreckline",
@@ -33,13 +45,20 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
-    ``master`` is only set when given: on a cluster ``spark-submit`` decides it.
+    ``master`` is only set when given: on a cluster ``spark-submit`` decides it, and the
+    cluster defaults apply. A setting already given to ``spark-submit --conf`` wins over
+    every default here.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
+    given = SparkConf()
+    defaults = dict(_DEFAULTS)
+    if not master:
+        defaults.update(_CLUSTER_DEFAULTS)
+    for key, value in defaults.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
