@@ -166,3 +166,25 @@ def test_strict_ingest_parses_export_dates_and_rejects_junk(spark, tmp_path):
     junk = _write(tmp_path / "junk.csv", GOOD + "a3,yesterday,1\n")
     with pytest.raises(Exception, match="unparsable CRASH_DATE"):
         csv_to_parquet(spark, junk, schema=SCHEMA)
+
+
+def test_transform_job_entry_point(spark, tmp_path):
+    """jobs/transform.py with the studied jobs' four arguments."""
+    import importlib.util
+
+    from conftest import ROOT, SF_SMOKE
+    from wreckline.sources import crash_tables
+
+    c, v, p = crash_tables(spark, SF_SMOKE)
+    paths = {}
+    for name, df in (("crash", c), ("vehicles", v), ("people", p)):
+        paths[name] = write_parquet(df, str(tmp_path / "raw" / name))
+    spec = importlib.util.spec_from_file_location("transform_job", os.path.join(ROOT, "jobs", "transform.py"))
+    job = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(job)
+    for which, cols in (("crash_summary", 48), ("vehicle_person_detail", 19)):
+        out = job.main([
+            "--input_crashes", paths["crash"], "--input_vehicles", paths["vehicles"],
+            "--input_people", paths["people"], "--output", str(tmp_path / which), "--job", which,
+        ])
+        assert len(spark.read.parquet(out).columns) == cols
