@@ -68,6 +68,8 @@ def number_within_ranges(
     2. Number rows inside each (key, block) — small groups, spread over tasks.
     3. Offsets: rows of the same key in earlier blocks (a running sum over a table with
        one row per (key, block), so a hot key adds only as many rows as it has blocks).
+       The block sizes are read off the numbered rows, so block ids and local numbers
+       come from the same shuffle output even if a stage is recomputed.
     4. Add the offset with a join on (key, block).
     """
     spark = df.sparkSession
@@ -76,7 +78,7 @@ def number_within_ranges(
     ranged = df.repartitionByRange(n, *key_order, *order).withColumn("_blk", F.spark_partition_id())
     local = Window.partitionBy(*keys, "_blk").orderBy(*order)
     numbered = ranged.withColumn("_loc", F.row_number().over(local))
-    sizes = ranged.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = numbered.groupBy(*keys, "_blk").agg(F.max("_loc").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
