@@ -1,6 +1,6 @@
 """spark-submit entry point for the whole run (ingest -> transform -> publish).
 
-  spark-submit jobs/pipeline.py --crash <csv> --vehicles <csv> --people <csv> --root <shared dir> \
+  spark-submit jobs/run_all.py --crash <csv> --vehicles <csv> --people <csv> --root <shared dir> \
       [--job crash_summary|vehicle_person_detail] [--table final_summary] [--partition_by CRASH_YEAR]
 """
 

@@ -1,6 +1,6 @@
 """End-to-end transforms and the ingest -> transform -> publish run."""
 
-from wreckline.plans.pipelines import (
+from wreckline.plans.transforms import (
     clean_make_model,
     crash_calendar,
     crash_summary,
