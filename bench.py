@@ -57,7 +57,7 @@ def main() -> None:
 
     from wreckline.registry import QUERIES
     from wreckline.plans import crash_summary, vehicle_person_detail
-    from wreckline.sources import crash_tables, load_crashes, load_people, load_vehicles, write_parquet
+    from wreckline.sources import land_crash_tables, load_crashes, load_people, load_vehicles, write_parquet
 
     _run(QUERIES["multi_vehicle_crashes"](spark, sf_dir))  # warm-up: JVM, codegen, file listing
 
@@ -74,10 +74,7 @@ def main() -> None:
 
     raw = os.path.join(scratch, "raw")
     t0 = time.perf_counter()
-    crashes, vehicles, people = crash_tables(spark, sf_dir)
-    write_parquet(crashes, f"{raw}/crash")
-    write_parquet(vehicles, f"{raw}/vehicles")
-    write_parquet(people, f"{raw}/people")
+    land_crash_tables(spark, sf_dir, raw)
     timings["job_land"] = round(time.perf_counter() - t0, 3)
 
     t0 = time.perf_counter()

@@ -85,6 +85,15 @@ def edge_rows():
     # Exact duplicate unit row
     crashes.append(_crash("E12"))
     units += [_unit("E12", 121), _unit("E12", 121), _unit("E12", 122)]
+    # The same crash row twice (the GROUP BY over all output columns keeps one)
+    crashes += [_crash("E13"), _crash("E13")]
+    units += [_unit("E13", 131), _unit("E13", 132)]
+    people += [_person("E13", "E13-P1", 131)]
+    # One crash id under two dates and two RD_NOs, units under both dates
+    later = dt.datetime(2022, 4, 23, 1, 0)
+    crashes += [_crash("E14"), _crash("E14", date=later), _crash("E14", rd="RD2"), _crash("E14", date=later)]
+    units += [_unit("E14", 141), _unit("E14", 142, date=later), _unit("E14", 143, rd="RD2")]
+    people += [_person("E14", "E14-P1", 141), _person("E14", "E14-P2", 142, date=later)]
     return crashes, units, people
 
 

@@ -143,6 +143,18 @@ def crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
 
 
+def land_crash_tables(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the derived tables under ``root`` as a raw Parquet zone, each clustered
+    (rebalanced and sorted) by crash id: files of even size, so scans of the zone run in
+    as many tasks as it has files, and look-ups by crash id skip row groups."""
+    from wreckline.sources.sinks import write_parquet
+
+    crashes, vehicles, people = crash_tables(spark, sf_dir)
+    for name, df in (("crash", crashes), ("vehicles", vehicles), ("people", people)):
+        write_parquet(df, f"{root}/{name}", cluster_by=["CRASH_RECORD_ID"])
+    return root
+
+
 _LANDED: dict[tuple[str, str], str] = {}
 
 
@@ -164,7 +176,6 @@ def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     """
     from wreckline.session import shared_dir
     from wreckline.sources.readers import load_crashes, load_people, load_vehicles
-    from wreckline.sources.sinks import write_parquet
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:
@@ -172,11 +183,7 @@ def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         if root is not None and not _still_there(root):
             root = None
         if root is None:
-            root = shared_dir(spark, "raw")
-            crashes, vehicles, people = crash_tables(spark, sf_dir)
-            write_parquet(crashes, f"{root}/crash")
-            write_parquet(vehicles, f"{root}/vehicles")
-            write_parquet(people, f"{root}/people")
+            root = land_crash_tables(spark, sf_dir, shared_dir(spark, "raw"))
             _LANDED[key] = root
     return load_crashes(spark, f"{root}/crash"), load_vehicles(spark, f"{root}/vehicles"), load_people(
         spark, f"{root}/people"

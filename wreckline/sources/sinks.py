@@ -13,13 +13,23 @@ def write_parquet(
     mode: str = "overwrite",
     num_files: int | None = None,
     partition_by: list[str] | None = None,
+    cluster_by: list[str] | None = None,
 ) -> str:
     """Write Parquet. ``mode``: overwrite | errorifexists | append | ignore.
 
     ``num_files`` is only for small outputs: a ``coalesce`` to n files makes the last
     stage run in n tasks. Left as None, Spark writes one file per (AQE-coalesced) task.
+
+    ``cluster_by`` lays rows of equal keys next to each other: a ``REBALANCE`` by the
+    keys (AQE merges small partitions and splits a skewed one, so a key with a third of
+    all rows is written by several tasks), then a sort within each file, so row-group
+    statistics let filters on the keys skip most of the data.
     """
-    out = df.coalesce(num_files) if num_files else df
+    out = df
+    if cluster_by:
+        out = out.hint("rebalance", *cluster_by).sortWithinPartitions(*cluster_by)
+    if num_files:
+        out = out.coalesce(num_files)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
