@@ -19,7 +19,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from wreckline.session import build_session  # noqa: E402
+from wreckline.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 HEADLINE = [
     "crash_summary",
@@ -53,7 +53,7 @@ def main() -> None:
         shuffle_partitions=int(cpus) * 2,
         extra={"spark.driver.memory": "16g", "spark.local.dir": scratch},
     )
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
+    ensure_checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
 
     from wreckline.registry import QUERIES
     from wreckline.plans import crash_summary, vehicle_person_detail

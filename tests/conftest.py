@@ -9,7 +9,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from wreckline.session import build_session  # noqa: E402
+from wreckline.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -27,6 +27,6 @@ def spark():
             "spark.local.dir": scratch,
         },
     )
-    session.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
+    ensure_checkpoint_dir(session, os.path.join(scratch, "checkpoints"))
     yield session
     session.stop()

@@ -68,6 +68,16 @@ def build_session(
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
+    """The session's checkpoint folder; ``fallback`` is registered only when the session
+    names none (local runs and tests), never over a cluster's ``spark.checkpoint.dir``."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    spark.sparkContext.setCheckpointDir(fallback)
+    return spark.sparkContext.getCheckpointDir() or fallback
+
+
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
@@ -75,17 +85,12 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     (local runs and tests) a private temporary folder is created and registered as the
     checkpoint directory, so ``DataFrame.checkpoint()`` works too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster job needs a shared folder for staged data"
             )
-        base = tempfile.mkdtemp(prefix="wreckline-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wreckline-"))
     leaf = name or "stage"
     return os.path.join(base.rstrip("/"), f"{leaf}-{uuid.uuid4().hex[:12]}")
