@@ -124,3 +124,16 @@ def test_detail_of_hot_crashes_stays_spread(spark, landed):
     assert len(ex) == 2, ex
     assert all("CRASH_UNIT_ID" in e or "_p_unit" in e for e in ex), ex
     assert "BroadcastHashJoin" in text
+
+
+def test_detail_shuffles_each_input_once(spark, landed):
+    c, v, p = landed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ex = _exchanges(vehicle_person_detail(c, v, p, strategy="shuffle"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # units, people and crashes clustered by (crash, date) once; the unit-person join,
+    # the crash join and the final de-duplication all reuse it
+    assert len(ex) == 3, ex
+    assert not any("CRASH_UNIT_ID" in e or "_p_unit" in e for e in ex), ex

@@ -141,6 +141,11 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
     return _vehicle_person_detail(crashes, vehicles, people, compat, "spread" if strategy == "spread" else None)
 
 
+def _partial_key_copartition(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    return conf.strip().lower() == "false"
+
+
 def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool,
                            mode: str | None) -> DataFrame:
     v = vehicles.select("CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID", "MAKE", "MODEL", "UNIT_TYPE")
@@ -158,6 +163,13 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
     )
     if mode == "spread":
         c = F.broadcast(c)  # only the hot crashes' rows, counted by the caller
+    elif _partial_key_copartition(crashes):
+        # Cluster all three inputs by (crash, date) once: the unit-person join (on
+        # crash, unit, date), the crash join and the final de-duplication all reuse it,
+        # so the joined unit-person rows are never shuffled again.
+        v = v.repartition("CRASH_RECORD_ID", "CRASH_DATE")
+        p = p.repartition("_p_crash", "_p_date")
+        c = c.repartition("_c_crash", "_c_date")
     vp = v.join(
         p,
         (v.CRASH_RECORD_ID == p._p_crash) & (v.CRASH_UNIT_ID == p._p_unit) & (v.CRASH_DATE == p._p_date),

@@ -21,6 +21,11 @@ _DEFAULTS = {
     # any cast of a zoned timestamp to text does.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A join may reuse a clustering on some of its keys (e.g. rows already clustered by
+    # (crash, date) join on (crash, unit, date) in place). Every such clustering here
+    # leads with the crash id, and crashes too large for one task are routed to the
+    # skew-proof plans, so the shuffles saved cannot create a straggler.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
