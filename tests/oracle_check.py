@@ -1,6 +1,6 @@
 """Compare registered Spark queries with their DuckDB oracle SQL.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [name ...]
 Prints one line per query and exits non-zero on any mismatch.
 """
 
@@ -92,9 +92,17 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
 if __name__ == "__main__":
     from wreckline.session import build_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
-    spark = build_session("oracle-check", master="local[8]", shuffle_partitions=8)
+    # --plain: a bare session with Spark's defaults, as an outside caller would build it
+    plain = "--plain" in sys.argv
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
+    if plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("oracle-check", master="local[8]", shuffle_partitions=8)
     res = compare(spark, sf, names)
     bad = [n for n, r in res.items() if r["values_ok"] is False or r["cols_ok"] is False]
     print("MISMATCH:", bad if bad else "none")
