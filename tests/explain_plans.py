@@ -43,6 +43,7 @@ def main() -> None:
     c, v, p = landed_crash_tables(spark, sf)
     cases = [
         ("crash_summary (job A, compat, cold crashes)", crash_summary(c, v, p, strategy="window")),
+        ("crash_summary (job A, corrected, cold crashes)", crash_summary(c, v, p, compat=False, strategy="window")),
         ("vehicle_summary, window", vehicle_summary(v, strategy="window")),
         ("vehicle_summary, topk (hot crashes)", vehicle_summary(v, strategy="topk")),
         ("vehicle_summary, join (the studied job's self-joins)", vehicle_summary(v, strategy="join")),
