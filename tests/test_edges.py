@@ -136,6 +136,11 @@ CASES = {
     "crash_summary": lambda c, v, p: crash_summary(c, v, p),
     "crash_summary_fixed": lambda c, v, p: crash_summary(c, v, p, compat=False),
     "crash_vehicle_summary": lambda c, v, p: crash_vehicle_summary(c, v),
+    # crash ids with 2+ rows (E13 copies, E14) take the copies-safe crash side
+    "crash_summary_mixed": lambda c, v, p: crash_summary(c, v, p, hot_rows=2),
+    "crash_summary_topk": lambda c, v, p: crash_summary(c, v, p, strategy="topk"),
+    "crash_vehicle_summary_mixed": lambda c, v, p: crash_vehicle_summary(c, v, hot_rows=2),
+    "vehicle_person_detail_spread": lambda c, v, p: vehicle_person_detail(c, v, p, strategy="spread"),
     "vehicle_person_detail": lambda c, v, p: vehicle_person_detail(c, v, p),
     "vehicle_person_detail_fixed": lambda c, v, p: vehicle_person_detail(c, v, p, compat=False),
     "vehicle_person_detail_mixed": lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=3),
@@ -146,7 +151,9 @@ CASES = {
 def test_edge_rows_match_self_join_sql(edge, name):
     c, v, p, con = edge
     sql_name = {"vehicle_summary_mixed": "vehicle_summary", "people_summary_mixed": "people_summary",
-                "vehicle_person_detail_mixed": "vehicle_person_detail"}.get(name, name)
+                "vehicle_person_detail_mixed": "vehicle_person_detail", "crash_summary_mixed": "crash_summary",
+                "crash_summary_topk": "crash_summary", "crash_vehicle_summary_mixed": "crash_vehicle_summary",
+                "vehicle_person_detail_spread": "vehicle_person_detail"}.get(name, name)
     s_cols, s_rows = rows_of_spark(CASES[name](c, v, p))
     o_cols, o_rows = rows_of_duckdb(con, SQL[sql_name])
     assert s_cols == o_cols

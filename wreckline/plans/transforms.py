@@ -58,27 +58,45 @@ def _left_join(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
     return left.join(renamed, cond, "left").drop(*[f"{prefix}{k}" for k in keys])
 
 
-def _crash_side(crashes: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct crash rows, clustered by the join keys.
+def _crash_side(crashes: DataFrame, keys: list[str], copies_safe: bool = False) -> DataFrame:
+    """Distinct crash rows for the summary joins.
 
     The studied jobs GROUP BY every output column after the joins. Each summary row is
     unique on its join keys plus its counts (they are its group keys) and every summary
     column is an output column, so the joined rows are distinct exactly when the crash
     rows are. De-duplicating the 12 crash columns here gives the same rows as the wide
-    GROUP BY over 31 / 48 columns, on fewer and narrower rows; clustering by the join
-    keys first lets the de-duplication and both joins share one shuffle.
+    GROUP BY over 31 / 48 columns, on fewer and narrower rows.
+
+    Ordinary crashes are clustered by the join keys first, so the de-duplication and both
+    joins share one shuffle. ``copies_safe`` (some crash id holds a huge number of rows,
+    e.g. copies of one row) de-duplicates before any shuffle instead: each map task sends
+    one copy, at the price of a second shuffle of the distinct crash rows for the joins.
     """
-    return dedup_rows(crashes.select(*CRASH_COLUMNS).repartition(*keys))
+    rows = crashes.select(*CRASH_COLUMNS)
+    if copies_safe:
+        return dedup_rows(rows)
+    return dedup_rows(rows.repartition(*keys))
+
+
+def _crash_rows_hot(crashes: DataFrame, strategy: str, hot_rows: int) -> bool:
+    """Whether the crash side takes the copies-safe plan: forced by ``topk``, never for
+    ``window`` / ``join``, and under ``auto`` when some crash id has >= ``hot_rows`` rows."""
+    if strategy == "topk":
+        return True
+    if strategy != "auto":
+        return False
+    return hot_keys(crashes, "CRASH_RECORD_ID", hot_rows) != []
 
 
 def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, compat: bool = True,
-                          strategy: str = "auto") -> DataFrame:
+                          strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """A': crashes left-joined with the unit summary, calendar attributes, 31 columns."""
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy)
+    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows)
     if not compat:
         vs = vs.drop("RD_NO", "CRASH_DATE")
-    j = _left_join(_crash_side(crashes, keys), vs, keys, "_v_")
+    side = _crash_side(crashes, keys, _crash_rows_hot(crashes, strategy, hot_rows))
+    j = _left_join(side, vs, keys, "_v_")
     j = with_calendar(j, "CRASH_DATE", compat)
     j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
         "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID"
@@ -89,19 +107,21 @@ def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, compat: bool
 
 
 def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool = True,
-                  strategy: str = "auto") -> DataFrame:
+                  strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """A: crashes left-joined with the unit summary and the driver summary, 48 columns.
 
     compat joins on (CRASH_RECORD_ID, CRASH_DATE, RD_NO) with NULL never matching, as the
     studied job does; corrected joins one-row-per-crash summaries on CRASH_RECORD_ID.
     """
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy)
-    ps = people_summary(people, compat=compat, strategy="auto" if strategy in ("auto", "window") else "partial")
+    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows)
+    ps = people_summary(people, compat=compat, strategy="auto" if strategy in ("auto", "window") else "partial",
+                        hot_rows=hot_rows)
     if not compat:
         vs = vs.drop("RD_NO", "CRASH_DATE")
         ps = ps.drop("RD_NO", "CRASH_DATE")
-    j = _left_join(_crash_side(crashes, keys), vs, keys, "_v_")
+    side = _crash_side(crashes, keys, _crash_rows_hot(crashes, strategy, hot_rows))
+    j = _left_join(side, vs, keys, "_v_")
     j = _left_join(j, ps, keys, "_p_")
     j = with_calendar(j, "CRASH_DATE", compat)
     j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
@@ -117,30 +137,44 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
     """B: every unit with its people (left join on crash, date and unit = person's
     VEHICLE_ID), enriched with crash conditions and a street label; 19 distinct columns.
 
-    strategy: ``shuffle`` joins the crash attributes on (crash, date), so all rows of a
-    crash meet in one task for that join and the final de-duplication; ``auto`` sends
-    crashes with >= ``hot_rows`` units through ``spread``, which keeps their rows spread
-    by unit and attaches the crash attributes from a broadcast of just those crashes
-    (its size is checked first; too large falls back to ``shuffle``).
+    strategy: ``shuffle`` clusters units, people and crash attributes by (crash, date),
+    so all rows of a crash meet in one task. ``spread`` keeps a crash's rows spread by
+    unit: each input is de-duplicated on the columns it contributes before its first
+    shuffle (copies of a row cost one row per map task), units and people meet on
+    (crash, unit, date), and the crash attributes come from a broadcast whose row count
+    is checked first (too many falls back to a shuffle join on (crash, date)). ``auto``
+    sends crashes with >= ``hot_rows`` rows in any of the three tables through
+    ``spread`` and the rest through ``shuffle``.
     """
     if strategy == "auto":
-        hot = hot_keys(vehicles, "CRASH_RECORD_ID", hot_rows)
-        if not hot:
+        hot = _hot_crash_ids([vehicles, people, crashes], hot_rows)
+        if hot == []:
             return _vehicle_person_detail(crashes, vehicles, people, compat, None)
+        if hot is None:  # too many hot crashes to name: every crash is spread
+            return _vehicle_person_detail(crashes, vehicles, people, compat, "spread")
         is_hot = F.col("CRASH_RECORD_ID").isin(hot)
         cold = _vehicle_person_detail(
             crashes.filter(~is_hot), vehicles.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot),
             people.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot), compat, None,
         )
-        hot_crashes = crashes.filter(is_hot)
-        small = hot_crashes.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
         hot_part = _vehicle_person_detail(
-            hot_crashes, vehicles.filter(is_hot), people.filter(is_hot), compat, "spread" if small else None,
+            crashes.filter(is_hot), vehicles.filter(is_hot), people.filter(is_hot), compat, "spread",
         )
         return cold.unionByName(hot_part)
     return _vehicle_person_detail(crashes, vehicles, people, compat, "spread" if strategy == "spread" else None)
 
 
+def _hot_crash_ids(frames: list[DataFrame], hot_rows: int) -> list | None:
+    """Crash ids with >= ``hot_rows`` rows in any of ``frames`` (None: too many to name)."""
+    found: set = set()
+    for df in frames:
+        keys = hot_keys(df, "CRASH_RECORD_ID", hot_rows)
+        if keys is None:
+            return None
+        found.update(keys)
+    return sorted(found)
+
+
 def _partial_key_copartition(df: DataFrame) -> bool:
     conf = df.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true")
     return conf.strip().lower() == "false"
@@ -162,7 +196,13 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
         "INJURIES_TOTAL", "INJURIES_FATAL",
     )
     if mode == "spread":
-        c = F.broadcast(c)  # only the hot crashes' rows, counted by the caller
+        # Every output column comes from one side and each side's join keys are among its
+        # columns, so distinct sides give distinct joined rows: the GROUP BY over all 19
+        # columns moves before the joins, where partial aggregation collapses copies
+        # before the shuffle and no join multiplies them.
+        v, p, c = dedup_rows(v), dedup_rows(p), dedup_rows(c)
+        if c.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+            c = F.broadcast(c)
     elif _partial_key_copartition(crashes):
         # Cluster all three inputs by (crash, date) once: the unit-person join (on
         # crash, unit, date), the crash join and the final de-duplication all reuse it,
@@ -185,7 +225,9 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
         "weather_condition", "lighting_condition", "prim_contributory_cause", "street",
         "INJURIES_TOTAL", "INJURIES_FATAL",
     )
-    return dedup_rows(out).select(*VEHICLE_PERSON_DETAIL_COLUMNS)
+    if mode != "spread":
+        out = dedup_rows(out)
+    return out.select(*VEHICLE_PERSON_DETAIL_COLUMNS)
 
 
 __all__ = [
