@@ -109,6 +109,16 @@ def test_hot_key_detection_is_bounded(spark):
     assert hot_keys(df, "CRASH_RECORD_ID", min_rows=1, max_keys=10) is None
 
 
+def test_hot_keys_of_several_tables_in_one_job(spark):
+    from wreckline.operators.skew import hot_keys_of
+
+    units = spark.createDataFrame([("a", u) for u in range(300)] + [("b", 1)], "CRASH_RECORD_ID string, u bigint")
+    crashes = spark.createDataFrame([("b", 1)] * 200 + [("c", 1)], "CRASH_RECORD_ID string, x bigint")
+    assert hot_keys_of([units, crashes], "CRASH_RECORD_ID", min_rows=100) == ["a", "b"]
+    assert hot_keys_of([units, crashes], "CRASH_RECORD_ID", min_rows=1000) == []
+    assert hot_keys_of([units, crashes], "CRASH_RECORD_ID", min_rows=1, max_keys=2) is None
+
+
 def test_detail_of_hot_crashes_stays_spread(spark, landed):
     c, v, p = landed
     # as at scale: no side is small enough to broadcast by size (the explicit,

@@ -43,6 +43,30 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = DEFAULT_MAX
     return [r[key] for r in top if r[key] is not None]
 
 
+def hot_keys_of(frames: list[DataFrame], key: str, min_rows: int,
+                max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list | None:
+    """Keys with (about) ``min_rows`` rows or more in any of ``frames``, from one job.
+
+    The sampled key columns of all frames are unioned with a frame tag and counted per
+    (key, tag) together, so several tables cost one pass over their key columns. None
+    if more than ``max_keys`` (key, frame) pairs qualify.
+    """
+    fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
+    tagged = None
+    for i, df in enumerate(frames):
+        keys = df.select(F.col(key), F.lit(i).alias("_frame"))
+        if fraction < 1.0:
+            keys = keys.sample(fraction=fraction, seed=17 + i)
+        tagged = keys if tagged is None else tagged.unionByName(keys)
+    threshold = max(1, int(min_rows * fraction))
+    counts = (tagged.groupBy(key, "_frame").agg(F.count(F.lit(1)).alias("_rows"))
+              .filter(F.col("_rows") >= threshold))
+    top = counts.orderBy(F.col("_rows").desc()).limit(max_keys + 1).collect()
+    if len(top) > max_keys:
+        return None
+    return sorted({r[key] for r in top if r[key] is not None})
+
+
 def route_hot(
     df: DataFrame,
     key: str,

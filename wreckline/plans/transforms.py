@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wreckline.functions.calendar import with_calendar
 from wreckline.functions.text import clean_category, street_label
 from wreckline.operators.basic import dedup_rows
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys, hot_keys_of
 from wreckline.operators.summaries import people_summary, vehicle_summary
 from wreckline.schemas import (
     CRASH_COLUMNS,
@@ -166,13 +166,7 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
 
 def _hot_crash_ids(frames: list[DataFrame], hot_rows: int) -> list | None:
     """Crash ids with >= ``hot_rows`` rows in any of ``frames`` (None: too many to name)."""
-    found: set = set()
-    for df in frames:
-        keys = hot_keys(df, "CRASH_RECORD_ID", hot_rows)
-        if keys is None:
-            return None
-        found.update(keys)
-    return sorted(found)
+    return hot_keys_of(frames, "CRASH_RECORD_ID", hot_rows)
 
 
 def _partial_key_copartition(df: DataFrame) -> bool:
