@@ -19,6 +19,9 @@ DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000
 
 
+# Passed as ``hot`` to ``route_hot``: count the hot keys there.
+DETECT = object()
+
 # Expected sampled rows of a group right at the threshold; sets the sampling fraction.
 SAMPLED_ROWS_AT_THRESHOLD = 1_000
 
@@ -74,9 +77,15 @@ def route_hot(
     skew_proof: Callable[[DataFrame], DataFrame],
     min_rows: int = DEFAULT_HOT_ROWS,
     max_keys: int = DEFAULT_MAX_HOT_KEYS,
+    hot: list | None | object = DETECT,
 ) -> DataFrame:
-    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot keys."""
-    hot = hot_keys(df, key, min_rows, max_keys)
+    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot keys.
+
+    ``hot`` may be given by a caller that counted keys of several tables in one job
+    (``hot_keys_of``); otherwise the keys of ``df`` are counted here.
+    """
+    if hot is DETECT:
+        hot = hot_keys(df, key, min_rows, max_keys)
     if hot is None:
         return skew_proof(df)
     if not hot:

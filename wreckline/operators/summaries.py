@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wreckline.functions.text import na_text
 from wreckline.operators.basic import filter_drivers
 from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, unit_order
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, DETECT, route_hot
 from wreckline.operators.slots import (
     SLOT_TIE_BREAKERS,
     any_slot,
@@ -55,6 +55,7 @@ def vehicle_summary(
     n: int = SLOT_COUNT,
     slot_null_vehicle: bool = False,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    hot: list | None | object = DETECT,
 ) -> DataFrame:
     """Units per crash: entity and motor-vehicle counts plus n slot triples.
 
@@ -74,7 +75,7 @@ def vehicle_summary(
             vehicles, CRASH_KEY,
             lambda df: _vehicle_summary(df, compat, "window", n, slot_null_vehicle),
             lambda df: _vehicle_summary(df, compat, "topk", n, slot_null_vehicle),
-            hot_rows,
+            hot_rows, hot=hot,
         )
     return _vehicle_summary(vehicles, compat, strategy, n, slot_null_vehicle)
 
@@ -245,6 +246,7 @@ def people_summary(
     driver_type: str = "Driver",
     strategy: str = "auto",
     hot_rows: int = DEFAULT_HOT_ROWS,
+    hot: list | None | object = DETECT,
 ) -> DataFrame:
     """Drivers per crash: a driver count plus n person slots.
 
@@ -266,7 +268,7 @@ def people_summary(
                 drivers, CRASH_KEY,
                 lambda df: _people_summary_fixed_window(df, n, driver_type),
                 lambda df: _people_summary_fixed(df, n, driver_type),
-                hot_rows,
+                hot_rows, hot=hot,
             )
         if strategy == "cluster":
             return _people_summary_fixed_window(people, n, driver_type)
@@ -277,7 +279,7 @@ def people_summary(
             drivers, CRASH_KEY,
             lambda df: _people_summary_compat(df, n, driver_type, "cluster"),
             lambda df: _people_summary_compat(df, n, driver_type, "partial"),
-            hot_rows,
+            hot_rows, hot=hot,
         )
     return _people_summary_compat(people, n, driver_type, strategy)
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from wreckline.functions.calendar import with_calendar
 from wreckline.functions.text import clean_category, street_label
-from wreckline.operators.basic import dedup_rows
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys, hot_keys_of
+from wreckline.operators.basic import dedup_rows, filter_drivers
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, DETECT, hot_keys, hot_keys_of
 from wreckline.operators.summaries import people_summary, vehicle_summary
 from wreckline.schemas import (
     CRASH_COLUMNS,
@@ -114,13 +114,19 @@ def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, co
     studied job does; corrected joins one-row-per-crash summaries on CRASH_RECORD_ID.
     """
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows)
+    hot = DETECT
+    if strategy == "auto":
+        # one sampled job names the crash ids hot in any of the three tables; each part
+        # routes by that list (both of its plans are exact, so a wider list only moves work)
+        hot = _hot_crash_ids([vehicles, filter_drivers(people), crashes], hot_rows)
+    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows, hot=hot)
     ps = people_summary(people, compat=compat, strategy="auto" if strategy in ("auto", "window") else "partial",
-                        hot_rows=hot_rows)
+                        hot_rows=hot_rows, hot=hot)
     if not compat:
         vs = vs.drop("RD_NO", "CRASH_DATE")
         ps = ps.drop("RD_NO", "CRASH_DATE")
-    side = _crash_side(crashes, keys, _crash_rows_hot(crashes, strategy, hot_rows))
+    copies_safe = hot != [] if strategy == "auto" else _crash_rows_hot(crashes, strategy, hot_rows)
+    side = _crash_side(crashes, keys, copies_safe)
     j = _left_join(side, vs, keys, "_v_")
     j = _left_join(j, ps, keys, "_p_")
     j = with_calendar(j, "CRASH_DATE", compat)
