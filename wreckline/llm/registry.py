@@ -5,9 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from .common import table
+from .mixing import mix_sources
+from .oracle_mixing import mixing_sql
 from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
+from .secrets import fit_markov, labelled_samples, secret_scan
+from .sharding import shard_records
+
+SHARDS = 24
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +25,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = shard_records(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan(docs, fit_markov(labelled_samples(docs)))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op8_sharding": op8_sharding,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL = {
     "op4_quality_rules": quality_rules_sql(),
+    "op10_mixing": mixing_sql(),
 }
