@@ -14,10 +14,16 @@ from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
 from .secrets import fit_markov, labelled_samples, secret_scan
 from .sharding import shard_records
+from .warc import archive_folder, normalise_archives, read_archives, write_archives
 
 SHARDS = 24
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_archives(table(spark, sf_dir, "pages"), archive_folder(spark))
+    return read_archives(normalise_archives(files))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -44,6 +50,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op4_quality_rules": op4_quality_rules,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
