@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .html_text import extract_main_text
 from .mixing import mix_sources
 from .oracle_mixing import mixing_sql
 from .oracle_rules import quality_rules_sql
@@ -24,6 +25,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(normalise_archives(files))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -51,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_html_text": op2_html_text,
     "op4_quality_rules": op4_quality_rules,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
