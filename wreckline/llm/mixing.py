@@ -130,3 +130,10 @@ def mix_sources(
         out, source_size=F.col("__p.source_size"), target=F.col("__p.target"), times=times.cast("long"),
         taken=(F.col("size") * times).cast("long"))
     return out.drop("__w", "__key", "__p")
+
+
+def mixture(df: DataFrame, **options: object) -> DataFrame:
+    """The mix itself: every row as often as the mix takes it, with the input's columns."""
+    mixed = mix_sources(df, **options).where("times > 0")
+    return mixed.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
+        *[F.col(f"`{c}`") for c in df.columns])

@@ -349,3 +349,13 @@ def ngram_components(
     out = docs.join(joined, ["k1", "k2"], "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each component the document with the
+    least id stays, once; rows with a null id all stay."""
+    found = ngram_components(df, doc_id, text, width, percent)
+    first = found.where("component_id = doc_id").select(F.col("doc_id").alias("__first")).distinct()
+    key = F.col(f"`{doc_id}`")
+    kept = df.join(first, key == F.col("__first"), "left_semi").dropDuplicates([doc_id])
+    return kept.unionByName(df.where(key.isNull()))

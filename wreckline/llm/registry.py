@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import benchmark_hits
 from .html_text import extract_main_text
+from .language_id import identify_language, markup_language, page_text
 from .mixing import mix_sources
+from .ngram_join import ngram_components
 from .oracle_mixing import mixing_sql
 from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
@@ -29,6 +32,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -36,6 +43,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (declared language: their metadata; host: their source) and pages
+    (declared language: the html element; address: the url), each judged by its own table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = identify_language(docs, F.col("text"), F.col("lang"), F.col("source"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", page_text(F.col("html")).alias("text"), markup_language(F.col("html")).alias("declared"))
+    read = identify_language(pages, F.col("text"), F.col("declared"), F.col("url"))
+    none = F.lit(None).cast("long")
+    return found.select("doc_id", none.alias("page_id"), "language", "posterior", "kept").unionByName(
+        read.select(none.alias("doc_id"), "page_id", "language", "posterior", "kept"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = shard_records(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -57,7 +81,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html_text": op2_html_text,
+    "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
+    "op6_language_id": op6_language_id,
+    "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
     "op10_mixing": op10_mixing,

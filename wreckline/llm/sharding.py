@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, staged
+from .common import let, staged, with_column_replaced
 
 VIRTUAL_SLOTS = 8192
 RUN = 256
@@ -157,3 +157,19 @@ def shard_records(
     runs = staged(record_runs(df, doc_id, text), "shard-runs")
     slot_map = staged(edit_slot_map(slot_bytes(runs, slots), shards, current), "slot-map")
     return place_records(runs, slot_map, slots), slot_map
+
+
+def shard_rows(
+    df: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text", slots: int = VIRTUAL_SLOTS,
+) -> DataFrame:
+    """Every row, all columns, with vslot and shard. Rows are read twice and never
+    shuffled: once for the slots' bytes, once to look their slot up. Copies of one row
+    share a slot here (``shard_records`` deals them out)."""
+    t = F.col(f"`{text}`")
+    rows = with_column_replaced(
+        df, vslot=slot_of(F.col(f"`{doc_id}`"), text_crc32(t), F.lit(0), slots=slots))
+    totals = rows.groupBy("vslot").agg(F.sum(record_size(t)).alias("bytes"), F.count("*").alias("rows"))
+    slot_map = staged(edit_slot_map(staged(totals, "slot-bytes"), shards), "slot-map").select(
+        F.col("vslot").alias("__v"), F.col("shard").alias("__s"))
+    out = rows.join(F.broadcast(slot_map), F.col("vslot") == F.col("__v"))  # at most one row a slot
+    return with_column_replaced(out, shard=F.col("__s")).drop("__v", "__s")
