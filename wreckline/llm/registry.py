@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import benchmark_hits
 from .html_text import extract_main_text
 from .language_id import identify_language, markup_language, page_text
+from .line_crf import fit_line_model, score_quality
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .oracle_mixing import mixing_sql
@@ -43,6 +44,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(5)) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality")
+    model = fit_line_model(docs.join(labels, "doc_id"))
+    return score_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents (declared language: their metadata; host: their source) and pages
     (declared language: the html element; address: the url), each judged by its own table."""
@@ -83,6 +93,7 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
+    "op5_line_crf": op5_line_crf,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
