@@ -121,7 +121,7 @@ SQL = oracle_queries_over_views()
 CASES = {
     "vehicle_summary": lambda c, v, p: vehicle_summary(v, strategy="window"),
     "vehicle_summary_topk": lambda c, v, p: vehicle_summary(v, strategy="topk"),
-    "vehicle_summary_join": lambda c, v, p: vehicle_summary(v, strategy="join"),
+    "vehicle_summary_join": lambda c, v, p: vehicle_summary(v, strategy="lookup"),
     "vehicle_summary_mixed": lambda c, v, p: vehicle_summary(v, hot_rows=3),
     "vehicle_summary_fixed": lambda c, v, p: vehicle_summary(v, compat=False, strategy="window"),
     "vehicle_summary_fixed_topk": lambda c, v, p: vehicle_summary(v, compat=False, strategy="topk"),

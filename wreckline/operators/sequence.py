@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+
 CRASH_KEY = "CRASH_RECORD_ID"
 SEQ_COL = "veh_seq_nbr"
 
-# Columns used, in this order, to break ties between units with equal CRASH_UNIT_ID so the
-# numbering is deterministic (the studied pipeline leaves ties to chance).
+# The one order of units within a crash, used by numbering, slots and summaries alike:
+# CRASH_UNIT_ID, then these, so that every operator agrees on which unit is the k-th (the
+# studied pipeline leaves ties to chance). Units that agree on all are interchangeable.
 UNIT_TIE_BREAKERS = [
     "VEHICLE_ID", "CRASH_DATE", "RD_NO", "UNIT_NO", "UNIT_TYPE", "NUM_PASSENGERS",
     "CMRC_VEH_I", "MAKE", "MODEL",
 ]
 
+# Bits of CRASH_UNIT_ID that one level of the skew-proof numbering resolves.
+_DIGIT_BITS = 16
+# Copies of a row that one row stands for until the last step, at most.
+_COPIES_PER_ROW = 65_536
+
 
 def unit_order(df: DataFrame, tie_breakers: list[str] | None = None) -> list[Column]:
     """CRASH_UNIT_ID ascending (NULLs first, Spark's default), then the tie breakers."""
@@ -28,67 +36,83 @@ def number_units(
     out: str = SEQ_COL,
     tie_breakers: list[str] | None = None,
     skew_safe: bool | str = "auto",
-    blocks: int | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1, 2, ... per crash in unit order.
 
     ``skew_safe=False`` is one hash exchange on the crash key plus a sort: the plan the
     studied job has, and the cheapest when no crash is huge. ``skew_safe=True`` numbers
-    a crash that spans many range blocks in parallel (see ``number_within_ranges``).
-    ``"auto"`` does the latter only for crashes with >= ``hot_rows`` units.
+    a huge crash in many tasks (see ``number_by_digits``). ``"auto"`` does the latter
+    for crashes with >= ``hot_rows`` units and for units without a crash id.
     """
-    order = unit_order(vehicles, tie_breakers)
     if skew_safe == "auto":
-        from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
-
         return route_hot(
             vehicles, CRASH_KEY,
             lambda df: number_units(df, out, tie_breakers, skew_safe=False),
-            lambda df: number_units(df, out, tie_breakers, skew_safe=True, blocks=blocks),
+            lambda df: number_units(df, out, tie_breakers, skew_safe=True),
             hot_rows or DEFAULT_HOT_ROWS,
         )
     if skew_safe:
-        return number_within_ranges(vehicles, [CRASH_KEY], order, out, blocks)
-    w = Window.partitionBy(CRASH_KEY).orderBy(*order)
+        return number_by_digits(vehicles, out, tie_breakers)
+    w = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, tie_breakers))
     return vehicles.withColumn(out, F.row_number().over(w))
 
 
-def number_within_ranges(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    out: str,
-    blocks: int | None = None,
-) -> DataFrame:
-    """Exact ``row_number() over (partition by keys order by order)`` for skewed keys.
-
-    1. Range-partition on (keys, order): the sampled bounds split a hot key over many
-       blocks, each block holding a contiguous run of its order.
-    2. Number rows inside each (key, block) — small groups, spread over tasks.
-    3. Offsets: rows of the same key in earlier blocks (a running sum over a table with
-       one row per (key, block), so a hot key adds only as many rows as it has blocks).
-       The block sizes are read off the numbered rows, so block ids and local numbers
-       come from the same shuffle output even if a stage is recomputed.
-    4. Add the offset with a join on (key, block).
+def number_by_digits(vehicles: DataFrame, out: str = SEQ_COL, tie_breakers: list[str] | None = None) -> DataFrame:
+    """Exact ``row_number() over (partition by crash order by unit order)`` for huge crashes.
+
+    1. Equal rows are counted (combined before the shuffle) and stand as one row.
+    2. CRASH_UNIT_ID is cut into 16-bit digits. The rows of one crash that share all but
+       the last digit form a block: a function of the row alone, so however often a stage
+       is recomputed, a row is always in the same block.
+    3. Rows before a block: for each digit, the rows of smaller digits under the same
+       leading ones, a running sum over at most 65,536 counts.
+    4. Within a block, a running sum over its distinct rows in unit order; then copies
+       are expanded into consecutive numbers.
     """
-    spark = df.sparkSession
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_order = [F.col(k).asc_nulls_first() for k in keys]
-    ranged = df.repartitionByRange(n, *key_order, *order).withColumn("_blk", F.spark_partition_id())
-    local = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    numbered = ranged.withColumn("_loc", F.row_number().over(local))
-    sizes = numbered.groupBy(*keys, "_blk").agg(F.max("_loc").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_blk").alias("_o_blk"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-    )
-    cond = F.col("_blk") == F.col("_o_blk")
+    columns = vehicles.columns
+    order = unit_order(vehicles, tie_breakers)
+    rest = [c for c in columns if c != CRASH_KEY]
+    order += [F.col(c).asc_nulls_first() for c in rest]  # a short tie list stays deterministic
+    unit = F.col("CRASH_UNIT_ID").cast("bigint")
+    rows = vehicles.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    # Digits from the top; a NULL id sorts before every digit of the top level.
+    tops = [F.when(unit.isNull(), F.lit(-(1 << _DIGIT_BITS))).otherwise(F.shiftright(unit, 3 * _DIGIT_BITS))]
+    tops += [
+        F.coalesce(F.shiftright(unit, k * _DIGIT_BITS).bitwiseAND((1 << _DIGIT_BITS) - 1), F.lit(0)) for k in (2, 1)
+    ]
+    digits = ["_d3", "_d2", "_d1"]
+    rows = rows.select("*", *[c.cast("bigint").alias(d) for c, d in zip(tops, digits, strict=True)])
+
+    offsets = rows.groupBy(CRASH_KEY, *digits).agg(F.sum("_n").alias("_n"))
+    offsets = offsets.withColumn("_before", _running(F.col("_n"), [CRASH_KEY, "_d3", "_d2"], "_d1"))
+    for level in (2, 1):  # under the first two digits, then under the first
+        above = offsets.groupBy(CRASH_KEY, *digits[:level]).agg(F.sum("_n").alias("_n"))
+        above = above.withColumn("_more", _running(F.col("_n"), [CRASH_KEY, *digits[: level - 1]], digits[level - 1]))
+        offsets = _match(offsets, above.drop("_n"), [CRASH_KEY, *digits[:level]]).withColumn(
+            "_before", F.col("_before") + F.col("_more")).drop("_more")
+
+    block = Window.partitionBy(CRASH_KEY, *digits).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum("_n").over(block), F.lit(0)))
+    rows = _match(rows, offsets.drop("_n"), [CRASH_KEY, *digits])
+    start = F.col("_before") + F.col("_inside")
+    chunks = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _COPIES_PER_ROW))
+    rows = rows.select(*columns, "_n", start.alias("_start"), F.explode(chunks).alias("_chunk"))
+    first = F.col("_chunk") * _COPIES_PER_ROW
+    copies = F.sequence(first + 1, F.least(F.col("_n"), first + _COPIES_PER_ROW))
+    return rows.select(*columns, "_start", F.explode(copies).alias("_copy")).select(
+        *columns, (F.col("_start") + F.col("_copy")).cast("int").alias(out))
+
+
+def _running(value: Column, keys: list[str], by: str) -> Column:
+    before = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(before), F.lit(0))
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, in which NULLs are equal; the left copies of the keys stay."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    joined = numbered.join(offsets, cond, "inner")
-    return joined.select(
-        *df.columns, (F.col("_off") + F.col("_loc")).cast("int").alias(out)
-    )
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])

@@ -1,9 +1,13 @@
-"""Hot-key routing: send the few huge groups through a skew-proof plan, the rest through
-the cheapest plan.
+"""Hot-key routing: huge groups go through a skew-proof plan, the rest through the cheapest.
 
-Both plans must compute the same per-key result, so routing only changes speed. The
-hot-key list is bounded: it is a top-k of a partially aggregated count, never more
-than ``max_keys`` values, and it is applied as an ``IN`` set (no join, no shuffle).
+Both plans compute the same per-key result, so routing only moves work. The hot keys are
+part of the plan, not a job run while it is built: exact counts per key (combined before
+the shuffle), filtered by the threshold and broadcast. A key needs ``min_rows`` rows to
+qualify, so the broadcast holds at most rows / ``min_rows`` keys. Where no key qualifies,
+adaptive execution sees the empty broadcast and drops the skew-proof branch unrun.
+
+NULL keys always take the skew-proof plan: they match nothing in a join, may be many,
+and need no counting.
 """
 
 from __future__ import annotations
@@ -15,59 +19,29 @@ from pyspark.sql import functions as F
 
 # A group with at least this many rows is handled by the skew-proof plan.
 DEFAULT_HOT_ROWS = 1_000_000
-# At most this many hot keys are routed by value; with more, everything is skew-proof.
-DEFAULT_MAX_HOT_KEYS = 1_000
 
+_HOT = "_hot_key"
 
-# Passed as ``hot`` to ``route_hot``: count the hot keys there.
-DETECT = object()
 
-# Expected sampled rows of a group right at the threshold; sets the sampling fraction.
-SAMPLED_ROWS_AT_THRESHOLD = 1_000
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Values of ``key`` (never NULL) with ``min_rows`` rows or more, one row each."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") >= min_rows).select(_HOT)
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list | None:
-    """Values of ``key`` with (about) ``min_rows`` rows or more, or None if more than ``max_keys``.
+def hot_keys_of(frames: list[DataFrame], key: str, min_rows: int) -> DataFrame:
+    """Keys that are hot in any of ``frames``; one row each."""
+    out = hot_keys(frames[0], key, min_rows)
+    for df in frames[1:]:
+        out = out.unionByName(hot_keys(df, key, min_rows))
+    return out.distinct() if len(frames) > 1 else out
 
-    Counted on a Bernoulli sample of the key column (fraction chosen so a group at the
-    threshold has ~1000 sampled rows; exact when the threshold is small), aggregated
-    map-side, and only a bounded top-k reaches the driver. A key near the threshold may
-    land on either side: both plans are exact, so that only moves work.
-    """
-    fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
-    keys = df.select(key)
-    if fraction < 1.0:
-        keys = keys.sample(fraction=fraction, seed=17)
-    threshold = max(1, int(min_rows * fraction))
-    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= threshold)
-    top = counts.orderBy(F.col("_rows").desc()).limit(max_keys + 1).collect()
-    if len(top) > max_keys:
-        return None
-    return [r[key] for r in top if r[key] is not None]
-
-
-def hot_keys_of(frames: list[DataFrame], key: str, min_rows: int,
-                max_keys: int = DEFAULT_MAX_HOT_KEYS) -> list | None:
-    """Keys with (about) ``min_rows`` rows or more in any of ``frames``, from one job.
-
-    The sampled key columns of all frames are unioned with a frame tag and counted per
-    (key, tag) together, so several tables cost one pass over their key columns. None
-    if more than ``max_keys`` (key, frame) pairs qualify.
-    """
-    fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
-    tagged = None
-    for i, df in enumerate(frames):
-        keys = df.select(F.col(key), F.lit(i).alias("_frame"))
-        if fraction < 1.0:
-            keys = keys.sample(fraction=fraction, seed=17 + i)
-        tagged = keys if tagged is None else tagged.unionByName(keys)
-    threshold = max(1, int(min_rows * fraction))
-    counts = (tagged.groupBy(key, "_frame").agg(F.count(F.lit(1)).alias("_rows"))
-              .filter(F.col("_rows") >= threshold))
-    top = counts.orderBy(F.col("_rows").desc()).limit(max_keys + 1).collect()
-    if len(top) > max_keys:
-        return None
-    return sorted({r[key] for r in top if r[key] is not None})
+
+def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot keys and of the NULL key)."""
+    listed = F.broadcast(hot)
+    cold = df.filter(F.col(key).isNotNull()).join(listed, F.col(key) == F.col(_HOT), "left_anti")
+    return cold, df.join(listed, F.col(key) == F.col(_HOT), "left_semi").unionByName(df.filter(F.col(key).isNull()))
 
 
 def route_hot(
@@ -76,21 +50,12 @@ def route_hot(
     plain: Callable[[DataFrame], DataFrame],
     skew_proof: Callable[[DataFrame], DataFrame],
     min_rows: int = DEFAULT_HOT_ROWS,
-    max_keys: int = DEFAULT_MAX_HOT_KEYS,
-    hot: list | None | object = DETECT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot keys.
+    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot and NULL keys.
 
-    ``hot`` may be given by a caller that counted keys of several tables in one job
-    (``hot_keys_of``); otherwise the keys of ``df`` are counted here.
+    ``hot`` may be given by a caller that shares one list between several tables
+    (``hot_keys_of``); otherwise the keys of ``df`` are counted.
     """
-    if hot is DETECT:
-        hot = hot_keys(df, key, min_rows, max_keys)
-    if hot is None:
-        return skew_proof(df)
-    if not hot:
-        return plain(df)
-    is_hot = F.col(key).isin(hot)
-    cold_rows = df.filter(F.col(key).isNull() | ~is_hot)
-    hot_rows = df.filter(is_hot)
-    return plain(cold_rows).unionByName(skew_proof(hot_rows))
+    cold, rest = split_hot(df, key, hot_keys(df, key, min_rows) if hot is None else hot)
+    return plain(cold).unionByName(skew_proof(rest))

@@ -21,30 +21,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wreckline.functions.text import fallback
-from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, number_units, unit_order
+from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, UNIT_TIE_BREAKERS, number_units, unit_order
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
 from wreckline.schemas import SLOT_COUNT, vehicle_slot_columns
 
 UNIT_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID"]
-# Everything the slot logic reads; the ranking sorts only these columns.
-SLOT_INPUT = UNIT_KEYS + ["RD_NO", "MAKE", "MODEL", "UNIT_TYPE"]
-# Units tied on CRASH_UNIT_ID are ordered by these. Ties that agree on all of them hold
-# identical slot values, so which of them comes first cannot change any result.
-SLOT_TIE_BREAKERS = ["VEHICLE_ID", "CRASH_DATE", "RD_NO", "UNIT_TYPE", "MAKE", "MODEL"]
+# Everything the slot logic reads or orders by.
+SLOT_INPUT = list(dict.fromkeys(UNIT_KEYS + UNIT_TIE_BREAKERS))
+# How many equal rows a candidate row stands for.
+COPIES = "_copies"
 
 
-def slot_candidates(vehicles: DataFrame, n: int = SLOT_COUNT, tie_breakers: list[str] | None = None) -> DataFrame:
-    """Units whose CRASH_UNIT_ID ranks <= n in their crash, with their exact sequence number.
+def slot_candidates(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
+    """Distinct units whose CRASH_UNIT_ID ranks <= n in their crash, with the number of
+    copies of each and the sequence number of its first copy.
 
     Every unit with sequence <= n has rank <= n, and every unit ranked before it is in
-    the set too, so ``row_number`` inside the candidates equals the sequence over the
-    whole crash.
+    the set too, so the running sum of copies inside the candidates equals the sequence
+    over the whole crash. Copies are counted before the rank, where the aggregation
+    combines them in each map task, so they never tie into one task.
     """
     by_unit = Window.partitionBy(CRASH_KEY).orderBy(F.col("CRASH_UNIT_ID").asc_nulls_first())
-    ties = SLOT_TIE_BREAKERS if tie_breakers is None else tie_breakers
-    vehicles = vehicles.select(*dict.fromkeys(SLOT_INPUT + [c for c in ties if c in vehicles.columns]))
-    cand = vehicles.withColumn("_unit_rank", F.rank().over(by_unit)).filter(F.col("_unit_rank") <= n)
-    seq = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))
-    return cand.withColumn(SEQ_COL, F.row_number().over(seq)).drop("_unit_rank")
+    rows = vehicles.groupBy(*[c for c in SLOT_INPUT if c in vehicles.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+    cand = rows.withColumn("_unit_rank", F.rank().over(by_unit)).filter(F.col("_unit_rank") <= n)
+    upto = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles)).rowsBetween(Window.unboundedPreceding, 0)
+    first = F.sum(COPIES).over(upto) - F.col(COPIES) + 1
+    return cand.withColumn(SEQ_COL, first).drop("_unit_rank")
+
+
+def _holds(k: int) -> Column:
+    """Whether one of the row's copies is the k-th unit."""
+    return (F.col(SEQ_COL) <= k) & (F.col(SEQ_COL) + F.col(COPIES) > k)
 
 
 def _holder() -> Column:
@@ -70,7 +77,7 @@ def matched_slots(cand: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
     """Candidates with the compat slot columns: slot k filled iff the row's four unit
     keys equal the k-th unit's (NULL never equals), as the self-joins decide."""
     w = Window.partitionBy(CRASH_KEY)
-    holders = [F.max(F.when(F.col(SEQ_COL) == k, _holder())).over(w).alias(f"_h{k}") for k in range(1, n + 1)]
+    holders = [F.max(F.when(_holds(k), _holder())).over(w).alias(f"_h{k}") for k in range(1, n + 1)]
     with_h = cand.select("*", *holders)
     cols = []
     for k in range(1, n + 1):
@@ -92,7 +99,7 @@ def own_slots(cand: DataFrame, n: int = SLOT_COUNT, slot_null_vehicle: bool = Fa
     h = _holder()
     cols = []
     for k in range(1, n + 1):
-        cols += _slot_values(k, h, (F.col(SEQ_COL) == k) & eligible)
+        cols += _slot_values(k, h, _holds(k) & eligible)
     return cand.select(*cand.columns, *cols)
 
 
@@ -126,47 +133,21 @@ def vehicle_slots(
     big crash spread over tasks because CRASH_UNIT_ID is part of the join key.
     ``window``: number all units, then compare each row with the k-th unit of its crash
     in a window over the crash: one shuffle, but a huge crash is one task.
-    ``join``: the literal n self-joins against the numbered units (reference form).
     ``auto``: ``topk`` for crashes with >= ``hot_rows`` units, ``window`` for the rest.
     """
     if strategy == "auto":
-        from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
-
         return route_hot(
             vehicles, CRASH_KEY,
             lambda df: vehicle_slots(df, n, "window"),
             lambda df: vehicle_slots(df, n, "topk"),
             hot_rows or DEFAULT_HOT_ROWS,
         )
-    if strategy == "join":
-        return _vehicle_slots_by_joins(vehicles, n)
     if strategy == "window":
-        return _vehicle_slots_by_window(vehicles, n)
+        numbered = number_units(vehicles, skew_safe=False).withColumn(COPIES, F.lit(1))
+        return matched_slots(numbered, n).select(*vehicles.columns, *vehicle_slot_columns(n))
+    if strategy != "topk":
+        raise ValueError(f"no such strategy: {strategy}")
     st = slot_table(vehicles, n)
     st = st.select(*[F.col(k).alias(f"_s_{k}") for k in UNIT_KEYS], *vehicle_slot_columns(n))
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in UNIT_KEYS])
     return vehicles.join(st, cond, "left").drop(*[f"_s_{k}" for k in UNIT_KEYS])
-
-
-def _vehicle_slots_by_joins(vehicles: DataFrame, n: int) -> DataFrame:
-    numbered = number_units(vehicles, skew_safe=False)
-    out = numbered.alias("a")
-    for k in range(1, n + 1):
-        b = numbered.filter(F.col(SEQ_COL) == k).select(
-            *[F.col(c).alias(f"_b{k}_{c}") for c in UNIT_KEYS],
-            fallback(F.col("MAKE"), F.col("UNIT_TYPE")).alias(f"VEHICLE{k}_MAKE"),
-            fallback(F.col("MODEL"), F.col("UNIT_TYPE")).alias(f"VEHICLE{k}_MODEL"),
-        )
-        cond = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"_b{k}_{c}") for c in UNIT_KEYS])
-        out = out.join(b, cond, "left")
-    cols = []
-    for k in range(1, n + 1):
-        cols += [F.col(f"_b{k}_CRASH_UNIT_ID").alias(f"VEHICLE{k}_ID"), f"VEHICLE{k}_MAKE", f"VEHICLE{k}_MODEL"]
-    return out.select(*[F.col(f"a.{c}") for c in vehicles.columns], *cols)
-
-
-def _vehicle_slots_by_window(vehicles: DataFrame, n: int) -> DataFrame:
-    ties = [c for c in SLOT_TIE_BREAKERS if c in vehicles.columns]
-    numbered = vehicles.withColumn(SEQ_COL, F.row_number().over(
-        Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))))
-    return matched_slots(numbered, n).drop(SEQ_COL).select(*vehicles.columns, *vehicle_slot_columns(n))

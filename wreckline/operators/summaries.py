@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from wreckline.functions.text import na_text
 from wreckline.operators.basic import filter_drivers
-from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, unit_order
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, DETECT, route_hot
+from wreckline.operators.sequence import CRASH_KEY, number_units
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
 from wreckline.operators.slots import (
-    SLOT_TIE_BREAKERS,
+    COPIES,
     any_slot,
     matched_slots,
     null_slots,
@@ -30,15 +30,14 @@ from wreckline.operators.slots import (
     vehicle_slots,
 )
 from wreckline.schemas import (
-    PEOPLE_SUMMARY_COLUMNS,
     SLOT_COUNT,
-    VEHICLE_PIVOT_COLUMNS,
-    VEHICLE_SUMMARY_COLUMNS,
+    people_summary_columns,
     person_slot_columns,
+    vehicle_pivot_columns,
     vehicle_slot_columns,
+    vehicle_summary_columns,
 )
 
-
 # The keys the crash summary joins on, in join order (co-partitioning is order-sensitive).
 JOIN_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
 
@@ -55,7 +54,7 @@ def vehicle_summary(
     n: int = SLOT_COUNT,
     slot_null_vehicle: bool = False,
     hot_rows: int = DEFAULT_HOT_ROWS,
-    hot: list | None | object = DETECT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Units per crash: entity and motor-vehicle counts plus n slot triples.
 
@@ -66,9 +65,9 @@ def vehicle_summary(
     corrected: one row per crash with true totals and the first n units in the slots.
 
     strategy: ``window`` (one shuffle by crash, then everything local), ``topk`` (no
-    step holds a whole crash: partial top-k + partial counts), ``join`` (the literal
-    self-joins), ``auto`` (crashes with >= ``hot_rows`` units go ``topk``, the rest
-    ``window``).
+    step holds a whole crash: partial top-k + partial counts), ``lookup`` (compat only:
+    each unit looks its slots up by its four keys, then both GROUP BYs), ``auto``
+    (crashes with >= ``hot_rows`` units go ``topk``, the rest ``window``).
     """
     if strategy == "auto":
         return route_hot(
@@ -85,27 +84,25 @@ def _vehicle_summary(vehicles: DataFrame, compat: bool, strategy: str, n: int, s
         if strategy == "topk":
             return _vehicle_summary_fixed(vehicles, n, slot_null_vehicle)
         return _vehicle_summary_fixed_window(vehicles, n, slot_null_vehicle)
-    if strategy in ("join", "window"):
-        per_row = vehicle_slots(vehicles, n, strategy=strategy)
+    if strategy == "topk":
+        inner = _vehicle_slot_groups(vehicles, n)
+    else:
+        per_row = vehicle_slots(vehicles, n, strategy="topk" if strategy == "lookup" else strategy)
         inner = per_row.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *vehicle_slot_columns(n)).agg(
             F.count("CRASH_UNIT_ID").alias("Cnt_Entities_Accid"),
             F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
         )
-    else:
-        inner = _vehicle_slot_groups(vehicles, n)
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid"]
     # A crash has at most n + 1 inner groups per (RD_NO, date), so clustering them by
     # the crash join keys is skew-free; the outer GROUP BY and the later join to the
     # crashes then need no further shuffle.
     inner = inner.repartition(*JOIN_KEYS)
     out = inner.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
-    return out.select(*VEHICLE_SUMMARY_COLUMNS)
+    return out.select(*vehicle_summary_columns(n))
 
 
 def _vehicle_summary_fixed_window(vehicles: DataFrame, n: int, slot_null_vehicle: bool) -> DataFrame:
-    ties = [c for c in SLOT_TIE_BREAKERS if c in vehicles.columns]
-    w = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, ties))
-    held = own_slots(vehicles.withColumn(SEQ_COL, F.row_number().over(w)), n, slot_null_vehicle)
+    held = own_slots(number_units(vehicles, skew_safe=False).withColumn(COPIES, F.lit(1)), n, slot_null_vehicle)
     out = held.groupBy("CRASH_RECORD_ID").agg(
         F.max("RD_NO").alias("RD_NO"),
         F.max("CRASH_DATE").alias("CRASH_DATE"),
@@ -113,43 +110,37 @@ def _vehicle_summary_fixed_window(vehicles: DataFrame, n: int, slot_null_vehicle
         F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
         *[F.max(c).alias(c) for c in vehicle_slot_columns(n)],
     )
-    return out.select(*VEHICLE_SUMMARY_COLUMNS)
+    return out.select(*vehicle_summary_columns(n))
 
 
 def _vehicle_slot_groups(vehicles: DataFrame, n: int) -> DataFrame:
     """The inner GROUP BY of the compat summary: (crash, RD_NO, date, slots) -> counts.
 
-    * Slot-holding rows are all among the candidates, which are already clustered by
-      crash, so their groups are counted without another shuffle.
-    * The no-slot group of each (crash, RD_NO, date) holds every other row: its counts
-      are the whole table's (partially aggregated before the shuffle, so a third of all
-      rows in one crash is one row per map task) minus the slot holders'.
+    Every row counts towards the no-slot group of its (crash, RD_NO, date); a row that
+    holds a slot (all of those are candidates) is taken off it again and counted in its
+    own group. One union, one aggregation that combines before its shuffle: a third of
+    all rows in one crash is a few rows per map task.
     """
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
     slot_cols = vehicle_slot_columns(n)
+    unit, vehicle = _flag(F.col("CRASH_UNIT_ID")), _flag(F.col("VEHICLE_ID"))
+    every = vehicles.select(
+        *keys, *null_slots(n), F.lit(1).cast("bigint").alias("_rows"), unit.alias("_u"), vehicle.alias("_v"))
     matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
-    held = matched.groupBy(*keys, *slot_cols).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("CRASH_UNIT_ID").alias("Cnt_Entities_Accid"),
-        F.count("VEHICLE_ID").alias("Cnt_MotorVehicles_Accid"),
-    )
-    held_totals = held.groupBy(*keys).agg(
-        (-F.sum("_rows")).alias("_rows"),
-        (-F.sum("Cnt_Entities_Accid")).alias("_u"),
-        (-F.sum("Cnt_MotorVehicles_Accid")).alias("_v"),
-    )
-    totals = vehicles.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("CRASH_UNIT_ID").alias("_u"),
-        F.count("VEHICLE_ID").alias("_v"),
-    )
-    rest = totals.unionByName(held_totals).groupBy(*keys).agg(
+    copies = F.col(COPIES)
+    plus = F.struct(*[F.col(c) for c in slot_cols], F.lit(1).cast("bigint").alias("_sign"))
+    minus = F.struct(*null_slots(n), F.lit(-1).cast("bigint").alias("_sign"))
+    moved = matched.select(*keys, unit.alias("_u"), vehicle.alias("_v"), copies, F.explode(F.array(plus, minus)).alias("s"))
+    signed = F.col("s._sign") * copies
+    moved = moved.select(
+        *keys, *[F.col(f"s.{c}").alias(c) for c in slot_cols], signed.alias("_rows"),
+        (signed * F.col("_u")).alias("_u"), (signed * F.col("_v")).alias("_v"))
+    out = every.unionByName(moved).groupBy(*keys, *slot_cols).agg(
         F.sum("_rows").alias("_rows"),
         F.sum("_u").alias("Cnt_Entities_Accid"),
         F.sum("_v").alias("Cnt_MotorVehicles_Accid"),
-    ).filter(F.col("_rows") > 0)
-    no_slot = rest.select(*keys, *null_slots(n), "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid")
-    return held.drop("_rows").unionByName(no_slot)
+    )
+    return out.filter(F.col("_rows") > 0).drop("_rows")
 
 
 def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool) -> DataFrame:
@@ -158,7 +149,7 @@ def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool)
         "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *null_slots(n),
         _flag(F.col("CRASH_UNIT_ID")).alias("_u"), _flag(F.col("VEHICLE_ID")).alias("_v"),
     )
-    held = own_slots(slot_candidates(vehicles, n).filter(F.col(SEQ_COL) <= n), n, slot_null_vehicle)
+    held = own_slots(slot_candidates(vehicles, n), n, slot_null_vehicle).filter(any_slot(n))
     holders = held.select(
         "CRASH_RECORD_ID", F.lit(None).cast("string").alias("RD_NO"),
         F.lit(None).cast(vehicles.schema["CRASH_DATE"].dataType).alias("CRASH_DATE"),
@@ -171,7 +162,7 @@ def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool)
         F.sum("_v").alias("Cnt_MotorVehicles_Accid"),
         *[F.max(c).alias(c) for c in slot_cols],
     )
-    return out.select(*VEHICLE_SUMMARY_COLUMNS)
+    return out.select(*vehicle_summary_columns(n))
 
 
 def vehicle_pivot(
@@ -190,7 +181,7 @@ def vehicle_pivot(
 
 def _vehicle_pivot(vehicles: DataFrame, n: int, strategy: str) -> DataFrame:
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
-    if strategy in ("window", "join"):
+    if strategy == "window":
         rows = vehicle_slots(vehicles, n, strategy=strategy).select(*keys, *vehicle_slot_columns(n))
     else:
         # Every unit row names its group; slot-holding rows add their values.
@@ -198,7 +189,7 @@ def _vehicle_pivot(vehicles: DataFrame, n: int, strategy: str) -> DataFrame:
         matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
         rows = base.unionByName(matched.select(*keys, *vehicle_slot_columns(n)))
     out = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
-    return out.select(*VEHICLE_PIVOT_COLUMNS)
+    return out.select(*vehicle_pivot_columns(n))
 
 
 def multi_vehicle_crashes(vehicles: DataFrame, minimum: int = 2) -> DataFrame:
@@ -208,35 +199,128 @@ def multi_vehicle_crashes(vehicles: DataFrame, minimum: int = 2) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- people
+# A driver, as the studied job's self-joins identify one.
+DRIVER_KEY = ["CRASH_RECORD_ID", "CRASH_DATE", "PERSON_ID"]
+
+
+def _slot_values(keyed: Column) -> list[Column]:
+    """What a driver row puts into a slot: sex, age, injury, and what slot 1 shows as
+    injury (the age, 'NA' where the injury is missing). Unkeyed rows show 'NA' only."""
+    injury = F.when(keyed, F.col("INJURY_CLASSIFICATION"))
+    return [
+        na_text(F.when(keyed, F.col("SEX"))).alias("_sex"),
+        na_text(F.when(keyed, F.col("AGE"))).alias("_age"),
+        F.when(injury.isNull(), F.lit("NA")).otherwise(F.col("AGE").cast("string")).alias("_inj_first"),
+        na_text(injury).alias("_inj_rest"),
+    ]
+
+
+def _driver_rows(people: DataFrame, driver_type: str, cluster: bool = False) -> DataFrame:
+    """Distinct (key, RD_NO, slot values) of the drivers with their number of copies ``_c``;
+    ``_id`` is the person id where the key is whole, else NULL. Copies are combined before
+    the shuffle, or after it where ``cluster`` has put each (crash, date) into one task."""
+    drivers = filter_drivers(people, driver_type)
+    keyed = F.col("CRASH_RECORD_ID").isNotNull() & F.col("CRASH_DATE").isNotNull() & F.col("PERSON_ID").isNotNull()
+    rows = drivers.select(*DRIVER_KEY, "RD_NO", F.when(keyed, F.col("PERSON_ID")).alias("_id"), *_slot_values(keyed))
+    if cluster:
+        rows = rows.repartition("CRASH_RECORD_ID", "CRASH_DATE")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _same_driver(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Equi-join on the driver key (never NULL here); the left key stays."""
+    renamed = right.select(*[F.col(c).alias(f"_k_{c}") if c in DRIVER_KEY else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in DRIVER_KEY:
+        cond = cond & (left[c] == renamed[f"_k_{c}"])
+    return left.join(renamed, cond, how).drop(*[f"_k_{c}" for c in DRIVER_KEY])
+
+
+def _several(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(drivers with one distinct row, all rows of drivers with more than one).
+
+    The latter are few; they are exchanged once for all that is derived from them, and
+    where there are none adaptive execution drops what follows.
+    """
+    variants = F.count(F.lit(1)).over(Window.partitionBy(*DRIVER_KEY))
+    whole = rows.filter(F.col("_id").isNotNull()).withColumn("_rows", variants)
+    return (whole.filter(F.col("_rows") == 1).drop("_rows"),
+            whole.filter(F.col("_rows") > 1).drop("_rows").repartition(*DRIVER_KEY))
+
+
+def _power(c: Column, k: int) -> Column:
+    out = c.cast("decimal(38,0)")
+    for _ in range(k - 1):
+        out = F.try_multiply(out, c.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return out
+
+
+def _product(factors: list[Column]) -> Column:
+    out = factors[0].cast("decimal(38,0)")
+    for f in factors[1:]:
+        out = F.try_multiply(out, f.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return out
+
+
+_LONG_MAX = 2**63 - 1
+
+
+def _as_count(c: Column) -> Column:
+    """A product as bigint; beyond bigint's range it stays at its end."""
+    top = F.lit(_LONG_MAX).cast("decimal(38,0)")
+    return F.coalesce(F.least(c, top), top).cast("bigint")
+
+
 def person_slots(
-    people: DataFrame, n: int = SLOT_COUNT, driver_type: str = "Driver", keep_injury: bool = False
+    people: DataFrame, n: int = SLOT_COUNT, driver_type: str = "Driver", expand: bool = True
 ) -> DataFrame:
     """Drivers with the compat person-slot columns.
 
-    The studied job left-joins the drivers to themselves on (crash, date, PERSON_ID)
-    without any sequence filter, so each driver fills all n slots with its own values
-    ('NA' for NULL text; slot 1's injury column carries the age). A driver with a NULL
+    The studied job left-joins the drivers to themselves n times on (crash, date,
+    PERSON_ID), without any sequence filter: a driver fills all n slots with its own values
+    ('NA' for NULL text; slot 1's injury column carries the age), and a driver that occurs
+    c times gives every combination of its rows, c ** (n + 1) in all. A driver with a NULL
     key matches nothing and gets a NULL id and 'NA' everywhere else.
+
+    Copies are counted, not multiplied row by row: distinct combinations carry their number
+    of occurrences, which ``expand`` turns into that many rows and ``expand=False`` returns
+    as ``copies``.
     """
-    drivers = filter_drivers(people, driver_type)
-    keyed = F.col("CRASH_RECORD_ID").isNotNull() & F.col("CRASH_DATE").isNotNull() & F.col("PERSON_ID").isNotNull()
-    age_text = F.col("AGE").cast("string")
-    cols = []
-    for k in range(1, n + 1):
-        injury = (
-            F.when(~keyed | F.col("INJURY_CLASSIFICATION").isNull(), F.lit("NA")).otherwise(age_text)
-            if k == 1
-            else na_text(F.when(keyed, F.col("INJURY_CLASSIFICATION")))
-        )
-        cols += [
-            F.when(keyed, F.col("PERSON_ID")).alias(f"PERSON{k}_ID"),
-            na_text(F.when(keyed, F.col("SEX"))).alias(f"PERSON{k}_SEX"),
-            na_text(F.when(keyed, F.col("AGE"))).alias(f"PERSON{k}_AGE"),
-            injury.alias(f"PERSON{k}_INJURY_CLASSIFICATION"),
+    rows = _driver_rows(people, driver_type)
+    one, many = _several(rows)
+    fields = ["_sex", "_age", "_inj_first", "_inj_rest"]
+
+    def shown(k: int, source: dict[str, Column]) -> list[Column]:
+        return [
+            F.col("_id").alias(f"PERSON{k}_ID"), source["_sex"].alias(f"PERSON{k}_SEX"), source["_age"].alias(f"PERSON{k}_AGE"),
+            source["_inj_first" if k == 1 else "_inj_rest"].alias(f"PERSON{k}_INJURY_CLASSIFICATION"),
         ]
-    out = drivers.select("PERSON_ID", "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *cols,
-                         F.col("INJURY_CLASSIFICATION").alias("_inj_src"))
-    return out if keep_injury else out.drop("_inj_src")
+
+    own = {f: F.col(f) for f in fields}
+    plain = [c for k in range(1, n + 1) for c in shown(k, own)]
+    columns = ["PERSON_ID", "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
+    unkeyed = rows.filter(F.col("_id").isNull()).select(*columns, *plain, F.col("_c").cast("decimal(38,0)").alias("copies"))
+    single = one.select(*columns, *plain, _power(F.col("_c"), n + 1).alias("copies"))
+
+    combined = many.groupBy(*DRIVER_KEY, "_id", "RD_NO").agg(F.sum("_c").alias("_m0"))
+    for k in range(1, n + 1):
+        values = ["_sex", "_age", "_inj_first" if k == 1 else "_inj_rest"]
+        slot = many.groupBy(*DRIVER_KEY, *values).agg(F.sum("_c").alias(f"_m{k}"))
+        combined = _same_driver(combined, slot.withColumnsRenamed({v: f"{v}{k}" for v in values}))
+    sources = [{f: F.col(f"{f}{k}") for f in fields} for k in range(1, n + 1)]
+    several = combined.select(
+        *columns, *[c for k in range(1, n + 1) for c in shown(k, sources[k - 1])],
+        _product([F.col(f"_m{k}") for k in range(n + 1)]).alias("copies"))
+
+    out = unkeyed.unionByName(single).unionByName(several).withColumn("copies", _as_count(F.col("copies")))
+    if not expand:
+        return out
+    # Two steps, so that no row makes an array of more than 2 ** 16 elements.
+    step = 1 << 16
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / step)))
+    out = out.withColumn("_chunk", chunk)
+    size = F.least(F.lit(step).cast("bigint"), F.col("copies") - F.col("_chunk") * step)
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), size.cast("int")))).drop("copies", "_chunk", "_copy")
 
 
 def people_summary(
@@ -246,73 +330,74 @@ def people_summary(
     driver_type: str = "Driver",
     strategy: str = "auto",
     hot_rows: int = DEFAULT_HOT_ROWS,
-    hot: list | None | object = DETECT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Drivers per crash: a driver count plus n person slots.
 
     compat: two GROUP BYs over ``person_slots`` — first (crash, RD_NO, date, slots) with
     the count, then (crash, date, RD_NO, count) with ``max`` per slot column (text max,
-    so '9' > '10' and 'NA' > any digit). A driver whose (crash, date, PERSON_ID) occurs
-    c times identically is counted c**5 times, as the four self-joins multiply.
+    so '9' > '10' and 'NA' > any digit). Drivers that occur more than once multiply as
+    the self-joins do, copies or not; the products are taken over distinct
+    multiplicities, never over rows.
     corrected: one row per crash, drivers ordered by PERSON_ID, slot k = k-th driver.
 
-    strategy (compat): ``cluster`` shuffles the drivers once by the crash join keys and
-    runs both GROUP BYs and the later join without another shuffle; ``partial`` lets
-    both GROUP BYs pre-aggregate before their shuffles (no task holds a whole crash);
-    ``auto`` uses ``partial`` for crashes with >= ``hot_rows`` drivers only.
+    strategy: ``cluster`` shuffles the drivers once by (crash, date) and does the rest
+    locally; ``partial`` lets every GROUP BY pre-aggregate before its shuffle (no task
+    holds a whole crash); ``auto`` uses ``partial`` for crashes with >= ``hot_rows``
+    drivers only.
     """
-    if not compat:
-        if strategy == "auto":
-            drivers = filter_drivers(people, driver_type)
-            return route_hot(
-                drivers, CRASH_KEY,
-                lambda df: _people_summary_fixed_window(df, n, driver_type),
-                lambda df: _people_summary_fixed(df, n, driver_type),
-                hot_rows, hot=hot,
-            )
-        if strategy == "cluster":
-            return _people_summary_fixed_window(people, n, driver_type)
-        return _people_summary_fixed(people, n, driver_type)
+    summarise = _people_summary_compat if compat else _people_summary_fixed
     if strategy == "auto":
-        drivers = filter_drivers(people, driver_type)
         return route_hot(
-            drivers, CRASH_KEY,
-            lambda df: _people_summary_compat(df, n, driver_type, "cluster"),
-            lambda df: _people_summary_compat(df, n, driver_type, "partial"),
+            filter_drivers(people, driver_type), CRASH_KEY,
+            lambda df: summarise(df, n, driver_type, "cluster"),
+            lambda df: summarise(df, n, driver_type, "partial"),
             hot_rows, hot=hot,
         )
-    return _people_summary_compat(people, n, driver_type, strategy)
+    return summarise(people, n, driver_type, strategy)
 
 
 def _people_summary_compat(people: DataFrame, n: int, driver_type: str, strategy: str) -> DataFrame:
-    # All n slots hold the driver's own values; only slot 1's injury column differs.
-    # Group and take maxima on the distinct values, then spread them over the n slots.
-    one = person_slots(people, 1, driver_type, keep_injury=True).withColumnRenamed(
-        "PERSON1_INJURY_CLASSIFICATION", "_inj_first"
-    )
-    if n > 1:
-        keyed = F.col("PERSON1_ID").isNotNull()
-        one = one.withColumn("_inj_rest", na_text(F.when(keyed, F.col("_inj_src"))))
-    one = one.drop("_inj_src")
-    if strategy == "cluster":
-        one = one.repartition(*JOIN_KEYS)
-    distinct_cols = [c for c in one.columns if c.startswith("PERSON1_") or c.startswith("_inj")]
-    inner = one.groupBy("CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *distinct_cols).agg(F.count("PERSON_ID").alias("_c"))
-    c = F.col("_c")
-    inner = inner.withColumn(
-        "Cnt_Drivers_Accid", F.when(F.col("PERSON1_ID").isNotNull(), c * c * c * c * c).otherwise(c)
-    )
-    out = inner.groupBy("CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid").agg(
-        *[F.max(x).alias(x) for x in distinct_cols]
-    )
-    spread = []
+    rows = _driver_rows(people, driver_type, cluster=strategy == "cluster")
+    one, many = _several(rows)
+    group = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
+    count = "Cnt_Drivers_Accid"
+
+    def spread(sources: list[dict[str, Column]]) -> list[Column]:
+        out = []
+        for k, s in enumerate(sources, 1):
+            out += [s["_id"].alias(f"PERSON{k}_ID"), s["_sex"].alias(f"PERSON{k}_SEX"), s["_age"].alias(f"PERSON{k}_AGE"),
+                    s["_inj"].alias(f"PERSON{k}_INJURY_CLASSIFICATION")]
+        return out
+
+    # Drivers with one distinct row show the same values in every slot: group and take the
+    # maxima of those values once, then spread them over the slots.
+    values = ["_id", "_sex", "_age", "_inj_first", "_inj_rest"]
+    single = one.select(*group, _as_count(_power(F.col("_c"), n + 1)).alias(count), *values)
+    none = rows.filter(F.col("_id").isNull()).groupBy(*group).agg(
+        F.sum(F.when(F.col("PERSON_ID").isNotNull(), F.col("_c")).otherwise(0)).alias(count))
+    unkeyed = none.select(*group, count, F.lit(None).cast("string").alias("_id"), *[F.lit("NA").alias(v) for v in values[1:]])
+    plain = single.unionByName(unkeyed).groupBy(*group, count).agg(*[F.max(v).alias(v) for v in values])
+    own = [{"_id": F.col("_id"), "_sex": F.col("_sex"), "_age": F.col("_age"),
+            "_inj": F.col("_inj_first" if k == 1 else "_inj_rest")} for k in range(1, n + 1)]
+    plain = plain.select(*group, count, *spread(own))
+
+    # Others: the count of a combination is a product of one multiplicity per slot and that
+    # of the RD_NO; a slot's maximum among combinations of one count is the maximum of the
+    # values with that slot's multiplicity.
+    combined = many.groupBy(*DRIVER_KEY, "_id", "RD_NO").agg(F.sum("_c").alias("_m0"))
     for k in range(1, n + 1):
-        for field in ("ID", "SEX", "AGE"):
-            spread.append(F.col(f"PERSON1_{field}").alias(f"PERSON{k}_{field}"))
-        spread.append(F.col("_inj_first" if k == 1 else "_inj_rest").alias(f"PERSON{k}_INJURY_CLASSIFICATION"))
-    return out.select("CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid", *spread).select(
-        *PEOPLE_SUMMARY_COLUMNS
-    )
+        injury = "_inj_first" if k == 1 else "_inj_rest"
+        slot = many.groupBy(*DRIVER_KEY, "_sex", "_age", injury).agg(F.sum("_c").alias(f"_m{k}"))
+        slot = slot.groupBy(*DRIVER_KEY, f"_m{k}").agg(
+            F.max("_sex").alias(f"_sex{k}"), F.max("_age").alias(f"_age{k}"), F.max(injury).alias(f"_inj{k}"))
+        combined = _same_driver(combined, slot)
+    several = combined.select(
+        *group, _as_count(_product([F.col(f"_m{k}") for k in range(n + 1)])).alias(count),
+        *spread([{"_id": F.col("_id"), "_sex": F.col(f"_sex{k}"), "_age": F.col(f"_age{k}"), "_inj": F.col(f"_inj{k}")}
+                 for k in range(1, n + 1)]))
+    out = plain.unionByName(several).groupBy(*group, count).agg(*[F.max(c).alias(c) for c in person_slot_columns(n)])
+    return out.select(*people_summary_columns(n))
 
 
 # Ties between equal PERSON_IDs are broken by these, so slots are deterministic.
@@ -333,56 +418,34 @@ def _driver_order(drivers: DataFrame) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in ["PERSON_ID"] + PERSON_TIE_BREAKERS if c in drivers.columns]
 
 
-def _people_summary_fixed_window(people: DataFrame, n: int, driver_type: str) -> DataFrame:
-    """Corrected summary with one shuffle: number drivers per crash, group locally."""
+def _people_summary_fixed(people: DataFrame, n: int, driver_type: str, strategy: str) -> DataFrame:
+    """Corrected summary. ``cluster``: one shuffle, drivers numbered per crash and grouped
+    locally. ``partial``: the first n drivers by a row-number limit that runs before the
+    shuffle, every driver only counted, both combined in one aggregation."""
     drivers = filter_drivers(people, driver_type)
-    w = Window.partitionBy(CRASH_KEY).orderBy(*_driver_order(drivers))
-    numbered = drivers.withColumn("_seq", F.row_number().over(w))
-    out = numbered.select(
-        "CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "PERSON_ID", *_driver_slot_values(n, F.col("_seq"))
-    ).groupBy("CRASH_RECORD_ID").agg(
-        F.max("CRASH_DATE").alias("CRASH_DATE"),
-        F.max("RD_NO").alias("RD_NO"),
-        F.count("PERSON_ID").alias("Cnt_Drivers_Accid"),
-        *[F.max(c).alias(c) for c in person_slot_columns(n)],
-    )
-    return out.select(*PEOPLE_SUMMARY_COLUMNS)
-
-
-def _people_summary_fixed(people: DataFrame, n: int, driver_type: str) -> DataFrame:
-    drivers = filter_drivers(people, driver_type)
-    order = [F.col(c).asc_nulls_first() for c in ["PERSON_ID"] + PERSON_TIE_BREAKERS if c in drivers.columns]
-    w = Window.partitionBy(CRASH_KEY).orderBy(*order)
-    top = drivers.withColumn("_seq", F.row_number().over(w)).filter(F.col("_seq") <= n)
+    numbered = drivers.withColumn(
+        "_seq", F.row_number().over(Window.partitionBy(CRASH_KEY).orderBy(*_driver_order(drivers))))
     slot_cols = person_slot_columns(n)
-    date_type = people.schema["CRASH_DATE"].dataType
-
-    def slot(k: int, field: str, value: Column) -> Column:
-        return F.when(F.col("_seq") == k, value).alias(f"PERSON{k}_{field}")
-
-    held = []
-    for k in range(1, n + 1):
-        held += [
-            slot(k, "ID", F.col("PERSON_ID")),
-            slot(k, "SEX", na_text(F.col("SEX"))),
-            slot(k, "AGE", na_text(F.col("AGE"))),
-            slot(k, "INJURY_CLASSIFICATION", na_text(F.col("INJURY_CLASSIFICATION"))),
-        ]
-    holders = top.select(
-        "CRASH_RECORD_ID", F.lit(None).cast(date_type).alias("CRASH_DATE"),
-        F.lit(None).cast("string").alias("RD_NO"), F.lit(0).cast("bigint").alias("_p"), *held,
-    )
-    base = drivers.select(
-        "CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", _flag(F.col("PERSON_ID")).alias("_p"),
-        *[F.lit(None).cast("string").alias(c) for c in slot_cols],
-    )
-    out = base.unionByName(holders).groupBy("CRASH_RECORD_ID").agg(
+    if strategy == "cluster":
+        rows = numbered.select(
+            "CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", _flag(F.col("PERSON_ID")).alias("_p"),
+            *_driver_slot_values(n, F.col("_seq")))
+    else:
+        holders = numbered.filter(F.col("_seq") <= n).select(
+            "CRASH_RECORD_ID", F.lit(None).cast(people.schema["CRASH_DATE"].dataType).alias("CRASH_DATE"),
+            F.lit(None).cast("string").alias("RD_NO"), F.lit(0).cast("bigint").alias("_p"),
+            *_driver_slot_values(n, F.col("_seq")))
+        base = drivers.select(
+            "CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", _flag(F.col("PERSON_ID")).alias("_p"),
+            *[F.lit(None).cast("string").alias(c) for c in slot_cols])
+        rows = base.unionByName(holders)
+    out = rows.groupBy("CRASH_RECORD_ID").agg(
         F.max("CRASH_DATE").alias("CRASH_DATE"),
         F.max("RD_NO").alias("RD_NO"),
         F.sum("_p").alias("Cnt_Drivers_Accid"),
         *[F.max(c).alias(c) for c in slot_cols],
     )
-    return out.select(*PEOPLE_SUMMARY_COLUMNS)
+    return out.select(*people_summary_columns(n))
 
 
 __all__ = ["vehicle_summary", "vehicle_pivot", "multi_vehicle_crashes", "person_slots", "people_summary"]

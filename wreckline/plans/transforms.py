@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wreckline.functions.calendar import with_calendar
 from wreckline.functions.text import clean_category, street_label
 from wreckline.operators.basic import dedup_rows, filter_drivers
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, DETECT, hot_keys, hot_keys_of
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys_of, route_hot, split_hot
 from wreckline.operators.summaries import people_summary, vehicle_summary
 from wreckline.schemas import (
     CRASH_COLUMNS,
@@ -23,8 +23,6 @@ from wreckline.schemas import (
 
 _JOIN_KEYS_COMPAT = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
 _JOIN_KEYS_FIXED = ["CRASH_RECORD_ID"]
-# Most crash rows that may be broadcast to the tasks of hot crashes (checked by count).
-MAX_BROADCAST_ROWS = 100_000
 
 
 def crash_calendar(crashes: DataFrame, compat: bool = True) -> DataFrame:
@@ -58,7 +56,7 @@ def _left_join(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
     return left.join(renamed, cond, "left").drop(*[f"{prefix}{k}" for k in keys])
 
 
-def _crash_side(crashes: DataFrame, keys: list[str], copies_safe: bool = False) -> DataFrame:
+def _crash_side(crashes: DataFrame, keys: list[str], strategy: str, hot_rows: int, hot: DataFrame | None = None) -> DataFrame:
     """Distinct crash rows for the summary joins.
 
     The studied jobs GROUP BY every output column after the joins. Each summary row is
@@ -67,43 +65,52 @@ def _crash_side(crashes: DataFrame, keys: list[str], copies_safe: bool = False)
     rows are. De-duplicating the 12 crash columns here gives the same rows as the wide
     GROUP BY over 31 / 48 columns, on fewer and narrower rows.
 
-    Ordinary crashes are clustered by the join keys first, so the de-duplication and both
-    joins share one shuffle. ``copies_safe`` (some crash id holds a huge number of rows,
-    e.g. copies of one row) de-duplicates before any shuffle instead: each map task sends
-    one copy, at the price of a second shuffle of the distinct crash rows for the joins.
+    Ordinary crashes (``window``) are clustered by the join keys first, so the
+    de-duplication and both joins share one shuffle. Crash ids with >= ``hot_rows`` rows,
+    e.g. copies of one row (``topk``), are de-duplicated before any shuffle instead: each
+    map task sends one copy.
     """
     rows = crashes.select(*CRASH_COLUMNS)
-    if copies_safe:
+    if strategy == "topk":
         return dedup_rows(rows)
-    return dedup_rows(rows.repartition(*keys))
-
+    if strategy == "window":
+        return dedup_rows(rows.repartition(*keys))
+    return route_hot(rows, "CRASH_RECORD_ID", lambda df: dedup_rows(df.repartition(*keys)), dedup_rows, hot_rows, hot=hot)
 
-def _crash_rows_hot(crashes: DataFrame, strategy: str, hot_rows: int) -> bool:
-    """Whether the crash side takes the copies-safe plan: forced by ``topk``, never for
-    ``window`` / ``join``, and under ``auto`` when some crash id has >= ``hot_rows`` rows."""
-    if strategy == "topk":
-        return True
-    if strategy != "auto":
-        return False
-    return hot_keys(crashes, "CRASH_RECORD_ID", hot_rows) != []
 
+def _summary_joins(
+    crashes: DataFrame, vehicles: DataFrame, people: DataFrame | None, compat: bool, strategy: str, hot_rows: int,
+) -> DataFrame:
+    """Crashes left-joined with the unit summary and, if given, the driver summary.
 
-def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, compat: bool = True,
-                          strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """A': crashes left-joined with the unit summary, calendar attributes, 31 columns."""
+    ``auto`` counts the crash ids of all tables together, as part of the plan, and each
+    part routes by that one list.
+    """
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows)
-    if not compat:
-        vs = vs.drop("RD_NO", "CRASH_DATE")
-    side = _crash_side(crashes, keys, _crash_rows_hot(crashes, strategy, hot_rows))
-    j = _left_join(side, vs, keys, "_v_")
-    j = with_calendar(j, "CRASH_DATE", compat)
-    j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
-        "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID"
-    )
+    hot = None
+    if strategy == "auto":
+        frames = [vehicles, crashes] + ([filter_drivers(people)] if people is not None else [])
+        hot = hot_keys_of(frames, "CRASH_RECORD_ID", hot_rows)
+    out = _crash_side(crashes, keys, strategy, hot_rows, hot)
+    parts = [vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows, hot=hot)]
+    if people is not None:
+        of_people = {"auto": "auto", "window": "cluster", "topk": "partial"}[strategy]
+        parts.append(people_summary(people, compat=compat, strategy=of_people, hot_rows=hot_rows, hot=hot))
+    for i, part in enumerate(parts):
+        out = _left_join(out, part if compat else part.drop("RD_NO", "CRASH_DATE"), keys, f"_{i}_")
+    out = with_calendar(out, "CRASH_DATE", compat)
+    return out.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
+        "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID")
+
+
+def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame | None = None, compat: bool = True,
+                          strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """A': crashes left-joined with the unit summary, calendar attributes, 31 columns.
+    ``people`` is not read; jobs pass the same three tables to every transform."""
+    out = _summary_joins(crashes, vehicles, None, compat, strategy, hot_rows)
     # Distinct already: the studied job's GROUP BY over every column is done on the
     # crash side (see _crash_side).
-    return j.select(*CRASH_VEHICLE_SUMMARY_COLUMNS)
+    return out.select(*CRASH_VEHICLE_SUMMARY_COLUMNS)
 
 
 def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool = True,
@@ -112,29 +119,11 @@ def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, co
 
     compat joins on (CRASH_RECORD_ID, CRASH_DATE, RD_NO) with NULL never matching, as the
     studied job does; corrected joins one-row-per-crash summaries on CRASH_RECORD_ID.
+    ``window`` plans for ordinary crashes, ``topk`` for huge ones, ``auto`` for both.
     """
-    keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    hot = DETECT
-    if strategy == "auto":
-        # one sampled job names the crash ids hot in any of the three tables; each part
-        # routes by that list (both of its plans are exact, so a wider list only moves work)
-        hot = _hot_crash_ids([vehicles, filter_drivers(people), crashes], hot_rows)
-    vs = vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows, hot=hot)
-    ps = people_summary(people, compat=compat, strategy="auto" if strategy in ("auto", "window") else "partial",
-                        hot_rows=hot_rows, hot=hot)
-    if not compat:
-        vs = vs.drop("RD_NO", "CRASH_DATE")
-        ps = ps.drop("RD_NO", "CRASH_DATE")
-    copies_safe = hot != [] if strategy == "auto" else _crash_rows_hot(crashes, strategy, hot_rows)
-    side = _crash_side(crashes, keys, copies_safe)
-    j = _left_join(side, vs, keys, "_v_")
-    j = _left_join(j, ps, keys, "_p_")
-    j = with_calendar(j, "CRASH_DATE", compat)
-    j = j.withColumnRenamed("Cnt_Entities_Accid", "CNT_ENTITIES_ACCID").withColumnRenamed(
-        "Cnt_MotorVehicles_Accid", "Cnt_MOTORVEHICLES_ACCID"
-    )
+    out = _summary_joins(crashes, vehicles, people, compat, strategy, hot_rows)
     # Distinct already (the GROUP BY over all 48 columns is done on the crash side).
-    return j.select(*CRASH_SUMMARY_COLUMNS)
+    return out.select(*CRASH_SUMMARY_COLUMNS)
 
 
 def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame,
@@ -147,32 +136,20 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
     so all rows of a crash meet in one task. ``spread`` keeps a crash's rows spread by
     unit: each input is de-duplicated on the columns it contributes before its first
     shuffle (copies of a row cost one row per map task), units and people meet on
-    (crash, unit, date), and the crash attributes come from a broadcast whose row count
-    is checked first (too many falls back to a shuffle join on (crash, date)). ``auto``
-    sends crashes with >= ``hot_rows`` rows in any of the three tables through
-    ``spread`` and the rest through ``shuffle``.
+    (crash, unit, date), and the join of their rows with the crash attributes is left to
+    adaptive execution, which broadcasts a side that turns out small and splits skewed
+    partitions. ``auto`` sends crashes with >= ``hot_rows`` rows in any of the three
+    tables through ``spread`` and the rest through ``shuffle``. Units without a crash id
+    or date can match nothing and skip the joins.
     """
-    if strategy == "auto":
-        hot = _hot_crash_ids([vehicles, people, crashes], hot_rows)
-        if hot == []:
-            return _vehicle_person_detail(crashes, vehicles, people, compat, None)
-        if hot is None:  # too many hot crashes to name: every crash is spread
-            return _vehicle_person_detail(crashes, vehicles, people, compat, "spread")
-        is_hot = F.col("CRASH_RECORD_ID").isin(hot)
-        cold = _vehicle_person_detail(
-            crashes.filter(~is_hot), vehicles.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot),
-            people.filter(F.col("CRASH_RECORD_ID").isNull() | ~is_hot), compat, None,
-        )
-        hot_part = _vehicle_person_detail(
-            crashes.filter(is_hot), vehicles.filter(is_hot), people.filter(is_hot), compat, "spread",
-        )
-        return cold.unionByName(hot_part)
-    return _vehicle_person_detail(crashes, vehicles, people, compat, "spread" if strategy == "spread" else None)
-
-
-def _hot_crash_ids(frames: list[DataFrame], hot_rows: int) -> list | None:
-    """Crash ids with >= ``hot_rows`` rows in any of ``frames`` (None: too many to name)."""
-    return hot_keys_of(frames, "CRASH_RECORD_ID", hot_rows)
+    if strategy == "shuffle":
+        return _vehicle_person_detail(crashes, vehicles, people, compat, False)
+    if strategy == "spread":
+        return _vehicle_person_detail(crashes, vehicles, people, compat, True)
+    key = "CRASH_RECORD_ID"
+    hot = hot_keys_of([vehicles, people, crashes], key, hot_rows)
+    cold, hot_part = zip(*[split_hot(df, key, hot) for df in (crashes, vehicles, people)], strict=True)
+    return _vehicle_person_detail(*cold, compat, False).unionByName(_vehicle_person_detail(*hot_part, compat, True))
 
 
 def _partial_key_copartition(df: DataFrame) -> bool:
@@ -181,7 +158,7 @@ def _partial_key_copartition(df: DataFrame) -> bool:
 
 
 def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool,
-                           mode: str | None) -> DataFrame:
+                           spread: bool) -> DataFrame:
     v = vehicles.select("CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID", "MAKE", "MODEL", "UNIT_TYPE")
     p = people.select(
         F.col("CRASH_RECORD_ID").alias("_p_crash"), F.col("CRASH_DATE").alias("_p_date"),
@@ -195,14 +172,14 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
         street_label(F.col("STREET_NO"), F.col("STREET_DIRECTION"), F.col("STREET_NAME"), compat).alias("street"),
         "INJURIES_TOTAL", "INJURIES_FATAL",
     )
-    if mode == "spread":
+    if spread:
         # Every output column comes from one side and each side's join keys are among its
         # columns, so distinct sides give distinct joined rows: the GROUP BY over all 19
         # columns moves before the joins, where partial aggregation collapses copies
         # before the shuffle and no join multiplies them.
         v, p, c = dedup_rows(v), dedup_rows(p), dedup_rows(c)
-        if c.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-            c = F.broadcast(c)
+        whole = F.col("CRASH_RECORD_ID").isNotNull() & F.col("CRASH_DATE").isNotNull()
+        unmatched, v = v.filter(~whole), v.filter(whole)
     elif _partial_key_copartition(crashes):
         # Cluster all three inputs by (crash, date) once: the unit-person join (on
         # crash, unit, date), the crash join and the final de-duplication all reuse it,
@@ -215,8 +192,10 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
         (v.CRASH_RECORD_ID == p._p_crash) & (v.CRASH_UNIT_ID == p._p_unit) & (v.CRASH_DATE == p._p_date),
         "left",
     )
-    vpc = vp.join(c, (vp.CRASH_RECORD_ID == c._c_crash) & (vp.CRASH_DATE == c._c_date), "left")
-    out = vpc.select(
+    out = vp.join(c, (vp.CRASH_RECORD_ID == c._c_crash) & (vp.CRASH_DATE == c._c_date), "left")
+    if spread:
+        out = out.unionByName(unmatched, allowMissingColumns=True)
+    out = out.select(
         "CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID", "MAKE",
         clean_category(F.col("MAKE"), compat).alias("Vehicle_Make"),
         "MODEL",
@@ -225,7 +204,7 @@ def _vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: Data
         "weather_condition", "lighting_condition", "prim_contributory_cause", "street",
         "INJURIES_TOTAL", "INJURIES_FATAL",
     )
-    if mode != "spread":
+    if not spread:
         out = dedup_rows(out)
     return out.select(*VEHICLE_PERSON_DETAIL_COLUMNS)
 

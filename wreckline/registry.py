@@ -83,7 +83,7 @@ QUERIES: dict[str, Query] = {
     "crash_vehicle_summary_fixed": _q(lambda c, v, p: crash_vehicle_summary(c, v, compat=False)),
     # unit summaries and slots
     "vehicle_summary": _q(lambda c, v, p: vehicle_summary(v, compat=True)),
-    "vehicle_summary_join": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="join")),
+    "vehicle_summary_join": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="lookup")),
     "vehicle_summary_window": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="window")),
     "vehicle_summary_topk": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="topk")),
     # crashes with 6+ units take the skew-proof plan, the others the window plan

@@ -41,14 +41,18 @@ def person_slot_columns(n: int = SLOT_COUNT) -> list[str]:
 
 CALENDAR_COLUMNS = ["CRASH_MONTH", "CRASH_YEAR", "YEAR_MONTH", "DAY_OF_WEEK", "HOUR_OF_DAY"]
 
-VEHICLE_SUMMARY_COLUMNS = (
-    ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid"]
-    + vehicle_slot_columns()
-)
-VEHICLE_PIVOT_COLUMNS = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"] + vehicle_slot_columns()
-PEOPLE_SUMMARY_COLUMNS = (
-    ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid"] + person_slot_columns()
-)
+def vehicle_summary_columns(n: int = SLOT_COUNT) -> list[str]:
+    return ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", "Cnt_Entities_Accid", "Cnt_MotorVehicles_Accid"] + vehicle_slot_columns(n)
+
+
+def vehicle_pivot_columns(n: int = SLOT_COUNT) -> list[str]:
+    return ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"] + vehicle_slot_columns(n)
+
+
+def people_summary_columns(n: int = SLOT_COUNT) -> list[str]:
+    return ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", "Cnt_Drivers_Accid"] + person_slot_columns(n)
+
+
 CRASH_VEHICLE_SUMMARY_COLUMNS = (
     ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
     + CALENDAR_COLUMNS
