@@ -1,7 +1,7 @@
 """spark-submit entry point for the batch transforms.
 
   spark-submit jobs/transform.py --input_crashes <parquet> --input_vehicles <parquet> \
-      --input_people <parquet> --output <dir> [--job crash_summary|vehicle_person_detail] \
+      --input_people <parquet> --output <dir> [--job crash_summary|crash_vehicle_summary|vehicle_person_detail] \
       [--corrected] [--num_files N]
 """
 

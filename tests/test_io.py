@@ -22,7 +22,7 @@ from wreckline.sources import (
     write_parquet,
     write_table,
 )
-from wreckline.sources.ingest import EmptyCsvError
+from wreckline.sources.ingest import EmptyCsvError, TooManyRejectedError
 
 SCHEMA = T.StructType([
     T.StructField("CRASH_RECORD_ID", T.StringType()),
@@ -106,13 +106,66 @@ def test_sink_modes_and_stage(spark, tmp_path):
 def test_catalog_tables(spark, tmp_path):
     path = str(tmp_path / "clean")
     write_parquet(spark.createDataFrame([("a", 2022), ("b", 2023)], "id string, CRASH_YEAR int"), path)
-    ext = register_external(spark, "final_summ_external_table", path)
-    assert ext.count() == 2
-    out = publish_table(spark, "final_summ_external_table", "final_summary", partition_by=["CRASH_YEAR"])
-    again = publish_table(spark, "final_summ_external_table", "final_summary", partition_by=["CRASH_YEAR"])
+    ext = register_external(spark, "years_ext", path)
+    assert ext.count() == 2 and register_external(spark, "years_ext", path).count() == 2
+    out = publish_table(spark, "years_ext", "years", partition_by=["CRASH_YEAR"])
+    again = publish_table(spark, "years_ext", "years", partition_by=["CRASH_YEAR"])
     assert out.count() == again.count() == 2
     with pytest.raises(Exception):
-        write_table(spark.table("final_summary"), "final_summary")
+        write_table(spark.table("years"), "years")
+    with pytest.raises(ValueError, match="managed"):
+        register_external(spark, "years", path)  # never drops a managed table and its data
+    with pytest.raises(ValueError, match="external"):
+        publish_table(spark, "years", "years_ext")
+    broken = spark.createDataFrame([("x",)], "id string").selectExpr("raise_error(id) AS id")
+    with pytest.raises(Exception, match="x"):
+        publish_table(spark, broken, "years")
+    assert spark.table("years").count() == 2  # a failed write leaves the old table
+    assert publish_table(spark, spark.table("years_ext").limit(1), "years").count() == 1
+
+
+def test_partitioned_overwrite_replaces_everything(spark, tmp_path):
+    path = str(tmp_path / "by_year")
+    both = spark.createDataFrame([("a", 2021), ("b", 2022)], "id string, y int")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_parquet(both, path, partition_by=["y"])
+        write_parquet(both.filter("y = 2022"), path, partition_by=["y"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.id for r in spark.read.parquet(path).collect()] == ["b"]
+
+
+WIDE = "CRASH_RECORD_ID,X,CRASH_DATE,INJURIES_TOTAL\na1,x,2022-04-22,1\n"
+
+
+@pytest.mark.parametrize("row", ["a2,x,2022-04-22,1,5,6", "a2,x", "a2"])
+def test_ragged_rows_with_undeclared_columns(spark, tmp_path, row):
+    src = _write(tmp_path / "wide.csv", WIDE + row + "\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        csv_to_parquet(spark, src, schema=SCHEMA)
+    res = csv_quarantine(spark, src, SCHEMA)
+    assert (res.rows, res.rejected) == (1, 1)
+    assert [r.CRASH_RECORD_ID for r in spark.read.parquet(res.target).collect()] == ["a1"]
+    with pytest.raises(TooManyRejectedError):
+        csv_quarantine(spark, src, SCHEMA, max_rejected=0)
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    folder = tmp_path / "two.csv"
+    folder.mkdir()
+    _write(folder / "a.csv", "A,B\n1,2\n")
+    _write(folder / "b.csv", "B,A\n3,4\n")
+    schema = T.StructType([T.StructField("A", T.LongType()), T.StructField("B", T.LongType())])
+    with pytest.raises(Exception):
+        csv_to_parquet(spark, str(folder), schema=schema)
+
+
+def test_compat_landing_keeps_empty_text_and_rows_without_a_date(spark, tmp_path):
+    src = _write(tmp_path / "c.csv", GOOD + ',2022-04-22,\na9,yesterday,3\n')
+    rows = spark.read.parquet(csv_to_parquet(spark, src, schema=SCHEMA, compat=True)).collect()
+    assert ("", None) in {(r.CRASH_RECORD_ID, r.INJURIES_TOTAL) for r in rows}
+    assert {r.CRASH_RECORD_ID: r.CRASH_DATE for r in rows}["a9"] is None and len(rows) == 4
 
 
 def test_output_contract(spark):
@@ -148,15 +201,29 @@ def test_run_pipeline_end_to_end(spark, tmp_path):
         (df.write.option("header", True).option("timestampNTZFormat", "MM/dd/yyyy hh:mm:ss a")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
         csvs[name] = path
-    res = run_pipeline(spark, csvs, str(tmp_path / "zones"), table="final_summary_e2e",
-                       external_table="final_summ_ext_e2e", partition_by=None)
-    for name in csvs:
-        assert spark.read.parquet(f"{tmp_path}/zones/raw/_quarantine/{name}").count() == 0
-    got = spark.table("final_summary_e2e")
+    names = {name: f"raw_{name}_e2e" for name in csvs}
+    res = run_pipeline(spark, csvs, str(tmp_path / "zones"), table="summary_e2e", external_table="summary_ext_e2e",
+                       raw_tables=names)
+    for name, df in (("crash", c), ("vehicles", v), ("people", p)):
+        assert (res.landed[name].rows, res.landed[name].rejected) == (df.count(), 0)
+        assert spark.table(names[name]).count() == df.count()
+    assert spark.table("summary_ext_e2e").count() == spark.table("summary_e2e").count()
+    got = spark.table("summary_e2e")
     want = crash_summary(c, v, p)
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert res.clean.endswith("clean/crash_summary")
+    # A rerun goes on where the earlier one stopped: finished zones are kept as they are.
+    stamp = os.path.getmtime(f"{tmp_path}/zones/raw/crash/_SUCCESS")
+    done = os.path.getmtime(f"{res.clean}/_SUCCESS")
+    os.remove(f"{tmp_path}/zones/raw/people/_SUCCESS")
+    again = run_pipeline(spark, csvs, str(tmp_path / "zones"), table="summary_e2e_only", resume=True)
+    assert os.path.getmtime(f"{tmp_path}/zones/raw/crash/_SUCCESS") == stamp
+    assert os.path.exists(f"{tmp_path}/zones/raw/people/_SUCCESS") and os.path.getmtime(f"{res.clean}/_SUCCESS") == done
+    assert again.external_table is None and spark.table("summary_e2e_only").count() == want.count()
+    # A', published without an external table in between
+    run_pipeline(spark, csvs, str(tmp_path / "zones"), job="crash_vehicle_summary", table="units_e2e", resume=True)
+    assert len(spark.table("units_e2e").columns) == 31 and spark.table("units_e2e").count() > 0
 
 
 def test_strict_ingest_parses_export_dates_and_rejects_junk(spark, tmp_path):
@@ -182,7 +249,7 @@ def test_transform_job_entry_point(spark, tmp_path):
     spec = importlib.util.spec_from_file_location("transform_job", os.path.join(ROOT, "jobs", "transform.py"))
     job = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(job)
-    for which, cols in (("crash_summary", 48), ("vehicle_person_detail", 19)):
+    for which, cols in (("crash_summary", 48), ("crash_vehicle_summary", 31), ("vehicle_person_detail", 19)):
         out = job.main([
             "--input_crashes", paths["crash"], "--input_vehicles", paths["vehicles"],
             "--input_people", paths["people"], "--output", str(tmp_path / which), "--job", which,

@@ -5,7 +5,9 @@
    in one band. Two sets of a tile that meet the threshold differ in at most ``H`` shingles,
    so if the hash space is cut into more than ``H`` ranges, some range has the same
    content in both: each set sends one key per range, and sets that share a key are
-   linked as candidates. ``SLACK`` more ranges absorb ranges that are empty in both.
+   linked as candidates. A range with fewer than ``STRONG`` shingles says little (one
+   common shingle makes strangers agree); more ranges than ``H + 1`` make sure that a range
+   with more content agrees, and a set with more weak ranges than that sends them too.
 3. Keys are combined where they arise: equal keys within a task become star edges at
    once and one copy travels on, so that a key which a third of all sets hold moves one
    row per task. What the stars connect is a family; no true pair leaves its family.
@@ -44,7 +46,9 @@ PERCENT = 85
 BLOCK = 1 << 20
 #: Keys in one partition of the candidate shuffle, about.
 KEYS_PER_PARTITION = 1_000_000
-_GROWTH = 1.4
+#: Shingles that a range must hold to count on its own.
+STRONG = 2
+_GROWTH = 1.18
 _U = np.uint64
 
 
@@ -61,16 +65,24 @@ class Bands:
         for low, high in zip(lows[:-1], lows[1:], strict=True):
             # Sets x <= y with 100 I >= p U differ in at most (100 - p) / p * x shingles.
             differ = (100 - percent) * (high - 1) // percent
-            slack = 0
-            for _ in range(4):  # settles at once: few ranges are empty
-                n = differ + 1 + slack
-                empty = n * math.exp(-low / n)
-                slack = math.ceil(empty + 4 * math.sqrt(empty)) if differ else 0
-            self.ranges.append(differ + 1 + slack if differ else 0)
-            self.slack.append(slack)
+            ranges = self._enough(low, differ) if differ else 0
+            self.ranges.append(ranges)
+            self.slack.append(max(0, ranges - differ - 1))
         self.ranges = np.array(self.ranges, dtype=np.int64)
         self.slack = np.array(self.slack, dtype=np.int64)
 
+    @staticmethod
+    def _enough(low: int, differ: int) -> int:
+        """The least number of ranges of which, beyond ``differ``, more than the weak ones
+        remain for nearly all sets of the smallest size; where there is none (small
+        sets), one more than ``differ`` and their weak ranges count too."""
+        for n in range(differ + 1, 2 * differ + 2, max(1, differ // 64)):
+            load = low / n
+            weak = n * math.exp(-load) * sum(load**k / math.factorial(k) for k in range(STRONG))
+            if n - differ - 1 >= weak + math.sqrt(weak):
+                return n
+        return differ + 1
+
     def tiles(self, sizes: np.ndarray) -> list[np.ndarray]:
         """For each set the tile of its own band, and the one below if a smaller partner
         of its size exists there; -1 where there is none or only equal sets would do."""
@@ -100,13 +112,17 @@ def _range_keys(hashes: np.ndarray, bounds: np.ndarray, tile: np.ndarray, bands:
     row, part = owner[at], part[at]
     label = mix((tile[row].astype(np.uint64) << _U(40)) + part + _U(1))
     keys = mix(content + label)
-    held = np.bincount(row, minlength=len(sizes))
-    for r in rows[(ranges - held)[rows] > bands.slack[tile[rows]]]:  # more empty ranges than the slack absorbs
-        full = part[row == r]
-        none = np.setdiff1d(np.arange(ranges[r], dtype=np.uint64), full)
-        keys = np.concatenate((keys, mix(mix((_U(int(tile[r])) << _U(40)) + none + _U(1)))))
-        row = np.concatenate((row, np.full(len(none), r)))
-    return keys, row
+    strong = np.diff(np.append(at, len(h))) >= STRONG
+    weak = ranges - np.bincount(row[strong], minlength=len(sizes))
+    many = np.zeros(len(sizes), dtype=bool)
+    many[rows] = weak[rows] > bands.slack[tile[rows]]
+    sent = strong | many[row]
+    full = np.bincount(row, minlength=len(sizes))
+    extra = [(keys[sent], row[sent])]
+    for r in np.flatnonzero(many & (full < ranges)):  # empty ranges are weak ones, too
+        none = np.setdiff1d(np.arange(ranges[r], dtype=np.uint64), part[row == r])
+        extra.append((mix(mix((_U(int(tile[r])) << _U(40)) + none + _U(1))), np.full(len(none), r)))
+    return np.concatenate([k for k, _ in extra]), np.concatenate([r for _, r in extra])
 
 
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -216,17 +232,19 @@ def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: i
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """members (doc_id, n, k1, k2, family) with the tiles each belongs to: (tile, side, bucket).
+    """members (doc_id, n, k1, k2, family) with the tiles each belongs to: (tile, side, alone).
 
     A family of at most BLOCK shingles is one tile. A larger one is cut by size and, within
-    a size, by hash, and its tiles are the block pairs whose sizes allow a link.
+    a size, by hash, and its tiles are the block pairs whose sizes allow a link. There are
+    at most (all shingles) / BLOCK large families, so their names and sizes are broadcast:
+    no member is ever shuffled by its family.
     """
     totals = members.groupBy("family").agg(F.sum("n").alias("all"))
-    members = members.join(totals, "family").withColumn(
-        "q", F.when(F.col("all") <= BLOCK, F.lit(-1)).otherwise(F.floor(F.log("n") / math.log(1.05)).cast("int")))
-    small = members.where("q < 0").select(
-        "doc_id", "n", "k1", "k2", F.col("family").alias("tile"), F.lit(0).alias("side"), "all")
-    large = members.where("q >= 0")
+    names = F.broadcast(totals.where(F.col("all") > BLOCK).select("family"))
+    small = members.join(names, "family", "left_anti").select(
+        "doc_id", "n", "k1", "k2", F.col("family").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("alone"))
+    large = members.join(names, "family", "left_semi").withColumn(
+        "q", F.floor(F.log("n") / math.log(1.05)).cast("int"))
     sizes = large.groupBy("family", "q").agg(
         F.sum("n").alias("sum"), F.min("n").alias("low"), F.max("n").alias("high"))
     sizes = sizes.withColumn("salts", F.ceil(F.col("sum") / (BLOCK / 2)).cast("int"))
@@ -240,10 +258,10 @@ def _blocks(members: DataFrame) -> DataFrame:
         "explode(IF(x.q = y.q AND x.salt = y.salt, array(struct(x.q, x.salt, 0 AS side)),"
         " array(struct(x.q, x.salt, 1 AS side), struct(y.q, y.salt, 2 AS side))))").alias("b")
     ).select("tile", "family", "b.q", "b.salt", "b.side")
-    salted = large.join(sizes.select("family", "q", "salts"), ["family", "q"]).withColumn(
+    salted = large.join(F.broadcast(sizes.select("family", "q", "salts")), ["family", "q"]).withColumn(
         "salt", F.pmod(F.xxhash64("k1", "k2"), F.col("salts")).cast("int"))
     placed = salted.join(pairs, ["family", "q", "salt"]).select(
-        "doc_id", "n", "k1", "k2", "tile", "side", F.lit(None).cast("long").alias("all"))
+        "doc_id", "n", "k1", "k2", "tile", "side", F.lit(True).alias("alone"))
     return small.unionByName(placed)
 
 
@@ -292,7 +310,9 @@ def verified_links(df: DataFrame, members: DataFrame, doc_id: str, text: str, wi
     buckets = max(1, -(-tokens // (2 * BLOCK)))
     once = placed.select("doc_id", "k1", "k2").distinct()
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    texts = rows.join(once, "doc_id")
+    # One plan at every size: the texts of members are found by a shuffle, never by a
+    # broadcast that only small inputs allow.
+    texts = rows.join(once.hint("merge"), "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,8 +329,8 @@ def verified_links(df: DataFrame, members: DataFrame, doc_id: str, text: str, wi
 
     made = texts.select("doc_id", "text", "k1", "k2").mapInArrow(sets, "doc_id long, k1 long, k2 long, hashes binary")
     full = made.join(placed, ["doc_id", "k1", "k2"]).select(
-        F.when(F.col("all").isNull(), F.col("tile")).otherwise(F.pmod(F.xxhash64("tile"), F.lit(buckets))).alias("unit"),
-        F.col("all").isNull().alias("alone"), "tile", "side", "doc_id", "hashes")
+        F.when(F.col("alone"), F.col("tile")).otherwise(F.pmod(F.xxhash64("tile"), F.lit(buckets))).alias("unit"),
+        "alone", "tile", "side", "doc_id", "hashes")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()

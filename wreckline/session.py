@@ -20,7 +20,6 @@ _DEFAULTS = {
     # Calendar columns are computed on timestamp_ntz and do not depend on this, but
     # any cast of a zoned timestamp to text does.
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A join may reuse a clustering on some of its keys (e.g. rows already clustered by
     # (crash, date) join on (crash, unit, date) in place). Every such clustering here
     # leads with the crash id, and crashes too large for one task are routed to the
@@ -102,4 +101,26 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
             )
         base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wreckline-"))
     leaf = name or "stage"
-    return os.path.join(base.rstrip("/"), f"{leaf}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base.rstrip("/"), f"{leaf}-{uuid.uuid4().hex[:12]}")
+    _remove_at_exit(spark, path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop file system, Hadoop path) of a location, as the driver sees them."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Staged data is the session's own: its folder goes when the driver's JVM ends."""
+    store, where = file_system(spark, path)
+    store.mkdirs(where)  # only what exists can be marked
+    store.deleteOnExit(where)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been completed."""
+    store, where = file_system(spark, os.path.join(path, "_SUCCESS"))
+    return store.exists(where)

@@ -57,8 +57,13 @@ def read_csv_table(
     one, types are inferred (an extra pass; use only to bootstrap a schema).
     ``mode``: FAILFAST rejects a ragged or unparsable row, PERMISSIVE keeps it with NULLs
     (and the raw line in ``corrupt_column`` when that column is in the schema).
+
+    Every row is parsed whole, whichever columns are read later, so a ragged row is seen
+    (pruned parsing would not notice it); and a file whose header differs from the schema
+    fails instead of having its values bound to other columns.
     """
     reader = spark.read.option("header", True).option("mode", mode)
+    reader = reader.option("columnPruning", False).option("enforceSchema", False)
     if multiline:
         reader = reader.option("multiLine", True)
     if timestamp_format:

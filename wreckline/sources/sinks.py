@@ -15,7 +15,9 @@ def write_parquet(
     partition_by: list[str] | None = None,
     cluster_by: list[str] | None = None,
 ) -> str:
-    """Write Parquet. ``mode``: overwrite | errorifexists | append | ignore.
+    """Write Parquet. ``mode``: overwrite | errorifexists | append | ignore. Overwrite
+    replaces everything at ``path``, partitions that the new data lacks included, whatever
+    the session's partition overwrite mode.
 
     ``num_files`` is only for small outputs: a ``coalesce`` to n files makes the last
     stage run in n tasks. Left as None, Spark writes one file per (AQE-coalesced) task.
@@ -30,7 +32,7 @@ def write_parquet(
         out = out.hint("rebalance", *cluster_by).sortWithinPartitions(*cluster_by)
     if num_files:
         out = out.coalesce(num_files)
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -63,21 +65,46 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _table_type(spark: SparkSession, table: str) -> str | None:
+    """MANAGED, EXTERNAL, VIEW, TEMPORARY, or None if there is no such table."""
+    return spark.catalog.getTable(table).tableType if spark.catalog.tableExists(table) else None
+
+
 def register_external(spark: SparkSession, table: str, location: str, replace: bool = True) -> DataFrame:
-    """Catalog table over existing Parquet files (schema read from the files)."""
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {_quote(table)}")
+    """Catalog table over existing Parquet files (schema read from the files).
+
+    ``replace`` drops an earlier external table of that name, whose files stay where they
+    are; a managed table or a view of that name is never dropped but refused.
+    """
+    kind = _table_type(spark, table)
+    if kind is not None:
+        if not replace or kind != "EXTERNAL":
+            raise ValueError(f"{table} exists ({kind.lower()}); only an external table is replaced")
+        spark.sql(f"DROP TABLE {_quote(table)}")
     escaped = location.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {_quote(table)} USING PARQUET LOCATION '{escaped}'")
     return spark.table(table)
 
 
 def publish_table(
-    spark: SparkSession, source: str, target: str, partition_by: list[str] | None = None
+    spark: SparkSession, source: str | DataFrame, target: str, partition_by: list[str] | None = None
 ) -> DataFrame:
-    """Create-or-replace ``target`` as a managed copy of table ``source``.
+    """Create-or-replace ``target`` as a managed copy of ``source`` (a table name or frame).
 
-    ``partition_by`` lays the copy out by those columns so later filters on them prune.
+    The copy is written beside the target and takes its name only when it is complete: a
+    write that fails leaves the old table as it was. ``partition_by`` lays the copy out by
+    those columns so later filters on them prune.
     """
-    write_table(spark.table(source), target, mode="overwrite", partition_by=partition_by)
+    kind = _table_type(spark, target)
+    if kind not in (None, "MANAGED"):
+        raise ValueError(f"{target} exists ({kind.lower()}); only a managed table is replaced")
+    beside = f"{target}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {_quote(beside)}")  # left by a run that failed
+    write_table(spark.table(source) if isinstance(source, str) else source, beside, partition_by=partition_by)
+    if kind is not None:
+        spark.sql(f"DROP TABLE {_quote(target)}")
+    spark.sql(f"ALTER TABLE {_quote(beside)} RENAME TO {_quote(target)}")
+    if partition_by:  # the catalog still lists the partitions under the name they were written by
+        spark.sql(f"MSCK REPAIR TABLE {_quote(target)} SYNC PARTITIONS")
+        spark.catalog.refreshTable(target)
     return spark.table(target)
