@@ -7,9 +7,12 @@ studied pipeline does) and runs one operator or pipeline over all of them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wreckline.oracle import LOOKUP_CRASH_ID
 from wreckline.operators import (
@@ -21,6 +24,7 @@ from wreckline.operators import (
     people_summary,
     person_slots,
     preview,
+    sanitize_columns,
     vehicle_pivot,
     vehicle_slots,
     vehicle_summary,
@@ -34,11 +38,14 @@ from wreckline.plans import (
     street_labels,
     vehicle_person_detail,
 )
+from wreckline.plans.publish import RunResult, run_pipeline
 from wreckline.schemas import PEOPLE_COLUMNS_WITH_VEHICLE
 from wreckline.schemas import SCHEMAS
 from wreckline.session import shared_dir
 from wreckline.sources.derived import exported_csv, landed_crash_tables
 from wreckline.sources.ingest import csv_quarantine, csv_to_parquet
+from wreckline.sources.readers import read_with_schema
+from wreckline.sources.sinks import publish_table, stage_parquet, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +74,74 @@ def _ingest(name: str, quarantine: bool) -> Query:
     return run
 
 
+def _repeated(people: DataFrame) -> DataFrame:
+    """People of whom every 11th occurs again with another sex and with another RD_NO, and
+    every 22nd once more as it is."""
+    again = people.filter("VEHICLE_ID % 11 = 0")
+    return (people.unionByName(again.withColumn("SEX", F.lit("X"))).unionByName(again.withColumn("RD_NO", F.lit("RD0")))
+            .unionByName(people.filter("VEHICLE_ID % 22 = 0")))
+
+
+def _run(job: str, read: Callable[[SparkSession, RunResult], DataFrame]) -> Query:
+    """The whole run over CSV drops, into tables of its own; what ``read`` reads back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tag = uuid.uuid4().hex[:8]
+        done = run_pipeline(
+            spark, exported_csv(spark, sf_dir), shared_dir(spark, "run"), job=job,
+            external_table=f"clean_{job}_{tag}", table=f"published_{job}_{tag}",
+            raw_tables={name: f"raw_{name}_{tag}" for name in SCHEMAS})
+        return read(spark, done)
+
+    return run
+
+
+def _raw_counts(spark: SparkSession, done: RunResult) -> DataFrame:
+    out = None
+    for name, table in done.raw_tables.items():
+        one = spark.table(table).agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.countDistinct("CRASH_RECORD_ID").alias("crash_ids"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _partitioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A' published as a managed table partitioned by hour, twice: the second replaces."""
+    crashes, vehicles, _ = landed_crash_tables(spark, sf_dir)
+    name = f"by_hour_{uuid.uuid4().hex[:8]}"
+    publish_table(spark, crash_vehicle_summary(crashes, vehicles).limit(1), name, partition_by=["HOUR_OF_DAY"])
+    return publish_table(spark, crash_vehicle_summary(crashes, vehicles), name, partition_by=["HOUR_OF_DAY"])
+
+
+def _schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The people zone read with a declared schema that has a column the files lack."""
+    _, _, people = landed_crash_tables(spark, sf_dir)
+    zone = write_parquet(people, shared_dir(spark, "people"))
+    return read_with_schema(spark, zone, SCHEMAS["people"])
+
+
+def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop with a column that is not declared, in which every 7th row is ragged: what
+    landed and what was set aside."""
+    crashes, _, _ = landed_crash_tables(spark, sf_dir)
+    declared = T.StructType([f for f in SCHEMAS["crash"].fields if f.name in ("CRASH_RECORD_ID", "RD_NO", "INJURIES_TOTAL")])
+    key = F.col("CRASH_RECORD_ID").cast("bigint")
+    rows = crashes.select(F.concat_ws(
+        ",", F.col("CRASH_RECORD_ID"), F.coalesce("RD_NO", F.lit("")), F.lit("x"),
+        F.when(key % 14 == 0, F.lit("1,2,3")).when(key % 7 != 0, F.coalesce(F.col("INJURIES_TOTAL").cast("string"), F.lit("")))
+    ).alias("value"))
+    header = spark.createDataFrame([("CRASH_RECORD_ID,RD_NO,UNDECLARED,INJURIES_TOTAL",)], "value string")
+    # One file per part, each with its header, as extracts come.
+    src = f"{shared_dir(spark, 'ragged')}/crash.csv"
+    header.unionByName(rows).coalesce(1).write.text(src)
+    done = csv_quarantine(spark, src, declared, dst=shared_dir(spark, "landed"), quarantine=shared_dir(spark, "rejected"))
+    counted = F.col("INJURIES_TOTAL").isNotNull()
+    good = spark.read.parquet(done.target).select("CRASH_RECORD_ID", "RD_NO", counted.alias("counted"), F.lit("landed").alias("fate"))
+    bad = spark.read.parquet(done.quarantine).select(
+        "CRASH_RECORD_ID", "RD_NO", F.lit(False).alias("counted"), F.lit("rejected").alias("fate"))
+    return good.unionByName(bad)
+
+
 QUERIES: dict[str, Query] = {
     # sources: CSV drops landed strictly (FAILFAST) or with a quarantine
     "ingest_crashes_csv": _ingest("crash", quarantine=False),
@@ -75,8 +150,8 @@ QUERIES: dict[str, Query] = {
     # pipelines
     "vehicle_person_detail": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=True)),
     "vehicle_person_detail_fixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=False)),
-    # crashes with 6+ units keep their rows spread (broadcast crash attributes)
-    "vehicle_person_detail_mixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=6)),
+    # crashes with 10+ units keep their rows spread (broadcast crash attributes)
+    "vehicle_person_detail_mixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=10)),
     "crash_summary": _q(lambda c, v, p: crash_summary(c, v, p, compat=True)),
     "crash_summary_fixed": _q(lambda c, v, p: crash_summary(c, v, p, compat=False)),
     "crash_vehicle_summary": _q(lambda c, v, p: crash_vehicle_summary(c, v, compat=True)),
@@ -86,8 +161,8 @@ QUERIES: dict[str, Query] = {
     "vehicle_summary_join": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="lookup")),
     "vehicle_summary_window": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="window")),
     "vehicle_summary_topk": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="topk")),
-    # crashes with 6+ units take the skew-proof plan, the others the window plan
-    "vehicle_summary_mixed": _q(lambda c, v, p: vehicle_summary(v, compat=True, hot_rows=6)),
+    # crashes with 10+ units take the skew-proof plan, the others the window plan
+    "vehicle_summary_mixed": _q(lambda c, v, p: vehicle_summary(v, compat=True, hot_rows=10)),
     "vehicle_summary_fixed": _q(lambda c, v, p: vehicle_summary(v, compat=False)),
     "vehicle_summary_fixed_topk": _q(lambda c, v, p: vehicle_summary(v, compat=False, strategy="topk")),
     "vehicle_slots": _q(lambda c, v, p: vehicle_slots(v)),
@@ -100,10 +175,24 @@ QUERIES: dict[str, Query] = {
     "people_summary_partial": _q(lambda c, v, p: people_summary(p, compat=True, strategy="partial")),
     "people_summary_fixed_topk": _q(lambda c, v, p: people_summary(p, compat=False, strategy="partial")),
     "person_slots": _q(lambda c, v, p: person_slots(p)),
+    "people_summary_repeated": _q(lambda c, v, p: people_summary(_repeated(p))),
+    "people_summary_repeated_partial": _q(lambda c, v, p: people_summary(_repeated(p), strategy="partial")),
+    "person_slots_repeated": _q(lambda c, v, p: person_slots(_repeated(p))),
+    "duplicate_person_keys_found": _q(
+        lambda c, v, p: duplicate_keys(_repeated(p), ["CRASH_RECORD_ID", "CRASH_DATE", "PERSON_ID"])),
+    # sinks, catalog, stages and whole runs, read back
+    "run_published_summary": _run("crash_summary", lambda spark, done: spark.table(done.table)),
+    "run_published_units": _run("crash_vehicle_summary", lambda spark, done: spark.table(done.external_table)),
+    "raw_tables_of_run": _run("crash_vehicle_summary", _raw_counts),
+    "staged_detail": _q(lambda c, v, p: stage_parquet(vehicle_person_detail(c, v, p))),
+    "partitioned_publish": _partitioned_publish,
+    "schema_read": _schema_read,
+    "renamed_columns": _q(lambda c, v, p: sanitize_columns(c.toDF(*[x.replace("_", " ") for x in c.columns]))),
+    "ragged_rows_rejected": _ragged,
     # numbering, look-ups, grouping
     "number_units": _q(lambda c, v, p: number_units(v)),
-    # crashes with 6+ units numbered across range blocks, the others by one window
-    "number_units_mixed": _q(lambda c, v, p: number_units(v, hot_rows=6)),
+    # crashes with 10+ units numbered across range blocks, the others by one window
+    "number_units_mixed": _q(lambda c, v, p: number_units(v, hot_rows=10)),
     "number_units_ranged": _q(lambda c, v, p: number_units(v, skew_safe=True)),
     "vehicles_of_crash": _q(lambda c, v, p: vehicles_of_crash(v, LOOKUP_CRASH_ID)),
     "multi_vehicle_crashes": _q(lambda c, v, p: multi_vehicle_crashes(v)),

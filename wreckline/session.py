@@ -87,7 +87,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared checkpoint location.
+    """A path for fresh data under the cluster's shared checkpoint location.
 
     The location is read from ``spark.checkpoint.dir``. Only when the session has none
     (local runs and tests) a private temporary folder is created and registered as the
@@ -100,10 +100,9 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
                 "spark.checkpoint.dir is not set; a cluster job needs a shared folder for staged data"
             )
         base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wreckline-"))
-    leaf = name or "stage"
-    path = os.path.join(base.rstrip("/"), f"{leaf}-{uuid.uuid4().hex[:12]}")
-    _remove_at_exit(spark, path)
-    return path
+    own = os.path.join(base.rstrip("/"), f"wreckline-{spark.sparkContext.applicationId}")
+    _remove_at_exit(spark, own)
+    return os.path.join(own, f"{name or 'stage'}-{uuid.uuid4().hex[:12]}")
 
 
 def file_system(spark: SparkSession, path: str) -> tuple:
@@ -114,7 +113,7 @@ def file_system(spark: SparkSession, path: str) -> tuple:
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Staged data is the session's own: its folder goes when the driver's JVM ends."""
+    """Staged data is the session's own: its one folder goes when the driver's JVM ends."""
     store, where = file_system(spark, path)
     store.mkdirs(where)  # only what exists can be marked
     store.deleteOnExit(where)
