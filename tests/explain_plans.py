@@ -32,7 +32,7 @@ def condensed(df) -> str:
 
 
 def main() -> None:
-    from wreckline.operators import people_summary, vehicle_summary
+    from wreckline.operators import number_units, people_summary, vehicle_summary
     from wreckline.plans import crash_summary, vehicle_person_detail
     from wreckline.session import build_session
     from wreckline.sources.derived import landed_crash_tables
@@ -46,7 +46,8 @@ def main() -> None:
         ("crash_summary (job A, corrected, cold crashes)", crash_summary(c, v, p, compat=False, strategy="window")),
         ("vehicle_summary, window", vehicle_summary(v, strategy="window")),
         ("vehicle_summary, topk (hot crashes)", vehicle_summary(v, strategy="topk")),
-        ("vehicle_summary, join (the studied job's self-joins)", vehicle_summary(v, strategy="join")),
+        ("vehicle_summary, lookup (slots looked up by unit keys)", vehicle_summary(v, strategy="lookup")),
+        ("number_units, by digits (hot crashes)", number_units(v, skew_safe=True)),
         ("people_summary, cluster", people_summary(p, strategy="cluster")),
         ("people_summary, partial (hot crashes)", people_summary(p, strategy="partial")),
         ("vehicle_person_detail (job B), shuffle", vehicle_person_detail(c, v, p, strategy="shuffle")),
