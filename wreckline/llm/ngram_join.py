@@ -231,18 +231,20 @@ def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: i
     return components(edges).select(F.col("node").alias("k1"), F.col("root").alias("family"))
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """members (doc_id, n, k1, k2, family) with the tiles each belongs to: (tile, side, bucket).
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
+    """members (doc_id, n, k1, k2, family) with the tiles each belongs to: (tile, side, alone).
 
     A family of at most BLOCK shingles is one tile. A larger one is cut by size and, within
-    a size, by hash, and its tiles are the block pairs whose sizes allow a link.
+    a size, by hash, and its tiles are the block pairs whose sizes allow a link. There are
+    at most (all shingles) / BLOCK large families, so their names and sizes are broadcast:
+    no member is ever shuffled by its family.
     """
     totals = members.groupBy("family").agg(F.sum("n").alias("all"))
-    members = members.join(totals, "family").withColumn(
-        "q", F.when(F.col("all") <= BLOCK, F.lit(-1)).otherwise(F.floor(F.log("n") / math.log(1.05)).cast("int")))
-    small = members.where("q < 0").select(
-        "doc_id", "n", "k1", "k2", F.col("family").alias("tile"), F.lit(0).alias("side"), "all")
-    large = members.where("q >= 0")
+    names = F.broadcast(totals.where(F.col("all") > BLOCK).select("family"))
+    small = members.join(names, "family", "left_anti").select(
+        "doc_id", "n", "k1", "k2", F.col("family").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("alone"))
+    large = members.join(names, "family", "left_semi").withColumn(
+        "q", F.floor(F.log("n") / math.log(1.05)).cast("int"))
     sizes = large.groupBy("family", "q").agg(
         F.sum("n").alias("sum"), F.min("n").alias("low"), F.max("n").alias("high"))
     sizes = sizes.withColumn("salts", F.ceil(F.col("sum") / (BLOCK / 2)).cast("int"))
@@ -250,16 +252,16 @@ def _blocks(members: DataFrame) -> DataFrame:
     left, right = blocks.alias("x"), blocks.alias("y")
     pairs = left.join(
         right,
-        F.expr(f"x.family = y.family AND (x.q < y.q OR x.q = y.q AND x.salt <= y.salt) AND {PERCENT} * y.low <= 100 * x.high"),
+        F.expr(f"x.family = y.family AND (x.q < y.q OR x.q = y.q AND x.salt <= y.salt) AND {percent} * y.low <= 100 * x.high"),
     ).select(F.xxhash64("x.family", "x.q", "x.salt", "y.q", "y.salt").alias("tile"),
              F.col("x.family").alias("family"), F.expr(
         "explode(IF(x.q = y.q AND x.salt = y.salt, array(struct(x.q, x.salt, 0 AS side)),"
         " array(struct(x.q, x.salt, 1 AS side), struct(y.q, y.salt, 2 AS side))))").alias("b")
     ).select("tile", "family", "b.q", "b.salt", "b.side")
-    salted = large.join(sizes.select("family", "q", "salts"), ["family", "q"]).withColumn(
+    salted = large.join(F.broadcast(sizes.select("family", "q", "salts")), ["family", "q"]).withColumn(
         "salt", F.pmod(F.xxhash64("k1", "k2"), F.col("salts")).cast("int"))
     placed = salted.join(pairs, ["family", "q", "salt"]).select(
-        "doc_id", "n", "k1", "k2", "tile", "side", F.lit(None).cast("long").alias("all"))
+        "doc_id", "n", "k1", "k2", "tile", "side", F.lit(True).alias("alone"))
     return small.unionByName(placed)
 
 
@@ -303,12 +305,14 @@ def _links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent:
 
 def verified_links(df: DataFrame, members: DataFrame, doc_id: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between members of one family, enough to connect what is connected."""
-    placed = staged(_blocks(members), "tiles")
+    placed = staged(_blocks(members, percent), "tiles")
     tokens = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(1, -(-tokens // (2 * BLOCK)))
     once = placed.select("doc_id", "k1", "k2").distinct()
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    texts = rows.join(once, "doc_id")
+    # One plan at every size: the texts of members are found by a shuffle, never by a
+    # broadcast that only small inputs allow.
+    texts = rows.join(once.hint("merge"), "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,8 +329,8 @@ def verified_links(df: DataFrame, members: DataFrame, doc_id: str, text: str, wi
 
     made = texts.select("doc_id", "text", "k1", "k2").mapInArrow(sets, "doc_id long, k1 long, k2 long, hashes binary")
     full = made.join(placed, ["doc_id", "k1", "k2"]).select(
-        F.when(F.col("all").isNull(), F.col("tile")).otherwise(F.pmod(F.xxhash64("tile"), F.lit(buckets))).alias("unit"),
-        F.col("all").isNull().alias("alone"), "tile", "side", "doc_id", "hashes")
+        F.when(F.col("alone"), F.col("tile")).otherwise(F.pmod(F.xxhash64("tile"), F.lit(buckets))).alias("unit"),
+        "alone", "tile", "side", "doc_id", "hashes")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
