@@ -15,6 +15,7 @@ from .line_crf import fit_line_model, score_quality
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .oracle_mixing import mixing_sql
+from .oracle_ngram import ngram_join_sql
 from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
 from .secrets import fit_markov, labelled_samples, secret_scan
@@ -102,6 +103,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_ngram_join": ngram_join_sql(),
     "op4_quality_rules": quality_rules_sql(),
     "op10_mixing": mixing_sql(),
 }
