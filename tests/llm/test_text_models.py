@@ -256,11 +256,16 @@ def test_language_evidence_and_edge_cases(spark):
     some = [r.text for r in docs.where("lang = 'de'").orderBy("doc_id").limit(20).collect()]
     rows = [(i, t, "en" if i < 3 else "de", "http://www.site.de/x", 1) for i, t in enumerate(some)]
     rows += [(50, None, "de", "http://site.de/", 1), (51, "", None, None, 1), (52, "12 34 %% --", "de", "", 1), (53, "in", None, "https://site.de:80/a", 1)]
+    rng = random.Random(1)
+    rows.append((54, " ".join("".join(rng.choice("qxzjvkwyb") for _ in range(7)) for _ in range(40)), "de", "http://site.de/", 1))
+    rows.append((55, "Der Hund und die Katze sind mit dem Kind 4045650754681188 ldlooirp.70@mail5.example.com +1 (227) 555-6608", "de", None, 1))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, address string, Kept int")
     got = {r.doc_id: r for r in identify_language(df, F.col("text"), F.col("lang"), F.col("address"), model).collect()}
     assert len(got) == len(rows)
     assert all(got[i].language == "de" and got[i].kept for i in range(20))  # wrong declarations do not win
     assert not got[50].kept and not got[51].kept and not got[52].kept
+    assert got[54].language == "und" and not got[54].kept  # random letters, whatever is declared
+    assert got[55].kept  # a few strings that are no words do not make a text foreign
     assert got[53].language == "de"  # two letters: the host decides
     only = identify_language(df, F.col("text"), F.col("lang"), F.col("address"), model, wanted=("en",))
     assert only.where("kept").count() == 0

@@ -38,6 +38,9 @@ MIN_SHARE = 0.002
 EVIDENCE = 60.0
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.001
+#: Share of every language's trigrams that are as good as random (names, addresses,
+#: numbers), so that a few of them do not make a text foreign to its language.
+STRAY = 0.3
 MIN_POSTERIOR = 0.5
 #: Weight, in rows, of the level above in every smoothed table.
 STRENGTH = 5.0
@@ -111,7 +114,8 @@ def fit_text_model(df: DataFrame, text: Column, declared: Column, max_rows: int
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
     for r in counts.where((F.col("bucket") >= 0) & F.col("lang").isin(list(languages))).collect():
         table[languages.index(r["lang"]), r["bucket"]] += r["n"]
-    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)))
+    shares = table / table.sum(axis=1, keepdims=True)
+    return TextModel(languages, np.log((1 - STRAY) * shares + STRAY / BUCKETS))
 
 
 def with_text_evidence(df: DataFrame, text: Column, model: TextModel, name: str = "__text_ll") -> DataFrame:
