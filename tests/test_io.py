@@ -255,3 +255,19 @@ def test_transform_job_entry_point(spark, tmp_path):
             "--input_people", paths["people"], "--output", str(tmp_path / which), "--job", which,
         ])
         assert len(spark.read.parquet(out).columns) == cols
+
+
+def test_changed_source_files_land_anew(spark, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from conftest import SF_SMOKE
+    from wreckline.sources.derived import landed_crash_tables
+
+    for name in ("orders", "lineitem", "part"):
+        shutil.copy(f"{SF_SMOKE}/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = landed_crash_tables(spark, str(tmp_path))[0].count()
+    some = pq.read_table(f"{SF_SMOKE}/orders.parquet").slice(0, 10)
+    pq.write_table(some, tmp_path / "orders.parquet")
+    assert before > 10 and landed_crash_tables(spark, str(tmp_path))[0].count() == 10

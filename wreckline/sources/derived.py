@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wreckline.schemas import PEOPLE_COLUMNS_WITH_VEHICLE, VEHICLE_COLUMNS
+from wreckline.session import file_system
 
 UNIT_LINE_FACTOR = 100000000
 UNIT_PART_FACTOR = 1000
@@ -155,7 +156,16 @@ def land_crash_tables(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session, the folder and the state of its files: changed files land anew."""
+    files = []
+    for name in ("orders", "lineitem", "part"):
+        store, where = file_system(spark, os.path.join(sf_dir, f"{name}.parquet"))
+        files += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in store.listStatus(where)]
+    return (spark.sparkContext.applicationId, sf_dir, *sorted(files))
 
 
 def _still_there(root: str) -> bool:
@@ -177,7 +187,7 @@ def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     from wreckline.session import shared_dir
     from wreckline.sources.readers import load_crashes, load_people, load_vehicles
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _key(spark, sf_dir)
     with _LOCK:
         root = _LANDED.get(key)
         if root is not None and not _still_there(root):
@@ -190,7 +200,7 @@ def landed_crash_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     )
 
 
-_CSV: dict[tuple[str, str], dict[str, str]] = {}
+_CSV: dict[tuple, dict[str, str]] = {}
 # Fixed value: the date layout of the open-data CSV exports.
 EXPORT_DATE_LAYOUT = "MM/dd/yyyy hh:mm:ss a"
 
@@ -200,7 +210,7 @@ def exported_csv(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     (header row, US date-time with AM/PM, values kept as they are), for the ingest path."""
     from wreckline.session import shared_dir
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _key(spark, sf_dir)
     with _LOCK:
         paths = _CSV.get(key)
         if paths is not None and not all(_still_csv(p) for p in paths.values()):
