@@ -94,6 +94,17 @@ def edge_rows():
     crashes += [_crash("E14"), _crash("E14", date=later), _crash("E14", rd="RD2"), _crash("E14", date=later)]
     units += [_unit("E14", 141), _unit("E14", 142, date=later), _unit("E14", 143, rd="RD2")]
     people += [_person("E14", "E14-P1", 141), _person("E14", "E14-P2", 142, date=later)]
+    # Two units with one CRASH_UNIT_ID that differ in UNIT_NO first, then in make
+    crashes.append(_crash("E15"))
+    for number, make in (("2", "A"), ("1", "Z")):
+        tied = list(_unit("E15", 151, make=make))
+        tied[[f.name for f in VEHICLE_SCHEMA.fields].index("UNIT_NO")] = number
+        units.append(tuple(tied))
+    # Drivers that occur again, as they are, with other values and with another RD_NO
+    crashes += [_crash("E16"), _crash("E16", rd="RD2")]
+    units += [_unit("E16", 161), _unit("E16", 162)]
+    people += [_person("E16", "E16-A", 161)] * 2 + [_person("E16", "E16-A", 161, sex="F", age=None)]
+    people += [_person("E16", "E16-B", 162), _person("E16", "E16-B", 162, rd="RD2", injury=None)]
     return crashes, units, people
 
 
@@ -216,3 +227,33 @@ def test_rd_no_null_never_joins(edge):
     assert row["CNT_ENTITIES_ACCID"] is None and row["Cnt_Drivers_Accid"] is None
     fixed = _by_crash(crash_summary(c, v, p, compat=False), "E4")[0]
     assert fixed["CNT_ENTITIES_ACCID"] == 1 and fixed["Cnt_Drivers_Accid"] == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 6])
+def test_slot_count_is_honoured(edge, n):
+    _, v, p, _ = edge
+    summaries = [rows_of_spark(vehicle_summary(v, n=n, strategy=s)) for s in ("window", "topk", "lookup")]
+    assert summaries[0] == summaries[1] == summaries[2] and f"VEHICLE{n}_ID" in summaries[0][0]
+    assert f"VEHICLE{n + 1}_ID" not in summaries[0][0]
+    fixed = [rows_of_spark(vehicle_summary(v, compat=False, n=n, strategy=s)) for s in ("window", "topk")]
+    assert fixed[0] == fixed[1]
+    pivots = [rows_of_spark(vehicle_pivot(v, n=n, strategy=s)) for s in ("window", "topk")]
+    assert pivots[0] == pivots[1]
+    for compat in (True, False):
+        drivers = [rows_of_spark(people_summary(p, compat=compat, n=n, strategy=s)) for s in ("cluster", "partial")]
+        assert drivers[0] == drivers[1] and len(drivers[0][0]) == 4 + 4 * n
+    if n == 6:
+        e1 = _by_crash(vehicle_summary(v, n=6, strategy="topk"), "E1")
+        assert len(e1) == 1 and [e1[0][f"VEHICLE{k}_ID"] for k in range(1, 7)] == [1, 2, 3, 4, 5, 6]
+
+
+def test_repeated_drivers_count_without_overflow(spark):
+    from wreckline.operators import person_slots
+
+    people = spark.createDataFrame([_person("C", "P", 1)] * 7000 + [_person("C", "Q", 1)] * 3, PEOPLE_SCHEMA)
+    for strategy in ("cluster", "partial"):
+        counts = sorted(r.Cnt_Drivers_Accid for r in people_summary(people, strategy=strategy).collect())
+        assert counts == [3**5, 2**63 - 1]  # 7000 ** 5 is beyond bigint
+    packed = {r.PERSON_ID: r["copies"] for r in person_slots(people, expand=False).collect()}
+    assert packed == {"P": 2**63 - 1, "Q": 3**5}
+    assert person_slots(people.filter("PERSON_ID = 'Q'")).count() == 3**5

@@ -384,18 +384,22 @@ def _people_summary_compat(people: DataFrame, n: int, driver_type: str, strategy
 
     # Others: the count of a combination is a product of one multiplicity per slot and that
     # of the RD_NO; a slot's maximum among combinations of one count is the maximum of the
-    # values with that slot's multiplicity.
+    # values with that slot's multiplicity. Slots after the first have equal choices, kept as
+    # one array per driver (c rows have fewer than sqrt(2 c) different multiplicities).
+    def choices(injury: str, name: str) -> DataFrame:
+        each = many.groupBy(*DRIVER_KEY, "_sex", "_age", injury).agg(F.sum("_c").alias("m"))
+        each = each.groupBy(*DRIVER_KEY, "m").agg(
+            F.max("_sex").alias("_sex"), F.max("_age").alias("_age"), F.max(injury).alias("_inj"))
+        return each.groupBy(*DRIVER_KEY).agg(F.collect_list(F.struct("m", "_sex", "_age", "_inj")).alias(name))
+
     combined = many.groupBy(*DRIVER_KEY, "_id", "RD_NO").agg(F.sum("_c").alias("_m0"))
+    combined = _same_driver(_same_driver(combined, choices("_inj_first", "_first")), choices("_inj_rest", "_rest"))
     for k in range(1, n + 1):
-        injury = "_inj_first" if k == 1 else "_inj_rest"
-        slot = many.groupBy(*DRIVER_KEY, "_sex", "_age", injury).agg(F.sum("_c").alias(f"_m{k}"))
-        slot = slot.groupBy(*DRIVER_KEY, f"_m{k}").agg(
-            F.max("_sex").alias(f"_sex{k}"), F.max("_age").alias(f"_age{k}"), F.max(injury).alias(f"_inj{k}"))
-        combined = _same_driver(combined, slot)
+        combined = combined.withColumn(f"_s{k}", F.explode("_first" if k == 1 else "_rest"))
+    slots = [F.col(f"_s{k}") for k in range(1, n + 1)]
     several = combined.select(
-        *group, _as_count(_product([F.col(f"_m{k}") for k in range(n + 1)])).alias(count),
-        *spread([{"_id": F.col("_id"), "_sex": F.col(f"_sex{k}"), "_age": F.col(f"_age{k}"), "_inj": F.col(f"_inj{k}")}
-                 for k in range(1, n + 1)]))
+        *group, _as_count(_product([F.col("_m0"), *[x["m"] for x in slots]])).alias(count),
+        *spread([{"_id": F.col("_id"), "_sex": x["_sex"], "_age": x["_age"], "_inj": x["_inj"]} for x in slots]))
     out = plain.unionByName(several).groupBy(*group, count).agg(*[F.max(c).alias(c) for c in person_slot_columns(n)])
     return out.select(*people_summary_columns(n))
 
