@@ -24,6 +24,8 @@ def workers_import_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver does, for sessions
     started without it on PYTHONPATH; a cluster job ships it with ``--py-files``."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return  # another environment would start a second set of workers
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:

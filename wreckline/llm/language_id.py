@@ -44,7 +44,7 @@ STRAY = 0.3
 MIN_POSTERIOR = 0.5
 #: Weight, in rows, of the level above in every smoothed table.
 STRENGTH = 5.0
-_SLAB = 1 << 20
+_SLAB = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -128,9 +128,11 @@ def with_text_evidence(df: DataFrame, text: Column, model: TextModel, name: str
         for batch in batches:
             out: list[list[float] | None] = []
             for _, _, code, bounds in _slabs(batch.column(at)):
-                total = np.concatenate((np.zeros((1, table.shape[1])), np.cumsum(table[code], axis=0)))
                 n = np.diff(bounds)
-                sums = total[bounds[1:]] - total[bounds[:-1]]
+                sums = np.zeros((len(n), table.shape[1]))
+                if len(code):
+                    some = n > 0  # a row without trigrams must not borrow its successor's
+                    sums[some] = np.add.reduceat(table[code], bounds[:-1][some], axis=0)
                 sums *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
                 out += [row if k else None for row, k in zip(sums.tolist(), n.tolist(), strict=True)]
             column = pa.array(out, pa.list_(pa.float64()))

@@ -38,7 +38,7 @@ RIDGE = 1.0
 OWN = 12
 #: Own features, those of both neighbours, whether there are neighbours, and a constant.
 FEATURES = 3 * OWN + 3
-_SLAB = 1 << 21
+_SLAB = 1 << 19
 
 _KIND = np.zeros((256, 7), dtype=np.uint8)  # start, space, upper, digit, symbol, mark, bang
 _KIND[:, 0] = [(b & 0xC0) != 0x80 for b in range(256)]

@@ -46,6 +46,8 @@ PERCENT = 85
 BLOCK = 1 << 20
 #: Keys in one partition of the candidate shuffle, about.
 KEYS_PER_PARTITION = 1_000_000
+#: Keys that a task gathers before it combines and sends them.
+KEYS_HELD = 500_000
 #: Shingles that a range must hold to count on its own.
 STRONG = 2
 _GROWTH = 1.18
@@ -204,7 +206,7 @@ def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: i
                     keys, row = _range_keys(hashes, bounds, tile, bands)
                     held.append((keys, nodes[row]))
                     size += len(keys)
-                if size >= 2_000_000:
+                if size >= KEYS_HELD:
                     out = packed(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
                     held, size = [], 0
                     if out is not None:

@@ -13,7 +13,7 @@ _M = _U(0x9E3779B97F4A7C15)
 _M_INVERSE = _U(pow(int(_M), -1, 2**64))
 _K = _U(0xD6E8FEB86659FD93)
 #: Bytes of text handled at a time; a longer text is handled alone.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
