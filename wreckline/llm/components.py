@@ -14,9 +14,13 @@ from .common import staged
 
 
 def _star(pairs: DataFrame) -> DataFrame:
-    """Each (u, v) with u's least neighbour, or u itself if that is less, as m."""
+    """Each (u, v) with u's least neighbour, or u itself if that is less, as m.
+
+    The minima are written before the join: adaptive execution splits a hub's edges over
+    tasks only where both sides of a join come straight from a shuffle.
+    """
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(staged(least, "least"), "u")
 
 
 def _round(edges: DataFrame) -> DataFrame:
