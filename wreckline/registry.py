@@ -177,7 +177,8 @@ QUERIES: dict[str, Query] = {
     "person_slots": _q(lambda c, v, p: person_slots(p)),
     "people_summary_repeated": _q(lambda c, v, p: people_summary(_repeated(p))),
     "people_summary_repeated_partial": _q(lambda c, v, p: people_summary(_repeated(p), strategy="partial")),
-    "person_slots_repeated": _q(lambda c, v, p: person_slots(_repeated(p))),
+    # combinations with their number of occurrences: expanded, four copies are 1,024 rows
+    "person_slots_repeated": _q(lambda c, v, p: person_slots(_repeated(p), expand=False)),
     "duplicate_person_keys_found": _q(
         lambda c, v, p: duplicate_keys(_repeated(p), ["CRASH_RECORD_ID", "CRASH_DATE", "PERSON_ID"])),
     # sinks, catalog, stages and whole runs, read back
