@@ -7,7 +7,8 @@
    content in both: each set sends one key per range, and sets that share a key are
    linked as candidates. A range with fewer than ``STRONG`` shingles says little (one
    common shingle makes strangers agree); more ranges than ``H + 1`` make sure that a range
-   with more content agrees, and a set with more weak ranges than that sends them too.
+   with more content agrees, and a set with more weak ranges than that sends them too
+   (its empty ranges only where those alone are too many).
 3. Keys are combined where they arise: equal keys within a task become star edges at
    once and one copy travels on, so that a key which a third of all sets hold moves one
    row per task. What the stars connect is a family; no true pair leaves its family.
@@ -50,7 +51,8 @@ KEYS_PER_PARTITION = 1_000_000
 KEYS_HELD = 500_000
 #: Shingles that a range must hold to count on its own.
 STRONG = 2
-_GROWTH = 1.18
+#: Growth of size bands, in thousandths of 100 / percent.
+_MARGIN = 1003
 _U = np.uint64
 
 
@@ -58,9 +60,11 @@ class Bands:
     """Size bands and, per band, the number of hash ranges its tile needs."""
 
     def __init__(self, percent: int = PERCENT, largest: int = 1 << 40) -> None:
+        # Sets at the threshold differ in size by a factor of at most 100 / percent; bands
+        # grow by a little more, so that a partner is at most one band away.
         lows = [1]
         while lows[-1] <= largest:
-            lows.append(max(lows[-1] + 1, math.ceil(lows[-1] * _GROWTH)))
+            lows.append(max(lows[-1] + 1, -(-lows[-1] * _MARGIN // (10 * percent))))
         self.percent = percent
         self.lows = np.array(lows, dtype=np.int64)
         self.ranges, self.slack = [], []
@@ -76,13 +80,15 @@ class Bands:
     @staticmethod
     def _enough(low: int, differ: int) -> int:
         """The least number of ranges of which, beyond ``differ``, more than the weak ones
-        remain for nearly all sets of the smallest size; where there is none (small
-        sets), one more than ``differ`` and their weak ranges count too."""
-        for n in range(differ + 1, 2 * differ + 2, max(1, differ // 64)):
-            load = low / n
-            weak = n * math.exp(-load) * sum(load**k / math.factorial(k) for k in range(STRONG))
-            if n - differ - 1 >= weak + math.sqrt(weak):
-                return n
+        remain for nearly all sets of the smallest size; where there is none (small sets,
+        low thresholds), more than the empty ones; where there is none either, one more than
+        ``differ``, and the weak or the empty ranges count too."""
+        for least in (STRONG, 1):
+            for n in range(differ + 1, 2 * differ + 2, max(1, differ // 64)):
+                load = low / n
+                weak = n * math.exp(-load) * sum(load**k / math.factorial(k) for k in range(least))
+                if n - differ - 1 >= weak + math.sqrt(weak):
+                    return n
         return differ + 1
 
     def tiles(self, sizes: np.ndarray) -> list[np.ndarray]:
@@ -119,9 +125,10 @@ def _range_keys(hashes: np.ndarray, bounds: np.ndarray, tile: np.ndarray, bands:
     many = np.zeros(len(sizes), dtype=bool)
     many[rows] = weak[rows] > bands.slack[tile[rows]]
     sent = strong | many[row]
-    full = np.bincount(row, minlength=len(sizes))
+    empty = ranges - np.bincount(row, minlength=len(sizes))
     extra = [(keys[sent], row[sent])]
-    for r in np.flatnonzero(many & (full < ranges)):  # empty ranges are weak ones, too
+    # Empty ranges make strangers agree: they count only where a pair may share no other.
+    for r in np.flatnonzero(many & (empty > bands.slack[np.maximum(tile, 0)])):
         none = np.setdiff1d(np.arange(ranges[r], dtype=np.uint64), part[row == r])
         extra.append((mix(mix((_U(int(tile[r])) << _U(40)) + none + _U(1))), np.full(len(none), r)))
     return np.concatenate([k for k, _ in extra]), np.concatenate([r for _, r in extra])
