@@ -19,6 +19,10 @@ from wreckline.llm.ngram_join import keep_one
 from wreckline.llm.sharding import shard_rows
 
 SHARDS = 24
+#: Near duplicates of this stage: 5-word shingles, Jaccard similarity of at least 0.8.
+#: (The contract of ``op3_ngram_join``, 4 words and 85 %, binds that query only.)
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return keep_one(docs)
+    return keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

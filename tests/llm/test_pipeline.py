@@ -69,3 +69,17 @@ def test_registration():
     assert set(QUERIES) <= set(queries) and "pipeline" in queries
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
+    from .test_near_duplicates import components_at
+    from .test_text_models import family
+
+    rows = [*enumerate(family(11, 30, words=200, edits=6))]
+    # 25 of 129 words appended: 5-word similarity 100 / 125, 4-word 101 / 126, under 85 %.
+    rows += [(1000 + k, " ".join(f"s{i}" for i in range(n))) for k, n in enumerate((104, 129))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()}
+    texts = dict(rows)
+    want, narrow = ({k for k, (_, c) in components_at(texts, *x).items() if c == k} for x in ((5, 80), (4, 85)))
+    assert got == want and 1001 not in got and 1001 in narrow
