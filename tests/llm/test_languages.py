@@ -1,0 +1,45 @@
+"""Which languages are modelled, and on which rows."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from wreckline.llm.language_id import fit_text_model, identify_language, training_rows
+
+SCHEMA = "doc_id long, text string, lang string, address string"
+
+
+def sentences(rng, letters, n):
+    return [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(25)) for _ in range(n)]
+
+
+def test_a_rare_language_is_modelled_and_kept(spark):
+    rng = random.Random(2)
+    texts = [(t, "aa") for t in sentences(rng, "abcdefgh", 12_000)] + [(t, "bb") for t in sentences(rng, "opqrstuv", 22)]
+    df = spark.createDataFrame([(i, t, c, None) for i, (t, c) in enumerate(texts)], SCHEMA)
+    assert fit_text_model(df, F.col("text"), F.col("lang")).languages == ("aa", "bb")
+    rare = identify_language(df, F.col("text"), F.col("lang"), F.col("address")).where("lang = 'bb'").collect()
+    assert len(rare) == 22 and all(r.language == "bb" and r.kept for r in rare)
+
+
+def test_more_languages_than_two_hundred(spark):
+    rng = random.Random(3)
+    rows = [(0, t, f"l{k:03}", None) for k in range(230) for t in sentences(rng, [chr(0x4E00 + 8 * k + j) for j in range(8)], 20)]
+    model = fit_text_model(spark.createDataFrame(rows, SCHEMA), F.col("text"), F.col("lang"))
+    assert len(model.languages) == 230 and model.log_p.shape[0] == 231
+
+
+def test_copies_train_once_and_rare_texts_all_do(spark):
+    rng = random.Random(4)
+    common, rare = sentences(rng, "abcdefgh", 1000), sentences(rng, "opqrstuv", 25)
+    for hot in common[:3]:  # in or not by their hash, the sample stays bounded
+        rows = [(0, t, c, None) for t, c in [(t, "aa") for t in common] + [(t, "bb") for t in rare] + [(hot, "aa")] * 3000]
+        df = spark.createDataFrame(rows, SCHEMA)
+        languages, chosen = training_rows(df, F.col("text"), F.col("lang"), max_rows=200)
+        got = chosen.collect()
+        assert languages == ("aa", "bb") and len(got) == len({(r.lang, r.text) for r in got})
+        assert {r.text for r in got if r.lang == "bb"} == set(rare) and 100 < len(got) < 300
+    none = training_rows(df.limit(0), F.col("text"), F.col("lang"))
+    assert none[0] == () and none[1].count() == 0

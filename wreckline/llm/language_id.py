@@ -5,8 +5,9 @@
 * address suffix (last label of the host name): P(suffix | language);
 * host: prior over languages, smoothed from host to registered domain to all rows.
 
-The text model is fitted on at most ``MAX_TRAINING_ROWS`` rows that declare a language,
-chosen by hash; the other three tables are grouped counts over every row of what the text
+A language exists if enough rows declare it, counted over all of them. Its text model is
+fitted on distinct texts chosen by hash, about ``MAX_TRAINING_ROWS`` in all, dealt so that
+rare languages have theirs whole; the other three tables are grouped counts over every row of what the text
 alone says, so noisy declarations weigh as little as they deserve. "No language" is one
 more hypothesis with uniform trigrams. Trigrams overlap, so a text counts as at most
 ``EVIDENCE`` independent ones, which leaves the other evidence its say on short texts.
@@ -33,7 +34,9 @@ from .common import staged, with_column_replaced
 
 BUCKETS = 8192
 MAX_TRAINING_ROWS = 20_000
-#: Declared languages rarer than this in the training rows are not modelled.
+#: A declared language is modelled if so many rows declare it, or, in small tables, this
+#: share of the rows that declare any.
+MIN_SUPPORT = 20
 MIN_SHARE = 0.002
 EVIDENCE = 60.0
 UNKNOWN = "und"
@@ -45,6 +48,10 @@ MIN_POSTERIOR = 0.5
 #: Weight, in rows, of the level above in every smoothed table.
 STRENGTH = 5.0
 _SLAB = 1 << 18
+#: Languages whose trigrams are looked up at a time.
+_COLUMNS = 16
+#: Steps in which the sampled share of a language's texts is set.
+_STEPS = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -79,41 +86,59 @@ def _slabs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         lo = hi
 
 
-def fit_text_model(df: DataFrame, text: Column, declared: Column, max_rows: int = MAX_TRAINING_ROWS) -> TextModel:
-    """Trigram counts per declared language from a bounded sample by text hash; the driver
-    gets one row per language and bucket."""
+def training_rows(
+    df: DataFrame, text: Column, declared: Column, max_rows: int = MAX_TRAINING_ROWS,
+) -> tuple[tuple[str, ...], DataFrame]:
+    """The languages that exist, and their training rows (lang, text), each once.
+
+    Rows of each declared language are counted over the whole table. Every language has the
+    same bound on distinct texts, set so that all together have about ``max_rows`` (but
+    ``MIN_SUPPORT`` each); those above it are sampled by hash of the text.
+    """
     rows = df.select(F.lower(declared).alias("lang"), text.alias("text")).where("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL")
-    total = rows.count()
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(-(-total // max_rows))) == 0)
+    counts = staged(
+        rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("text").alias("texts")), "declared")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = {r["lang"]: max(1, r["texts"]) for r in counts.where(F.col("n") >= min(MIN_SUPPORT, MIN_SHARE * total)).collect()}
+    bound, room, left = max_rows, max_rows, len(found)
+    for texts in sorted(found.values()):
+        bound = max(MIN_SUPPORT, room // left)
+        if texts > bound:
+            break
+        room, left, bound = room - texts, left - 1, max_rows
+    upto = [(lang, min(_STEPS, -(-bound * _STEPS // texts))) for lang, texts in found.items()]
+    shares = df.sparkSession.createDataFrame(upto, "lang string, upto long")
+    chosen = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("text"), F.lit(_STEPS)) < F.col("upto"))
+    return tuple(sorted(found)), chosen.select("lang", "text").distinct()
+
+
+def fit_text_model(df: DataFrame, text: Column, declared: Column, max_rows: int = MAX_TRAINING_ROWS) -> TextModel:
+    """Trigram counts per declared language from its training rows; the driver gets one row
+    per language and bucket, as Arrow columns."""
+    languages, rows = training_rows(df, text, declared, max_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        seen: dict[str, int] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for lo, _, code, bounds in _slabs(batch.column(1)):
                 for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                     lang = langs[lo + k]
                     if lang not in sums:
-                        sums[lang], seen[lang] = np.zeros(BUCKETS, dtype=np.int64), 0
+                        sums[lang] = np.zeros(BUCKETS, dtype=np.int64)
                     sums[lang] += np.bincount(code[a:b], minlength=BUCKETS)
-                    seen[lang] += 1
         for lang, counts in sums.items():
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * (len(used) + 1)), pa.array(np.append(used, -1).astype(np.int32)),
-                pa.array(np.append(counts[used], seen[lang])),
+                pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(counts[used]),
             ], names=["lang", "bucket", "n"])
 
     counts = staged(
         rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")),
-        "trigrams")
-    docs = {r["lang"]: r["n"] for r in counts.where("bucket < 0").orderBy(F.desc("n"), "lang").limit(200).collect()}
-    languages = tuple(sorted(k for k, n in docs.items() if n >= MIN_SHARE * sum(docs.values())))
+        "trigrams").toArrow()
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
-    for r in counts.where((F.col("bucket") >= 0) & F.col("lang").isin(list(languages))).collect():
-        table[languages.index(r["lang"]), r["bucket"]] += r["n"]
+    at = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
+    table[at, counts.column("bucket").to_numpy()] += counts.column("n").to_numpy()
     shares = table / table.sum(axis=1, keepdims=True)
     return TextModel(languages, np.log((1 - STRAY) * shares + STRAY / BUCKETS))
 
@@ -121,6 +146,7 @@ def fit_text_model(df: DataFrame, text: Column, declared: Column, max_rows: int
 def with_text_evidence(df: DataFrame, text: Column, model: TextModel, name: str = "__text_ll") -> DataFrame:
     """Adds tempered log-likelihoods per language (and UNKNOWN); null without trigrams."""
     table = np.ascontiguousarray(model.log_p.T)
+    columns = {k: np.ascontiguousarray(table[:, k:k + _COLUMNS]) for k in range(0, table.shape[1], _COLUMNS)}
     with_text = df.withColumn(name, text)
     at = with_text.columns.index(name)
 
@@ -132,7 +158,8 @@ def with_text_evidence(df: DataFrame, text: Column, model: TextModel, name: str
                 sums = np.zeros((len(n), table.shape[1]))
                 if len(code):
                     some = n > 0  # a row without trigrams must not borrow its successor's
-                    sums[some] = np.add.reduceat(table[code], bounds[:-1][some], axis=0)
+                    for k in range(0, table.shape[1], _COLUMNS):
+                        sums[some, k:k + _COLUMNS] = np.add.reduceat(columns[k][code], bounds[:-1][some], axis=0)
                 sums *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
                 out += [row if k else None for row, k in zip(sums.tolist(), n.tolist(), strict=True)]
             column = pa.array(out, pa.list_(pa.float64()))
