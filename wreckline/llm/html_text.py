@@ -3,6 +3,8 @@
 The standard library's streaming parser turns a page into lines, one per block element,
 each with its text, the number of tags in it and the element that encloses it. Lines in
 elements that are never content (navigation, forms, scripts, comments, ...) are marked.
+Names of classes and ids only hint at such elements: a hint is void where its element
+wraps the page's main part (see ``_Lines.void_hints``).
 The text-to-tag ratio per line is smoothed with a Gaussian kernel and split into two
 clusters at a threshold; a region (an article or main element, or where a page has none,
 a run of lines under one parent) is content if its best line lies in the upper cluster.
@@ -11,7 +13,7 @@ All unmarked lines of a content region are kept, so that short paragraphs surviv
 A page is one row and its parse one pass in one task: nothing is shuffled.
 
 Defined cases: null html is an empty page; a page without text, or with marked lines
-only, has the empty text; long pages are parsed whole; truncated and unbalanced markup is
+only, has the empty text, but where hints alone mark every line the outermost are void; long pages are parsed whole; truncated and unbalanced markup is
 read as far as it goes; repeated rows give repeated results; an empty table gives an
 empty result; other columns are not returned.
 """
@@ -46,6 +48,8 @@ HINT = re.compile(
     r"widget|toolbar|skip|login|signup|paywall)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names that say what a wrapper has or lacks, or its state, not what it is.
+STATE = re.compile(r"(?:^|[_-])(?:has|no|not|with|without)[_-]|[_-](?:open|closed|enabled|disabled)$", re.IGNORECASE)
 #: A start tag of the key closes an open element of the same name below these parents.
 SIBLINGS = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
@@ -55,13 +59,26 @@ SIGMA = 1.0
 REACH = 2
 
 
+def hinted(value: str) -> bool:
+    """Whether a class or id value names something that is not the article."""
+    return bool(HINT.search(value)) and any(HINT.search(x) and not STATE.search(x) for x in value.split())
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags, marked, region) per block in page order."""
+    """Collects (text, tags, marked, region, hint) per block in page order.
+
+    ``hint`` is the innermost open element whose class or id hints that it is no content,
+    by its number; -1 is none. Numbers ascend, so parents come before their children.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[bool, int]]] = []
-        self.open: list[tuple[str, bool, tuple[bool, int]]] = []
+        self.lines: list[tuple[str, int, bool, tuple[bool, int], int]] = []
+        self.open: list[tuple[str, bool, tuple[bool, int], int]] = []
+        self.parents: list[int] = []  # of each hint
+        self.wraps: list[bool] = []  # a main element, by hint
+        self.heads: list[bool] = []  # an h1, by hint
+        self.articles: dict[tuple[bool, int], int] = {}  # hint around each article region
         self.marked = 0
         self.text: list[str] = []
         self.tags = 0
@@ -71,7 +88,7 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             region = self.open[-1][2] if self.open else (False, 0)
-            self.lines.append((text, self.tags, self.marked > 0, region))
+            self.lines.append((text, self.tags, self.marked > 0, region, self.open[-1][3] if self.open else -1))
             self.tags = 0
         self.text.clear()
 
@@ -104,11 +121,19 @@ class _Lines(HTMLParser):
                 if self.open[i][0] in SIBLINGS[tag]:
                     break
         above = self.open[-1][2] if self.open else (False, 0)
+        hint = self.open[-1][3] if self.open else -1
+        names = [value for name, value in attrs if name in ("class", "id") and value]
+        main = tag == "main" or ("role", "main") in attrs
+        if hint >= 0:
+            self.wraps[hint] |= main
+            self.heads[hint] |= tag == "h1"
         region = above
         if tag in ("article", "main"):
             self.elements += 1
             if not above[0]:
                 region = (True, self.elements)
+                if not any(hinted(x) for x in names):
+                    self.articles[region] = hint
         elif block and not above[0] and tag not in ("p", "li") and tag[0] != "h":
             self.elements += 1
             region = (False, self.elements)
@@ -116,13 +141,17 @@ class _Lines(HTMLParser):
         if not mark and attrs:
             for name, value in attrs:
                 if name == "hidden" or (value and (
-                    (name in ("class", "id") and tag not in ("body", "html", "article", "main") and HINT.search(value))
-                    or (name == "role" and value.lower() in ROLES)
+                    (name == "role" and value.lower() in ROLES)
                     or (name == "aria-hidden" and value == "true")
                     or (name == "style" and "display:none" in value.replace(" ", ""))
                 )):
                     mark = True
-        self.open.append((tag, mark, region))
+        if not mark and not main and tag not in ("body", "html", "article") and any(hinted(x) for x in names):
+            self.parents.append(hint)
+            self.wraps.append(False)
+            self.heads.append(tag == "h1")
+            hint = len(self.parents) - 1
+        self.open.append((tag, mark, region, hint))
         self.marked += mark
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -142,6 +171,50 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.text.append(data)
 
+    def void_hints(self) -> list[bool]:
+        """By hint, whether its element wraps the main part of the page.
+
+        It does if it encloses a main element; or, on a page without an article outside all
+        hints, an article with as much text as lies outside; or the h1 or such an article, and
+        most of the text. Where every line is under a hint, so do the outermost ones. An article
+        whose own name hints (a comment, a teaser) does not count.
+        """
+        inside, article = [0] * len(self.parents), [0] * len(self.parents)
+        wraps, heads = list(self.wraps), list(self.heads)
+        plain = plain_article = whole = 0
+        for text, _, marked, region, hint in self.lines:
+            if marked:
+                continue
+            whole += len(text)
+            of_article = self.articles.get(region) == hint
+            if hint < 0:
+                plain += len(text)
+                plain_article += len(text) * of_article
+            else:
+                inside[hint] += len(text)
+                article[hint] += len(text) * of_article
+        for hint in range(len(self.parents) - 1, -1, -1):
+            above = self.parents[hint]
+            if above >= 0:
+                inside[above] += inside[hint]
+                article[above] += article[hint]
+                wraps[above] |= wraps[hint]
+                heads[above] |= heads[hint]
+        only = [n > 0 and not plain_article for n in article]
+        void = [
+            wraps[k] or (only[k] and article[k] >= plain) or ((heads[k] or only[k]) and 2 * inside[k] > whole)
+            for k in range(len(self.parents))]
+        if whole and not plain and not any(void):
+            void = [above < 0 for above in self.parents]
+        return void
+
+    def read(self) -> list[tuple[str, int, bool, tuple[bool, int]]]:
+        """The lines, with those under hints that are not void marked."""
+        active: list[bool] = []
+        for void, above in zip(self.void_hints(), self.parents, strict=True):
+            active.append(not void or (above >= 0 and active[above]))
+        return [(text, tags, marked or (hint >= 0 and active[hint]), region) for text, tags, marked, region, hint in self.lines]
+
 
 def smoothed(values: list[float], sigma: float = SIGMA, reach: int = REACH) -> list[float]:
     """Gaussian smoothing; at the ends over the neighbours that exist."""
@@ -174,7 +247,7 @@ def main_blocks(html: str) -> list[str]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
+    lines = parser.read()
     if not lines:
         return []
     ratios = smoothed([len(text) / max(1, tags) for text, tags, _, _ in lines])
