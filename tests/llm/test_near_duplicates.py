@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from wreckline.llm import ngram_join
-from wreckline.llm.ngram_join import Bands, ngram_components
+from wreckline.llm.ngram_join import Windows, ngram_components
 
 from .test_text_models import join_rows, shingles
 
@@ -30,29 +30,25 @@ def components_at(texts, width, percent):
     return {k: (len(sets[k]), find(k)) for k in sets}
 
 
-def share_a_key(x, y, bands):
+def share_a_key(x, y, windows):
     hashes, bounds = np.concatenate((x, y)), np.array([0, len(x), len(x) + len(y)])
-    keys = [set(), set()]
-    for tile in bands.tiles(np.diff(bounds)):
-        k, row = ngram_join._range_keys(hashes, bounds, tile, bands)
-        for key, r in zip(k.tolist(), row.tolist(), strict=True):
-            keys[r].add(key)
-    return bool(keys[0] & keys[1])
+    keys, row = ngram_join.window_keys(hashes, bounds, windows)
+    return bool(set(keys[row == 0].tolist()) & set(keys[row == 1].tolist()))
 
 
 @pytest.mark.parametrize("percent", [50, 70, 80, 85, 95])
 def test_every_allowed_partner_shares_a_key(percent):
-    rng, bands = np.random.default_rng(7), Bands(percent)
+    rng, windows = np.random.default_rng(7), Windows(percent)
     for n in [*range(1, 300), 600, 1000, 1999]:
         y = np.unique(rng.integers(0, 2**64, 100 * n // percent, dtype=np.uint64))
         x = np.sort(rng.choice(y, n, replace=False))  # the largest partner holds the whole set
         if len(x) < len(y):
-            assert share_a_key(x, y, bands), (len(x), len(y))
+            assert share_a_key(x, y, windows), (len(x), len(y))
         # Equal sizes, as many shingles exchanged as the threshold allows.
         gone = n * (100 - percent) // (100 + percent)
         if gone:
             z = np.unique(np.concatenate((np.delete(x, rng.choice(n, gone, replace=False)), rng.integers(0, 2**64, gone, dtype=np.uint64))))
-            assert share_a_key(x, z, bands), (n, gone)
+            assert share_a_key(x, z, windows), (n, gone)
 
 
 @pytest.mark.parametrize("block", [1 << 20, 1200])

@@ -16,7 +16,7 @@ from wreckline.llm.components import components
 from wreckline.llm.decontaminate import Matcher, benchmark_hits, decontaminate, myers, normalised, pieces
 from wreckline.llm.language_id import fit_text_model, identify_language, markup_language, page_text
 from wreckline.llm.line_crf import fit_line_model, forward_backward, lines_of, score_quality
-from wreckline.llm.ngram_join import Bands, keep_one, ngram_components
+from wreckline.llm.ngram_join import Windows, keep_one, ngram_components
 from wreckline.llm.registry import op3_ngram_join, op5_line_crf
 from wreckline.llm.shingles import set_keys, shingle_sets
 
@@ -60,8 +60,8 @@ def test_shingle_sets_match_brute_force():
 
 
 def test_pigeonhole_is_complete():
-    """Any two sets at the threshold share a range key, for many sizes and overlaps."""
-    rng, bands = np.random.default_rng(3), Bands()
+    """Any two sets at the threshold share a key, for many sizes and overlaps."""
+    rng, windows = np.random.default_rng(3), Windows()
     for size in [6, 7, 11, 20, 50, 143, 600, 3000]:
         for _ in range(30):
             x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
@@ -72,14 +72,9 @@ def test_pigeonhole_is_complete():
             if 100 * len(np.intersect1d(x, y)) < 85 * len(np.union1d(x, y)) or len(x) == len(y) == gone == 0:
                 continue
             hashes, bounds = np.concatenate((x, y)), np.array([0, len(x), len(x) + len(y)])
-            shared = False
-            tiles = bands.tiles(np.diff(bounds))
-            keys = [set(), set()]
-            for tile in tiles:
-                k, row = ngram_join._range_keys(hashes, bounds, tile, bands)
-                for a, b in zip(k.tolist(), row.tolist(), strict=True):
-                    keys[b].add(a)
-            shared = bool(keys[0] & keys[1]) or np.array_equal(x, y)
+            keys, row = ngram_join.window_keys(hashes, bounds, windows)
+            sent = [set(keys[row == k].tolist()) for k in (0, 1)]
+            shared = bool(sent[0] & sent[1]) or np.array_equal(x, y)
             assert shared, (size, len(x), len(y))
 
 

@@ -1,29 +1,28 @@
 """N-gram Jaccard self-join: every pair of shingle sets at or above a threshold.
 
 1. Equal sets are one class (grouped by two 64-bit keys, combined before the shuffle).
-2. Tile membership. Sets are banded by size; a tile holds the pairs whose smaller set is
-   in one band. Two sets of a tile that meet the threshold differ in at most ``H`` shingles,
-   so if the hash space is cut into more than ``H`` ranges, some range has the same
-   content in both: each set sends one key per range, and sets that share a key are
-   linked as candidates. A range with fewer than ``STRONG`` shingles says little (one
-   common shingle makes strangers agree); more ranges than ``H + 1`` make sure that a range
-   with more content agrees, and a set with more weak ranges than that sends them too
-   (its empty ranges only where those alone are too many).
+2. Candidates. A set's shingles in hash order give its windows: runs of ``k`` neighbours. Two
+   sets of sizes s and r with i common shingles have at least ``(2k-1) i - (k-1)(s+r+1)`` windows
+   in common: a shingle that only the first has breaks k of its windows, one that only the
+   second has breaks k - 1. So each set sends as keys its windows of least hash, as many as
+   make sure that two sets at the threshold send a common one. A key stands for k shingles
+   next to each other in both sets, which strangers with a common line rarely have.
 3. Keys are combined where they arise: equal keys within a task become star edges at
    once and one copy travels on, so that a key which a third of all sets hold moves one
    row per task. What the stars connect is a family; no true pair leaves its family.
-4. Families are compared in size-banded blocks of bounded size. Hashed bitmaps bound the
+4. Families are compared in size-banded tiles of bounded size. Hashed bitmaps bound the
    overlap of a pair from above by bit counts; pairs that pass, and are not connected
    already, are decided by exact intersection of the sorted arrays.
 5. The components of the verified links are the result.
 
-No step collects a key's or family's sets in one task beyond a block pair, and no pair is
-left out: ranges, blocks and bitmaps only ever drop pairs that cannot reach the threshold.
+No step collects a key's or family's sets in one task beyond a tile, and no pair is left
+out: windows, tiles and bitmaps only ever drop pairs that cannot reach the threshold.
 
 Defined cases: null and empty texts have the empty set, linked with nothing; a text
 with fewer words than a shingle has its whole sequence as one; texts are read whole;
-repeated rows are in one class; rows with a null id stand alone, with a null component;
-an empty table gives an empty result; other columns are not read.
+repeated rows are in one class; an id on several texts stands for each of them; rows with a
+null id stand alone, with a null component; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -43,95 +42,83 @@ from .shingles import mix, set_keys, shingle_sets
 WIDTH = 4
 #: Linked when 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Shingles in a block of a family, at most (but for a single larger set).
+#: Weight of a block of a family, at most (but for a single larger set): its shingles,
+#: and ``SET_WEIGHT`` for each set.
 BLOCK = 1 << 20
+SET_WEIGHT = 200
 #: Keys in one partition of the candidate shuffle, about.
 KEYS_PER_PARTITION = 1_000_000
 #: Keys that a task gathers before it combines and sends them.
 KEYS_HELD = 500_000
-#: Shingles that a range must hold to count on its own.
-STRONG = 2
+#: Shingles in a window, at most, and the share of a set's windows that must be common to
+#: its partners for windows of that length to serve.
+WIDEST = 3
+SHARE = 0.25
 #: Growth of size bands, in thousandths of 100 / percent.
 _MARGIN = 1003
 _U = np.uint64
 
 
-class Bands:
-    """Size bands and, per band, the number of hash ranges its tile needs."""
+class Windows:
+    """How many windows of each length a set of a given size sends, so that two different
+    sets at the threshold send a common one."""
 
-    def __init__(self, percent: int = PERCENT, largest: int = 1 << 40) -> None:
-        # Sets at the threshold differ in size by a factor of at most 100 / percent; bands
-        # grow by a little more, so that a partner is at most one band away.
-        lows = [1]
-        while lows[-1] <= largest:
-            lows.append(max(lows[-1] + 1, -(-lows[-1] * _MARGIN // (10 * percent))))
+    def __init__(self, percent: int = PERCENT) -> None:
         self.percent = percent
-        self.lows = np.array(lows, dtype=np.int64)
-        self.ranges, self.slack = [], []
-        for low, high in zip(lows[:-1], lows[1:], strict=True):
-            # Sets x <= y with 100 I >= p U differ in at most (100 - p) / p * x shingles.
-            differ = (100 - percent) * (high - 1) // percent
-            ranges = self._enough(low, differ) if differ else 0
-            self.ranges.append(ranges)
-            self.slack.append(max(0, ranges - differ - 1))
-        self.ranges = np.array(self.ranges, dtype=np.int64)
-        self.slack = np.array(self.slack, dtype=np.int64)
-
-    @staticmethod
-    def _enough(low: int, differ: int) -> int:
-        """The least number of ranges of which, beyond ``differ``, more than the weak ones
-        remain for nearly all sets of the smallest size; where there is none (small sets,
-        low thresholds), more than the empty ones; where there is none either, one more than
-        ``differ``, and the weak or the empty ranges count too."""
-        for least in (STRONG, 1):
-            for n in range(differ + 1, 2 * differ + 2, max(1, differ // 64)):
-                load = low / n
-                weak = n * math.exp(-load) * sum(load**k / math.factorial(k) for k in range(least))
-                if n - differ - 1 >= weak + math.sqrt(weak):
-                    return n
-        return differ + 1
-
-    def tiles(self, sizes: np.ndarray) -> list[np.ndarray]:
-        """For each set the tile of its own band, and the one below if a smaller partner
-        of its size exists there; -1 where there is none or only equal sets would do."""
-        band = np.searchsorted(self.lows, sizes, side="right") - 1
-        own = np.where((sizes > 0) & (self.ranges[np.maximum(band, 0)] > 0), band, -1)
-        below = np.maximum(band - 1, 0)
-        reach = self.percent * sizes <= 100 * (self.lows[np.maximum(band, 0)] - 1)
-        low = np.where((band > 0) & reach & (self.ranges[below] > 0), below, -1)
-        return [own, low]
-
-
-def _range_keys(hashes: np.ndarray, bounds: np.ndarray, tile: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every range of the rows' tiles; rows with tile -1 have none."""
+        self._sent: dict[int, tuple[int, ...]] = {}
+        # A pair uses the longest windows that serve all pairs whose smaller set is as large.
+        self.first = [1]
+        for k in range(2, WIDEST + 1):
+            short = [m for m in range(1, 400) if self.common(k, m, m) < max(1, SHARE * m)]
+            self.first.append(max(self.first[-1], max(short, default=0) + 1) if 399 not in short else 1 << 62)
+
+    def common(self, k: int, s, r):
+        """Common windows of k shingles that sets of s and r shingles at the threshold have."""
+        both = -(-self.percent * (s + r) // (100 + self.percent))
+        return (2 * k - 1) * both - (k - 1) * (s + r + 1)
+
+    def sent(self, s: int) -> tuple[int, ...]:
+        """For each length 1 to WIDEST, how many windows a set of s shingles sends."""
+        if s not in self._sent:
+            r = np.arange(-(-self.percent * s // 100), 100 * s // self.percent + 1)
+            both = -(-self.percent * (s + r) // (100 + self.percent))
+            r = r[(r != s) | (both < s)]  # sets of this size that differ, at all
+            length = np.searchsorted(self.first, np.minimum(r, s), side="right")
+            out = []
+            for k in range(1, WIDEST + 1):
+                own = s - k + 1
+                some = r[length == k]
+                out.append(min(own, int((own - self.common(k, s, some) + 1).max())) if len(some) else 0)
+            self._sent[s] = tuple(out)
+        return self._sent[s]
+
+
+def window_keys(hashes: np.ndarray, bounds: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of every window that the rows send."""
     sizes = np.diff(bounds)
-    rows = np.flatnonzero(tile >= 0)
-    if not len(rows):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    used = tile[owner] >= 0
-    owner, h = owner[used], hashes[used]
-    ranges = bands.ranges[np.maximum(tile, 0)]
-    part = ((h >> _U(32)) * ranges[owner].astype(np.uint64)) >> _U(32)
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])
-    at = np.flatnonzero(new)
-    content = np.add.reduceat(mix(h + _U(0x51ED270B35AF1A7D)), at)
-    row, part = owner[at], part[at]
-    label = mix((tile[row].astype(np.uint64) << _U(40)) + part + _U(1))
-    keys = mix(content + label)
-    strong = np.diff(np.append(at, len(h))) >= STRONG
-    weak = ranges - np.bincount(row[strong], minlength=len(sizes))
-    many = np.zeros(len(sizes), dtype=bool)
-    many[rows] = weak[rows] > bands.slack[tile[rows]]
-    sent = strong | many[row]
-    empty = ranges - np.bincount(row, minlength=len(sizes))
-    extra = [(keys[sent], row[sent])]
-    # Empty ranges make strangers agree: they count only where a pair may share no other.
-    for r in np.flatnonzero(many & (empty > bands.slack[np.maximum(tile, 0)])):
-        none = np.setdiff1d(np.arange(ranges[r], dtype=np.uint64), part[row == r])
-        extra.append((mix(mix((_U(int(tile[r])) << _U(40)) + none + _U(1))), np.full(len(none), r)))
-    return np.concatenate([k for k, _ in extra]), np.concatenate([r for _, r in extra])
+    distinct, which = np.unique(sizes, return_inverse=True)
+    sent = np.array([windows.sent(int(n)) if n else (0,) * WIDEST for n in distinct]).reshape(-1, WIDEST)
+    owner = np.repeat(np.arange(len(sizes)), sizes).astype(np.uint64)
+    keys, rows = [hashes[:0]], [np.zeros(0, dtype=np.int64)]
+    for k in range(1, WIDEST + 1):
+        want = sent[which, k - 1]
+        n = len(hashes) - k + 1
+        if n <= 0 or not want.any():
+            continue
+        inside = (owner[:n] == owner[k - 1:]) & (want[owner[:n].astype(np.int64)] > 0)
+        at = np.flatnonzero(inside)
+        key = np.full(len(at), k, dtype=np.uint64)
+        for j in range(k):
+            key = mix(key * _U(0xD6E8FEB86659FD93) + hashes[at + j])
+        row = owner[at]
+        # Rows ascend already: one sort by (row, leading bits of the key) ranks each row's keys.
+        order = np.argsort((row << _U(44)) | (key >> _U(20)))
+        row, key = row[order].astype(np.int64), key[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, np.arange(len(sizes)))[row]
+        kept = rank < want[row]
+        keys.append(key[kept])
+        rows.append(row[kept])
+    return np.concatenate(keys), np.concatenate(rows)
 
 
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -162,25 +149,31 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[root[loose]], nodes[loose]
 
 
+def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, th) of every row; th tells texts of one id apart."""
+    value = F.col(f"`{text}`").cast("string")
+    return df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), value.alias("text"), F.xxhash64(value).alias("th"))
+
+
 def document_sets(df: DataFrame, doc_id: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, k1, k2): set size and keys of every row."""
+    """(doc_id, th, n, k1, k2): set size and keys of every row."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, hashes, bounds in shingle_sets(batch.column(1), width):
                 k1, k2 = set_keys(hashes, bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(k1), pa.array(k2)],
-                    names=["doc_id", "n", "k1", "k2"])
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
+                     pa.array(np.diff(bounds)), pa.array(k1), pa.array(k2)],
+                    names=["doc_id", "th", "n", "k1", "k2"])
 
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(keyed, "doc_id long, n long, k1 long, k2 long")
+    return _rows(df, doc_id, text).mapInArrow(keyed, "doc_id long, th long, n long, k1 long, k2 long")
 
 
 def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(k1, family) of the sets that share a range key with another set.
+    """(k1, family) of the sets that share a window key with another set.
 
-    ``keys`` is about how many range keys there are; it sets the shuffle's width.
+    ``keys`` is about how many keys there are; it sets the shuffle's width.
     """
     wide = max(1, -(-keys // KEYS_PER_PARTITION))
     schema = "part int, keys binary, nodes binary, low binary, high binary"
@@ -203,16 +196,15 @@ def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: i
         ], names=["part", "keys", "nodes", "low", "high"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        windows = Windows(percent)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
             for _, _, hashes, bounds in shingle_sets(batch.column(0), width):
                 nodes = set_keys(hashes, bounds)[0]
-                for tile in bands.tiles(np.diff(bounds)):
-                    keys, row = _range_keys(hashes, bounds, tile, bands)
-                    held.append((keys, nodes[row]))
-                    size += len(keys)
+                keys, row = window_keys(hashes, bounds, windows)
+                held.append((keys, nodes[row]))
+                size += len(keys)
                 if size >= KEYS_HELD:
                     out = packed(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
                     held, size = [], 0
@@ -240,38 +232,45 @@ def families(df: DataFrame, text: str, keys: int, width: int = WIDTH, percent: i
     return components(edges).select(F.col("node").alias("k1"), F.col("root").alias("family"))
 
 
-def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """members (doc_id, n, k1, k2, family) with the tiles each belongs to: (tile, side, alone).
+def _tiles(members: DataFrame, percent: int) -> DataFrame:
+    """members (doc_id, th, n, k1, k2, family) with the tiles each belongs to: (tile, side, alone).
 
-    A family of at most BLOCK shingles is one tile. A larger one is cut by size and, within
-    a size, by hash, and its tiles are the block pairs whose sizes allow a link. There are
-    at most (all shingles) / BLOCK large families, so their names and sizes are broadcast:
-    no member is ever shuffled by its family.
+    A family of at most BLOCK is one tile. A larger one is cut into bands of size that reach
+    one band up at most, and a band above half a BLOCK by hash. Each block meets itself and
+    the first block of the next band in one tile (side 0, and 2 for those that only meet
+    side 0), and every other block of its band and the next in a tile of their own
+    (sides 1 and 2): a member of a band within a block is placed twice.
     """
-    totals = members.groupBy("family").agg(F.sum("n").alias("all"))
-    names = F.broadcast(totals.where(F.col("all") > BLOCK).select("family"))
-    small = members.join(names, "family", "left_anti").select(
-        "doc_id", "n", "k1", "k2", F.col("family").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("alone"))
-    large = members.join(names, "family", "left_semi").withColumn(
-        "q", F.floor(F.log("n") / math.log(1.05)).cast("int"))
-    sizes = large.groupBy("family", "q").agg(
-        F.sum("n").alias("sum"), F.min("n").alias("low"), F.max("n").alias("high"))
-    sizes = sizes.withColumn("salts", F.ceil(F.col("sum") / (BLOCK / 2)).cast("int"))
-    blocks = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    left, right = blocks.alias("x"), blocks.alias("y")
-    pairs = left.join(
-        right,
-        F.expr(f"x.family = y.family AND (x.q < y.q OR x.q = y.q AND x.salt <= y.salt) AND {percent} * y.low <= 100 * x.high"),
-    ).select(F.xxhash64("x.family", "x.q", "x.salt", "y.q", "y.salt").alias("tile"),
-             F.col("x.family").alias("family"), F.expr(
-        "explode(IF(x.q = y.q AND x.salt = y.salt, array(struct(x.q, x.salt, 0 AS side)),"
-        " array(struct(x.q, x.salt, 1 AS side), struct(y.q, y.salt, 2 AS side))))").alias("b")
-    ).select("tile", "family", "b.q", "b.salt", "b.side")
-    salted = large.join(F.broadcast(sizes.select("family", "q", "salts")), ["family", "q"]).withColumn(
-        "salt", F.pmod(F.xxhash64("k1", "k2"), F.col("salts")).cast("int"))
-    placed = salted.join(pairs, ["family", "q", "salt"]).select(
-        "doc_id", "n", "k1", "k2", "tile", "side", F.lit(True).alias("alone"))
-    return small.unionByName(placed)
+    band = F.floor(F.log("n") / math.log(_MARGIN / (10 * percent))).cast("int")
+    banded = members.withColumn("band", band)
+    weight = F.sum(F.col("n") + F.lit(SET_WEIGHT)).alias("weight")
+    # Written first: a skewed join is split over tasks where its sides come straight from shuffles.
+    sums = staged(banded.groupBy("family", "band").agg(weight), "bands")
+    total = sums.groupBy("family").agg(F.sum("weight").alias("all"))
+    bands = staged(sums.join(total, "family").select(
+        "family", "band", (F.col("all") > BLOCK).alias("alone"),
+        F.ceil(F.col("weight") / (BLOCK / 2)).cast("int").alias("salts")), "bands")
+    small = bands.where("NOT alone").select("family", "band", F.lit(0).alias("salt"), F.lit(False).alias("alone"),
+                                            F.xxhash64("family").alias("tile"), F.lit(0).alias("side"))
+    large = bands.where("alone").select("family", "band", "salts")
+    x = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    above = large.select("family", (F.col("band") - 1).alias("band"), F.col("salts").alias("over"))
+    x = x.join(above, ["family", "band"], "left").withColumn("over", F.coalesce("over", F.lit(0)))
+    met = F.expr(
+        "concat(array(struct(band AS band, salt AS salt)),"
+        " transform(filter(sequence(0, salts - 1), j -> j > salt), j -> struct(band AS band, j AS salt)),"
+        " transform(filter(sequence(0, over), j -> j < over), j -> struct(band + 1 AS band, j AS salt)))")
+    y = x.withColumn("y", F.explode(met)).withColumn("own", F.expr("y.band = band AND y.salt = salt")).withColumn(
+        "joined", F.expr("y.band = band + 1 AND y.salt = 0")).withColumn("tile", F.expr(
+            "IF(own OR joined, xxhash64(family, band, salt, 'own'), xxhash64(family, band, salt, y.band, y.salt))"))
+    placed = y.select("family", "tile", F.explode(F.expr(
+        "CASE WHEN own THEN array(struct(band, salt, 0 AS side)) WHEN joined THEN array(struct(y.band, y.salt, 2 AS side))"
+        " ELSE array(struct(band, salt, 1 AS side), struct(y.band, y.salt, 2 AS side)) END")).alias("b"))
+    places = staged(small.unionByName(placed.select(
+        "family", "b.band", "b.salt", F.lit(True).alias("alone"), "tile", "b.side")), "places")
+    salted = banded.join(bands.select("family", "band", F.when(F.col("alone"), F.col("salts")).otherwise(1).alias("salts")),
+                         ["family", "band"]).withColumn("salt", F.pmod(F.xxhash64("k1", "k2"), F.col("salts")).cast("int"))
+    return salted.join(places, ["family", "band", "salt"]).select("doc_id", "th", "n", "k1", "k2", "tile", "side", "alone")
 
 
 def _links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -313,78 +312,90 @@ def _links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent:
 
 
 def verified_links(df: DataFrame, members: DataFrame, doc_id: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between members of one family, enough to connect what is connected."""
-    placed = staged(_blocks(members, percent), "tiles")
+    """Links (a, b) between the first keys (k1) of a family's sets, enough to connect what
+    is connected."""
+    placed = staged(_tiles(members, percent), "tiles")
     tokens = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(1, -(-tokens // (2 * BLOCK)))
-    once = placed.select("doc_id", "k1", "k2").distinct()
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    once = members.select("doc_id", "th", "k1", "k2")
     # One plan at every size: the texts of members are found by a shuffle, never by a
     # broadcast that only small inputs allow.
-    texts = rows.join(once.hint("merge"), "doc_id")
+    texts = _rows(df, doc_id, text).join(once.hint("merge"), ["doc_id", "th"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want1, want2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
-            for lo, hi, hashes, bounds in shingle_sets(batch.column(1), width):
+            want1, want2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            for lo, hi, hashes, bounds in shingle_sets(batch.column(0), width):
                 k1, k2 = set_keys(hashes, bounds)
-                same = np.flatnonzero((k1 == want1[lo:hi]) & (k2 == want2[lo:hi]))  # ids may repeat with other texts
+                same = np.flatnonzero((k1 == want1[lo:hi]) & (k2 == want2[lo:hi]))
                 for x in range(0, len(same), 500):
                     some = same[x:x + 500]
                     yield pa.RecordBatch.from_arrays([
-                        batch.column(0).take(pa.array(some + lo)), pa.array(k1[some]), pa.array(k2[some]),
+                        pa.array(k1[some]), pa.array(k2[some]),
                         pa.array([hashes[bounds[k]:bounds[k + 1]].tobytes() for k in some], pa.binary()),
-                    ], names=["doc_id", "k1", "k2", "hashes"])
+                    ], names=["k1", "k2", "hashes"])
 
-    made = texts.select("doc_id", "text", "k1", "k2").mapInArrow(sets, "doc_id long, k1 long, k2 long, hashes binary")
-    full = made.join(placed, ["doc_id", "k1", "k2"]).select(
+    made = texts.select("text", "k1", "k2").mapInArrow(sets, "k1 long, k2 long, hashes binary")
+    full = made.join(placed, ["k1", "k2"]).select(
         F.when(F.col("alone"), F.col("tile")).otherwise(F.pmod(F.xxhash64("tile"), F.lit(buckets))).alias("unit"),
-        "alone", "tile", "side", "doc_id", "hashes")
+        "alone", "tile", "side", "k1", "hashes")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         tile = table.column("tile").to_numpy()
-        ids, sides = table.column("doc_id").to_numpy(), table.column("side").to_numpy()
+        nodes, sides = table.column("k1").to_numpy(), table.column("side").to_numpy()
         blobs = table.column("hashes")
         links: list[tuple[int, int]] = []
         order = np.argsort(tile, kind="stable")
         cuts = np.flatnonzero(np.diff(tile[order])) + 1
         for group in np.split(order, cuts):
-            group = group[np.unique(ids[group], return_index=True)[1]]  # repeated rows
+            group = group[np.unique(nodes[group], return_index=True)[1]]  # repeated rows
             if len(group) > 1:
                 sets = [np.frombuffer(blobs[int(k)].as_buffer(), dtype=np.uint64) for k in group]
-                links += _links(ids[group], sides[group], sets, percent)
+                links += _links(nodes[group], sides[group], sets, percent)
         a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return full.groupBy("alone", "unit").applyInArrow(compare, "a long, b long")
 
 
-def ngram_components(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row. Runs jobs."""
+def _judged(df: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """(doc_id, th, n, component, first) of every row: the least id of its component and the
+    hash of the text that has it; both null where the set is empty or the id null. Runs jobs."""
     docs = staged(document_sets(df, doc_id, text, width), "sets")
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     whole = docs.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(
-        whole.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
-    linked = families(df, text, total // 3, width, percent)
-    members = staged(
-        classes.join(linked, "k1").select(F.col("rep").alias("doc_id"), "n", "k1", "k2", "family"), "members")
+    classes = staged(whole.groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n")), "classes")
+    linked = families(df, text, total // 2, width, percent)
+    members = staged(classes.join(linked, "k1").select("rep.*", "n", "k1", "k2", "family"), "members")
     roots = components(verified_links(df, members, doc_id, text, width, percent))
-    joined = classes.join(roots, classes["rep"] == roots["node"], "left").select(
-        "k1", "k2", F.coalesce("root", "rep").alias("component"))
-    out = docs.join(joined, ["k1", "k2"], "left")
-    alone = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    rooted = staged(classes.join(roots, classes["k1"] == roots["node"], "left").select(
+        "k1", "k2", "rep", F.coalesce("root", "k1").alias("root")), "roots")
+    least = staged(rooted.groupBy("root").agg(F.min("rep").alias("least")), "least")
+    joined = rooted.join(least, "root").select("k1", "k2", "least")
+    return docs.join(joined, ["k1", "k2"], "left").select(
+        "doc_id", "th", "n", *[F.when(F.col("doc_id").isNotNull(), F.col(f"least.{x}")).alias(y)
+                               for x, y in (("doc_id", "component"), ("th", "first"))])
+
+
+def ngram_components(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row. Runs jobs."""
+    return _judged(df, doc_id, text, width, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"))
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each component the document with the
-    least id stays, once; rows with a null id all stay."""
-    found = ngram_components(df, doc_id, text, width, percent)
-    first = found.where("component_id = doc_id").select(F.col("doc_id").alias("__first")).distinct()
-    key = F.col(f"`{doc_id}`")
-    kept = df.join(first, key == F.col("__first"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(df.where(key.isNull()))
+    least id stays, once (of several texts with that id the one of least hash); rows with a
+    null id all stay, and of rows with an empty set one of each id and text."""
+    found = _judged(df, doc_id, text, width, percent)
+    first = found.where("doc_id IS NOT NULL AND (n = 0 OR component = doc_id AND first = th)").select(
+        F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
+    key, value = F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string")
+    held = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     key.cast("long").alias("__id"), F.xxhash64(value).alias("__th"))
+    kept = held.join(first, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"])
+    return kept.select("row.*").unionByName(df.where(key.isNull()))
