@@ -67,7 +67,7 @@ def test_registration():
 
     queries = __spark_entry__.queries()
     assert set(QUERIES) <= set(queries) and "pipeline" in queries
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable
 
@@ -41,6 +42,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps. Spark removes them when the driver's JVM
+    collects the frames that made them, which a driver with little garbage seldom does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, bound as a lambda variable: an
     expression repeated inside a higher-order function would run once per element."""

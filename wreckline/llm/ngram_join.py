@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import release, staged
 from .components import components
 from .shingles import mix, set_keys, shingle_sets
 
@@ -368,8 +368,10 @@ def _judged(df: DataFrame, doc_id: str, text: str, width: int, percent: int) ->
     classes = staged(whole.groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n")), "classes")
     linked = families(df, text, total // 2, width, percent)
+    release(df.sparkSession)
     members = staged(classes.join(linked, "k1").select("rep.*", "n", "k1", "k2", "family"), "members")
     roots = components(verified_links(df, members, doc_id, text, width, percent))
+    release(df.sparkSession)
     rooted = staged(classes.join(roots, classes["k1"] == roots["node"], "left").select(
         "k1", "k2", "rep", F.coalesce("root", "k1").alias("root")), "roots")
     least = staged(rooted.groupBy("root").agg(F.min("rep").alias("least")), "least")

@@ -8,23 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .conversation_repair import repair_conversations, text_digests
 from .decontaminate import benchmark_hits
+from .filter_audit import filter_audit, standard_filters
 from .html_text import extract_main_text
 from .language_id import identify_language, markup_language, page_text
 from .line_crf import fit_line_model, score_quality
 from .mixing import mix_sources
 from .ngram_join import ngram_components
+from .oracle_filters import filter_audit_sql
 from .oracle_mixing import mixing_sql
 from .oracle_ngram import ngram_join_sql
 from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
 from .secrets import fit_markov, labelled_samples, secret_scan
 from .sharding import shard_records
+from .toxicity import fit_toxicity, score_toxicity
 from .warc import archive_folder, normalise_archives, read_archives, write_archives
 
 SHARDS = 24
 
 
+def _held_out():
+    return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(5)) == 0
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_archives(table(spark, sf_dir, "pages"), archive_folder(spark))
     return read_archives(normalise_archives(files))
@@ -47,11 +55,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(5)) == 0
-    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality")
+    labels = table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", "quality")
     model = fit_line_model(docs.join(labels, "doc_id"))
     return score_quality(docs, model).select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +96,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit(docs, standard_filters(F.col("text")), F.col("lang"), F.col("doc_id"), F.col("text"),
+                        table(spark, sf_dir, "labels"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", "toxic")
+    model = fit_toxicity(docs.join(labels, "doc_id"))
+    return score_toxicity(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with one row in five dropped, emptied, cut, repeated or given to the user."""
+    def filled(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    fate = F.pmod(F.crc32(F.encode(F.concat(filled("conv_id"), F.lit(":"), filled("turn")), "UTF-8")), F.lit(20))
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = conversations.select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"), fate.alias("fate"))
+    rows = rows.where("fate <> 0").withColumn("copy", F.explode(F.expr("IF(fate = 3, array(1, 2), array(1))")))
+    return rows.select("conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    summary, repaired = repair_conversations(damaged(given), conversations=given)
+    digests = text_digests(repaired, summary).withColumnRenamed("conv", "c")
+    return summary.join(digests, F.col("conv").eqNullSafe(F.col("c"))).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.col("sha256").alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html_text": op2_html_text,
@@ -100,10 +142,14 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
     "op10_mixing": op10_mixing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_toxicity": op12_toxicity,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL = {
     "op3_ngram_join": ngram_join_sql(),
     "op4_quality_rules": quality_rules_sql(),
     "op10_mixing": mixing_sql(),
+    "op11_filter_audit": filter_audit_sql(),
 }
