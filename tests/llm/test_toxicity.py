@@ -62,9 +62,11 @@ def test_edge_cases(spark):
     df = spark.createDataFrame([(1, None, 9.0), (2, "", 9.0), (3, " \t", 9.0), (4, "some words", 9.0), (4, "some words", 9.0)],
                                "doc_id long, text string, SCORE double")
     for labelled, want in (([], 0.0), ([(1, "a b", 1), (2, "c", 1)], 1.0), ([(1, "a b", 0), (2, "c", None)], 0.0)):
-        model = fit_toxicity(spark.createDataFrame(labelled, schema))
+        rows = spark.createDataFrame(labelled, schema)
+        model = fit_toxicity(rows, rows.select("toxic", "doc_id"))
         out = score_toxicity(df, model)
         assert sorted(out.columns) == ["doc_id", "score", "text"]
         assert {(r.doc_id, r.score) for r in out.collect()} == {(1, 0.0), (2, 0.0), (3, 0.0), (4, want)}
-    both = fit_toxicity(spark.createDataFrame([(1, "good words here", 0), (2, "zq zq zq", 1), (2, "zq zq zq", 0)], schema))
+    rows = spark.createDataFrame([(1, "good words here", 0), (2, "zq zq zq", 1), (2, "zq zq zq", 0)], schema)
+    both = fit_toxicity(rows, rows)
     assert both.share == 0.5 and score_toxicity(df, both).count() == 5 and score_toxicity(df.limit(0), both).count() == 0

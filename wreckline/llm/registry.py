@@ -105,7 +105,7 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", "toxic")
-    model = fit_toxicity(docs.join(labels, "doc_id"))
+    model = fit_toxicity(docs, labels)
     return score_toxicity(docs, model).select(
         "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

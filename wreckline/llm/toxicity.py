@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_column_replaced
+from .common import staged, with_column_replaced
 
 TEXTS = 4_000
 TEXT_BYTES = 12_000
@@ -199,20 +199,28 @@ def train(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
     return model
 
 
-def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic", texts: int = TEXTS) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
+                 texts: int = TEXTS) -> ToxicityModel:
     """Fit on a sample of at most about ``texts`` distinct labelled texts a class, chosen by hash
-    of the text; the driver holds their first TEXT_BYTES characters. Runs a job a class."""
+    of the text; the driver holds their first TEXT_BYTES characters. Runs jobs.
+
+    Only ids, hashes and labels are shuffled; the texts of the sample, whose ids are bounded by
+    ``texts``, are picked by a broadcast of those ids.
+    """
     value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    rows = labelled.where(F.col(f"`{toxic}`").isNotNull()).select(
-        F.xxhash64(value).alias("h"), F.substring(value, 1, TEXT_BYTES).alias("t"), (F.col(f"`{toxic}`") == 1).alias("bad"))
-    sizes = {r["bad"]: r["n"] for r in rows.groupBy("bad").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
+    known = labels.where(F.col(f"`{toxic}`").isNotNull()).select(
+        F.col(f"`{doc_id}`").alias("id"), (F.col(f"`{toxic}`") == 1).alias("bad"))
+    hashed = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(value).alias("h"))
+    classes = staged(hashed.join(known, "id").groupBy("h").agg(F.max("bad").alias("bad"), F.min("id").alias("id")), "labelled")
+    sizes = {r["bad"]: r["n"] for r in classes.groupBy("bad").agg(F.count("*").alias("n")).collect()}
     found: dict[bool, list[str]] = {}
-    share = {bad: min(1.0, texts / max(1, n)) for bad, n in sizes.items()}
     for bad in (True, False):
-        part = F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(1_000_000 * share.get(bad, 0))
-        # Copies meet before the shuffle: a group holds a hash, a text's beginning and a label.
-        some = rows.where(part).groupBy("h").agg(F.max("bad").alias("bad"), F.min("t").alias("t"))
-        found[bad] = [r["t"] for r in some.where(F.col("bad") == bad).orderBy("h").limit(2 * texts).collect() if r["t"].strip()]
+        share = min(1.0, texts / max(1, sizes.get(bad, 0)))
+        some = classes.where((F.col("bad") == bad) & (F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(1_000_000 * share)))
+        picked = F.broadcast(some.orderBy("h").limit(2 * texts).select("id", "h"))
+        read = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(value).alias("h"), F.substring(value, 1, TEXT_BYTES).alias("t"))
+        held = read.join(picked, ["id", "h"]).groupBy("h").agg(F.min("t").alias("t"))  # repeated rows
+        found[bad] = [r["t"] for r in sorted(held.collect(), key=lambda r: r["h"]) if r["t"].strip()]
     return train(found[True], found[False])
 
 
