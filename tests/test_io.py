@@ -266,7 +266,7 @@ def test_changed_source_files_land_anew(spark, tmp_path):
     from wreckline.sources.derived import landed_crash_tables
 
     for name in ("orders", "lineitem", "part"):
-        shutil.copy(f"{SF_SMOKE}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMOKE}/{name}.parquet", tmp_path / f"{name}.parquet")
     before = landed_crash_tables(spark, str(tmp_path))[0].count()
     some = pq.read_table(f"{SF_SMOKE}/orders.parquet").slice(0, 10)
     pq.write_table(some, tmp_path / "orders.parquet")

@@ -69,30 +69,78 @@ def _ran(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_routing_is_part_of_the_plan_and_vanishes_without_hot_crashes(spark, landed):
+def _scans(plan: str) -> int:
+    return sum("FileScan parquet" in line or "Scan parquet" in line for line in plan.splitlines())
+
+
+def _final(df) -> tuple[int, list[str]]:
+    final = _ran(df).split("== Initial Plan ==")[0]
+    return _scans(final), [line for line in final.splitlines() if " Exchange hashpartitioning" in line]
+
+
+def test_without_hot_crashes_the_plain_plan_is_all_there_is(landed):
+    from wreckline.operators.skew import HotKeys
+    from wreckline.plans import crash_summary, crash_vehicle_summary
+
     c, v, p = landed
+    none = HotKeys()
+    scans, ex = _final(crash_summary(c, v, p, hot=none))
+    assert scans == 3 and len(ex) <= 6, (scans, ex)  # each table read once
+    scans, ex = _final(crash_vehicle_summary(c, v, hot=none))
+    assert scans == 2 and len(ex) <= 4, (scans, ex)
+    scans, ex = _final(vehicle_person_detail(c, v, p, hot=none))
+    assert scans == 3 and len(ex) <= 3, (scans, ex)
+    scans, ex = _final(number_units(v, hot=none))
+    assert scans == 1 and len(ex) == 1
+
+
+def test_with_hot_crashes_each_table_is_read_twice_at_most(landed):
+    from wreckline.operators.skew import HotKeys
     from wreckline.plans import crash_summary
 
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("building", "no job runs while a frame is built")
-    try:
-        frames = [crash_summary(c, v, p), vehicle_person_detail(c, v, p), vehicle_summary(v), number_units(v)]
-        assert list(tracker.getJobIdsForGroup("building")) == []
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    final = _ran(frames[2]).split("== Initial Plan ==")[0]
-    assert "WindowGroupLimit" not in final  # the branch for hot crashes was dropped unrun
+    c, v, p = landed
+    hot = HotKeys(("1", "7"))
+    scans, _ = _final(vehicle_person_detail(c, v, p, hot=hot))
+    assert scans <= 6, scans
+    scans, _ = _final(people_summary(p, hot=hot))
+    assert scans <= 2, scans
+    got = crash_summary(c, v, p, hot=hot)
+    assert rows_of(got) == rows_of(crash_summary(c, v, p, hot=HotKeys()))
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_driver_summary_is_one_scan_and_three_exchanges(landed):
+    _, _, p = landed
+    for strategy, most in (("cluster", 1), ("partial", 3)):
+        scans, ex = _final(people_summary(p, strategy=strategy))
+        assert scans == 1 and len(ex) <= most, (strategy, scans, ex)
+
+
+def test_zone_keeps_a_list_of_hot_crashes(spark, tmp_path):
+    from wreckline.operators.skew import HotKeys
+    from wreckline.sources.hot_list import load_hot_keys, write_hot_list
+
+    rows = [("hot",)] * 30 + [("warm",)] * 12 + [("cold",)] + [(None,)] * 15
+    one = spark.createDataFrame(rows, "CRASH_RECORD_ID string")
+    other = spark.createDataFrame([("b",)] * 40, "CRASH_RECORD_ID string")
+    root = str(tmp_path)
+    assert load_hot_keys(spark, root) is None  # no list: operators count for themselves
+    write_hot_list(spark, root, {"vehicles": one, "people": other, "crash": one.limit(0)}, min_rows=10)
+    assert load_hot_keys(spark, root, 10) == HotKeys(("b", "hot", "warm"), True)
+    assert load_hot_keys(spark, root, 20) == HotKeys(("b", "hot"), False)
+    assert load_hot_keys(spark, root, 100) == HotKeys() and load_hot_keys(spark, root, 5) is None
+    assert spark.read.parquet(f"{root}/hot_crash_ids").count() == 3 + 3
 
 
 def test_crash_summary_shuffles_each_input_once(landed):
     from wreckline.plans import crash_summary
 
     c, v, p = landed
-    final = _ran(crash_summary(c, v, p, strategy="window")).split("== Initial Plan ==")[0]
-    ex = [line for line in final.splitlines() if " Exchange hashpartitioning" in line]
-    # crashes, units, drivers, the regrouped unit summary and, once per crash, the driver
-    # summary; what duplicated drivers would need is dropped where there are none
-    assert len(ex) <= 6, ex
+    scans, ex = _final(crash_summary(c, v, p, strategy="window"))
+    assert scans == 3 and len(ex) <= 6, (scans, ex)
 
 
 def test_point_lookup_is_pushed_to_the_scan(landed):
@@ -103,7 +151,7 @@ def test_point_lookup_is_pushed_to_the_scan(landed):
 
 def test_driver_filter_is_pushed_to_the_scan(landed):
     _, _, p = landed
-    text = formatted(people_summary(p))
+    text = formatted(people_summary(p, strategy="cluster"))
     assert "EqualTo(PERSON_TYPE,Driver)" in text
 
 
@@ -128,7 +176,7 @@ def test_numbering_by_digits_equals_window_numbering(spark):
 
 
 def test_hot_keys_are_exact_and_never_null(spark):
-    from wreckline.operators.skew import hot_keys_of, split_hot
+    from wreckline.operators.skew import HotKeys, count_hot, split_hot
 
     rows = [("hot", u) for u in range(300)] + [(f"c{i}", 1) for i in range(50)] + [(None, 1)] * 500
     df = spark.createDataFrame(rows, "CRASH_RECORD_ID string, CRASH_UNIT_ID bigint")
@@ -136,9 +184,12 @@ def test_hot_keys_are_exact_and_never_null(spark):
     assert names(hot_keys(df, "CRASH_RECORD_ID", min_rows=100)) == ["hot"]
     assert len(names(hot_keys(df, "CRASH_RECORD_ID", min_rows=1))) == 51  # any number of keys
     crashes = spark.createDataFrame([("b", 1)] * 200 + [("c", 1)], "CRASH_RECORD_ID string, x bigint")
-    assert names(hot_keys_of([df, crashes], "CRASH_RECORD_ID", min_rows=100)) == ["b", "hot"]
-    cold, rest = split_hot(df, "CRASH_RECORD_ID", hot_keys(df, "CRASH_RECORD_ID", 100))
-    assert (cold.count(), rest.count()) == (50, 800)
+    assert count_hot([df, crashes], "CRASH_RECORD_ID", 100) == HotKeys(("b", "hot"), True)
+    assert count_hot([df, crashes], "CRASH_RECORD_ID", 1000) == HotKeys() and not HotKeys()
+    for hot, want in ((HotKeys(("hot",), True), (50, 800)), (HotKeys(("hot",)), (550, 300)), (HotKeys((), True), (350, 500)),
+                      (HotKeys(("hot", *map(str, range(2000))), True), (50, 800)), (HotKeys(("hot", *map(str, range(2000)))), (550, 300))):
+        cold, rest = split_hot(df, "CRASH_RECORD_ID", hot)
+        assert (cold.count(), rest.count()) == want, hot
 
 
 def test_detail_of_hot_crashes_stays_spread(spark, landed):

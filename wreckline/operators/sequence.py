@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, HotKeys, route_hot
 
 CRASH_KEY = "CRASH_RECORD_ID"
 SEQ_COL = "veh_seq_nbr"
@@ -37,6 +37,7 @@ def number_units(
     tie_breakers: list[str] | None = None,
     skew_safe: bool | str = "auto",
     hot_rows: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1, 2, ... per crash in unit order.
 
@@ -50,7 +51,7 @@ def number_units(
             vehicles, CRASH_KEY,
             lambda df: number_units(df, out, tie_breakers, skew_safe=False),
             lambda df: number_units(df, out, tie_breakers, skew_safe=True),
-            hot_rows or DEFAULT_HOT_ROWS,
+            hot_rows or DEFAULT_HOT_ROWS, hot,
         )
     if skew_safe:
         return number_by_digits(vehicles, out, tie_breakers)

@@ -1,47 +1,74 @@
 """Hot-key routing: huge groups go through a skew-proof plan, the rest through the cheapest.
 
-Both plans compute the same per-key result, so routing only moves work. The hot keys are
-part of the plan, not a job run while it is built: exact counts per key (combined before
-the shuffle), filtered by the threshold and broadcast. A key needs ``min_rows`` rows to
-qualify, so the broadcast holds at most rows / ``min_rows`` keys. Where no key qualifies,
-adaptive execution sees the empty broadcast and drops the skew-proof branch unrun.
-
-NULL keys always take the skew-proof plan: they match nothing in a join, may be many,
-and need no counting.
+Both plans compute the same per-key result, so routing only moves work. Which keys are hot is
+known as values before a plan is built: from the list that is kept with the raw zone
+(``sources.hot_list``), or, for frames without one, from one job that counts the keys of all
+of them (combined before the shuffle). A key needs ``min_rows`` rows to qualify, so a list
+holds at most rows / ``min_rows`` keys a table. Where none qualifies the plain plan is all
+there is; otherwise each table is read twice, once by either plan.
+
+Rows without a key count as one group: they match nothing in a join, but may be many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A group with at least this many rows is handled by the skew-proof plan.
 DEFAULT_HOT_ROWS = 1_000_000
+# Keys that are compared as literals; a longer list is joined.
+_AS_LITERALS = 1_000
 
 _HOT = "_hot_key"
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with many rows in some table, and whether the rows without a key are many."""
+
+    keys: tuple[str, ...] = ()
+    nulls: bool = False
+
+    def __bool__(self) -> bool:
+        return self.nulls or bool(self.keys)
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Values of ``key`` (never NULL) with ``min_rows`` rows or more, one row each."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") >= min_rows).select(_HOT)
+    return key_counts(df, key, min_rows).filter(F.col(_HOT).isNotNull()).select(_HOT)
+
+
+def key_counts(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """(_hot_key, _rows) of the keys, and of NULL, with ``min_rows`` rows or more."""
+    counts = df.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") >= min_rows)
 
 
-def hot_keys_of(frames: list[DataFrame], key: str, min_rows: int) -> DataFrame:
-    """Keys that are hot in any of ``frames``; one row each."""
-    out = hot_keys(frames[0], key, min_rows)
+def count_hot(frames: list[DataFrame], key: str, min_rows: int) -> HotKeys:
+    """Keys that are hot in any of ``frames``, counted by one job."""
+    out = key_counts(frames[0], key, min_rows)
     for df in frames[1:]:
-        out = out.unionByName(hot_keys(df, key, min_rows))
-    return out.distinct() if len(frames) > 1 else out
+        out = out.unionByName(key_counts(df, key, min_rows))
+    found = {r[0] for r in out.select(_HOT).collect()}
+    return HotKeys(tuple(sorted(k for k in found if k is not None)), None in found)
 
 
-def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys and of the NULL key)."""
-    listed = F.broadcast(hot)
-    cold = df.filter(F.col(key).isNotNull()).join(listed, F.col(key) == F.col(_HOT), "left_anti")
-    return cold, df.join(listed, F.col(key) == F.col(_HOT), "left_semi").unionByName(df.filter(F.col(key).isNull()))
+def split_hot(df: DataFrame, key: str, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot ones)."""
+    if len(hot.keys) <= _AS_LITERALS:
+        listed = F.coalesce(F.col(key).isin(*hot.keys), F.lit(hot.nulls)) if hot.keys else (
+            F.col(key).isNull() & F.lit(hot.nulls))
+        return df.filter(~listed), df.filter(listed)
+    # Their number is known here; whether it is small enough to broadcast is left to Spark.
+    names = df.sparkSession.createDataFrame([(k,) for k in hot.keys], f"{_HOT} string")
+    named = df.filter(F.col(key).isNotNull())
+    cold, rest = (named.join(names, F.col(key) == F.col(_HOT), how) for how in ("left_anti", "left_semi"))
+    nameless = df.filter(F.col(key).isNull())
+    return (cold, rest.unionByName(nameless)) if hot.nulls else (cold.unionByName(nameless), rest)
 
 
 def route_hot(
@@ -50,12 +77,16 @@ def route_hot(
     plain: Callable[[DataFrame], DataFrame],
     skew_proof: Callable[[DataFrame], DataFrame],
     min_rows: int = DEFAULT_HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot and NULL keys.
+    """``plain`` over rows of ordinary keys, ``skew_proof`` over rows of hot ones.
 
-    ``hot`` may be given by a caller that shares one list between several tables
-    (``hot_keys_of``); otherwise the keys of ``df`` are counted.
+    ``hot`` is the list kept with the zone, or one that a caller shares between several
+    tables; otherwise the keys of ``df`` are counted now.
     """
-    cold, rest = split_hot(df, key, hot_keys(df, key, min_rows) if hot is None else hot)
+    if hot is None:
+        hot = count_hot([df], key, min_rows)
+    if not hot:
+        return plain(df)
+    cold, rest = split_hot(df, key, hot)
     return plain(cold).unionByName(skew_proof(rest))

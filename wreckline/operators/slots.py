@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wreckline.functions.text import fallback
 from wreckline.operators.sequence import CRASH_KEY, SEQ_COL, UNIT_TIE_BREAKERS, number_units, unit_order
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, HotKeys, route_hot
 from wreckline.schemas import SLOT_COUNT, vehicle_slot_columns
 
 UNIT_KEYS = ["CRASH_RECORD_ID", "CRASH_DATE", "CRASH_UNIT_ID", "VEHICLE_ID"]
@@ -125,7 +125,8 @@ def slot_table(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
 
 
 def vehicle_slots(
-    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int | None = None
+    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every unit row with its 3 x n slot columns (the studied job's inner SELECT).
 
@@ -140,7 +141,7 @@ def vehicle_slots(
             vehicles, CRASH_KEY,
             lambda df: vehicle_slots(df, n, "window"),
             lambda df: vehicle_slots(df, n, "topk"),
-            hot_rows or DEFAULT_HOT_ROWS,
+            hot_rows or DEFAULT_HOT_ROWS, hot,
         )
     if strategy == "window":
         numbered = number_units(vehicles, skew_safe=False).withColumn(COPIES, F.lit(1))

@@ -13,13 +13,15 @@ Two exact plans per summary, chosen per crash by ``route_hot``:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wreckline.functions.text import na_text
 from wreckline.operators.basic import filter_drivers
 from wreckline.operators.sequence import CRASH_KEY, number_units
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, route_hot
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, HotKeys, route_hot
 from wreckline.operators.slots import (
     COPIES,
     any_slot,
@@ -54,7 +56,7 @@ def vehicle_summary(
     n: int = SLOT_COUNT,
     slot_null_vehicle: bool = False,
     hot_rows: int = DEFAULT_HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Units per crash: entity and motor-vehicle counts plus n slot triples.
 
@@ -166,7 +168,8 @@ def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool)
 
 
 def vehicle_pivot(
-    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS
+    vehicles: DataFrame, n: int = SLOT_COUNT, strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One row per (crash, RD_NO, date) with the slot triples (no counts)."""
     if strategy == "auto":
@@ -174,7 +177,7 @@ def vehicle_pivot(
             vehicles, CRASH_KEY,
             lambda df: _vehicle_pivot(df, n, "window"),
             lambda df: _vehicle_pivot(df, n, "topk"),
-            hot_rows,
+            hot_rows, hot,
         )
     return _vehicle_pivot(vehicles, n, strategy)
 
@@ -330,7 +333,7 @@ def people_summary(
     driver_type: str = "Driver",
     strategy: str = "auto",
     hot_rows: int = DEFAULT_HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Drivers per crash: a driver count plus n person slots.
 
@@ -357,51 +360,93 @@ def people_summary(
     return summarise(people, n, driver_type, strategy)
 
 
-def _people_summary_compat(people: DataFrame, n: int, driver_type: str, strategy: str) -> DataFrame:
-    rows = _driver_rows(people, driver_type, cluster=strategy == "cluster")
-    one, many = _several(rows)
-    group = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
-    count = "Cnt_Drivers_Accid"
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, as a lambda variable."""
+    return F.transform(F.array(value), body)[0]
 
-    def spread(sources: list[dict[str, Column]]) -> list[Column]:
-        out = []
-        for k, s in enumerate(sources, 1):
-            out += [s["_id"].alias(f"PERSON{k}_ID"), s["_sex"].alias(f"PERSON{k}_SEX"), s["_age"].alias(f"PERSON{k}_AGE"),
-                    s["_inj"].alias(f"PERSON{k}_INJURY_CLASSIFICATION")]
-        return out
 
-    # Drivers with one distinct row show the same values in every slot: group and take the
-    # maxima of those values once, then spread them over the slots.
-    values = ["_id", "_sex", "_age", "_inj_first", "_inj_rest"]
-    single = one.select(*group, _as_count(_power(F.col("_c"), n + 1)).alias(count), *values)
-    none = rows.filter(F.col("_id").isNull()).groupBy(*group).agg(
-        F.sum(F.when(F.col("PERSON_ID").isNotNull(), F.col("_c")).otherwise(0)).alias(count))
-    unkeyed = none.select(*group, count, F.lit(None).cast("string").alias("_id"), *[F.lit("NA").alias(v) for v in values[1:]])
-    plain = single.unionByName(unkeyed).groupBy(*group, count).agg(*[F.max(v).alias(v) for v in values])
-    own = [{"_id": F.col("_id"), "_sex": F.col("_sex"), "_age": F.col("_age"),
-            "_inj": F.col("_inj_first" if k == 1 else "_inj_rest")} for k in range(1, n + 1)]
-    plain = plain.select(*group, count, *spread(own))
-
-    # Others: the count of a combination is a product of one multiplicity per slot and that
-    # of the RD_NO; a slot's maximum among combinations of one count is the maximum of the
-    # values with that slot's multiplicity. Slots after the first have equal choices, kept as
-    # one array per driver (c rows have fewer than sqrt(2 c) different multiplicities).
-    def choices(injury: str, name: str) -> DataFrame:
-        each = many.groupBy(*DRIVER_KEY, "_sex", "_age", injury).agg(F.sum("_c").alias("m"))
-        each = each.groupBy(*DRIVER_KEY, "m").agg(
-            F.max("_sex").alias("_sex"), F.max("_age").alias("_age"), F.max(injury).alias("_inj"))
-        return each.groupBy(*DRIVER_KEY).agg(F.collect_list(F.struct("m", "_sex", "_age", "_inj")).alias(name))
+def _sum_counts(rows: Column) -> Column:
+    return F.aggregate(rows, F.lit(0).cast("bigint"), lambda x, v: x + v["c"])
 
-    combined = many.groupBy(*DRIVER_KEY, "_id", "RD_NO").agg(F.sum("_c").alias("_m0"))
-    combined = _same_driver(_same_driver(combined, choices("_inj_first", "_first")), choices("_inj_rest", "_rest"))
-    for k in range(1, n + 1):
-        combined = combined.withColumn(f"_s{k}", F.explode("_first" if k == 1 else "_rest"))
-    slots = [F.col(f"_s{k}") for k in range(1, n + 1)]
-    several = combined.select(
-        *group, _as_count(_product([F.col("_m0"), *[x["m"] for x in slots]])).alias(count),
-        *spread([{"_id": F.col("_id"), "_sex": x["_sex"], "_age": x["_age"], "_inj": x["_inj"]} for x in slots]))
-    out = plain.unionByName(several).groupBy(*group, count).agg(*[F.max(c).alias(c) for c in person_slot_columns(n)])
-    return out.select(*people_summary_columns(n))
+
+def _slot_choices(variants: Column, injury: str) -> Column:
+    """What a slot of a repeated driver can show: for each number of copies that some (sex, age,
+    injury) has among the variants, the maxima of the values with that number."""
+    def value(v: Column) -> Column:
+        return F.struct(v["sex"].alias("sex"), v["age"].alias("age"), v[injury].alias("inj"))
+
+    each = F.transform(F.array_distinct(F.transform(variants, value)), lambda k: F.struct(
+        _sum_counts(F.filter(variants, lambda v: value(v) == k)).alias("m"), k.alias("k")))
+
+    def best(all_: Column, m: Column, field: str) -> Column:
+        return F.array_max(F.transform(F.filter(all_, lambda x: x["m"] == m), lambda x: x["k"][field])).alias(field)
+
+    return _let(each, lambda e: F.transform(
+        F.array_distinct(F.transform(e, lambda x: x["m"])),
+        lambda m: F.struct(m.alias("m"), *[best(e, m, f) for f in ("sex", "age", "inj")])))
+
+
+def _combinations(variants: Column, n: int) -> Column:
+    """Rows of a repeated driver after the self-joins, as (rd, count, slots): a combination
+    takes an RD_NO and a choice per slot, and occurs as often as the product of their copies."""
+    rds = F.transform(F.array_distinct(F.transform(variants, lambda v: F.struct(v["rd"].alias("rd")))), lambda r: F.struct(
+        r["rd"].alias("rd"),
+        _sum_counts(F.filter(variants, lambda v: v["rd"].eqNullSafe(r["rd"]))).cast("decimal(38,0)").alias("count"),
+        F.array().cast("array<struct<sex:string,age:string,inj:string>>").alias("slots")))
+
+    def with_slot(made: Column, choices: Column) -> Column:
+        return F.flatten(F.transform(made, lambda x: F.transform(choices, lambda y: F.struct(
+            x["rd"].alias("rd"), F.try_multiply(x["count"], y["m"].cast("decimal(19,0)")).cast("decimal(38,0)").alias("count"),
+            F.concat(x["slots"], F.array(F.struct(y["sex"].alias("sex"), y["age"].alias("age"), y["inj"].alias("inj")))).alias("slots")))))
+
+    def all_slots(rest: Column) -> Column:
+        made = _let(_slot_choices(variants, "first"), lambda c: with_slot(rds, c))
+        for _ in range(n - 1):
+            made = with_slot(made, rest)
+        return made
+
+    return _let(_slot_choices(variants, "rest"), all_slots)
+
+
+def _people_summary_compat(people: DataFrame, n: int, driver_type: str, strategy: str) -> DataFrame:
+    """One pass: distinct driver rows with their copies, an array of variants per driver, its
+    combinations worked out in place, and one GROUP BY over them."""
+    drivers = filter_drivers(people, driver_type)
+    keyed = F.col("CRASH_RECORD_ID").isNotNull() & F.col("CRASH_DATE").isNotNull() & F.col("PERSON_ID").isNotNull()
+    values = ["_sex", "_age", "_inj_first", "_inj_rest"]
+    rows = drivers.select("CRASH_RECORD_ID", "CRASH_DATE", "RD_NO", F.when(keyed, F.col("PERSON_ID")).alias("_id"),
+                          F.col("PERSON_ID").isNotNull().cast("bigint").alias("_named"), *_slot_values(keyed))
+    if strategy == "cluster":
+        rows = rows.repartition("CRASH_RECORD_ID", "CRASH_DATE")
+    group = ["CRASH_RECORD_ID", "CRASH_DATE"]
+    rows = rows.groupBy(*group, "RD_NO", "_id", *values).agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("_named").alias("_named"))
+    # Rows without a whole key are one row per RD_NO already and stay apart by it.
+    each = rows.groupBy(*group, "_id", F.when(F.col("_id").isNull(), F.struct("RD_NO")).alias("_apart")).agg(
+        F.collect_list(F.struct(
+            F.col("RD_NO").alias("rd"), F.col("_sex").alias("sex"), F.col("_age").alias("age"),
+            F.col("_inj_first").alias("first"), F.col("_inj_rest").alias("rest"), F.col("_c").alias("c"),
+            F.col("_named").alias("named"))).alias("_v"))
+    one = F.col("_v")[0]
+
+    def shown(injury: str) -> Column:
+        return F.struct(one["sex"].alias("sex"), one["age"].alias("age"), one[injury].alias("inj"))
+
+    single = F.array(F.struct(
+        one["rd"].alias("rd"),
+        F.when(F.col("_id").isNull(), one["named"].cast("decimal(38,0)")).otherwise(_power(one["c"], n + 1)).alias("count"),
+        F.array(shown("first"), *[shown("rest")] * (n - 1)).alias("slots")))
+    made = F.when(F.size("_v") == 1, single).otherwise(_combinations(F.col("_v"), n))
+    count = "Cnt_Drivers_Accid"
+    flat = each.select(*group, "_id", F.explode(made).alias("_m")).select(
+        *group, F.col("_m.rd").alias("RD_NO"), _as_count(F.col("_m.count")).alias(count), "_id",
+        *[F.col("_m.slots")[k][f].alias(f"_{f}{k + 1}") for k in range(n) for f in ("sex", "age", "inj")])
+    out = flat.groupBy(*group, "RD_NO", count).agg(
+        F.max("_id").alias("_id"), *[F.max(f"_{f}{k}").alias(f"_{f}{k}") for k in range(1, n + 1) for f in ("sex", "age", "inj")])
+    names = {"ID": "_id", "SEX": "_sex{}", "AGE": "_age{}", "INJURY_CLASSIFICATION": "_inj{}"}
+    return out.select(*group, "RD_NO", count, *[
+        F.col(c.format(k)).alias(f"PERSON{k}_{field}") for k in range(1, n + 1) for field, c in names.items()
+    ]).select(*people_summary_columns(n))
 
 
 # Ties between equal PERSON_IDs are broken by these, so slots are deterministic.

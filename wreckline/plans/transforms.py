@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wreckline.functions.calendar import with_calendar
 from wreckline.functions.text import clean_category, street_label
 from wreckline.operators.basic import dedup_rows, filter_drivers
-from wreckline.operators.skew import DEFAULT_HOT_ROWS, hot_keys_of, route_hot, split_hot
+from wreckline.operators.skew import DEFAULT_HOT_ROWS, HotKeys, count_hot, split_hot
 from wreckline.operators.summaries import people_summary, vehicle_summary
 from wreckline.schemas import (
     CRASH_COLUMNS,
@@ -21,6 +21,7 @@ from wreckline.schemas import (
     vehicle_slot_columns,
 )
 
+_KEY = "CRASH_RECORD_ID"
 _JOIN_KEYS_COMPAT = ["CRASH_RECORD_ID", "CRASH_DATE", "RD_NO"]
 _JOIN_KEYS_FIXED = ["CRASH_RECORD_ID"]
 
@@ -56,7 +57,7 @@ def _left_join(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
     return left.join(renamed, cond, "left").drop(*[f"{prefix}{k}" for k in keys])
 
 
-def _crash_side(crashes: DataFrame, keys: list[str], strategy: str, hot_rows: int, hot: DataFrame | None = None) -> DataFrame:
+def _crash_side(crashes: DataFrame, keys: list[str], strategy: str) -> DataFrame:
     """Distinct crash rows for the summary joins.
 
     The studied jobs GROUP BY every output column after the joins. Each summary row is
@@ -66,36 +67,37 @@ def _crash_side(crashes: DataFrame, keys: list[str], strategy: str, hot_rows: in
     GROUP BY over 31 / 48 columns, on fewer and narrower rows.
 
     Ordinary crashes (``window``) are clustered by the join keys first, so the
-    de-duplication and both joins share one shuffle. Crash ids with >= ``hot_rows`` rows,
-    e.g. copies of one row (``topk``), are de-duplicated before any shuffle instead: each
-    map task sends one copy.
+    de-duplication and both joins share one shuffle. Hot crash ids, e.g. copies of one row
+    (``topk``), are de-duplicated before any shuffle instead: each map task sends one copy.
     """
     rows = crashes.select(*CRASH_COLUMNS)
     if strategy == "topk":
         return dedup_rows(rows)
-    if strategy == "window":
-        return dedup_rows(rows.repartition(*keys))
-    return route_hot(rows, "CRASH_RECORD_ID", lambda df: dedup_rows(df.repartition(*keys)), dedup_rows, hot_rows, hot=hot)
+    return dedup_rows(rows.repartition(*keys))
 
 
 def _summary_joins(
     crashes: DataFrame, vehicles: DataFrame, people: DataFrame | None, compat: bool, strategy: str, hot_rows: int,
+    hot: HotKeys | None,
 ) -> DataFrame:
     """Crashes left-joined with the unit summary and, if given, the driver summary.
 
-    ``auto`` counts the crash ids of all tables together, as part of the plan, and each
-    part routes by that one list.
+    ``auto`` splits all tables by one list of hot crash ids: a crash meets only its own
+    summaries, so the parts are independent. Without hot ids the plain plan is all there is.
     """
     keys = _JOIN_KEYS_COMPAT if compat else _JOIN_KEYS_FIXED
-    hot = None
     if strategy == "auto":
-        frames = [vehicles, crashes] + ([filter_drivers(people)] if people is not None else [])
-        hot = hot_keys_of(frames, "CRASH_RECORD_ID", hot_rows)
-    out = _crash_side(crashes, keys, strategy, hot_rows, hot)
-    parts = [vehicle_summary(vehicles, compat=compat, strategy=strategy, hot_rows=hot_rows, hot=hot)]
+        tables = [crashes, vehicles] + ([people] if people is not None else [])
+        if hot is None:
+            hot = count_hot(tables[:2] + ([filter_drivers(people)] if people is not None else []), _KEY, hot_rows)
+        parts = zip(*[split_hot(df, _KEY, hot) for df in tables], strict=True) if hot else [tables]
+        made = [_summary_joins(*part, *([None] if people is None else []), compat, how, hot_rows, None)
+                for part, how in zip(parts, ("window", "topk"), strict=False)]
+        return reduce(DataFrame.unionByName, made)
+    out = _crash_side(crashes, keys, strategy)
+    parts = [vehicle_summary(vehicles, compat=compat, strategy=strategy)]
     if people is not None:
-        of_people = {"auto": "auto", "window": "cluster", "topk": "partial"}[strategy]
-        parts.append(people_summary(people, compat=compat, strategy=of_people, hot_rows=hot_rows, hot=hot))
+        parts.append(people_summary(people, compat=compat, strategy={"window": "cluster", "topk": "partial"}[strategy]))
     for i, part in enumerate(parts):
         out = _left_join(out, part if compat else part.drop("RD_NO", "CRASH_DATE"), keys, f"_{i}_")
     out = with_calendar(out, "CRASH_DATE", compat)
@@ -104,31 +106,33 @@ def _summary_joins(
 
 
 def crash_vehicle_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame | None = None, compat: bool = True,
-                          strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                          strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS,
+                          hot: HotKeys | None = None) -> DataFrame:
     """A': crashes left-joined with the unit summary, calendar attributes, 31 columns.
     ``people`` is not read; jobs pass the same three tables to every transform."""
-    out = _summary_joins(crashes, vehicles, None, compat, strategy, hot_rows)
+    out = _summary_joins(crashes, vehicles, None, compat, strategy, hot_rows, hot)
     # Distinct already: the studied job's GROUP BY over every column is done on the
     # crash side (see _crash_side).
     return out.select(*CRASH_VEHICLE_SUMMARY_COLUMNS)
 
 
 def crash_summary(crashes: DataFrame, vehicles: DataFrame, people: DataFrame, compat: bool = True,
-                  strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                  strategy: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS, hot: HotKeys | None = None) -> DataFrame:
     """A: crashes left-joined with the unit summary and the driver summary, 48 columns.
 
     compat joins on (CRASH_RECORD_ID, CRASH_DATE, RD_NO) with NULL never matching, as the
     studied job does; corrected joins one-row-per-crash summaries on CRASH_RECORD_ID.
-    ``window`` plans for ordinary crashes, ``topk`` for huge ones, ``auto`` for both.
+    ``window`` plans for ordinary crashes, ``topk`` for huge ones, ``auto`` for both: ``hot``
+    is the list kept with the zone; without one the ids are counted by a job first.
     """
-    out = _summary_joins(crashes, vehicles, people, compat, strategy, hot_rows)
+    out = _summary_joins(crashes, vehicles, people, compat, strategy, hot_rows, hot)
     # Distinct already (the GROUP BY over all 48 columns is done on the crash side).
     return out.select(*CRASH_SUMMARY_COLUMNS)
 
 
 def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataFrame,
                           compat: bool = True, strategy: str = "auto",
-                          hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                          hot_rows: int = DEFAULT_HOT_ROWS, hot: HotKeys | None = None) -> DataFrame:
     """B: every unit with its people (left join on crash, date and unit = person's
     VEHICLE_ID), enriched with crash conditions and a street label; 19 distinct columns.
 
@@ -146,9 +150,11 @@ def vehicle_person_detail(crashes: DataFrame, vehicles: DataFrame, people: DataF
         return _vehicle_person_detail(crashes, vehicles, people, compat, False)
     if strategy == "spread":
         return _vehicle_person_detail(crashes, vehicles, people, compat, True)
-    key = "CRASH_RECORD_ID"
-    hot = hot_keys_of([vehicles, people, crashes], key, hot_rows)
-    cold, hot_part = zip(*[split_hot(df, key, hot) for df in (crashes, vehicles, people)], strict=True)
+    if hot is None:
+        hot = count_hot([vehicles, people, crashes], _KEY, hot_rows)
+    if not hot:
+        return _vehicle_person_detail(crashes, vehicles, people, compat, False)
+    cold, hot_part = zip(*[split_hot(df, _KEY, hot) for df in (crashes, vehicles, people)], strict=True)
     return _vehicle_person_detail(*cold, compat, False).unionByName(_vehicle_person_detail(*hot_part, compat, True))
 
 

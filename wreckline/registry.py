@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ from wreckline.plans.publish import RunResult, run_pipeline
 from wreckline.schemas import PEOPLE_COLUMNS_WITH_VEHICLE
 from wreckline.schemas import SCHEMAS
 from wreckline.session import shared_dir
-from wreckline.sources.derived import exported_csv, landed_crash_tables
+from wreckline.sources.derived import exported_csv, landed_crash_tables, landed_root
+from wreckline.sources.hot_list import load_hot_keys
 from wreckline.sources.ingest import csv_quarantine, csv_to_parquet
 from wreckline.sources.readers import read_with_schema
 from wreckline.sources.sinks import publish_table, stage_parquet, write_parquet
@@ -59,6 +61,16 @@ def _q(fn: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _routed(fn: Callable[..., DataFrame], tables: str = "cvp") -> Query:
+    """A query that routes by the list of hot crash ids kept with the raw zone."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frames = dict(zip("cvp", landed_crash_tables(spark, sf_dir), strict=True))
+        return fn(*[frames[t] for t in tables], hot=load_hot_keys(spark, landed_root(spark, sf_dir)))
+
+    return run
+
+
 def _ingest(name: str, quarantine: bool) -> Query:
     """Land one CSV drop of the derived tables through the ingest path and read it back."""
 
@@ -148,30 +160,32 @@ QUERIES: dict[str, Query] = {
     "ingest_vehicles_csv": _ingest("vehicles", quarantine=True),
     "ingest_people_csv": _ingest("people", quarantine=True),
     # pipelines
-    "vehicle_person_detail": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=True)),
-    "vehicle_person_detail_fixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, compat=False)),
+    "vehicle_person_detail": _routed(vehicle_person_detail),
+    "vehicle_person_detail_fixed": _routed(partial(vehicle_person_detail, compat=False)),
     # crashes with 10+ units keep their rows spread (broadcast crash attributes)
     "vehicle_person_detail_mixed": _q(lambda c, v, p: vehicle_person_detail(c, v, p, hot_rows=10)),
-    "crash_summary": _q(lambda c, v, p: crash_summary(c, v, p, compat=True)),
-    "crash_summary_fixed": _q(lambda c, v, p: crash_summary(c, v, p, compat=False)),
-    "crash_vehicle_summary": _q(lambda c, v, p: crash_vehicle_summary(c, v, compat=True)),
-    "crash_vehicle_summary_fixed": _q(lambda c, v, p: crash_vehicle_summary(c, v, compat=False)),
+    "crash_summary": _routed(crash_summary),
+    "crash_summary_fixed": _routed(partial(crash_summary, compat=False)),
+    # crashes with 5+ rows in any table take the skew-proof plans, the others the plain ones
+    "crash_summary_mixed": _q(lambda c, v, p: crash_summary(c, v, p, hot_rows=5)),
+    "crash_vehicle_summary": _routed(crash_vehicle_summary, "cv"),
+    "crash_vehicle_summary_fixed": _routed(partial(crash_vehicle_summary, compat=False), "cv"),
     # unit summaries and slots
-    "vehicle_summary": _q(lambda c, v, p: vehicle_summary(v, compat=True)),
+    "vehicle_summary": _routed(vehicle_summary, "v"),
     "vehicle_summary_join": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="lookup")),
     "vehicle_summary_window": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="window")),
     "vehicle_summary_topk": _q(lambda c, v, p: vehicle_summary(v, compat=True, strategy="topk")),
     # crashes with 10+ units take the skew-proof plan, the others the window plan
     "vehicle_summary_mixed": _q(lambda c, v, p: vehicle_summary(v, compat=True, hot_rows=10)),
-    "vehicle_summary_fixed": _q(lambda c, v, p: vehicle_summary(v, compat=False)),
+    "vehicle_summary_fixed": _routed(partial(vehicle_summary, compat=False), "v"),
     "vehicle_summary_fixed_topk": _q(lambda c, v, p: vehicle_summary(v, compat=False, strategy="topk")),
-    "vehicle_slots": _q(lambda c, v, p: vehicle_slots(v)),
+    "vehicle_slots": _routed(vehicle_slots, "v"),
     "vehicle_slots_topk": _q(lambda c, v, p: vehicle_slots(v, strategy="topk")),
-    "vehicle_pivot": _q(lambda c, v, p: vehicle_pivot(v)),
+    "vehicle_pivot": _routed(vehicle_pivot, "v"),
     "vehicle_pivot_topk": _q(lambda c, v, p: vehicle_pivot(v, strategy="topk")),
     # driver summaries and slots
-    "people_summary": _q(lambda c, v, p: people_summary(p, compat=True)),
-    "people_summary_fixed": _q(lambda c, v, p: people_summary(p, compat=False)),
+    "people_summary": _routed(people_summary, "p"),
+    "people_summary_fixed": _routed(partial(people_summary, compat=False), "p"),
     "people_summary_partial": _q(lambda c, v, p: people_summary(p, compat=True, strategy="partial")),
     "people_summary_fixed_topk": _q(lambda c, v, p: people_summary(p, compat=False, strategy="partial")),
     "person_slots": _q(lambda c, v, p: person_slots(p)),
@@ -191,7 +205,7 @@ QUERIES: dict[str, Query] = {
     "renamed_columns": _q(lambda c, v, p: sanitize_columns(c.toDF(*[x.replace("_", " ") for x in c.columns]))),
     "ragged_rows_rejected": _ragged,
     # numbering, look-ups, grouping
-    "number_units": _q(lambda c, v, p: number_units(v)),
+    "number_units": _routed(number_units, "v"),
     # crashes with 10+ units numbered across range blocks, the others by one window
     "number_units_mixed": _q(lambda c, v, p: number_units(v, hot_rows=10)),
     "number_units_ranged": _q(lambda c, v, p: number_units(v, skew_safe=True)),
