@@ -1,0 +1,66 @@
+"""What an article's text leaves out within a line, what names do not remove, and the given
+pages against a reading of their template."""
+
+from __future__ import annotations
+
+import html
+import re
+
+import pytest
+
+from wreckline.llm.html_text import main_blocks
+from wreckline.llm.registry import op2_html_text
+
+SF = "/root/testdata/sf0.001"
+WORDS = "First paragraph with enough words in it to count."
+
+
+@pytest.mark.parametrize("part", [
+    "<script>var leaked = 1;</script>", "<style>.leaked{}</style>", "<noscript>leaked</noscript>", "<template>leaked</template>",
+    "<textarea>leaked</textarea>", "<select><option>leaked</option></select>", "<iframe>leaked</iframe>", "<button>leaked</button>",
+    "<span hidden>leaked</span>", "<span class='ad'>leaked</span>", "<a class='ad' href=x>leaked</a>", "<svg><text>leaked</text></svg>",
+    "<div aria-hidden='true'>leaked</div>", "<dialog>leaked</dialog>", "<object>leaked</object>", "<form><p>leaked</p></form>",
+    "<section class='comments'><p>leaked</p></section>", "<nav><p>leaked</p></nav>"])
+def test_controls_scripts_and_hidden_text_go(part):
+    assert main_blocks(f"<body><article><h1>Title</h1><p>{WORDS}</p>{part}<p>Last one.</p></article></body>") == ["Title", WORDS, "Last one."]
+    assert main_blocks(f"<article><p>{WORDS}</p><p>Read {part if 'div' not in part and '<p>' not in part else ''} on.</p></article>") == [WORDS, "Read on."]
+
+
+def test_inline_text_around_a_control_is_one_line():
+    assert main_blocks(f"<article><p>{WORDS}</p><p>Read <button>Share</button> on<b>.</b></p></article>") == [WORDS, "Read on."]
+
+
+@pytest.mark.parametrize("tag", [
+    "<section id='discussion'>{}</section>", "<section class='discussion related'>{}</section>", "<section id='comments'>{}</section>"])
+def test_sections_of_an_article_stay(tag):
+    inner = f"<h2>Discussion</h2><p>{WORDS}</p>"
+    assert main_blocks(f"<article><h1>Title</h1>{tag.format(inner)}</article>") == ["Title", "Discussion", WORDS]
+
+
+@pytest.mark.parametrize("name", ["related-work", "cookies", "comments", "social"])
+def test_names_of_headings_and_paragraphs_do_not_count(name):
+    for where in ("article", "div"):
+        page = f"<{where}><h1>Title</h1><h2 id='{name}'>Head</h2><p class='{name}'>{WORDS}</p></{where}>"
+        assert main_blocks(page) == ["Title", "Head", WORDS]
+
+
+def test_title_and_short_section_of_their_own():
+    long = "<p>" + " ".join([WORDS] * 6) + "</p>"
+    page = (f"<div><h1>Title</h1></div><div>{long * 4}</div><div><h2>End</h2><p>Ok.</p></div>"
+            "<div class='ad'><p>Buy this.</p></div><div><p><a href=1>one</a> <a href=2>two</a></p></div>")
+    assert main_blocks(page) == ["Title", *[" ".join([WORDS] * 6)] * 4, "End", "Ok."]
+
+
+def template(page):
+    """The article of a given page, read by its template alone."""
+    inner = re.search(r"<article>(.*?)(?:</article>|<footer>|$)", page or "", re.DOTALL)
+    inner = re.sub(r"<!--.*?-->|<script>.*?</script>|<style>.*?</style>", "", inner.group(1) if inner else "", flags=re.DOTALL)
+    blocks = re.split(r"</?(?:p|h1|h2|ul|li|div)[^>]*>", inner)
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0].startswith("<br") else "", b)).split()) for b in blocks]
+    return "\n".join(b for b in blocks if b)
+
+
+def test_given_pages_match_their_template(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = {r.page_id: (r.text, r.n_chars) for r in op2_html_text(spark, SF).collect()}
+    assert got == {k: (template(v), len(template(v))) for k, v in pages.items()}

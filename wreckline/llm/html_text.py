@@ -1,14 +1,19 @@
 """Main text of web pages from parser events and text-to-tag ratios.
 
 The standard library's streaming parser turns a page into lines, one per block element,
-each with its text, the number of tags in it and the element that encloses it. Lines in
-elements that are never content (navigation, forms, scripts, comments, ...) are marked.
+each with its text, the number of tags in it and the element that encloses it. Text in
+elements that are never content (navigation, forms, controls, scripts, comments, ...) is
+dropped piece by piece as it is read, within a line too; a line of such text alone is marked.
 Names of classes and ids only hint at such elements: a hint is void where its element
-wraps the page's main part (see ``_Lines.void_hints``).
+wraps the page's main part (see ``_Lines.void_hints``), and on headings and paragraphs, whose
+ids are made from what they say. In an article a section hints only by a class that names
+reader comments.
 The text-to-tag ratio per line is smoothed with a Gaussian kernel and split into two
 clusters at a threshold; a region (an article or main element, or where a page has none,
 a run of lines under one parent) is content if its best line lies in the upper cluster.
-All unmarked lines of a content region are kept, so that short paragraphs survive.
+All unmarked lines of a content region are kept, so that short paragraphs survive. On a page
+without an article, regions that hold a heading or paragraph of more than links stay as well:
+a title or a short last section in an element of its own is text too.
 
 A page is one row and its parse one pass in one task: nothing is shuffled.
 
@@ -55,6 +60,9 @@ SIBLINGS = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
     "th": ("tr", "table"), "option": ("select",),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Class names of a section of an article that mark reader comments.
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|disqus)(?:$|[\s_-])", re.IGNORECASE)
 SIGMA = 1.0
 REACH = 2
 
@@ -65,36 +73,44 @@ def hinted(value: str) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, marked, region, hint) per block in page order.
+    """Collects (pieces, tags, marked, region, solid) per block in page order.
 
-    ``hint`` is the innermost open element whose class or id hints that it is no content,
-    by its number; -1 is none. Numbers ascend, so parents come before their children.
+    A piece is (text, hint, whether in a link). ``hint`` is the innermost open element whose
+    class or id hints that it is no content, by its number; -1 is none. Numbers ascend, so
+    parents come before their children. ``solid``: the block is a heading or paragraph.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[bool, int], int]] = []
+        self.lines: list[tuple[list[tuple[str, int, bool]], int, bool, tuple[bool, int], bool]] = []
         self.open: list[tuple[str, bool, tuple[bool, int], int]] = []
         self.parents: list[int] = []  # of each hint
         self.wraps: list[bool] = []  # a main element, by hint
         self.heads: list[bool] = []  # an h1, by hint
         self.articles: dict[tuple[bool, int], int] = {}  # hint around each article region
         self.marked = 0
-        self.text: list[str] = []
+        self.links = 0
+        self.text: list[tuple[str, int, bool]] = []
+        self.noise: list[str] = []
         self.tags = 0
         self.elements = 0
 
     def flush(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            region = self.open[-1][2] if self.open else (False, 0)
-            self.lines.append((text, self.tags, self.marked > 0, region, self.open[-1][3] if self.open else -1))
+        region = self.open[-1][2] if self.open else (False, 0)
+        if any(text and not text.isspace() for text, _, _ in self.text):
+            block = next((x[0] for x in reversed(self.open) if x[0] in BLOCKS), "")
+            self.lines.append((self.text, self.tags, False, region, block == "p" or block in HEADINGS))
             self.tags = 0
-        self.text.clear()
+        elif any(x and not x.isspace() for x in self.noise):
+            self.lines.append(([("".join(self.noise), -1, False)], self.tags, True, region, False))
+            self.tags = 0
+        self.text, self.noise = [], []
 
     def close_to(self, depth: int) -> None:
         while len(self.open) > depth:
-            self.marked -= self.open.pop()[1]
+            tag, mark, _, _ = self.open.pop()
+            self.marked -= mark
+            self.links -= tag == "a"
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -111,7 +127,7 @@ class _Lines(HTMLParser):
                     break
         if tag in VOID:
             if tag == "br":
-                self.text.append(" ")
+                self.handle_data(" ")
             return
         if tag in SIBLINGS:
             for i in range(len(self.open) - 1, -1, -1):
@@ -146,6 +162,10 @@ class _Lines(HTMLParser):
                     or (name == "style" and "display:none" in value.replace(" ", ""))
                 )):
                     mark = True
+        if tag in HEADINGS or tag == "p":
+            names = []
+        elif tag == "section" and above[0]:
+            names = [x for name, x in attrs if name == "class" and x and READERS.search(x)]
         if not mark and not main and tag not in ("body", "html", "article") and any(hinted(x) for x in names):
             self.parents.append(hint)
             self.wraps.append(False)
@@ -153,6 +173,7 @@ class _Lines(HTMLParser):
             hint = len(self.parents) - 1
         self.open.append((tag, mark, region, hint))
         self.marked += mark
+        self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -169,7 +190,10 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
-        self.text.append(data)
+        if self.marked:
+            self.noise.append(data)
+        else:
+            self.text.append((data, self.open[-1][3] if self.open else -1, self.links > 0))
 
     def void_hints(self) -> list[bool]:
         """By hint, whether its element wraps the main part of the page.
@@ -182,17 +206,19 @@ class _Lines(HTMLParser):
         inside, article = [0] * len(self.parents), [0] * len(self.parents)
         wraps, heads = list(self.wraps), list(self.heads)
         plain = plain_article = whole = 0
-        for text, _, marked, region, hint in self.lines:
+        for pieces, _, marked, region, _ in self.lines:
             if marked:
                 continue
-            whole += len(text)
-            of_article = self.articles.get(region) == hint
-            if hint < 0:
-                plain += len(text)
-                plain_article += len(text) * of_article
-            else:
-                inside[hint] += len(text)
-                article[hint] += len(text) * of_article
+            for text, hint, _ in pieces:
+                size = len(" ".join(text.split()))
+                whole += size
+                of_article = self.articles.get(region) == hint
+                if hint < 0:
+                    plain += size
+                    plain_article += size * of_article
+                else:
+                    inside[hint] += size
+                    article[hint] += size * of_article
         for hint in range(len(self.parents) - 1, -1, -1):
             above = self.parents[hint]
             if above >= 0:
@@ -208,12 +234,23 @@ class _Lines(HTMLParser):
             void = [above < 0 for above in self.parents]
         return void
 
-    def read(self) -> list[tuple[str, int, bool, tuple[bool, int]]]:
-        """The lines, with those under hints that are not void marked."""
+    def read(self) -> list[tuple[str, int, bool, tuple[bool, int], bool]]:
+        """(text, tags, marked, region, solid) of the lines, without pieces under hints that are
+        not void; a line of such pieces alone is marked."""
         active: list[bool] = []
         for void, above in zip(self.void_hints(), self.parents, strict=True):
             active.append(not void or (above >= 0 and active[above]))
-        return [(text, tags, marked or (hint >= 0 and active[hint]), region) for text, tags, marked, region, hint in self.lines]
+        out = []
+        for pieces, tags, marked, region, solid in self.lines:
+            kept = [x for x in pieces if x[1] < 0 or not active[x[1]]]
+            text = _joined(kept)
+            linked = len(_joined([x for x in kept if x[2]]))
+            out.append((text or _joined(pieces), tags, marked or not text, region, solid and 2 * linked < len(text)))
+        return out
+
+
+def _joined(pieces: list[tuple[str, int, bool]]) -> str:
+    return " ".join("".join(x[0] for x in pieces).split())
 
 
 def smoothed(values: list[float], sigma: float = SIGMA, reach: int = REACH) -> list[float]:
@@ -250,7 +287,7 @@ def main_blocks(html: str) -> list[str]:
     lines = parser.read()
     if not lines:
         return []
-    ratios = smoothed([len(text) / max(1, tags) for text, tags, _, _ in lines])
+    ratios = smoothed([len(line[0]) / max(1, line[1]) for line in lines])
     border = threshold(ratios)
     usable = [i for i, line in enumerate(lines) if not line[2]]
     articles = [i for i in usable if lines[i][3][0]]
@@ -264,6 +301,8 @@ def main_blocks(html: str) -> list[str]:
     chosen = {r for r, v in best.items() if v >= border}
     if not chosen and size:
         chosen = {max(size, key=lambda r: size[r])}
+    if not articles:
+        chosen |= {lines[i][3] for i in usable if lines[i][4]}
     return [lines[i][0] for i in usable if lines[i][3] in chosen]
 
 
