@@ -43,3 +43,13 @@ def test_copies_train_once_and_rare_texts_all_do(spark):
         assert {r.text for r in got if r.lang == "bb"} == set(rare) and 100 < len(got) < 300
     none = training_rows(df.limit(0), F.col("text"), F.col("lang"))
     assert none[0] == () and none[1].count() == 0
+
+
+def test_a_rare_declared_language_in_a_large_table_is_kept(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source")
+    greek = "και το πρωί ο ήλιος βγήκε πάνω από τη θάλασσα και οι ψαράδες γύρισαν στο λιμάνι με τα δίχτυα γεμάτα"
+    few = spark.createDataFrame([(-k, f"{greek} {'ναι ' * k}", "el", "src0") for k in range(1, 6)], docs.schema)
+    kept = identify_language(docs.unionByName(few), F.col("text"), F.col("lang"), F.col("source")).where("doc_id < 0")
+    assert [(r.language, r.kept) for r in kept.collect()] == [("el", True)] * 5

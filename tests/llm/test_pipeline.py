@@ -9,8 +9,8 @@ from wreckline.llm.common import staged
 from wreckline.llm.decontaminate import normalised
 from wreckline.llm.registry import ORACLE_SQL, QUERIES
 
+from .test_near_duplicates import components_at
 from .test_sharding_mixing import targets, words
-from .test_text_models import brute_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +25,7 @@ def test_every_stage_on_its_own_input(spark, documents, texts):
     assert {r.doc_id for r in known.collect()} == set(texts)  # every language is one of the model's
 
     single = staged(stages["near_duplicates"](spark, known, SF), "t-near")
-    want = {k for k, (_, c) in brute_components(texts).items() if c == k}
+    want = {k for k, (_, c) in components_at(texts, 5, 80).items() if c == k}
     assert single.columns == columns and sorted(r.doc_id for r in single.collect()) == sorted(want)
 
     clean = staged(stages["benchmark_free"](spark, single, SF), "t-clean")
@@ -58,6 +58,26 @@ def test_every_stage_on_its_own_input(spark, documents, texts):
     assert max(load.values()) - min(load.values()) <= largest
 
 
+def test_columns_named_as_an_operators_keep_their_values(spark, documents):
+    from pyspark.sql import functions as F
+
+    names = ["language", "Posterior", "kept", "size", "taken", "times", "target", "source_size", "__key"]
+    given = documents.limit(60).select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names])
+    for stage in ("language", "mix"):
+        out = dict(corpus_pipeline.STAGES)[stage](spark, given, SF)
+        assert out.columns == given.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+
+
+def test_an_id_on_two_texts_keeps_both(spark):
+    other = " ".join(f"z{i}" for i in range(60))
+    rows = [(1, " ".join(f"a{i}" for i in range(60))), (1, other), (1, other), (2, other + " end"), (3, None), (3, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, rows[0][1]), (1, other), (3, ""), (3, "")])
+
+
 def test_run_is_the_stages_in_order(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
@@ -72,7 +92,6 @@ def test_registration():
 
 
 def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
-    from .test_near_duplicates import components_at
     from .test_text_models import family
 
     rows = [*enumerate(family(11, 30, words=200, edits=6))]

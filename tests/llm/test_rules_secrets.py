@@ -132,3 +132,14 @@ def test_model_without_samples_adds_nothing(spark):
     assert secret_scan(none, llr).count() == 0
     df = spark.createDataFrame([("9f3kQ7zL0pW4xT8vB2nM5c",)], "text string")
     assert secret_scan(df, llr).first().n_markov == 0
+
+
+def test_one_secret_in_a_large_table_is_learned(spark):
+    from pyspark.sql import functions as F
+
+    words = F.concat_ws(" ", F.lit("ordinary_identifier some_function"), F.element_at(
+        F.array(*[F.lit(w) for w in ("configuration", "transformation", "responsibility")]), (F.col("id") % 3 + 1).cast("int")))
+    key = "token = 9f3kQ7zL0pW4xT8vB2nM5c"
+    df = spark.range(50_000).select(F.when(F.col("id") == 31_337, key).otherwise(F.concat_ws(" ", words, F.col("id"))).alias("text"))
+    llr = fit_markov(labelled_samples(df, max_rows=1000))
+    assert any(llr) and secret_scan(spark.createDataFrame([("x 9f3kQ7zL0pW4xT8vB2nM5c y",)], "text string"), llr).first().n_markov == 1

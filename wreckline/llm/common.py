@@ -61,6 +61,14 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
+def apart(df: DataFrame, names: frozenset[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``operator`` makes of ``df``, with the columns of ``df`` and their own values: a
+    column named as one that the operator adds or uses is set aside under another name."""
+    aside = {c: f"{c} (given)" for c in df.columns if c.lower() in names or c.startswith("__")}
+    given = df.select(*[F.col(f"`{c}`").alias(aside.get(c, c)) for c in df.columns])
+    return operator(given).select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in df.columns])
+
+
 def with_column_replaced(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns; an input column of the same name (in any case) is replaced."""
     new = {name.lower() for name in columns}

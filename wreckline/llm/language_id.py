@@ -184,12 +184,17 @@ def _count_arrays(rows: DataFrame, keys: list[str], n: int, name: str) -> DataFr
         F.array(*[F.sum(F.when(F.col("best") == i, F.col("rows")).otherwise(0)).cast("double") for i in range(n)]).alias(name))
 
 
+#: Columns that ``identify_language`` adds.
+ADDED = frozenset(("language", "posterior", "kept"))
+
+
 def identify_language(
     df: DataFrame, text: Column, declared: Column, address: Column, model: TextModel | None = None,
     wanted: tuple[str, ...] | None = None, min_posterior: float = MIN_POSTERIOR,
 ) -> DataFrame:
     """Every row with language, posterior (double) and kept (boolean): a language is known,
-    probable enough and, where ``wanted`` names some, among them.
+    probable enough and, where ``wanted`` names some, among them. A declared language with too
+    few rows for a model is kept where no model claims the text.
 
     ``address`` is a URL or a plain host or source name. Runs jobs: the model and the
     grouped counts are computed and written first.
@@ -249,13 +254,18 @@ def identify_language(
     odds = F.aggregate("__logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("__top")))
     names = F.array(*[F.lit(x) for x in (*model.languages, UNKNOWN)])
     language = F.get(names, (F.array_position("__logs", F.col("__top")) - 1).cast("int"))
-    out = out.withColumn("__language", language).withColumn("__posterior", 1.0 / odds)
+    # A declared language with too few rows for a model can not be judged by its letters: where
+    # no model claims the text either, the declaration stands.
+    rare = (language == UNKNOWN) & ~F.col("__declared").isin(UNKNOWN, "", *model.languages) & F.col("__text_ll").isNotNull()
+    out = out.withColumn("__rare", F.coalesce(rare, F.lit(False)))
+    out = out.withColumn("__language", F.when(F.col("__rare"), F.col("__declared")).otherwise(language)).withColumn("__posterior", 1.0 / odds)
     kept = (F.col("__language") != UNKNOWN) & (F.col("__posterior") >= min_posterior) & F.col("__text_ll").isNotNull()
+    kept = kept | F.col("__rare")
     if wanted is not None:
         kept = kept & F.col("__language").isin(list(wanted))
     out = with_column_replaced(
         out, language=F.col("__language"), posterior=F.col("__posterior"), kept=kept)
-    return out.select(*[c for c in out.columns if not c.startswith("__")])
+    return out.select(*[c for c in df.columns if c.lower() not in ADDED], "language", "posterior", "kept")
 
 
 def page_text(html: Column) -> Column:

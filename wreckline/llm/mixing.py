@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, with_column_replaced, words
+from .common import apart, staged, with_column_replaced, words
 
 MAX_EPOCHS = 3
 BUCKETS = 4096
@@ -108,6 +108,10 @@ def mixing_plan(rows: DataFrame, max_epochs: int = MAX_EPOCHS, buckets: int = BU
         F.coalesce("l.last_key", F.lit(-1.0)).alias("last_key"))
 
 
+#: Columns that ``mix_sources`` adds.
+ADDED = frozenset(("size", "source_size", "target", "times", "taken"))
+
+
 def mix_sources(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weight: Column | None = None, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS,
@@ -134,6 +138,8 @@ def mix_sources(
 
 def mixture(df: DataFrame, **options: object) -> DataFrame:
     """The mix itself: every row as often as the mix takes it, with the input's columns."""
-    mixed = mix_sources(df, **options).where("times > 0")
-    return mixed.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
-        *[F.col(f"`{c}`") for c in df.columns])
+    def taken(given: DataFrame) -> DataFrame:
+        mixed = mix_sources(given, **options).where("times > 0")
+        return mixed.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+
+    return apart(df, ADDED, taken)

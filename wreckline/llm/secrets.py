@@ -92,24 +92,28 @@ def _transitions(token: Column) -> Column:
     )
 
 
+#: A long word without digits: an ordinary identifier.
+PLAIN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{8,}(?![A-Za-z0-9+/_=-])"
+
+
 def labelled_samples(df: DataFrame, text: str = "text", max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """(token, random): values found by the base patterns, and long words without digits
-    as ordinary identifiers, from at most about ``max_rows`` rows chosen by text hash."""
-    total = df.count()
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = df.select(t.alias("t"))
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("t"), F.lit(-(-total // max_rows))) == 0)
+    """(token, random): values found by the base patterns in all rows, however rare, and long
+    words without digits as ordinary identifiers, from at most about ``max_rows`` of the rows
+    that have some, chosen by text hash."""
+    rows = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    hits = rows.where(F.col("t").rlike(ASSIGN) | F.col("t").rlike(ACCESS) | F.col("t").rlike(HEX))
+    worded = rows.where(F.col("t").rlike(PLAIN))
+    every = max(1, -(-worded.count() // max_rows))
+    worded = worded.where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0)
     value = F.concat(
         F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), lambda g: F.length(g) >= ASSIGN_MIN),
         F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("t", F.lit(HEX), F.lit(0)),
     )
-    plain = F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{8,}(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    random = rows.select(F.explode(value).alias("token")).select(
+    random = hits.select(F.explode(value).alias("token")).select(
         F.translate("token", ".", "").alias("token"), F.lit(True).alias("random"))
-    ordinary = rows.select(F.explode(plain).alias("token"), F.lit(False).alias("random"))
-    return random.unionByName(ordinary)
+    plain = F.regexp_extract_all("t", F.lit(PLAIN), F.lit(0))
+    return random.unionByName(worded.select(F.explode(plain).alias("token"), F.lit(False).alias("random")))
 
 
 def fit_markov(samples: DataFrame) -> list[float]:
