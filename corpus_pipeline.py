@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wreckline.llm.common import staged, table, workers_import_package
+from wreckline.llm.common import apart, staged, table, workers_import_package
 from wreckline.llm.decontaminate import decontaminate
-from wreckline.llm.language_id import identify_language
+from wreckline.llm.language_id import ADDED, identify_language
 from wreckline.llm.mixing import mixture
 from wreckline.llm.ngram_join import keep_one
 from wreckline.llm.sharding import shard_rows
@@ -26,9 +26,10 @@ NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows; text without one goes."""
-    judged = identify_language(docs, F.col("text"), F.col("lang"), F.col("source"))
-    return judged.where("kept").select(*docs.columns)
+    """Documents in a language that a model knows, or declares one too rare for a model; text
+    without one goes."""
+    return apart(docs, ADDED, lambda given: identify_language(
+        given, F.col("text"), F.col("lang"), F.col("source")).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
