@@ -271,3 +271,41 @@ def test_changed_source_files_land_anew(spark, tmp_path):
     some = pq.read_table(f"{SF_SMOKE}/orders.parquet").slice(0, 10)
     pq.write_table(some, tmp_path / "orders.parquet")
     assert before > 10 and landed_crash_tables(spark, str(tmp_path))[0].count() == 10
+
+
+def test_resume_lands_changed_sources_only(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from wreckline.sources.ingest import ingest_datasets
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for name, n in (("x", 3), ("y", 5)):
+        (tmp_path / f"{name}.csv").write_text("a,b\n" + "".join(f"{i},v{i}\n" for i in range(n)))
+    sources, root = {n: f"{tmp_path}/{n}.csv" for n in "xy"}, f"{tmp_path}/raw"
+    land = lambda **more: ingest_datasets(spark, sources, root, {"x": schema, "y": schema}, **more)
+    files = lambda n: {p.name for p in (tmp_path / "raw" / n).glob("part-*")}
+    assert {k: r.rows for k, r in land().items()} == {"x": 3, "y": 5}
+    before = files("x"), files("y")
+    (tmp_path / "y.csv").write_text("a,b\n7,new\n")
+    assert {k: r.rows for k, r in land(resume=True).items()} == {"x": 3, "y": 1}
+    assert files("x") == before[0] and files("y") != before[1]  # kept, and landed anew
+    kept = files("y")
+    land(resume=True)
+    assert files("y") == kept
+    land(resume=True, quarantine=True)  # other settings
+    assert files("y") != kept
+
+
+def test_a_failed_dataset_leaves_the_others_landed(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from wreckline.sources.ingest import EmptyCsvError, ingest_datasets
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    (tmp_path / "good.csv").write_text("a\n1\n2\n")
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(EmptyCsvError) as raised:
+        ingest_datasets(spark, {"empty": f"{tmp_path}/empty.csv", "good": f"{tmp_path}/good.csv"}, f"{tmp_path}/raw",
+                        {"empty": schema, "good": schema})
+    assert any("good: landed, 2 rows" in note for note in raised.value.__notes__)
+    assert spark.read.parquet(f"{tmp_path}/raw/good").count() == 2

@@ -163,7 +163,9 @@ def test_scans_read_only_needed_columns(landed):
     assert "NUM_PASSENGERS" not in text and "Window" not in text
 
 
-def test_numbering_by_digits_equals_window_numbering(spark):
+@pytest.mark.parametrize("sample", [20_000, 50])
+def test_numbering_by_bounds_equals_window_numbering(spark, monkeypatch, sample):
+    monkeypatch.setattr("wreckline.operators.sequence.SAMPLE", sample)
     big = 2**62
     rows = [("hot", u * 40_000, None) for u in range(500)] + [("hot", u, None) for u in (None, None, -1, -big, big, big - 1)]
     rows += [("hot", 7, None)] * 300 + [("cold", u, None) for u in range(7)] + [(None, 1, None), (None, None, 3)]
@@ -175,6 +177,23 @@ def test_numbering_by_digits_equals_window_numbering(spark):
     assert sorted(r.veh_seq_nbr for r in plain if r.CRASH_RECORD_ID == "hot") == list(range(1, 807))
 
 
+def test_units_without_an_id_are_numbered_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(60_000).select(
+        F.lit("hot").alias("CRASH_RECORD_ID"), F.lit(None).cast("bigint").alias("CRASH_UNIT_ID"), F.col("id").alias("VEHICLE_ID"))
+    df = number_units(rows, skew_safe=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as where partitions are large
+    try:
+        sizes = df.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    numbered = df.where("veh_seq_nbr = VEHICLE_ID + 1").count()
+    assert numbered == 60_000 and len(sizes) > 1 and max(r["count"] for r in sizes) < 40_000
+    scans, ex = _final(df)
+    assert scans <= 6 and len(ex) <= 4, (scans, ex)
+
+
 def test_hot_keys_are_exact_and_never_null(spark):
     from wreckline.operators.skew import HotKeys, count_hot, split_hot
 

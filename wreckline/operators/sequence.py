@@ -18,8 +18,9 @@ UNIT_TIE_BREAKERS = [
     "CMRC_VEH_I", "MAKE", "MODEL",
 ]
 
-# Bits of CRASH_UNIT_ID that one level of the skew-proof numbering resolves.
-_DIGIT_BITS = 16
+# Rows in the sample that cuts huge crashes into blocks, about, and blocks of a crash, at most.
+SAMPLE = 20_000
+_SPLITS = 128
 # Copies of a row that one row stands for until the last step, at most.
 _COPIES_PER_ROW = 65_536
 
@@ -43,7 +44,7 @@ def number_units(
 
     ``skew_safe=False`` is one hash exchange on the crash key plus a sort: the plan the
     studied job has, and the cheapest when no crash is huge. ``skew_safe=True`` numbers
-    a huge crash in many tasks (see ``number_by_digits``). ``"auto"`` does the latter
+    a huge crash in many tasks (see ``number_by_bounds``). ``"auto"`` does the latter
     for crashes with >= ``hot_rows`` units and for units without a crash id.
     """
     if skew_safe == "auto":
@@ -54,66 +55,60 @@ def number_units(
             hot_rows or DEFAULT_HOT_ROWS, hot,
         )
     if skew_safe:
-        return number_by_digits(vehicles, out, tie_breakers)
+        return number_by_bounds(vehicles, out, tie_breakers)
     w = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles, tie_breakers))
     return vehicles.withColumn(out, F.row_number().over(w))
 
 
-def number_by_digits(vehicles: DataFrame, out: str = SEQ_COL, tie_breakers: list[str] | None = None) -> DataFrame:
+def number_by_bounds(vehicles: DataFrame, out: str = SEQ_COL, tie_breakers: list[str] | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by crash order by unit order)`` for huge crashes.
 
-    1. Equal rows are counted (combined before the shuffle) and stand as one row.
-    2. CRASH_UNIT_ID is cut into 16-bit digits. The rows of one crash that share all but
-       the last digit form a block: a function of the row alone, so however often a stage
-       is recomputed, a row is always in the same block.
-    3. Rows before a block: for each digit, the rows of smaller digits under the same
-       leading ones, a running sum over at most 65,536 counts.
-    4. Within a block, a running sum over its distinct rows in unit order; then copies
-       are expanded into consecutive numbers.
+    1. Equal rows are counted (combined before the shuffle), stand as one row and are written.
+    2. Of these, a sample by hash of the row (about ``SAMPLE`` in all, so only crashes with many
+       rows have some) gives each such crash up to ``_SPLITS`` bounds in the whole unit order.
+       A row's block is the number of bounds that are not above it: a function of the written
+       rows alone, however often a stage is recomputed, and units that tie on CRASH_UNIT_ID, or
+       have none, still fall into different blocks.
+    3. Rows before a block: a running sum over the blocks of the crash, a small table.
+    4. Within a block, a running sum over its rows in unit order; then copies are expanded into
+       consecutive numbers.
     """
+    from wreckline.sources.sinks import stage_parquet  # sources import the operators
+
     columns = vehicles.columns
-    order = unit_order(vehicles, tie_breakers)
-    rest = [c for c in columns if c != CRASH_KEY]
-    order += [F.col(c).asc_nulls_first() for c in rest]  # a short tie list stays deterministic
-    unit = F.col("CRASH_UNIT_ID").cast("bigint")
-    rows = vehicles.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    # Digits from the top; a NULL id sorts before every digit of the top level.
-    tops = [F.when(unit.isNull(), F.lit(-(1 << _DIGIT_BITS))).otherwise(F.shiftright(unit, 3 * _DIGIT_BITS))]
-    tops += [
-        F.coalesce(F.shiftright(unit, k * _DIGIT_BITS).bitwiseAND((1 << _DIGIT_BITS) - 1), F.lit(0)) for k in (2, 1)
-    ]
-    digits = ["_d3", "_d2", "_d1"]
-    rows = rows.select("*", *[c.cast("bigint").alias(d) for c, d in zip(tops, digits, strict=True)])
-
-    offsets = rows.groupBy(CRASH_KEY, *digits).agg(F.sum("_n").alias("_n"))
-    offsets = offsets.withColumn("_before", _running(F.col("_n"), [CRASH_KEY, "_d3", "_d2"], "_d1"))
-    for level in (2, 1):  # under the first two digits, then under the first
-        above = offsets.groupBy(CRASH_KEY, *digits[:level]).agg(F.sum("_n").alias("_n"))
-        above = above.withColumn("_more", _running(F.col("_n"), [CRASH_KEY, *digits[: level - 1]], digits[level - 1]))
-        offsets = _match(offsets, above.drop("_n"), [CRASH_KEY, *digits[:level]]).withColumn(
-            "_before", F.col("_before") + F.col("_more")).drop("_more")
-
-    block = Window.partitionBy(CRASH_KEY, *digits).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inside", F.coalesce(F.sum("_n").over(block), F.lit(0)))
-    rows = _match(rows, offsets.drop("_n"), [CRASH_KEY, *digits])
-    start = F.col("_before") + F.col("_inside")
+    ordering = ["CRASH_UNIT_ID"] + [c for c in (UNIT_TIE_BREAKERS if tie_breakers is None else tie_breakers) if c in columns]
+    ordering += [c for c in columns if c not in ordering and c != CRASH_KEY]  # a short tie list stays deterministic
+    rows = stage_parquet(vehicles.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), name="units")
+    me = F.struct(*[F.col(c) for c in ordering])
+
+    every = max(1, rows.count() // SAMPLE)
+    sample = rows.where(F.pmod(F.xxhash64(*columns), F.lit(every)) == 0)
+    sorted_sample = F.sort_array(F.collect_list(me))
+    taken = sample.groupBy(F.col(CRASH_KEY).alias("_crash")).agg(sorted_sample.alias("_s")).where(F.size("_s") > 1)
+    step = F.greatest(F.lit(1), F.floor(F.size("_s") / _SPLITS)).cast("int")
+    # At most about SAMPLE bounds in all. Written, so that their size is known when the join is
+    # planned: where they are small, the rows are not shuffled for it.
+    bounds = stage_parquet(taken.select("_crash", F.filter("_s", lambda _, i: i % step == 0).alias("_bounds")), name="bounds")
+    placed = rows.join(bounds, F.col(CRASH_KEY).eqNullSafe(F.col("_crash")), "left").withColumn(
+        "_block", F.when(F.col("_bounds").isNull(), -1).otherwise(F.size(F.filter("_bounds", lambda b: b <= me)))).drop("_bounds", "_crash")
+
+    offsets = placed.where("_block >= 0").groupBy(CRASH_KEY, "_block").agg(F.sum("_n").alias("_n"))
+    offsets = stage_parquet(offsets.select(
+        F.col(CRASH_KEY).alias("_crash"), F.col("_block").alias("_of"),
+        _running(F.col("_n"), [CRASH_KEY], "_block").alias("_before")), name="offsets")
+    block = Window.partitionBy(CRASH_KEY, "_block").orderBy(*[F.col(c).asc_nulls_first() for c in ordering])
+    inside = F.coalesce(F.sum("_n").over(block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = placed.withColumn("_inside", inside).join(
+        offsets, F.col(CRASH_KEY).eqNullSafe(F.col("_crash")) & (F.col("_block") == F.col("_of")), "left")
+    start = F.coalesce("_before", F.lit(0)) + F.col("_inside")
     chunks = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _COPIES_PER_ROW))
-    rows = rows.select(*columns, "_n", start.alias("_start"), F.explode(chunks).alias("_chunk"))
+    numbered = numbered.select(*columns, "_n", start.alias("_start"), F.explode(chunks).alias("_chunk"))
     first = F.col("_chunk") * _COPIES_PER_ROW
     copies = F.sequence(first + 1, F.least(F.col("_n"), first + _COPIES_PER_ROW))
-    return rows.select(*columns, "_start", F.explode(copies).alias("_copy")).select(
+    return numbered.select(*columns, "_start", F.explode(copies).alias("_copy")).select(
         *columns, (F.col("_start") + F.col("_copy")).cast("int").alias(out))
 
 
 def _running(value: Column, keys: list[str], by: str) -> Column:
     before = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(before), F.lit(0))
-
-
-def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys``, in which NULLs are equal; the left copies of the keys stay."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])

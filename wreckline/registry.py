@@ -108,6 +108,15 @@ def _run(job: str, read: Callable[[SparkSession, RunResult], DataFrame]) -> Quer
     return run
 
 
+def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, and a second one that resumes it: the zones are kept, the result is the same."""
+    root, csvs = shared_dir(spark, "resumed"), exported_csv(spark, sf_dir)
+    first = run_pipeline(spark, csvs, root, job="crash_vehicle_summary")
+    again = run_pipeline(spark, csvs, root, job="crash_vehicle_summary", resume=True)
+    assert again.clean == first.clean
+    return spark.read.parquet(again.clean)
+
+
 def _raw_counts(spark: SparkSession, done: RunResult) -> DataFrame:
     out = None
     for name, table in done.raw_tables.items():
@@ -142,10 +151,11 @@ def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
         ",", F.col("CRASH_RECORD_ID"), F.coalesce("RD_NO", F.lit("")), F.lit("x"),
         F.when(key % 14 == 0, F.lit("1,2,3")).when(key % 7 != 0, F.coalesce(F.col("INJURIES_TOTAL").cast("string"), F.lit("")))
     ).alias("value"))
-    header = spark.createDataFrame([("CRASH_RECORD_ID,RD_NO,UNDECLARED,INJURIES_TOTAL",)], "value string")
-    # One file per part, each with its header, as extracts come.
+    # One file per part, each with its header, as extracts come: the text writer puts the
+    # column's name, here the header line, first.
     src = f"{shared_dir(spark, 'ragged')}/crash.csv"
-    header.unionByName(rows).coalesce(1).write.text(src)
+    rows.toDF("CRASH_RECORD_ID,RD_NO,UNDECLARED,INJURIES_TOTAL").write.option("header", True).option("sep", "\u0001").option(
+        "quote", "\u0000").option("emptyValue", "").csv(src)
     done = csv_quarantine(spark, src, declared, dst=shared_dir(spark, "landed"), quarantine=shared_dir(spark, "rejected"))
     counted = F.col("INJURIES_TOTAL").isNotNull()
     good = spark.read.parquet(done.target).select("CRASH_RECORD_ID", "RD_NO", counted.alias("counted"), F.lit("landed").alias("fate"))
@@ -193,11 +203,15 @@ QUERIES: dict[str, Query] = {
     "people_summary_repeated_partial": _q(lambda c, v, p: people_summary(_repeated(p), strategy="partial")),
     # combinations with their number of occurrences: expanded, four copies are 1,024 rows
     "person_slots_repeated": _q(lambda c, v, p: person_slots(_repeated(p), expand=False)),
+    # expanded: every 11th person occurs twice, so their drivers make 32 rows each
+    "person_slots_repeated_expanded": _q(
+        lambda c, v, p: person_slots(p.unionByName(p.filter("VEHICLE_ID % 11 = 0").withColumn("SEX", F.lit("X"))))),
     "duplicate_person_keys_found": _q(
         lambda c, v, p: duplicate_keys(_repeated(p), ["CRASH_RECORD_ID", "CRASH_DATE", "PERSON_ID"])),
     # sinks, catalog, stages and whole runs, read back
     "run_published_summary": _run("crash_summary", lambda spark, done: spark.table(done.table)),
     "run_published_units": _run("crash_vehicle_summary", lambda spark, done: spark.table(done.external_table)),
+    "run_resumed": _resumed,
     "raw_tables_of_run": _run("crash_vehicle_summary", _raw_counts),
     "staged_detail": _q(lambda c, v, p: stage_parquet(vehicle_person_detail(c, v, p))),
     "partitioned_publish": _partitioned_publish,

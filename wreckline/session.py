@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 # to the cluster (or ``shuffle_partitions``); AQE coalesces small ones at run time.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    # Jobs that run at once (the datasets of an ingest) share the executors.
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Window-group-limit pushes the partial top-k of the slot ranking below the shuffle.
