@@ -62,6 +62,7 @@ def main() -> None:
 
     from wreckline.registry import QUERIES
     from wreckline.plans import crash_summary, vehicle_person_detail
+    from wreckline.sources.hot_list import load_hot_keys
     from wreckline.sources import land_crash_tables, load_crashes, load_people, load_vehicles, write_parquet
 
     _run(QUERIES["multi_vehicle_crashes"](spark, sf_dir))  # warm-up: JVM, codegen, file listing
@@ -105,13 +106,13 @@ def main() -> None:
 
     t0 = time.perf_counter()
     out = crash_summary(load_crashes(spark, f"{raw}/crash"), load_vehicles(spark, f"{raw}/vehicles"),
-                        load_people(spark, f"{raw}/people"))
+                        load_people(spark, f"{raw}/people"), hot=load_hot_keys(spark, raw))
     write_parquet(out, f"{scratch}/clean/crash_summary")
     timings["job_crash_summary"] = round(time.perf_counter() - t0, 3)
 
     t0 = time.perf_counter()
     out = vehicle_person_detail(load_crashes(spark, f"{raw}/crash"), load_vehicles(spark, f"{raw}/vehicles"),
-                                load_people(spark, f"{raw}/people"))
+                                load_people(spark, f"{raw}/people"), hot=load_hot_keys(spark, raw))
     write_parquet(out, f"{scratch}/clean/vehicle_person_detail")
     timings["job_vehicle_person_detail"] = round(time.perf_counter() - t0, 3)
 
