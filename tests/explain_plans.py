@@ -47,7 +47,7 @@ def main() -> None:
         ("vehicle_summary, window", vehicle_summary(v, strategy="window")),
         ("vehicle_summary, topk (hot crashes)", vehicle_summary(v, strategy="topk")),
         ("vehicle_summary, lookup (slots looked up by unit keys)", vehicle_summary(v, strategy="lookup")),
-        ("number_units, by digits (hot crashes)", number_units(v, skew_safe=True)),
+        ("number_units, by bounds (hot crashes)", number_units(v, skew_safe=True)),
         ("people_summary, cluster", people_summary(p, strategy="cluster")),
         ("people_summary, partial (hot crashes)", people_summary(p, strategy="partial")),
         ("vehicle_person_detail (job B), shuffle", vehicle_person_detail(c, v, p, strategy="shuffle")),
