@@ -152,3 +152,43 @@ def test_mixed_threshold_names_some_crashes(crowded):
     _, v, _, _ = crowded
     hot_ids, ids = hot_keys(v, "CRASH_RECORD_ID", 7).count(), v.select("CRASH_RECORD_ID").distinct().count()
     assert 0 < hot_ids < ids / 2
+
+
+@pytest.fixture(scope="module")
+def tied(spark, tmp_path_factory):
+    """One crash whose units tie: 4,000 distinct ones lack CRASH_UNIT_ID, 4,000 distinct ones
+    share all four keys, and another crash has both kinds, few enough to fill its slots."""
+    _, v, _ = crash_tables(spark, SF_SMOKE)
+    one = v.filter("VEHICLE_ID IS NOT NULL AND RD_NO IS NOT NULL").orderBy("CRASH_UNIT_ID").limit(1)
+    many = one.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(4000))))
+    distinct = F.concat(F.lit("M"), F.col("_i"))
+    out = v
+    for crash, nameless, equal in (("TIED-A", 4000, 4000), ("TIED-B", 2, 4000), ("TIED-C", 0, 4000), ("TIED-D", 1, 2)):
+        rows = many.withColumn("CRASH_RECORD_ID", F.lit(crash)).withColumn("MAKE", distinct)
+        lacking = rows.filter(F.col("_i") <= nameless).withColumn("CRASH_UNIT_ID", F.lit(None).cast("bigint"))
+        out = out.unionByName(lacking.drop("_i")).unionByName(rows.filter(F.col("_i") <= equal).drop("_i"))
+    return _written(out, str(tmp_path_factory.mktemp("tied") / "vehicles"))
+
+
+@pytest.mark.parametrize("name", ["vehicle_summary", "vehicle_summary_fixed", "vehicle_pivot", "vehicle_slots"])
+def test_tied_units_fill_the_same_slots(tied, name):
+    """Every strategy that spreads a crash gives the rows of the plain window."""
+    skewed = {
+        "vehicle_summary": lambda v: vehicle_summary(v, strategy="topk"),
+        "vehicle_summary_fixed": lambda v: vehicle_summary(v, compat=False, strategy="topk"),
+        "vehicle_pivot": lambda v: vehicle_pivot(v, strategy="topk"),
+        "vehicle_slots": lambda v: vehicle_slots(v, strategy="topk"),
+    }[name]
+    assert rows_of_spark(skewed(tied)) == rows_of_spark(CASES[name][1](None, tied, None))
+
+
+def test_tied_units_are_cut_before_the_shuffle(spark, tied):
+    """Rows that tie never meet: each map task sends at most n rows of a crash on."""
+    from wreckline.operators.slots import slot_candidates, slot_rows
+
+    first = slot_candidates(tied)
+    assert first.filter("CRASH_RECORD_ID = 'TIED-A'").count() == 4
+    text = first._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" in text and "Partial" in text
+    rows = {r.CRASH_RECORD_ID: r["_copies"] for r in slot_rows(tied).filter("CRASH_RECORD_ID LIKE 'TIED%'").collect()}
+    assert rows == {"TIED-B": 4000, "TIED-C": 4000, "TIED-D": 2}

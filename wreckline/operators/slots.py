@@ -7,10 +7,12 @@ receives slot k's values exactly when its own four keys equal those of the k-th
 (all four non-NULL). So slot values are a property of a unit's key tuple, and only
 units whose CRASH_UNIT_ID ranks within the first k of their crash can match at all.
 
-``slot_candidates`` finds those units with ``rank() <= k``; Catalyst turns that filter
-into a window-group limit that runs partially *before* the shuffle, so each map task
-forwards at most k rows (plus ties) per crash. A crash holding a third of all rows costs
-no more shuffle than any other.
+``slot_candidates`` takes the first k distinct units in the whole unit order. Catalyst
+turns that ``row_number() <= k`` into a window-group limit that runs *before* the shuffle
+as well: each map task forwards at most k rows per crash, whatever ties there are, and one
+more limit takes the first k of those. A crash holding a third of all rows costs no more
+shuffle than any other. Units that merely share a holder's keys are counted by their keys
+(``slot_rows``) and never gathered row by row.
 """
 
 from __future__ import annotations
@@ -33,20 +35,36 @@ COPIES = "_copies"
 
 
 def slot_candidates(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
-    """Distinct units whose CRASH_UNIT_ID ranks <= n in their crash, with the number of
-    copies of each and the sequence number of its first copy.
+    """The first n distinct units of each crash in the unit order, with the number of copies
+    of each and the sequence number of its first copy: every slot holder is among them.
 
-    Every unit with sequence <= n has rank <= n, and every unit ranked before it is in
-    the set too, so the running sum of copies inside the candidates equals the sequence
-    over the whole crash. Copies are counted before the rank, where the aggregation
-    combines them in each map task, so they never tie into one task.
+    Copies are counted before the limit, where the aggregation combines them in each map
+    task. The order covers all columns that are read, so no rows tie: units that are equal
+    in CRASH_UNIT_ID, or all lack it, are cut to n in each map task like any others.
     """
-    by_unit = Window.partitionBy(CRASH_KEY).orderBy(F.col("CRASH_UNIT_ID").asc_nulls_first())
+    in_order = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles))
     rows = vehicles.groupBy(*[c for c in SLOT_INPUT if c in vehicles.columns]).agg(F.count(F.lit(1)).alias(COPIES))
-    cand = rows.withColumn("_unit_rank", F.rank().over(by_unit)).filter(F.col("_unit_rank") <= n)
-    upto = Window.partitionBy(CRASH_KEY).orderBy(*unit_order(vehicles)).rowsBetween(Window.unboundedPreceding, 0)
-    first = F.sum(COPIES).over(upto) - F.col(COPIES) + 1
-    return cand.withColumn(SEQ_COL, first).drop("_unit_rank")
+    first = rows.withColumn("_place", F.row_number().over(in_order)).filter(F.col("_place") <= n).drop("_place")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    return first.withColumn(SEQ_COL, F.sum(COPIES).over(upto) - F.col(COPIES) + 1)
+
+
+def slot_rows(vehicles: DataFrame, n: int = SLOT_COUNT) -> DataFrame:
+    """Units whose four keys hold a slot in the compat sense, as one row per (keys, RD_NO)
+    with the number of units (COPIES) and the slot columns.
+
+    Units are counted by their keys first, in the map tasks; of the counted keys a crash
+    keeps those that rank <= n in the unit order, whose leading columns the keys are. A
+    holder has at most n - 1 rows before it, so its keys are among them. Rows that rank
+    equal differ in RD_NO alone, and each of those is a group of the result.
+    """
+    units = reduce(DataFrame.filter, [F.col(k).isNotNull() for k in UNIT_KEYS], vehicles)
+    units = units.groupBy(*UNIT_KEYS, "RD_NO").agg(F.count(F.lit(1)).alias(COPIES))
+    by_keys = Window.partitionBy(CRASH_KEY).orderBy("CRASH_UNIT_ID", "VEHICLE_ID", "CRASH_DATE")
+    units = units.withColumn("_rank", F.rank().over(by_keys)).filter(F.col("_rank") <= n).drop("_rank")
+    both = units.unionByName(slot_candidates(vehicles, n), allowMissingColumns=True)
+    matched = matched_slots(both, n).filter(F.col(SEQ_COL).isNull() & any_slot(n))
+    return matched.select(*units.columns, *vehicle_slot_columns(n))
 
 
 def _holds(k: int) -> Column:

@@ -24,11 +24,10 @@ from wreckline.operators.sequence import CRASH_KEY, number_units
 from wreckline.operators.skew import DEFAULT_HOT_ROWS, HotKeys, route_hot
 from wreckline.operators.slots import (
     COPIES,
-    any_slot,
-    matched_slots,
     null_slots,
     own_slots,
     slot_candidates,
+    slot_rows,
     vehicle_slots,
 )
 from wreckline.schemas import (
@@ -118,9 +117,8 @@ def _vehicle_summary_fixed_window(vehicles: DataFrame, n: int, slot_null_vehicle
 def _vehicle_slot_groups(vehicles: DataFrame, n: int) -> DataFrame:
     """The inner GROUP BY of the compat summary: (crash, RD_NO, date, slots) -> counts.
 
-    Every row counts towards the no-slot group of its (crash, RD_NO, date); a row that
-    holds a slot (all of those are candidates) is taken off it again and counted in its
-    own group. One union, one aggregation that combines before its shuffle: a third of
+    Every row counts towards the no-slot group of its (crash, RD_NO, date); rows whose
+    keys hold a slot (``slot_rows``) are taken off it again and counted in their own group. One union, one aggregation that combines before its shuffle: a third of
     all rows in one crash is a few rows per map task.
     """
     keys = ["CRASH_RECORD_ID", "RD_NO", "CRASH_DATE"]
@@ -128,7 +126,7 @@ def _vehicle_slot_groups(vehicles: DataFrame, n: int) -> DataFrame:
     unit, vehicle = _flag(F.col("CRASH_UNIT_ID")), _flag(F.col("VEHICLE_ID"))
     every = vehicles.select(
         *keys, *null_slots(n), F.lit(1).cast("bigint").alias("_rows"), unit.alias("_u"), vehicle.alias("_v"))
-    matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
+    matched = slot_rows(vehicles, n)
     copies = F.col(COPIES)
     plus = F.struct(*[F.col(c) for c in slot_cols], F.lit(1).cast("bigint").alias("_sign"))
     minus = F.struct(*null_slots(n), F.lit(-1).cast("bigint").alias("_sign"))
@@ -151,7 +149,8 @@ def _vehicle_summary_fixed(vehicles: DataFrame, n: int, slot_null_vehicle: bool)
         "CRASH_RECORD_ID", "RD_NO", "CRASH_DATE", *null_slots(n),
         _flag(F.col("CRASH_UNIT_ID")).alias("_u"), _flag(F.col("VEHICLE_ID")).alias("_v"),
     )
-    held = own_slots(slot_candidates(vehicles, n), n, slot_null_vehicle).filter(any_slot(n))
+    # not only rows with an id: a unit without CRASH_UNIT_ID still shows its make and model
+    held = own_slots(slot_candidates(vehicles, n), n, slot_null_vehicle)
     holders = held.select(
         "CRASH_RECORD_ID", F.lit(None).cast("string").alias("RD_NO"),
         F.lit(None).cast(vehicles.schema["CRASH_DATE"].dataType).alias("CRASH_DATE"),
@@ -189,8 +188,7 @@ def _vehicle_pivot(vehicles: DataFrame, n: int, strategy: str) -> DataFrame:
     else:
         # Every unit row names its group; slot-holding rows add their values.
         base = vehicles.select(*keys, *null_slots(n))
-        matched = matched_slots(slot_candidates(vehicles, n), n).filter(any_slot(n))
-        rows = base.unionByName(matched.select(*keys, *vehicle_slot_columns(n)))
+        rows = base.unionByName(slot_rows(vehicles, n).select(*keys, *vehicle_slot_columns(n)))
     out = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in vehicle_slot_columns(n)])
     return out.select(*vehicle_pivot_columns(n))
 
