@@ -113,8 +113,8 @@ def test_catalog_tables(spark, tmp_path):
     assert out.count() == again.count() == 2
     with pytest.raises(Exception):
         write_table(spark.table("years"), "years")
-    with pytest.raises(ValueError, match="managed"):
-        register_external(spark, "years", path)  # never drops a managed table and its data
+    with pytest.raises(ValueError, match="only an external"):
+        register_external(spark, "years", path)  # never drops a published table and its data
     with pytest.raises(ValueError, match="external"):
         publish_table(spark, "years", "years_ext")
     broken = spark.createDataFrame([("x",)], "id string").selectExpr("raise_error(id) AS id")
@@ -309,3 +309,70 @@ def test_a_failed_dataset_leaves_the_others_landed(spark, tmp_path):
                         {"empty": schema, "good": schema})
     assert any("good: landed, 2 rows" in note for note in raised.value.__notes__)
     assert spark.read.parquet(f"{tmp_path}/raw/good").count() == 2
+
+
+def test_a_reader_always_finds_a_published_table(spark, monkeypatch):
+    """Between any two catalog commands of a publish the name shows the old or the new rows,
+    with other columns and partitions, too; a failed switch leaves the old ones."""
+    from wreckline.sources import sinks
+
+    name = "switched"
+    publish_table(spark, spark.range(3), name)
+    wider = spark.range(5).selectExpr("id", "id % 2 AS odd")
+    told, seen = spark.sql, []
+
+    class Watching:
+        """The session, which reads the published name after each command."""
+
+        def __init__(self, fail_at=None):
+            self.fail_at = fail_at
+
+        def __getattr__(self, attribute):
+            return getattr(spark, attribute)
+
+        def sql(self, text):
+            if self.fail_at and text.startswith(self.fail_at):
+                raise RuntimeError("catalog is away")
+            out = told(text)
+            seen.append(spark.table(name).count())
+            return out
+
+    with pytest.raises(RuntimeError, match="away"):
+        publish_table(Watching("ALTER VIEW"), wider, name)
+    assert spark.table(name).columns == ["id"] and set(seen) == {3}
+    publish_table(Watching(), wider, name, partition_by=["odd"])
+    assert spark.table(name).columns == ["id", "odd"] and set(seen) == {3, 5}
+    begun = spark.table(name)
+    publish_table(spark, spark.range(7), name)
+    assert begun.count() == 5 and spark.table(name).count() == 7  # a reader ends on the version it began on
+    assert len(sinks._versions(spark, name)) == 2
+    spark.sql("CREATE VIEW of_another AS SELECT 1 AS one")
+    with pytest.raises(ValueError, match="view"):
+        publish_table(spark, spark.range(1), "of_another")
+    sinks.unpublish_table(spark, name)
+    assert not spark.catalog.tableExists(name) and not sinks._versions(spark, name)
+
+
+def test_filters_prune_partitions_through_the_published_name(spark):
+    out = publish_table(spark, spark.range(40).selectExpr("id", "id % 4 AS part"), "pruned", partition_by=["part"])
+    plan = out.filter("part = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and out.filter("part = 3").count() == 10
+
+
+def test_quarantine_counts_while_it_lands(spark, tmp_path, monkeypatch):
+    """A clean source is parsed by one write; rejects cost one scan more. Nothing is counted anew."""
+    from wreckline.sources import ingest
+
+    written = []
+
+    def writing(df, path, **more):
+        written.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+        return write_parquet(df, path, **more)
+
+    monkeypatch.setattr(ingest, "write_parquet", writing)
+    clean = csv_quarantine(spark, _write(tmp_path / "clean.csv", GOOD), SCHEMA)
+    assert (clean.rows, clean.rejected) == (2, 0) and written == [1, 0]
+    bad = csv_quarantine(spark, _write(tmp_path / "bad.csv", GOOD + "a3,not a date,2\na4\n"), SCHEMA)
+    assert (bad.rows, bad.rejected) == (2, 2) and written[2:] == [1, 1]
+    assert spark.read.parquet(bad.target).count() == 2 == spark.read.parquet(bad.quarantine).count()
+    assert spark.read.parquet(clean.quarantine).columns == spark.read.parquet(bad.quarantine).columns

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wreckline.session import shared_dir
 
+# Property that marks the views which publish_table makes.
+PUBLISHED = "wreckline.published"
+
 
 def write_parquet(
     df: DataFrame,
@@ -86,25 +91,67 @@ def register_external(spark: SparkSession, table: str, location: str, replace: b
     return spark.table(table)
 
 
+def _pointer(spark: SparkSession, target: str) -> str | None:
+    """The version that a published name points to; None if there is no such name yet."""
+    kind = _table_type(spark, target)
+    if kind is None:
+        return None
+    if kind == "VIEW":
+        told = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(target)}").collect()}
+        if told.get(PUBLISHED) == "true":
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(target)}").collect()
+            text = next(r.data_type for r in rows if r.col_name == "View Text")
+            return re.search(r"`([^`]*__v\d+)`$", text).group(1)
+    raise ValueError(f"{target} exists ({kind.lower()}); only a published table is replaced")
+
+
+def _versions(spark: SparkSession, target: str) -> dict[int, str]:
+    """Number -> table name of every version of ``target`` in the catalog, half-written ones too."""
+    *database, name = target.split(".")
+    within = f" IN {_quote('.'.join(database))}" if database else ""
+    rows = spark.sql(f"SHOW TABLES{within} LIKE '{name.lower()}__v*'").collect()  # a few names
+    found = {}
+    for r in rows:
+        number = re.fullmatch(re.escape(name.lower()) + r"__v(\d+)", r.tableName.lower())
+        if number and not r.isTemporary:
+            found[int(number.group(1))] = ".".join([*database, r.tableName])
+    return found
+
+
 def publish_table(
     spark: SparkSession, source: str | DataFrame, target: str, partition_by: list[str] | None = None
 ) -> DataFrame:
-    """Create-or-replace ``target`` as a managed copy of ``source`` (a table name or frame).
-
-    The copy is written beside the target and takes its name only when it is complete: a
-    write that fails leaves the old table as it was. ``partition_by`` lays the copy out by
-    those columns so later filters on them prune.
+    """Create-or-replace ``target`` as a copy of ``source`` (a table name or frame).
+
+    Each publish writes a managed table of its own, ``<target>__v<number>``, and ``target`` is
+    a view that points to one of them. The view is altered, one catalog operation, when the
+    new version is complete: a reader always finds the old or the new rows, whatever columns
+    or partitions either has, and a failed write or switch leaves the old version in place.
+    The version before the current one is kept for readers that have begun on it; older ones
+    and those of failed runs are dropped. One publisher at a time per name: of two that race
+    for a number, one fails at its write.
+
+    ``partition_by`` lays the copy out by those columns, so that later filters on them prune,
+    through the view as well. A table, or another view, of that name is refused.
     """
-    kind = _table_type(spark, target)
-    if kind not in (None, "MANAGED"):
-        raise ValueError(f"{target} exists ({kind.lower()}); only a managed table is replaced")
-    beside = f"{target}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {_quote(beside)}")  # left by a run that failed
-    write_table(spark.table(source) if isinstance(source, str) else source, beside, partition_by=partition_by)
-    if kind is not None:
-        spark.sql(f"DROP TABLE {_quote(target)}")
-    spark.sql(f"ALTER TABLE {_quote(beside)} RENAME TO {_quote(target)}")
-    if partition_by:  # the catalog still lists the partitions under the name they were written by
-        spark.sql(f"MSCK REPAIR TABLE {_quote(target)} SYNC PARTITIONS")
-        spark.catalog.refreshTable(target)
+    before = _pointer(spark, target)
+    known = _versions(spark, target)
+    version = f"{target}__v{max(known, default=0) + 1}"
+    rows = spark.table(source) if isinstance(source, str) else source
+    write_table(rows, version, partition_by=partition_by)
+    if before is None:
+        spark.sql(f"CREATE VIEW {_quote(target)} TBLPROPERTIES ('{PUBLISHED}' = 'true') AS SELECT * FROM {_quote(version)}")
+    else:
+        spark.sql(f"ALTER VIEW {_quote(target)} AS SELECT * FROM {_quote(version)}")
+    for name in known.values():
+        if before is None or name.split(".")[-1].lower() != before.lower():
+            spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
     return spark.table(target)
+
+
+def unpublish_table(spark: SparkSession, target: str) -> None:
+    """Drop a published name and all its versions."""
+    if _pointer(spark, target) is not None:
+        spark.sql(f"DROP VIEW {_quote(target)}")
+    for name in _versions(spark, target).values():
+        spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
