@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,13 +40,13 @@ from wreckline.plans import (
     street_labels,
     vehicle_person_detail,
 )
-from wreckline.plans.publish import RunResult, run_pipeline
+from wreckline.plans.publish import RunResult, run_pipeline, transform
 from wreckline.schemas import PEOPLE_COLUMNS_WITH_VEHICLE
 from wreckline.schemas import SCHEMAS
 from wreckline.session import shared_dir
 from wreckline.sources.derived import exported_csv, landed_crash_tables, landed_root
 from wreckline.sources.hot_list import load_hot_keys
-from wreckline.sources.ingest import csv_quarantine, csv_to_parquet
+from wreckline.sources.ingest import EmptyCsvError, csv_quarantine, csv_to_parquet, header_columns
 from wreckline.sources.readers import read_with_schema
 from wreckline.sources.sinks import publish_table, stage_parquet, write_parquet
 
@@ -164,11 +165,93 @@ def _ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def _guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops: one that lands, the same rows under another name ending, and one without a
+    line. The first lands, the second is skipped (compat) or refused, the last is refused."""
+    src = exported_csv(spark, sf_dir)["crash"]
+    root = shared_dir(spark, "drops")
+    other, empty = f"{root}/crash.txt", f"{root}/empty.csv"
+    spark.read.text(src).write.text(other)
+    spark.createDataFrame([], "value string").write.text(empty)
+    fates = []
+    for drop, path in (("crash", src), ("other name", other), ("no line", empty)):
+        for compat in (False, True):
+            try:
+                done = csv_to_parquet(spark, path, shared_dir(spark, "guarded"), schema=SCHEMAS["crash"], compat=compat)
+                fate = "skipped" if done is None else "landed"
+            except EmptyCsvError:
+                done, fate = None, "empty"
+            except ValueError:
+                done, fate = None, "refused"
+            landed = spark.read.parquet(done) if done else spark.createDataFrame([], "CRASH_RECORD_ID string")
+            fates.append(landed.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(drop).alias("drop_name"), F.lit(compat).alias("compat"), F.lit(fate).alias("fate"), "n"))
+    return reduce(DataFrame.unionByName, fates)
+
+
+def _compat_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crash drop landed as the studied pipeline lands it: empty text stays empty text."""
+    target = csv_to_parquet(
+        spark, exported_csv(spark, sf_dir)["crash"], shared_dir(spark, "compat"), schema=SCHEMAS["crash"], compat=True)
+    return spark.read.parquet(target)
+
+
+def _frame_schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unit zone read with the schema of the crash frame: what both name is read, the rest is NULL."""
+    crashes, _, _ = landed_crash_tables(spark, sf_dir)
+    return read_with_schema(spark, f"{landed_root(spark, sf_dir)}/vehicles", crashes)
+
+
+def _kept_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that must not overwrite: the second write fails, what the first wrote is read back."""
+    crashes, vehicles, _ = landed_crash_tables(spark, sf_dir)
+    path = write_parquet(crashes, shared_dir(spark, "kept"), mode="errorifexists")
+    try:
+        write_parquet(vehicles, path, mode="errorifexists")
+    except AnalysisException as refused:
+        if "PATH_ALREADY_EXISTS" not in str(refused):
+            raise
+    else:
+        raise AssertionError(f"{path} was written twice")
+    return spark.read.parquet(path)
+
+
+def _transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch transform by its four arguments (three inputs, one output), read back."""
+    root = landed_root(spark, sf_dir)
+    out = transform(spark, f"{root}/crash", f"{root}/vehicles", f"{root}/people", job="vehicle_person_detail",
+                    hot=load_hot_keys(spark, root))
+    return spark.read.parquet(write_parquet(out, shared_dir(spark, "job-output")))
+
+
+def _resumed_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over two thirds of the unit drop, then a resumed one after the drop was replaced:
+    the units and what is made of them are written anew, the other zones are kept."""
+    csvs, root = dict(exported_csv(spark, sf_dir)), shared_dir(spark, "changed")
+    whole = spark.read.text(csvs["vehicles"])
+    csvs["vehicles"] = f"{root}-vehicles.csv"
+    header = header_columns(spark, exported_csv(spark, sf_dir)["vehicles"])
+    lines = whole.filter(F.col("value") != ",".join(header)).toDF(",".join(header))
+
+    def drop(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000").option(
+            "emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
+            csvs["vehicles"])
+
+    drop(lines.filter(F.crc32(F.col(f"`{lines.columns[0]}`")) % 3 != 0))
+    run_pipeline(spark, csvs, root, job="crash_vehicle_summary")
+    drop(lines)
+    done = run_pipeline(spark, csvs, root, job="crash_vehicle_summary", resume=True)
+    return spark.read.parquet(done.clean)
+
+
 QUERIES: dict[str, Query] = {
     # sources: CSV drops landed strictly (FAILFAST) or with a quarantine
     "ingest_crashes_csv": _ingest("crash", quarantine=False),
     "ingest_vehicles_csv": _ingest("vehicles", quarantine=True),
     "ingest_people_csv": _ingest("people", quarantine=True),
+    "ingest_crashes_compat": _compat_landing,
+    "guarded_drops": _guarded,
     # pipelines
     "vehicle_person_detail": _routed(vehicle_person_detail),
     "vehicle_person_detail_fixed": _routed(partial(vehicle_person_detail, compat=False)),
@@ -212,10 +295,14 @@ QUERIES: dict[str, Query] = {
     "run_published_summary": _run("crash_summary", lambda spark, done: spark.table(done.table)),
     "run_published_units": _run("crash_vehicle_summary", lambda spark, done: spark.table(done.external_table)),
     "run_resumed": _resumed,
+    "run_resumed_after_change": _resumed_after_change,
+    "transform_job": _transform_job,
+    "sink_kept": _kept_sink,
     "raw_tables_of_run": _run("crash_vehicle_summary", _raw_counts),
     "staged_detail": _q(lambda c, v, p: stage_parquet(vehicle_person_detail(c, v, p))),
     "partitioned_publish": _partitioned_publish,
     "schema_read": _schema_read,
+    "frame_schema_read": _frame_schema_read,
     "renamed_columns": _q(lambda c, v, p: sanitize_columns(c.toDF(*[x.replace("_", " ") for x in c.columns]))),
     "ragged_rows_rejected": _ragged,
     # numbering, look-ups, grouping
