@@ -6,9 +6,15 @@ pieces of a block of items scans every document; each hit gives the window in wh
 item would lie, windows that overlap are merged, and Myers' bit-parallel algorithm decides
 on the exact edit distance of the item to the best substring there.
 
-Texts and items are compared in lower case with white space runs as one space. Items are
-the stated query set: they travel to the tasks in blocks of bounded size and each block
-reads all documents. Documents never leave their task, so nothing is shuffled.
+Texts and items are compared in lower case with white space runs as one space. An item too
+short for an edit (under 20 characters at 5 %) must begin and end at word borders, or it would
+be found inside longer words.
+
+Items are the stated query set. Their texts travel to the tasks with the code; the automaton,
+which is many times larger, is built for one block of items of bounded size at a time.
+Documents are read once whatever the number of blocks: a task with several blocks gathers
+documents up to ``CHUNK_CHARS`` and takes them through every block before it reads on.
+Documents never leave their task, so nothing is shuffled.
 
 Defined cases: null and empty documents have no hits; null and blank items are ignored;
 long texts are scanned whole; repeated documents each have their hits, repeated items (or
@@ -29,6 +35,11 @@ from pyspark.sql import functions as F
 ERROR_RATE = 0.05
 #: Characters of items in one block, at most (but for a single longer item).
 BLOCK_CHARS = 4_000_000
+#: Characters of documents that a task holds while it goes through several blocks, about.
+CHUNK_CHARS = 64_000_000
+
+Item = tuple[int | None, str]
+Hit = tuple[int | None, int, int, int]
 
 
 def normalised(text: str) -> str:
@@ -71,10 +82,18 @@ def myers(pattern: str, text: str, k: int) -> tuple[int, int] | None:
     return best
 
 
+def at_borders(text: str, begin: int, end: int) -> bool:
+    """Whether text[begin:end] cuts through no word (run of letters and digits) at either end."""
+    return not (
+        (begin > 0 and text[begin - 1].isalnum() and text[begin].isalnum())
+        or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+    )
+
+
 class Matcher:
     """Finds a block of items, given as (id, text), in normalised texts."""
 
-    def __init__(self, items: list[tuple[int | None, str]], error_rate: float) -> None:
+    def __init__(self, items: list[Item], error_rate: float) -> None:
         self.items = []
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item_id, text in items:
@@ -88,8 +107,9 @@ class Matcher:
         if where:
             self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
+    def find(self, text: str) -> list[Hit]:
         """(item id, distance, budget, end) of every item that occurs, at its best place."""
+        whole: dict[int, int] = {}
         windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
         if not self.items:
             return []
@@ -97,6 +117,10 @@ class Matcher:
             for item, offset in places:
                 _, pattern, k = self.items[item]
                 begin = end + 1 - size - offset
+                if not k:  # the piece is the item
+                    if item not in whole and at_borders(text, begin, end + 1):
+                        whole[item] = end + 1
+                    continue
                 window = (max(0, begin - k), min(len(text), begin + len(pattern) + k))
                 merged = windows[item]
                 # Hits come by their ends; a window may still begin before the last one.
@@ -104,7 +128,7 @@ class Matcher:
                     last = merged.pop()
                     window = (min(window[0], last[0]), max(window[1], last[1]))
                 merged.append(window)
-        found = []
+        found = [(self.items[item][0], 0, 0, end) for item, end in sorted(whole.items())]
         for item, spans in sorted(windows.items()):
             item_id, pattern, k = self.items[item]
             best = None
@@ -117,65 +141,84 @@ class Matcher:
         return found
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
-    """Normalised items in blocks; the driver holds one block at a time."""
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> list[list[Item]]:
+    """All normalised items, in blocks of ``block_chars`` characters."""
     rows = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("i"), F.col(f"`{text}`").cast("string").alias("t"))
-    block, size = [], 0
+    blocks, size = [], 0
     for r in rows.where("t IS NOT NULL").orderBy("i", "t").toLocalIterator():
         item = normalised(r["t"])
         if not item:
             continue
-        if block and size + len(item) > block_chars:
-            yield block
-            block, size = [], 0
-        block.append((r["i"], item))
+        if not blocks or size + len(item) > block_chars:
+            blocks.append([])
+            size = 0
+        blocks[-1].append((r["i"], item))
         size += len(item)
-    if block:
-        yield block
+    return blocks
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], at: int, chars: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups whose column ``at`` holds ``chars`` bytes of text, about."""
+    chunk, size = [], 0
+    for batch in batches:
+        chunk.append(batch)
+        size += batch.column(at).nbytes
+        if size >= chars:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def matched(
+    batches: Iterator[pa.RecordBatch], at: int, blocks: list[list[Item]], error_rate: float, chunk_chars: int,
+) -> Iterator[tuple[pa.RecordBatch, list[list[Hit]]]]:
+    """Each batch with the hits of each of its rows, whose text is in column ``at``. One
+    matcher is in memory at a time; a single block's is built once."""
+    only = Matcher(blocks[0], error_rate) if len(blocks) == 1 else None
+    for chunk in _chunks(batches, at, chunk_chars if len(blocks) > 1 else 0):
+        hits: list[list[list[Hit]]] = [[[] for _ in range(batch.num_rows)] for batch in chunk]
+        for block in blocks:
+            matcher = only or Matcher(block, error_rate)
+            for batch, rows in zip(chunk, hits, strict=True):
+                for text, row in zip(batch.column(at), rows, strict=True):
+                    if given := text.as_py():
+                        row += matcher.find(normalised(given))
+        yield from zip(chunk, hits, strict=True)
 
 
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
+    chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
     """(doc_id, item_id, distance, budget, ends_at): every document and item that occurs in
     it, with the least edit distance and where that match ends in the normalised text."""
     schema = "doc_id long, item_id long, distance int, budget int, ends_at long"
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(benchmark, item_id, item_text, block_chars):
-
-        def scan(batches: Iterator[pa.RecordBatch], block: list = block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, error_rate)
-            for batch in batches:
-                hits = [
-                    (d, *hit)
-                    for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t
-                    for hit in matcher.find(normalised(t))
-                ]
-                names = ["doc_id", "item_id", "distance", "budget", "ends_at"]
-                columns = list(zip(*hits, strict=True)) or [()] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-        out = out.unionByName(rows.mapInArrow(scan, schema))
-    return out
+    blocks = item_blocks(benchmark, item_id, item_text, block_chars)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in matched(batches, 1, blocks, error_rate, chunk_chars):
+            hits = [(d, *hit) for d, row in zip(batch.column(0).to_pylist(), found, strict=True) for hit in row]
+            names = ["doc_id", "item_id", "distance", "budget", "ends_at"]
+            columns = list(zip(*hits, strict=True)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return rows.mapInArrow(scan, schema)
 
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
+    error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS, chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
     """The documents in which no item occurs, with all their columns."""
     at = docs.columns.index(text)
-    for block in item_blocks(benchmark, item_id, item_text, block_chars):
+    blocks = item_blocks(benchmark, item_id, item_text, block_chars)
 
-        def clean(batches: Iterator[pa.RecordBatch], block: list = block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, error_rate)
-            for batch in batches:
-                keep = [not (t and matcher.find(normalised(t))) for t in batch.column(at).to_pylist()]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in matched(batches, at, blocks, error_rate, chunk_chars):
+            yield batch.filter(pa.array([not row for row in found], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+    return docs.mapInArrow(clean, docs.schema)
