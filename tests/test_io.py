@@ -124,6 +124,17 @@ def test_catalog_tables(spark, tmp_path):
     assert publish_table(spark, spark.table("years_ext").limit(1), "years").count() == 1
 
 
+def test_external_table_over_a_partitioned_folder(spark, tmp_path):
+    path = str(tmp_path / "years")
+    rows = [("a", 2021), ("b", 2022), ("c", None)]
+    write_parquet(spark.createDataFrame(rows, "id string, CRASH_YEAR int"), path, partition_by=["CRASH_YEAR"])
+    table = register_external(spark, "ext_by_year", path)
+    assert sorted(map(tuple, table.collect()), key=str) == sorted(rows, key=str)
+    assert [r.id for r in table.filter("CRASH_YEAR = 2022").collect()] == ["b"]
+    write_parquet(spark.createDataFrame([("d", 2023)], "id string, CRASH_YEAR int"), path, mode="append", partition_by=["CRASH_YEAR"])
+    assert register_external(spark, "ext_by_year", path).count() == 4  # the new folder is listed
+
+
 def test_partitioned_overwrite_replaces_everything(spark, tmp_path):
     path = str(tmp_path / "by_year")
     both = spark.createDataFrame([("a", 2021), ("b", 2022)], "id string, y int")

@@ -7,6 +7,7 @@ studied pipeline does) and runs one operator or pipeline over all of them.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from functools import partial, reduce
@@ -48,7 +49,7 @@ from wreckline.sources.derived import exported_csv, landed_crash_tables, landed_
 from wreckline.sources.hot_list import load_hot_keys
 from wreckline.sources.ingest import EmptyCsvError, csv_quarantine, csv_to_parquet, header_columns
 from wreckline.sources.readers import read_with_schema
-from wreckline.sources.sinks import publish_table, stage_parquet, write_parquet
+from wreckline.sources.sinks import publish_table, register_external, stage_parquet, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,15 +96,22 @@ def _repeated(people: DataFrame) -> DataFrame:
             .unionByName(people.filter("VEHICLE_ID % 22 = 0")))
 
 
+def _scratch_name(spark: SparkSession, name: str) -> str:
+    """A table name of its own, in a database whose files go with the session's folder."""
+    database = re.sub(r"\W", "_", f"wreckline_{spark.sparkContext.applicationId}")
+    if not spark.catalog.databaseExists(database):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_dir(spark, 'tables')}'")
+    return f"{database}.{name}_{uuid.uuid4().hex[:8]}"
+
+
 def _run(job: str, read: Callable[[SparkSession, RunResult], DataFrame]) -> Query:
     """The whole run over CSV drops, into tables of its own; what ``read`` reads back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tag = uuid.uuid4().hex[:8]
         done = run_pipeline(
             spark, exported_csv(spark, sf_dir), shared_dir(spark, "run"), job=job,
-            external_table=f"clean_{job}_{tag}", table=f"published_{job}_{tag}",
-            raw_tables={name: f"raw_{name}_{tag}" for name in SCHEMAS})
+            external_table=_scratch_name(spark, f"clean_{job}"), table=_scratch_name(spark, f"published_{job}"),
+            raw_tables={name: _scratch_name(spark, f"raw_{name}") for name in SCHEMAS})
         return read(spark, done)
 
     return run
@@ -130,11 +138,18 @@ def _raw_counts(spark: SparkSession, done: RunResult) -> DataFrame:
 def _partitioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A' published as a managed table partitioned by hour, twice: the second replaces."""
     crashes, vehicles, _ = landed_crash_tables(spark, sf_dir)
-    name = f"by_hour_{uuid.uuid4().hex[:8]}"
+    name = _scratch_name(spark, "by_hour")
     publish_table(spark, crash_vehicle_summary(crashes, vehicles).limit(1), name, partition_by=["HOUR_OF_DAY"])
     return publish_table(spark, crash_vehicle_summary(crashes, vehicles), name, partition_by=["HOUR_OF_DAY"])
 
 
+def _external_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A' written by hour and read through an external table over the folder."""
+    crashes, vehicles, _ = landed_crash_tables(spark, sf_dir)
+    zone = write_parquet(crash_vehicle_summary(crashes, vehicles), shared_dir(spark, "by-hour"), partition_by=["HOUR_OF_DAY"])
+    return register_external(spark, _scratch_name(spark, "external_by_hour"), zone)
+
+
 def _schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The people zone read with a declared schema that has a column the files lack."""
     _, _, people = landed_crash_tables(spark, sf_dir)
@@ -301,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "raw_tables_of_run": _run("crash_vehicle_summary", _raw_counts),
     "staged_detail": _q(lambda c, v, p: stage_parquet(vehicle_person_detail(c, v, p))),
     "partitioned_publish": _partitioned_publish,
+    "external_by_hour": _external_by_hour,
     "schema_read": _schema_read,
     "frame_schema_read": _frame_schema_read,
     "renamed_columns": _q(lambda c, v, p: sanitize_columns(c.toDF(*[x.replace("_", " ") for x in c.columns]))),

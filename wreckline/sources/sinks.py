@@ -76,9 +76,10 @@ def _table_type(spark: SparkSession, table: str) -> str | None:
 
 
 def register_external(spark: SparkSession, table: str, location: str, replace: bool = True) -> DataFrame:
-    """Catalog table over existing Parquet files (schema read from the files).
+    """Catalog table over existing Parquet files (schema and partitions read from the files).
 
-    ``replace`` drops an earlier external table of that name, whose files stay where they
+    A partitioned folder's partitions are listed in the catalog as they are now; register it
+    again when folders were added. ``replace`` drops an earlier external table of that name, whose files stay where they
     are; a managed table or a view of that name is never dropped but refused.
     """
     kind = _table_type(spark, table)
@@ -88,6 +89,8 @@ def register_external(spark: SparkSession, table: str, location: str, replace: b
         spark.sql(f"DROP TABLE {_quote(table)}")
     escaped = location.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {_quote(table)} USING PARQUET LOCATION '{escaped}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"ALTER TABLE {_quote(table)} RECOVER PARTITIONS")
     return spark.table(table)
 
 
