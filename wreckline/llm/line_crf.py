@@ -6,14 +6,16 @@ good given its whole text. A document's score is the mean of these over its line
 weighted by their length.
 
 Labels exist per document; in training, each line carries its document's label. The fit
-uses at most ``MAX_TRAINING_DOCS`` labelled documents (chosen by hash of their id) of at
-most ``MAX_TRAINING_LINES`` lines each; their features are computed by Spark tasks and
-only numbers reach the driver. Scoring reads every text whole, in Arrow batches, with
-nothing shuffled.
+uses a sample that is bounded three ways: at most ``MAX_TRAINING_DOCS`` labelled documents
+(those of least hash, each class by its share and at least ``MIN_OF_CLASS`` if there are as
+many), of at most ``MAX_TRAINING_LINES`` lines each and ``MAX_LINES`` in all. Only ids,
+hashes and line counts of the labelled documents are shuffled; the sample's texts are picked
+by a broadcast of its ids, their features are computed by Spark tasks, and only numbers
+reach the driver. Scoring reads every text whole, in Arrow batches, with nothing shuffled.
 
 Defined cases: null, empty and blank texts are one empty line and score by that; a very
-long text is one chain; repeated rows score alike; repeated labels count each; null labels
-are ignored; without labels of both kinds every score is the share of label 1, 0.5 with
+long text is one chain; repeated rows score alike and train once; an id with several labels
+or texts trains with each; null labels are ignored; without labels of both kinds every score is the share of label 1, 0.5 with
 none; an empty table gives an empty result; extra columns stay unless an output column has
 the same name, which replaces them.
 """
@@ -26,12 +28,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import staged
+
 MAX_TRAINING_DOCS = 4_000
 MAX_TRAINING_LINES = 400
+MAX_LINES = 250_000
+MIN_OF_CLASS = 100
 ROUNDS = 150
 #: Prior precision of the weights.
 RIDGE = 1.0
@@ -196,7 +202,8 @@ def fit_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int
     every chain weighing alike whatever its length."""
     mean, scale = x.mean(axis=0), x.std(axis=0)
     mean[-1], scale[scale < 1e-9] = 0.0, 1.0
-    z = (x - mean) / scale
+    z = x - mean
+    z /= scale
     length = np.diff(first)
     y = np.repeat(labels, length).astype(np.float64)
     inside = np.ones(len(z), dtype=bool)
@@ -215,23 +222,48 @@ def fit_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int
     return LineModel(mean, scale, weights, move)
 
 
+def _sample(units: DataFrame, counts: dict[int, int], max_docs: int, max_total: int) -> DataFrame:
+    """At most about ``max_docs`` of the (h, y, n, d) rows, with ``max_total`` lines together: of
+    each class those of least hash."""
+    total = sum(counts.values())
+    order = [F.xxhash64("h", "y", "d"), "h", "y", F.col("d").asc_nulls_first()]
+    some = None
+    for y, count in sorted(counts.items()):
+        quota = count if total <= max_docs else max(max_docs * count // total, min(count, MIN_OF_CLASS))
+        mine = units.where(F.col("y") == y)
+        if quota < count:
+            mine = mine.orderBy(*order).limit(quota)
+        some = mine if some is None else some.unionByName(mine)
+    # One partition of at most about ``max_docs`` rows of numbers and ids.
+    before = F.sum("n").over(Window.partitionBy().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return some.withColumn("upto", before).where(F.col("upto") <= max_total).select("d", "h", "y")
+
+
 def fit_line_model(
-    labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    max_docs: int = MAX_TRAINING_DOCS, max_lines: int = MAX_TRAINING_LINES,
+    docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+    max_docs: int = MAX_TRAINING_DOCS, max_lines: int = MAX_TRAINING_LINES, max_total: int = MAX_LINES,
 ) -> LineModel:
-    """Fit on a bounded sample of (id, text, label) rows; the label is 0 or 1."""
-    rows = labelled.select(
-        F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text}`").alias("t"), F.col(f"`{label}`").cast("int").alias("y")
-    ).where("y IN (0, 1)")
-    rows = rows.where(F.size(F.split(F.coalesce("t", F.lit("")), "\n", -1)) <= max_lines)
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    """Fit on a bounded sample of ``docs`` (id, text) with ``labels`` (id, label); without the
+    latter ``docs`` has the label itself. The label is 0 or 1. Runs jobs."""
+    value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    own = [F.col(f"`{label}`").cast("int").alias("y")]
+    read = docs.select(F.col(f"`{doc_id}`").alias("d"), value.alias("t"), F.xxhash64(value).alias("h"), *(own if labels is None else []))
+    lines = (F.length("t") - F.length(F.translate("t", "\n", "")) + 1).alias("n")
+    units = read.select(*[c for c in read.columns if c != "t"], lines).where(F.col("n") <= max_lines)
+    if labels is not None:
+        units = units.join(labels.select(F.col(f"`{doc_id}`").alias("d"), *own).where("y IN (0, 1)"), "d")
+    units = staged(units.where("y IN (0, 1)").select("d", "h", "y", "n").distinct(), "labelled-lines")
+    counts = {r["y"]: r["c"] for r in units.groupBy("y").agg(F.count("*").alias("c")).collect()}
     total = sum(counts.values())
     if len(counts) < 2:
         share = counts.get(1, 0) / total if total else 0.5
         return LineModel(np.zeros(0), np.ones(0), np.zeros(0), np.zeros((2, 2)), share)
-    if total > max_docs:
-        chance = F.pmod(F.xxhash64("d"), F.lit(1_000_000)) < int(1_000_000 * max_docs / total)
-        rows = rows.where(chance).limit(2 * max_docs)
+    picked = _sample(units, counts, max_docs, max_total).select(
+        F.col("d").alias("pd"), F.col("h").alias("ph"), F.col("y").alias("py"))
+    same = F.col("d").eqNullSafe(F.col("pd")) & (F.col("h") == F.col("ph"))
+    if labels is None:
+        same = same & (F.col("y") == F.col("py"))
+    rows = read.join(F.broadcast(picked), same).groupBy("d", "h", F.col("py").alias("y")).agg(F.min("t").alias("t"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,9 +277,13 @@ def fit_line_model(
     made = rows.select("t", "y").mapInArrow(features, "y int, x binary").toArrow()
     order = pc.sort_indices(made, sort_keys=[("y", "ascending"), ("x", "ascending")])
     made = made.take(order).combine_chunks()  # the same fit whatever the tasks' order
-    chains = [np.frombuffer(b, dtype=np.float64).reshape(-1, FEATURES) for b in made.column("x").to_pylist()]
+    labelled, held = made.column("y").to_numpy(), made.column("x")
+    del made
+    chains = [np.frombuffer(b.as_buffer(), dtype=np.float64).reshape(-1, FEATURES) for b in held]
     first = np.concatenate(([0], np.cumsum([len(c) for c in chains])))
-    return fit_chain(np.concatenate(chains), first, made.column("y").to_numpy())
+    x = np.concatenate(chains)
+    del chains, held
+    return fit_chain(x, first, labelled)
 
 
 def score_quality(df: DataFrame, model: LineModel, text: str = "text", name: str = "score") -> DataFrame:

@@ -56,7 +56,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~_held_out()).select("doc_id", "quality")
-    model = fit_line_model(docs.join(labels, "doc_id"))
+    model = fit_line_model(docs, labels)
     return score_quality(docs, model).select(
         "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
