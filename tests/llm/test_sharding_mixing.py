@@ -30,6 +30,38 @@ def test_shards_hold_equal_bytes_and_gapless_places(spark, texts):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
 
 
+def test_query_follows_the_edited_map(spark, texts):
+    """The map by plain Python: slots into 23 shards, the largest into the least loaded; then an
+    even share of each of them stays for 24 and the rest is placed again."""
+    rows = op8_sharding(spark, SF).collect()
+    held = defaultdict(int)
+    for r in rows:
+        held[r.vslot] += r["size"]
+
+    def fill(slots, loads, shard):
+        for v in sorted(slots, key=lambda v: (-held[v], v)):
+            k = loads.index(min(loads))
+            loads[k] += held[v]
+            shard[v] = k
+
+    old, new, loads = {}, {}, [0] * 24
+    fill(held, [0] * 23, old)
+    share = sum(held.values()) / 24
+    for k in range(23):
+        upto = 0
+        for v in sorted((v for v in old if old[v] == k), key=lambda v: (-held[v], v)):
+            upto += held[v]
+            if upto <= share:
+                new[v], loads[k] = k, loads[k] + held[v]
+    fill(set(held) - set(new), loads, new)
+    assert {(r.vslot, r.shard) for r in rows} == set(new.items())
+
+
+def test_query_on_an_empty_table(spark, documents, tmp_path):
+    documents.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert op8_sharding(spark, str(tmp_path)).count() == 0
+
+
 def test_repeated_rows_nulls_and_empty_tables(spark):
     data = [(1, "copy")] * 2000 + [(None, None), (None, "x"), (2, ""), (3, "é" * 50_000)] + [(i, "t" * i) for i in range(4, 60)]
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in data], "doc_id long, text string, shard int, VSLOT int")

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from .common import table
+from ..session import shared_dir
+from .common import staged, table
 from .conversation_repair import repair_conversations, text_digests
 from .decontaminate import benchmark_hits
 from .filter_audit import filter_audit, standard_filters
@@ -22,7 +23,7 @@ from .oracle_ngram import ngram_join_sql
 from .oracle_rules import quality_rules_sql
 from .quality_rules import quality_rules
 from .secrets import fit_markov, labelled_samples, secret_scan
-from .sharding import shard_records
+from .sharding import edit_slot_map, load_slot_map, place_records, record_runs, save_slot_map, slot_bytes
 from .toxicity import fit_toxicity, score_toxicity
 from .warc import archive_folder, normalise_archives, read_archives, write_archives
 
@@ -79,7 +80,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = shard_records(table(spark, sf_dir, "documents"), SHARDS)
+    """A first map of one shard less is stored, edited to ``SHARDS`` and stored as the next
+    version; the records go where the newest stored version says."""
+    store = shared_dir(spark, "slot-maps")
+    runs = staged(record_runs(table(spark, sf_dir, "documents")), "shard-runs")
+    totals = staged(slot_bytes(runs), "slot-bytes")
+    save_slot_map(edit_slot_map(totals, SHARDS - 1), store, 1)
+    save_slot_map(edit_slot_map(totals, SHARDS, load_slot_map(spark, store)), store, 2)
+    placed = place_records(runs, load_slot_map(spark, store))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "vslot")

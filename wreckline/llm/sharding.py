@@ -94,7 +94,7 @@ def edit_slot_map(totals: DataFrame, shards: int, current: DataFrame | None = No
     else:
         was = current.select("vslot", F.when(F.col("shard") < shards, F.col("shard")).alias("was"))
         held = totals.join(F.broadcast(was), "vslot", "left")  # at most one row a slot
-        version = F.lit(current.agg(F.max("version")).first()[0] + 1)
+        version = F.lit((current.agg(F.max("version")).first()[0] or 0) + 1)
     largest = Window.partitionBy("was").orderBy(F.desc("bytes"), "vslot")
     share = F.sum("bytes").over(Window.partitionBy()) / shards
     upto = F.sum("bytes").over(largest.rowsBetween(Window.unboundedPreceding, 0))
@@ -113,9 +113,10 @@ def edit_slot_map(totals: DataFrame, shards: int, current: DataFrame | None = No
         version.alias("version"), "vslot", F.coalesce("was", "shard").alias("shard"), "bytes", "rows")
 
 
-def save_slot_map(slot_map: DataFrame, path: str) -> None:
-    """Add a version to a stored map; a version is written once and never changed."""
-    version = slot_map.agg(F.max("version")).first()[0]
+def save_slot_map(slot_map: DataFrame, path: str, version: int | None = None) -> None:
+    """Add a version to a stored map; a version is written once and never changed. A map
+    without rows does not know its version and is stored only if that is given."""
+    version = version or slot_map.agg(F.max("version")).first()[0]
     if version is not None:
         slot_map.drop("version").coalesce(1).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={version}")
 
