@@ -241,3 +241,23 @@ def test_detail_shuffles_each_input_once(spark, landed):
     # the crash join and the final de-duplication all reuse it
     assert len(ex) == 3, ex
     assert not any("CRASH_UNIT_ID" in e or "_p_unit" in e for e in ex), ex
+
+
+def test_keys_too_many_for_the_driver_stay_a_table(spark, landed, monkeypatch):
+    from wreckline.operators import skew
+    from wreckline.plans import crash_summary
+
+    c, v, p = landed
+    plain = sorted(map(str, crash_summary(c, v, p, hot_rows=5).collect()))
+    rows = [(f"k{i}", n) for i in range(1500) for n in range(2)] + [("one", 1)] + [(None, 1)] * 3
+    df = spark.createDataFrame(rows, "CRASH_RECORD_ID string, n int")
+    hot = skew.count_hot([df], "CRASH_RECORD_ID", 2)
+    assert hot.keys == () and hot.nulls and hot.listed.count() == 1500
+    cold, rest = skew.split_hot(df, "CRASH_RECORD_ID", hot)
+    assert ([r[0] for r in cold.collect()], rest.count()) == (["one"], 3003)
+    monkeypatch.setattr(skew, "_AS_LITERALS", 3)
+    monkeypatch.setattr(skew, "_NO_BROADCAST", 3)
+    assert skew.count_hot([c, v], "CRASH_RECORD_ID", 5).listed is not None
+    made = crash_summary(c, v, p, hot_rows=5)
+    assert sorted(map(str, made.collect())) == plain
+    assert "_hot_key" not in " ".join(x for x in formatted(made).splitlines() if "BroadcastExchange" in x)
