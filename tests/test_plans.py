@@ -261,3 +261,13 @@ def test_keys_too_many_for_the_driver_stay_a_table(spark, landed, monkeypatch):
     made = crash_summary(c, v, p, hot_rows=5)
     assert sorted(map(str, made.collect())) == plain
     assert "_hot_key" not in " ".join(x for x in formatted(made).splitlines() if "BroadcastExchange" in x)
+
+
+def test_hot_list_is_counted_in_many_tasks(spark):
+    from wreckline.sources.hot_list import hot_list
+
+    df = spark.range(1000).selectExpr("cast(id % 10 as string) CRASH_RECORD_ID")
+    made = hot_list({"crash": df, "people": df}, min_rows=50)
+    # the counted ids are filtered before the one partition is made, by a shuffle
+    assert "Coalesce" not in formatted(made) and made.rdd.getNumPartitions() == 1
+    assert made.filter("key is not null").count() == 20
