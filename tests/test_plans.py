@@ -271,3 +271,33 @@ def test_hot_list_is_counted_in_many_tasks(spark):
     # the counted ids are filtered before the one partition is made, by a shuffle
     assert "Coalesce" not in formatted(made) and made.rdd.getNumPartitions() == 1
     assert made.filter("key is not null").count() == 20
+
+
+def test_derived_lines_are_shuffled_once_with_their_orders(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
+    try:
+        plans = [formatted(df) for df in crash_tables(spark, SF_SMOKE)[1:]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in plans:
+        by_order = [x for x in text.splitlines() if x.startswith("Arguments: hashpartitioning") and "orderkey" in x]
+        assert len(by_order) == 2 and "hashpartitioning(CRASH_RECORD_ID" not in text
+        shuffled = [x for x in text.splitlines() if x.startswith("Input") and "CRASH_RECORD_ID" in x]
+        assert shuffled == [] or all("Exchange" not in x for x in shuffled)
+
+
+def test_landed_zone_is_clustered_and_drops_are_small(spark, tmp_path):
+    import glob
+
+    from pyspark.sql import functions as F
+    from wreckline.sources import land_crash_tables
+    from wreckline.sources.derived import exported_csv
+
+    root = land_crash_tables(spark, SF_SMOKE, str(tmp_path))
+    for name, df in zip(("crash", "vehicles", "people"), crash_tables(spark, SF_SMOKE), strict=True):
+        back = spark.read.parquet(f"{root}/{name}")
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+        files = back.withColumn("_file", F.input_file_name()).groupBy("CRASH_RECORD_ID").agg(F.countDistinct("_file").alias("n"))
+        assert files.filter("n > 1").count() == 0
+    for path in exported_csv(spark, SF_SMOKE).values():
+        assert glob.glob(f"{path}/*.csv.gz") and not glob.glob(f"{path}/*.csv")
