@@ -257,3 +257,37 @@ def test_repeated_drivers_count_without_overflow(spark):
     packed = {r.PERSON_ID: r["copies"] for r in person_slots(people, expand=False).collect()}
     assert packed == {"P": 2**63 - 1, "Q": 3**5}
     assert person_slots(people.filter("PERSON_ID = 'Q'")).count() == 3**5
+
+
+def test_slots_of_repeated_drivers_against_the_self_joins(spark):
+    from itertools import product
+
+    from wreckline.operators import person_slots
+    from wreckline.functions.text import MISSING_PLACEHOLDER as na
+
+    def at(key, sex, age, injury, rd="R"):
+        return dict(zip(PEOPLE_SCHEMA.names, _person("C", key, 1, rd=rd, sex=sex, age=age, injury=injury), strict=True))
+
+    given = [at("P", "F", 30, "MINOR"), at("P", "F", 30, "MINOR"), at("P", None, 31, None, "S"), at("P", "NA", 31, None, None),
+             at("Q", "M", None, "FATAL"), at(None, "M", 40, "FATAL"), at(None, "F", 41, None)]
+    people = spark.createDataFrame([tuple(x.values()) for x in given], PEOPLE_SCHEMA)
+
+    def text(value):
+        return na if value is None else str(value)
+
+    def injury_shown(x, k):
+        age = None if x["AGE"] is None else str(x["AGE"])
+        return age if k == 0 and x["INJURY_CLASSIFICATION"] is not None else text(x["INJURY_CLASSIFICATION"])
+
+    want = []
+    for me in given:
+        same = [x for x in given if x["PERSON_ID"] == me["PERSON_ID"]] if me["PERSON_ID"] else [dict.fromkeys(me)]
+        for four in product(same, repeat=4):
+            slots = [(x["PERSON_ID"], text(x["SEX"]), text(x["AGE"]), injury_shown(x, k)) for k, x in enumerate(four)]
+            want.append((me["PERSON_ID"], me["RD_NO"], *[v for s in slots for v in s]))
+    columns = ["PERSON_ID", "RD_NO", *[f"PERSON{k}_{f}" for k in range(1, 5) for f in ("ID", "SEX", "AGE", "INJURY_CLASSIFICATION")]]
+    got = [tuple(r) for r in person_slots(people).select(*columns).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    packed = person_slots(people, expand=False)
+    assert packed.agg({"copies": "sum"}).first()[0] == len(want)
+    assert packed.distinct().count() == packed.count()

@@ -301,3 +301,12 @@ def test_landed_zone_is_clustered_and_drops_are_small(spark, tmp_path):
         assert files.filter("n > 1").count() == 0
     for path in exported_csv(spark, SF_SMOKE).values():
         assert glob.glob(f"{path}/*.csv.gz") and not glob.glob(f"{path}/*.csv")
+
+
+def test_person_slots_shuffles_drivers_twice(landed):
+    from wreckline.operators import person_slots
+
+    _, _, p = landed
+    text = formatted(person_slots(p))
+    # once with copies combined, once by driver; no join of the drivers with themselves
+    assert len(_exchanges(person_slots(p))) == 2 and "Join" not in text
