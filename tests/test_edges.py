@@ -270,7 +270,8 @@ def test_slots_of_repeated_drivers_against_the_self_joins(spark):
 
     given = [at("P", "F", 30, "MINOR"), at("P", "F", 30, "MINOR"), at("P", None, 31, None, "S"), at("P", "NA", 31, None, None),
              at("Q", "M", None, "FATAL"), at(None, "M", 40, "FATAL"), at(None, "F", 41, None)]
-    people = spark.createDataFrame([tuple(x.values()) for x in given], PEOPLE_SCHEMA)
+    nullable = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PEOPLE_SCHEMA.fields)
+    people = spark.createDataFrame([tuple(x.values()) for x in given], nullable)
 
     def text(value):
         return na if value is None else str(value)
