@@ -387,3 +387,64 @@ def test_quarantine_counts_while_it_lands(spark, tmp_path, monkeypatch):
     assert (bad.rows, bad.rejected) == (2, 2) and written[2:] == [1, 1]
     assert spark.read.parquet(bad.target).count() == 2 == spark.read.parquet(bad.quarantine).count()
     assert spark.read.parquet(clean.quarantine).columns == spark.read.parquet(bad.quarantine).columns
+
+
+def _shuffle_files(spark) -> set[str]:
+    import glob
+
+    return set(glob.glob(f"{spark.sparkContext.getConf().get('spark.local.dir')}/**/shuffle_*", recursive=True))
+
+
+def test_shuffles_go_with_the_write(spark, tmp_path):
+    import time
+
+    from pyspark.sql import functions as F
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before, before = spark.conf.get(setting), _shuffle_files(spark)
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+    assert _shuffle_files(spark) - before  # as Spark leaves them
+    before = _shuffle_files(spark)
+    rows = spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").count()
+    assert stage_parquet(rows, str(tmp_path / "staged")).count() == 7
+    write_table(rows, "shuffles_go", mode="overwrite")
+    spark.sql("DROP TABLE shuffles_go")
+    kept = spark.read.parquet(write_parquet(rows.repartition(3), str(tmp_path / "zone")))
+    assert kept.count() == 7 and spark.conf.get(setting) == set_before
+    end = time.time() + 20
+    # The counts above leave their own: one row each.
+    written = lambda: [f for f in _shuffle_files(spark) - before if os.path.exists(f) and os.path.getsize(f) > 200]
+    while written() and time.time() < end:
+        time.sleep(0.2)
+    assert not written()
+
+
+def test_writes_at_once_share_the_setting(spark):
+    from wreckline.session import freed_shuffles
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        one, other = freed_shuffles(spark), freed_shuffles(spark)
+        one.__enter__()
+        other.__enter__()
+        one.__exit__(None, None, None)
+        assert spark.conf.get(setting) == "true"
+        other.__exit__(None, None, None)
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_drops_need_no_landed_zone(spark, tmp_path):
+    import shutil
+
+    from conftest import SF_SMOKE
+    from wreckline.sources import derived
+
+    for name in ("orders", "lineitem", "part"):
+        shutil.copy(f"{SF_SMOKE}/{name}.parquet", tmp_path)
+    csvs = derived.exported_csv(spark, str(tmp_path))
+    assert derived._key(spark, str(tmp_path)) not in derived._LANDED
+    for name, df in zip(("crash", "vehicles", "people"), derived.crash_tables(spark, str(tmp_path)), strict=True):
+        assert spark.read.option("header", True).csv(csvs[name]).count() == df.count()
