@@ -310,3 +310,42 @@ def test_person_slots_shuffles_drivers_twice(landed):
     text = formatted(person_slots(p))
     # once with copies combined, once by driver; no join of the drivers with themselves
     assert len(_exchanges(person_slots(p))) == 2 and "Join" not in text
+
+
+def test_tables_meet_a_long_list_once(spark, landed, monkeypatch):
+    from wreckline.operators import skew
+    from wreckline.plans import crash_summary
+
+    monkeypatch.setattr(skew, "_AS_LITERALS", 3)
+    monkeypatch.setattr(skew, "_NO_BROADCAST", 3)
+    rows = [(f"k{i}", n) for i in range(20) for n in range(2)] + [("one", 1)] + [(None, 1)] * 3
+    df = spark.createDataFrame(rows, "CRASH_RECORD_ID string, n int")
+    # Keys that are hot in two tables are listed once: rows that meet them are not doubled.
+    hot = skew.count_hot([df, df], "CRASH_RECORD_ID", 2)
+    assert hot.shuffled and hot.listed.count() == 20
+    cold, rest = skew.split_hot(df, "CRASH_RECORD_ID", hot)
+    assert rows_of(cold) == rows_of(df.filter("CRASH_RECORD_ID = 'one'"))
+    assert rows_of(rest) == rows_of(df.filter("CRASH_RECORD_ID <> 'one' OR CRASH_RECORD_ID IS NULL"))
+    none = skew.split_hot(df.limit(0), "CRASH_RECORD_ID", hot)
+    assert [x.count() for x in none] == [0, 0]
+    c, v, p = landed
+    assert "_hot_key" not in formatted(crash_summary(c, v, p, hot_rows=5))
+
+
+def test_driver_summary_shuffles_narrow_rows(landed):
+    _, _, p = landed
+    for strategy in ("cluster", "partial"):
+        text = formatted(people_summary(p, strategy=strategy))
+        # raw columns, and two slots that stand for all four
+        assert "_inj_rest" not in text and "_sex2" in text and "_sex3" not in text
+    one, two, three = (people_summary(p, n=n).drop("Cnt_Drivers_Accid") for n in (1, 2, 3))
+    assert rows_of(two.select(one.columns)) == rows_of(one)
+    assert rows_of(three.select(two.columns)) == rows_of(two)
+
+
+def test_slot_groups_are_not_shuffled_by_their_slots(landed):
+    _, v, _ = landed
+    ex = _exchanges(vehicle_summary(v, strategy="topk"))
+    assert len(ex) <= 5 and not any("VEHICLE1" in e for e in ex), ex
+    text = formatted(vehicle_summary(v, strategy="lookup"))
+    assert "Join" not in text and len(_exchanges(vehicle_summary(v, strategy="lookup"))) == 1
